@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from gleaner.catalog.base import ORACLES, QUERIES
 from gleaner.catalog import (  # noqa: F401  (importing registers the queries)
-    dedup,
-    filters,
     layout,
+    filters,
     pages,
-    pipelines,
+    urlpii,
+    dedup,
+    substring,
     quality,
     segments,
     stats,
-    substring,
-    urlpii,
+    pipelines,
 )
 
 __all__ = ["ORACLES", "QUERIES"]

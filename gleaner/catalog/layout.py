@@ -1 +1,241 @@
-"""TBD."""
+"""Sources, sinks, files and shards."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from gleaner.catalog.base import query, table
+from gleaner.functions.text import token_count
+from gleaner.operators import layout as ops
+from gleaner.session import scratch_path
+from gleaner.sources import files, warc
+
+_DOCS_SQL = "SELECT doc_id, text, lang, source, n_chars FROM documents"
+
+
+@query("read_jsonl", _DOCS_SQL)
+def read_jsonl(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "read-jsonl")
+    files.write_jsonl(docs.withColumn("part", F.col("doc_id") % 3).repartition("part"), path)
+    return files.read_jsonl(spark, path, docs.schema)
+
+
+@query("read_parquet", "SELECT doc_id, lang FROM documents")
+def read_parquet(spark, sf_dir):
+    return files.read_parquet(spark, f"{sf_dir}/documents.parquet", ["doc_id", "lang"])
+
+
+@query("read_paths_list", f"{_DOCS_SQL} WHERE source IN ('src1', 'src2', 'src7')")
+def read_paths_list(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "paths-list")
+    docs.withColumn("file", F.col("source")).repartition("file").write.partitionBy("file").json(f"{path}/docs")
+    written = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{path}/docs").select("path")
+    wanted = written.filter(F.regexp_extract("path", "file=([^/]+)/", 1).isin("src1", "src2", "src7"))
+    # One relative path per line, with a blank line and blanks around a name.
+    lines = wanted.select(F.explode(F.array(F.concat(F.lit("  "), F.regexp_extract("path", "(file=.*)$", 1), F.lit(" ")), F.lit(""))))
+    lines.coalesce(1).write.text(f"{path}/list")
+    return files.read_paths_list(spark, f"{path}/docs", f"{path}/list", docs.schema)
+
+
+def _warc_files(spark, sf_dir):
+    """Pages as WARC files, next to side files a listing must leave out."""
+    pages = table(spark, sf_dir, "pages").repartition(4, "page_id")
+    path = scratch_path(spark, "warc")
+    warc.write_warc(pages, f"{path}/segment/warc")
+    warc.write_warc(pages, f"{path}/segment/robotstxt")
+    return path
+
+
+@query("list_input_files")
+def list_input_files(spark, sf_dir):
+    listed = files.list_input_files(spark, _warc_files(spark, sf_dir), r"/warc/[^/]*\.gz$", limit=3)
+    return listed.select(F.regexp_extract("path", "/(segment/warc)/", 1).alias("folder"), "length")
+
+
+@query(
+    "warc_records",
+    "SELECT url, page_id::VARCHAR AS warc_id, html AS content FROM pages",
+)
+def warc_records(spark, sf_dir):
+    path = _warc_files(spark, sf_dir)
+    return warc.read_warc(spark, f"{path}/segment/warc").select("url", "warc_id", "content")
+
+
+@query(
+    "record_limit",
+    "SELECT source, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 7",
+)
+def record_limit(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("source", "doc_id")
+    return ops.record_limit(docs, 7, file_col="source", order="doc_id")
+
+
+@query("file_name_column", "SELECT doc_id, 'documents.parquet' AS file_name FROM documents")
+def file_name_column(spark, sf_dir):
+    return files.with_file_name(table(spark, sf_dir, "documents")).select("doc_id", "file_name")
+
+
+@query("write_jsonl", _DOCS_SQL)
+def write_jsonl(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "write-jsonl")
+    files.write_jsonl(docs, path, compression="gzip")
+    return spark.read.schema(docs.schema).json(path)
+
+
+@query("write_parquet", _DOCS_SQL)
+def write_parquet(spark, sf_dir):
+    path = scratch_path(spark, "write-parquet")
+    files.write_parquet(table(spark, sf_dir, "documents"), path)
+    return spark.read.parquet(path)
+
+
+def _bucketed(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "buckets")
+    files.write_bucketed(docs.withColumn(files.BUCKET_COLUMN, (F.col("n_chars") % 20).cast("int")), path)
+    return path
+
+
+@query("write_bucketed", 'SELECT doc_id, text, (n_chars % 20)::INTEGER AS "ensemble-max-int" FROM documents')
+def write_bucketed(spark, sf_dir):
+    return spark.read.parquet(_bucketed(spark, sf_dir)).select("doc_id", "text", files.BUCKET_COLUMN)
+
+
+@query(
+    "read_buckets",
+    'SELECT doc_id, (n_chars % 20)::INTEGER AS "ensemble-max-int" FROM documents WHERE n_chars % 20 IN (18, 19)',
+)
+def read_buckets(spark, sf_dir):
+    return files.read_buckets(spark, _bucketed(spark, sf_dir)).select("doc_id", files.BUCKET_COLUMN)
+
+
+@query(
+    "kept_and_removed",
+    "SELECT doc_id, text, CASE WHEN source IN ('src3', 'src5') THEN 'removed' ELSE 'kept' END AS side FROM documents",
+)
+def kept_and_removed(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    kept, removed = ops.kept_and_removed(docs, docs.filter(F.col("source").isin("src3", "src5")), "doc_id")
+    return (
+        kept.withColumn("side", F.lit("kept")).unionByName(removed.withColumn("side", F.lit("removed"))).drop("source")
+    )
+
+
+_LIMIT = 40_000
+
+
+@query(
+    "reshard_by_size",
+    f"""
+    WITH sized AS (SELECT source, doc_id, strlen(text) + 1 AS row_bytes FROM documents),
+    marked AS (SELECT *, row_bytes > {_LIMIT // 8} AS own FROM sized),
+    before AS (
+      SELECT source, doc_id, row_bytes, own,
+        coalesce(sum(CASE WHEN own THEN 0 ELSE row_bytes END) OVER w, 0) AS small,
+        coalesce(sum(CASE WHEN own THEN 1 ELSE 0 END) OVER w, 0) AS owns
+      FROM marked
+      WINDOW w AS (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    )
+    SELECT source, doc_id, row_bytes::BIGINT AS row_bytes,
+      (floor(small / {_LIMIT - _LIMIT // 8}) + 2 * owns + CASE WHEN own THEN 1 ELSE 0 END)::BIGINT AS part
+    FROM before
+    """,
+)
+def reshard_by_size(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("source", "doc_id", "text")
+    size = (F.octet_length("text") + 1).cast("bigint")
+    return ops.size_parts(docs, _LIMIT, "source", ["doc_id"], size)
+
+
+_FILES_SQL = (
+    "SELECT source || '/' || lang AS path, sum(strlen(text))::BIGINT AS length FROM documents GROUP BY ALL"
+)
+
+
+def file_table(spark, sf_dir):
+    """One row per (source, language), with its bytes, standing in for a file listing."""
+    return (
+        table(spark, sf_dir, "documents")
+        .groupBy(F.concat_ws("/", "source", "lang").alias("path"))
+        .agg(F.sum(F.octet_length("text")).cast("bigint").alias("length"))
+    )
+
+
+_SHARDED_SQL = f"SELECT *, (row_number() OVER (ORDER BY path) - 1) % 7 AS shard_id FROM ({_FILES_SQL})"
+
+
+@query("shard_stride", f"SELECT path, length FROM ({_SHARDED_SQL}) WHERE shard_id = 3")
+def shard_stride(spark, sf_dir):
+    return ops.shard_stride(file_table(spark, sf_dir), 3, 7)
+
+
+@query(
+    "shard_manifest",
+    f"SELECT shard_id::BIGINT AS shard_id, count(*) AS files, sum(length)::BIGINT AS bytes FROM ({_SHARDED_SQL}) GROUP BY ROLLUP (shard_id)",
+)
+def shard_manifest(spark, sf_dir):
+    return ops.shard_manifest(ops.shard_of_files(file_table(spark, sf_dir), 7))
+
+
+@query(
+    "invert_layout",
+    "SELECT doc_id, text, lang AS task, source AS shard FROM documents WHERE NOT (lang = 'en' AND source = 'src1')",
+)
+def invert_layout(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("task"), F.col("source").alias("shard"))
+    path = scratch_path(spark, "inverted")
+    docs.write.partitionBy("shard", "task").parquet(f"{path}/by-shard")
+    done = docs.filter("task = 'en' AND shard = 'src1'").select("task", "shard")
+    ops.invert_layout(spark.read.parquet(f"{path}/by-shard"), f"{path}/by-task", done=done)
+    return spark.read.parquet(f"{path}/by-task")
+
+
+@query(
+    "resume_pending",
+    "SELECT DISTINCT source AS shard, lang AS task FROM documents d WHERE NOT EXISTS ("
+    "SELECT 1 FROM documents o WHERE o.source = d.source AND o.lang = d.lang AND o.n_chars > 8000)",
+)
+def resume_pending(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("shard"), F.col("lang").alias("task"), "n_chars")
+    done = docs.filter("n_chars > 8000").select("shard", "task").distinct()
+    return ops.resume_pending(docs.select("shard", "task").distinct(), done, ["shard", "task"])
+
+
+@query(
+    "file_id_map",
+    "SELECT path, row_number() OVER (ORDER BY path) - 1 AS file_id FROM (SELECT DISTINCT source || '/' || lang AS path FROM documents)",
+)
+def file_id_map(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.concat_ws("/", "source", "lang").alias("path"))
+    return ops.file_id_map(docs)
+
+
+@query(
+    "stage_metrics",
+    r"""
+    WITH m AS (
+      SELECT source AS stage, unnest(['chars', 'tokens']) AS metric,
+        unnest([n_chars, len(regexp_extract_all(text, '[^ \t\n\r\f]+'))]) AS value FROM documents)
+    SELECT stage, metric, count(*) AS n, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std,
+      sum(value)::BIGINT AS total
+    FROM m GROUP BY ALL
+    """,
+)
+def stage_metrics(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    metrics = docs.select(
+        F.col("source").alias("stage"),
+        F.stack(F.lit(2), F.lit("chars"), F.col("n_chars"), F.lit("tokens"), token_count(F.col("text"))).alias("metric", "value"),
+    )
+    return ops.stage_metrics(metrics)
+
+
+@query("csv_report", "SELECT source, count(*) AS docs, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY source")
+def csv_report(spark, sf_dir):
+    report = table(spark, sf_dir, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_chars").alias("chars"))
+    path = scratch_path(spark, "report")
+    files.write_csv_report(report.orderBy("source"), path)
+    return spark.read.schema("source string, docs bigint, chars bigint").option("header", True).csv(path)

@@ -1 +1,199 @@
-"""TBD."""
+"""Domain lists and redaction of personal data."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from gleaner.catalog.base import query, table
+from gleaner.functions.urls import domain_suffixes, url_host
+from gleaner.operators import urlpii as ops
+from gleaner.session import scratch_path
+
+# SQL building blocks. DuckDB has no lookaround, so the text is cut into runs and
+# each run is matched as a whole.
+_RE_EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}\.[A-Za-z]{2,24}"
+_RE_OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_RE_IPV4 = rf"(?:{_RE_OCTET}\.){{3}}{_RE_OCTET}"
+_RE_IPV6 = r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+_RE_IBAN = r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}"
+
+
+def _runs(text: str, run: str, gap: str) -> str:
+    return f"regexp_extract_all({text}, '{run}|{gap}')"
+
+
+def _iban_ok(run: str) -> str:
+    return (
+        f"(regexp_full_match({run}, '{_RE_IBAN}') AND list_reduce(list_prepend(0, list_transform(string_split("
+        f"substr({run}, 5) || substr({run}, 1, 4), ''), lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 "
+        f"ELSE ascii(c) - 55 END)), lambda a, v: CASE WHEN v < 10 THEN (a * 10 + v) % 97 ELSE (a * 100 + v) % 97 END) = 1)"
+    )
+
+
+def emails_sql(text: str) -> tuple[str, str]:
+    return (
+        f"regexp_replace({text}, '{_RE_EMAIL}', '[EMAIL]', 'g')",
+        f"len(regexp_extract_all({text}, '{_RE_EMAIL}'))",
+    )
+
+
+def ibans_sql(text: str) -> tuple[str, str]:
+    runs = _runs(text, "[A-Za-z0-9]+", "[^A-Za-z0-9]+")
+    return (
+        f"array_to_string(list_transform({runs}, lambda r: CASE WHEN {_iban_ok('r')} THEN '[IBAN]' ELSE r END), '')",
+        f"len(list_filter({runs}, lambda r: {_iban_ok('r')}))",
+    )
+
+
+def ips_sql(text: str) -> tuple[str, str]:
+    """IPv4 runs first, IPv6 runs on the outcome; neither mark holds a digit or colon."""
+    four = _runs(text, r"[0-9]+(?:\.[0-9]+)*", "[^0-9]+")
+    ok4 = f"regexp_full_match(r, '{_RE_IPV4}')"
+    after4 = f"array_to_string(list_transform({four}, lambda r: CASE WHEN {ok4} THEN '[IP]' ELSE r END), '')"
+    six = _runs(after4, "[0-9A-Fa-f:]+", "[^0-9A-Fa-f:]+")
+    ok6 = f"regexp_full_match(r, '{_RE_IPV6}')"
+    return (
+        f"array_to_string(list_transform({six}, lambda r: CASE WHEN {ok6} THEN '[IP]' ELSE r END), '')",
+        f"(len(list_filter({four}, lambda r: {ok4})) + len(list_filter({six}, lambda r: {ok6})))",
+    )
+
+
+def redacted_sql(source: str, keep: str) -> str:
+    """All three redactions of ``text`` in ``source``, with ``pii_count``; ``keep`` are further columns."""
+    t1, n1 = emails_sql("text")
+    t2, n2 = ibans_sql("text")
+    t3, n3 = ips_sql("text")
+    return (
+        f"SELECT {keep}, {t3} AS text, (pii_count + {n3})::BIGINT AS pii_count FROM ("
+        f"SELECT * REPLACE ({t2} AS text), pii_count + {n2} AS pii_count FROM ("
+        f"SELECT * REPLACE ({t1} AS text), {n1} AS pii_count FROM ({source})) q1 "
+        ") q2"
+    ).replace("SELECT * REPLACE (" + t2 + " AS text), pii_count", "SELECT * EXCLUDE (pii_count) REPLACE (" + t2 + " AS text), pii_count")
+
+
+# One right IBAN, one with a wrong check digit.
+_IBANS = " Pay DE89370400440532013000 or GB82WEST12345698765432, not DE88370400440532013000."
+_WITH_IBANS_SQL = f"SELECT doc_id, text || CASE WHEN doc_id % 5 = 0 THEN '{_IBANS}' ELSE '' END AS text FROM documents"
+
+
+def _with_ibans(spark, sf_dir):
+    extra = F.when(F.col("doc_id") % 5 == 0, F.lit(_IBANS)).otherwise(F.lit(""))
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat("text", extra).alias("text"))
+
+
+# Host of a URL and whether it, or a parent of it, is listed.
+_HOST_SQL = r"rtrim(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]+)', 1), '.')"
+_DOMAIN_LIST = ["spam-farm.example.org", "", "  ththan.example.net  ", "example.com.evil", "m.therou.example.com", "spam-farm.example.org"]
+_LIST_SQL = "SELECT * FROM (VALUES " + ", ".join(f"('{d}')" for d in _DOMAIN_LIST) + ") v(value)"
+_DOMAINS_SQL = f"SELECT DISTINCT trim(value) AS domain FROM ({_LIST_SQL}) WHERE trim(value) <> ''"
+FLAGGED_SQL = (
+    f"SELECT p.*, (SELECT arg_max(domain, length(domain)) FROM ({_DOMAINS_SQL}) d "
+    "WHERE p.host = d.domain OR ends_with(p.host, '.' || d.domain)) AS listed_domain "
+    f"FROM (SELECT *, {_HOST_SQL} AS host FROM pages) p"
+)
+
+
+def list_lines(spark, sf_dir):
+    """The domain list with its blank line, as rows derived from the pages' hosts and fixed extras."""
+    hosts = table(spark, sf_dir, "pages").select(F.explode(domain_suffixes(url_host(F.col("url")))).alias("h")).distinct()
+    known = hosts.filter(F.col("h").isin([d.strip() for d in _DOMAIN_LIST])).select(F.concat(F.lit(" "), "h").alias("value"))
+    return known.union(spark.createDataFrame([(d,) for d in _DOMAIN_LIST], "value string"))
+
+
+def domains(spark, sf_dir):
+    return ops.domain_table(list_lines(spark, sf_dir))
+
+
+@query(
+    "url_host",
+    f"""
+    WITH h AS (SELECT page_id, {_HOST_SQL} AS host FROM pages), l AS (SELECT *, string_split(host, '.') AS labels FROM h)
+    SELECT page_id, host, unnest(list_transform(range(1, len(labels) + 1), lambda i: array_to_string(labels[i:], '.'))) AS domain FROM l
+    """,
+)
+def host_query(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", url_host(F.col("url")).alias("host"))
+    return pages.select("page_id", "host", F.explode(domain_suffixes(F.col("host"))).alias("domain"))
+
+
+@query("load_domain_list", _DOMAINS_SQL)
+def load_domain_list(spark, sf_dir):
+    path = scratch_path(spark, "domains")
+    list_lines(spark, sf_dir).coalesce(1).write.text(path)
+    return ops.load_domain_list(spark, path)
+
+
+@query("robots_filter", f"SELECT page_id, url FROM ({FLAGGED_SQL}) WHERE listed_domain IS NULL")
+def robots_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return ops.robots_filter(pages, domains(spark, sf_dir), key="page_id").select("page_id", "url")
+
+
+@query("robots_removed", f"SELECT page_id, url, html, listed_domain FROM ({FLAGGED_SQL}) WHERE listed_domain IS NOT NULL")
+def robots_removed(spark, sf_dir):
+    return ops.robots_removed(table(spark, sf_dir, "pages"), domains(spark, sf_dir), key="page_id")
+
+
+@query(
+    "extra_blocklists",
+    f"""
+    SELECT page_id, url FROM ({FLAGGED_SQL}) WHERE listed_domain IS NULL
+      AND NOT regexp_matches(lower(url), '(^|[^a-z0-9])(feed|page)($|[^a-z0-9])')
+      AND url NOT IN (SELECT url FROM pages WHERE contains(url, 'html'))
+    """,
+)
+def extra_blocklists(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    urls = pages.filter(F.col("url").contains("html")).select("url")
+    out = ops.extra_blocklists(pages, domains(spark, sf_dir), urls, ["feed", "page"], key="page_id")
+    return out.select("page_id", "url")
+
+
+_E_TEXT, _E_N = emails_sql("text")
+_I_TEXT, _I_N = ips_sql("text")
+_B_TEXT, _B_N = ibans_sql("text")
+
+
+@query("redact_emails", f"SELECT doc_id, {_E_TEXT} AS text, {_E_N}::BIGINT AS pii_count FROM documents")
+def redact_emails(spark, sf_dir):
+    return ops.redact_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), ibans=False, ips=False)
+
+
+@query("redact_ips", f"SELECT doc_id, {_I_TEXT} AS text, {_I_N}::BIGINT AS pii_count FROM documents")
+def redact_ips(spark, sf_dir):
+    return ops.redact_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), emails=False, ibans=False)
+
+
+@query("redact_ibans", f"SELECT doc_id, {_B_TEXT} AS text, {_B_N}::BIGINT AS pii_count FROM ({_WITH_IBANS_SQL})")
+def redact_ibans(spark, sf_dir):
+    return ops.redact_pii(_with_ibans(spark, sf_dir), emails=False, ips=False)
+
+
+@query("pii_count", f"SELECT doc_id, pii_count FROM ({redacted_sql(_WITH_IBANS_SQL, 'doc_id')})")
+def pii_count(spark, sf_dir):
+    return ops.redact_pii(_with_ibans(spark, sf_dir)).select("doc_id", "pii_count")
+
+
+@query("keep_schema", redacted_sql("SELECT * FROM documents", "doc_id, lang, source, n_chars"))
+def keep_schema(spark, sf_dir):
+    return ops.redact_pii(table(spark, sf_dir, "documents"))
+
+
+_STAGE_DOCS_SQL = f"SELECT page_id, url, url || ' mail a.b@c.example.org from 10.0.0.' || page_id || {_IBANS!r} AS text, listed_domain FROM ({FLAGGED_SQL})"
+
+
+@query(
+    "url_pii_stage",
+    f"""
+    SELECT page_id, url, text, pii_count, 'kept' AS side FROM ({redacted_sql(f"SELECT * FROM ({_STAGE_DOCS_SQL}) WHERE listed_domain IS NULL", "page_id, url")})
+    UNION ALL
+    SELECT page_id, url, text, NULL, 'removed' FROM ({_STAGE_DOCS_SQL}) WHERE listed_domain IS NOT NULL
+    """,
+)
+def url_pii_stage(spark, sf_dir):
+    text = F.concat("url", F.lit(" mail a.b@c.example.org from 10.0.0."), "page_id", F.lit(_IBANS))
+    docs = table(spark, sf_dir, "pages").select("page_id", "url", text.alias("text"))
+    kept, removed = ops.url_pii_stage(docs, domains(spark, sf_dir), key="page_id")
+    return kept.withColumn("side", F.lit("kept")).unionByName(
+        removed.withColumn("side", F.lit("removed")), allowMissingColumns=True
+    )
