@@ -63,12 +63,9 @@ def redacted_sql(source: str, keep: str) -> str:
     t1, n1 = emails_sql("text")
     t2, n2 = ibans_sql("text")
     t3, n3 = ips_sql("text")
-    return (
-        f"SELECT {keep}, {t3} AS text, (pii_count + {n3})::BIGINT AS pii_count FROM ("
-        f"SELECT * REPLACE ({t2} AS text), pii_count + {n2} AS pii_count FROM ("
-        f"SELECT * REPLACE ({t1} AS text), {n1} AS pii_count FROM ({source})) q1 "
-        ") q2"
-    ).replace("SELECT * REPLACE (" + t2 + " AS text), pii_count", "SELECT * EXCLUDE (pii_count) REPLACE (" + t2 + " AS text), pii_count")
+    first = f"SELECT * REPLACE ({t1} AS text), {n1} AS pii_count FROM ({source})"
+    second = f"SELECT * EXCLUDE (pii_count) REPLACE ({t2} AS text), pii_count + {n2} AS pii_count FROM ({first})"
+    return f"SELECT {keep}, {t3} AS text, (pii_count + {n3})::BIGINT AS pii_count FROM ({second})"
 
 
 # One right IBAN, one with a wrong check digit.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import fnmatch
+import logging
 import os
 import sys
 import time
@@ -51,6 +52,7 @@ def main() -> int:
 
     spark = local_session()
     spark.sparkContext.setLogLevel("ERROR")
+    logging.getLogger("DataFrameQueryContextLogger").disabled = True
     con = duck(sf_dir)
     failed = []
     for name, fn in QUERIES.items():
@@ -61,7 +63,7 @@ def main() -> int:
             df = fn(spark, sf_dir)
             result = compare(df, con, ORACLES[name]) if name in ORACLES else f"ok rows-only {df.count()}"
         except Exception as e:  # noqa: BLE001
-            result = f"{type(e).__name__}: {str(e)[:1500]}"
+            result = f"{type(e).__name__}: {str(e)[:900]}"
         if not result.startswith("ok") or "TYPES" in result or result.startswith("ok 0"):
             failed.append(name)
         print(f"{name:28s} {time.time() - start:6.2f}s {result}", flush=True)
