@@ -26,16 +26,20 @@ def duck(sf_dir: str):
 
 
 def compare(df, con, sql: str) -> str:
+    note = ""
     rel = con.sql(sql)
     cols = sorted(df.columns)
     if cols != sorted(rel.columns):
         return f"columns {cols} != {sorted(rel.columns)}"
     duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
     types = [(n, t, duck_types[n]) for n, t in df.dtypes if TYPE_NAMES.get(t, t) != duck_types[n] and not t.startswith("array")]
+    note += f" TYPES {types}" if types else ""
     key = lambda row: tuple((v is None, str(v)) for v in row)
-    mine = sorted((tuple(r[c] for c in cols) for r in df.collect()), key=key)
+    start = time.time()
+    rows = df.collect()
+    note += f" (collect {time.time() - start:.2f}s)"
+    mine = sorted((tuple(r[c] for c in cols) for r in rows), key=key)
     theirs = sorted((tuple(r) for r in rel.select(*[f'"{c}"' for c in cols]).fetchall()), key=key)
-    note = f" TYPES {types}" if types else ""
     if len(mine) != len(theirs):
         return f"rows {len(mine)} != {len(theirs)}{note} only mine {[r for r in mine if r not in theirs][:2]} only sql {[r for r in theirs if r not in mine][:2]}"[:1500]
     for a, b in zip(mine, theirs):
