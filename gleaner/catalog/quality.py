@@ -1 +1,183 @@
-"""TBD."""
+"""Scores, weighted thresholds and buckets."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from gleaner.catalog.base import query, table
+from gleaner.functions.text import TOKEN
+from gleaner.operators import quality as ops, quantiles
+from gleaner.session import scratch_path, spread_small_input
+from gleaner.sources import files
+
+SCORES = ["share-score", "length-score", "cycle-score"]
+_WORDS = r"regexp_extract_all(text, '[^ \t\n\r\f]+')"
+SCORED_SQL = f"""
+SELECT *, strlen(text)::BIGINT AS weight,
+  CASE WHEN len({_WORDS}) = 0 THEN 0 ELSE round(len(list_distinct({_WORDS}))::DOUBLE / len({_WORDS}), 6) END AS "share-score",
+  round(ln(1 + n_chars), 1) AS "length-score", (n_chars % 997) / 997.0::DOUBLE AS "cycle-score",
+  upper(lang) AS language FROM documents
+"""
+_MELTED_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS score_col, \"{c}\" AS score, weight FROM ({{source}})" for c in SCORES
+)
+
+
+def thresholds_sql(source: str) -> str:
+    return f"""
+    SELECT score_col, p::INTEGER AS percentile, min(CASE WHEN cum / total >= p / 100.0::DOUBLE THEN score END) AS threshold
+    FROM (SELECT score_col, score, (sum(w) OVER (PARTITION BY score_col ORDER BY score))::DOUBLE AS cum,
+            (sum(w) OVER (PARTITION BY score_col))::DOUBLE AS total
+          FROM (SELECT score_col, score, sum(weight) AS w FROM ({_MELTED_SQL.format(source=source)}) GROUP BY ALL)),
+      (SELECT unnest(range(5, 100, 5)) AS p)
+    GROUP BY score_col, p
+    """
+
+
+def _bin(score: str) -> str:
+    return f"(SELECT count(*)::INTEGER FROM th WHERE score_col = '{score}' AND threshold <= s.\"{score}\")"
+
+
+def binned_sql(source: str, thresholds: str) -> str:
+    bins = ", ".join(f'{_bin(c)} AS "{c}-int"' for c in SCORES)
+    largest = ", ".join(f'"{c}-int"' for c in SCORES)
+    return (
+        f"WITH th AS MATERIALIZED ({thresholds}), b AS (SELECT s.*, {bins} FROM ({source}) s) "
+        f'SELECT *, greatest({largest}) AS "ensemble-max-int" FROM b'
+    )
+
+
+def with_scores(docs):
+    """Three scores both engines compute alike, with many ties."""
+    words = F.regexp_extract_all(F.col("text"), F.lit(TOKEN), 0)
+    share = F.try_divide(F.size(F.array_distinct(words)).cast("double"), F.size(words))
+    return docs.withColumns(
+        {
+            "weight": quantiles.byte_weight(F.col("text")),
+            "share-score": F.round(F.coalesce(share, F.lit(0.0)), 6),
+            "length-score": F.round(F.log1p(F.col("n_chars").cast("double")), 1),
+            "cycle-score": (F.col("n_chars") % 997) / F.lit(997.0),
+            "language": F.upper("lang"),
+        }
+    )
+
+
+def scored(spark, sf_dir):
+    return with_scores(table(spark, sf_dir, "documents"))
+
+
+@query("byte_weight", "SELECT doc_id, strlen(text)::BIGINT AS weight FROM documents")
+def byte_weight(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", quantiles.byte_weight(F.col("text")).alias("weight"))
+
+
+@query("weighted_percentile", f"SELECT percentile, threshold FROM ({thresholds_sql(SCORED_SQL)}) WHERE score_col = 'share-score'")
+def weighted_percentile(spark, sf_dir):
+    melted = quantiles.melt_scores(scored(spark, sf_dir), ["share-score"], "weight")
+    return quantiles.weighted_percentiles(melted).select("percentile", "threshold")
+
+
+@query("thresholds_5_95", thresholds_sql(SCORED_SQL))
+def thresholds_5_95(spark, sf_dir):
+    return quantiles.weighted_percentiles(quantiles.melt_scores(scored(spark, sf_dir), SCORES, "weight"))
+
+
+_SAMPLE_SQL = """
+SELECT * EXCLUDE (nth, n) FROM (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5('sample:' || doc_id)) AS nth, count(*) OVER (PARTITION BY source) AS n
+  FROM ({source})) WHERE nth <= round_even(0.1::DOUBLE * n, 0)
+"""
+
+
+@query("threshold_sample", f"SELECT source, doc_id, weight FROM ({_SAMPLE_SQL.format(source=SCORED_SQL)})")
+def threshold_sample(spark, sf_dir):
+    return quantiles.threshold_sample(scored(spark, sf_dir).select("source", "doc_id", "weight"), 0.1, "source")
+
+
+_BINNED = binned_sql(SCORED_SQL, thresholds_sql(SCORED_SQL))
+
+
+def _binned(spark, sf_dir):
+    df = scored(spark, sf_dir)
+    thresholds = quantiles.compute_thresholds(df, SCORES, "weight")
+    return ops.map_score_columns(df, SCORES, thresholds)
+
+
+@query("digitize", f'SELECT doc_id, "share-score", "share-score-int" FROM ({_BINNED})')
+def digitize(spark, sf_dir):
+    df = scored(spark, sf_dir)
+    cuts = quantiles.compute_thresholds(df, ["share-score"], "weight")["share-score"]
+    binned = ops.digitize(F.col("`share-score`"), [cuts[p] for p in sorted(cuts)])
+    return df.select("doc_id", "share-score", binned.alias("share-score-int"))
+
+
+@query("map_score_columns", 'SELECT doc_id, "share-score-int", "length-score-int", "cycle-score-int" FROM (' + _BINNED + ")")
+def map_score_columns(spark, sf_dir):
+    path = scratch_path(spark, "thresholds")
+    df = scored(spark, sf_dir)
+    quantiles.save_thresholds(spark, quantiles.compute_thresholds(df, SCORES, "weight"), path)
+    binned = ops.map_score_columns(df, SCORES, quantiles.load_thresholds(spark, path))
+    return binned.select("doc_id", *[f"{c}-int" for c in SCORES])
+
+
+@query("ensemble_max", f'SELECT doc_id, "ensemble-max-int" FROM ({_BINNED})')
+def ensemble_max(spark, sf_dir):
+    return ops.ensemble_max(_binned(spark, sf_dir), SCORES).select("doc_id", files.BUCKET_COLUMN)
+
+
+@query("bucket_distribution", f'SELECT "ensemble-max-int" AS bucket, count(*) AS rows FROM ({_BINNED}) GROUP BY ALL')
+def bucket_distribution(spark, sf_dir):
+    return ops.bucket_distribution(ops.ensemble_max(_binned(spark, sf_dir), SCORES))
+
+
+_ENGLISH_SQL = f"SELECT * FROM ({SCORED_SQL}) WHERE language = 'EN'"
+BUCKETS_SQL = binned_sql(_ENGLISH_SQL, thresholds_sql(_SAMPLE_SQL.format(source=_ENGLISH_SQL)))
+
+
+@query("quality_buckets", BUCKETS_SQL)
+def quality_buckets(spark, sf_dir):
+    return ops.quality_buckets(scored(spark, sf_dir), SCORES, sample_fraction=0.1, file_col="source")
+
+
+@query(
+    "quality_features",
+    rf"""
+    WITH w AS (SELECT *, {_WORDS} AS words, string_split(text, chr(10)) AS lines FROM documents)
+    SELECT doc_id,
+      coalesce(round(length(array_to_string(words, ''))::DOUBLE / nullif(len(words), 0), 6), 0) AS mean_word_length,
+      coalesce(round(len(list_filter(words, lambda x: lower(x) IN ({", ".join(f"'{w}'" for w in ops.STOP_WORDS)})))::DOUBLE / nullif(len(words), 0), 6), 0) AS stop_word_ratio,
+      coalesce(round(len(regexp_extract_all(text, '[^A-Za-zÀ-ÿ0-9 \t\n\r\f]'))::DOUBLE / nullif(length(text), 0), 6), 0) AS symbol_ratio,
+      coalesce(round((len(lines) - len(list_distinct(lines)))::DOUBLE / len(lines), 6), 0) AS duplicate_line_ratio,
+      coalesce(round(len(regexp_extract_all(text, '[A-ZÀ-Þ]'))::DOUBLE / nullif(length(text), 0), 6), 0) AS upper_ratio
+    FROM w
+    """,
+)
+def quality_features(spark, sf_dir):
+    return ops.quality_features(table(spark, sf_dir, "documents")).select("doc_id", *ops.FEATURES)
+
+
+def labelled(spark, sf_dir, docs):
+    return docs.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+
+
+def _trained(spark, sf_dir, pipeline, docs):
+    return pipeline.fit(labelled(spark, sf_dir, docs))
+
+
+@query("quality_score_ngram")
+def quality_score_ngram(spark, sf_dir):
+    docs = spread_small_input(table(spark, sf_dir, "documents"))
+    return ops.model_score(docs.select("doc_id", "text"), _trained(spark, sf_dir, ops.ngram_model(), docs), "quality-score-ngram").drop("text")
+
+
+@query("quality_score_edu_a")
+def quality_score_edu_a(spark, sf_dir):
+    docs = spread_small_input(table(spark, sf_dir, "documents"))
+    return ops.model_score(docs.select("doc_id", "text"), _trained(spark, sf_dir, ops.tfidf_model(), docs), "quality-score-edu-a").drop("text")
+
+
+@query("quality_score_edu_b")
+def quality_score_edu_b(spark, sf_dir):
+    docs = ops.quality_features(spread_small_input(table(spark, sf_dir, "documents")))
+    model = _trained(spark, sf_dir, ops.statistics_model(), docs)
+    return ops.model_score(docs.select("doc_id", *ops.FEATURES), model, "quality-score-edu-b").select("doc_id", "quality-score-edu-b")
