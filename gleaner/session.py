@@ -50,6 +50,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table below the shared folder and read it back.
+
+    For wide stages that later steps read in part: columns are pruned on reading.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def spread_small_input(df: DataFrame) -> DataFrame:
     """Spread a scan with fewer splits than cores over all cores.
 
