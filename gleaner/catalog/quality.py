@@ -63,12 +63,12 @@ def with_scores(docs):
 
 
 def scored(spark, sf_dir):
-    return with_scores(table(spark, sf_dir, "documents"))
+    return with_scores(spread_small_input(table(spark, sf_dir, "documents")))
 
 
 @query("byte_weight", "SELECT doc_id, strlen(text)::BIGINT AS weight FROM documents")
 def byte_weight(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", quantiles.byte_weight(F.col("text")).alias("weight"))
+    return spread_small_input(table(spark, sf_dir, "documents")).select("doc_id", quantiles.byte_weight(F.col("text")).alias("weight"))
 
 
 @query("weighted_percentile", f"SELECT percentile, threshold FROM ({thresholds_sql(SCORED_SQL)}) WHERE score_col = 'share-score'")
@@ -153,7 +153,7 @@ def quality_buckets(spark, sf_dir):
     """,
 )
 def quality_features(spark, sf_dir):
-    return ops.quality_features(table(spark, sf_dir, "documents")).select("doc_id", *ops.FEATURES)
+    return ops.quality_features(spread_small_input(table(spark, sf_dir, "documents"))).select("doc_id", *ops.FEATURES)
 
 
 def labelled(spark, sf_dir, docs):

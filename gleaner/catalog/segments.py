@@ -10,6 +10,7 @@ from gleaner.functions import markdown as md
 from gleaner.functions.text import token_count
 from gleaner.operators import requests as req, segments as ops
 from gleaner.operators.filters import modify as modify_column
+from gleaner.session import spread_small_input
 
 MAX, MIN = 60, 10
 
@@ -49,7 +50,7 @@ def chunks_sql(source: str, maximum: str = str(MAX), minimum: str = str(MIN), ca
 
 
 def _docs(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread_small_input(table(spark, sf_dir, "documents")).select("doc_id", "text")
 
 
 @query(

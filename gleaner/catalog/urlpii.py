@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gleaner.catalog.base import query, table
 from gleaner.functions.urls import domain_suffixes, url_host
 from gleaner.operators import urlpii as ops
-from gleaner.session import scratch_path
+from gleaner.session import scratch_path, spread_small_input
 
 # SQL building blocks. DuckDB has no lookaround, so the text is cut into runs and
 # each run is matched as a whole.
@@ -75,7 +75,7 @@ _WITH_IBANS_SQL = f"SELECT doc_id, text || CASE WHEN doc_id % 5 = 0 THEN '{_IBAN
 
 def _with_ibans(spark, sf_dir):
     extra = F.when(F.col("doc_id") % 5 == 0, F.lit(_IBANS)).otherwise(F.lit(""))
-    return table(spark, sf_dir, "documents").select("doc_id", F.concat("text", extra).alias("text"))
+    return spread_small_input(table(spark, sf_dir, "documents")).select("doc_id", F.concat("text", extra).alias("text"))
 
 
 # Host of a URL and whether it, or a parent of it, is listed.
@@ -92,7 +92,7 @@ FLAGGED_SQL = (
 
 def list_lines(spark, sf_dir):
     """The domain list with its blank line, as rows derived from the pages' hosts and fixed extras."""
-    hosts = table(spark, sf_dir, "pages").select(F.explode(domain_suffixes(url_host(F.col("url")))).alias("h")).distinct()
+    hosts = spread_small_input(table(spark, sf_dir, "pages")).select(F.explode(domain_suffixes(url_host(F.col("url")))).alias("h")).distinct()
     known = hosts.filter(F.col("h").isin([d.strip() for d in _DOMAIN_LIST])).select(F.concat(F.lit(" "), "h").alias("value"))
     return known.union(spark.createDataFrame([(d,) for d in _DOMAIN_LIST], "value string"))
 
@@ -109,7 +109,7 @@ def domains(spark, sf_dir):
     """,
 )
 def host_query(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", url_host(F.col("url")).alias("host"))
+    pages = spread_small_input(table(spark, sf_dir, "pages")).select("page_id", url_host(F.col("url")).alias("host"))
     return pages.select("page_id", "host", F.explode(domain_suffixes(F.col("host"))).alias("domain"))
 
 
@@ -122,13 +122,13 @@ def load_domain_list(spark, sf_dir):
 
 @query("robots_filter", f"SELECT page_id, url FROM ({FLAGGED_SQL}) WHERE listed_domain IS NULL")
 def robots_filter(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
+    pages = spread_small_input(table(spark, sf_dir, "pages"))
     return ops.robots_filter(pages, domains(spark, sf_dir), key="page_id").select("page_id", "url")
 
 
 @query("robots_removed", f"SELECT page_id, url, html, listed_domain FROM ({FLAGGED_SQL}) WHERE listed_domain IS NOT NULL")
 def robots_removed(spark, sf_dir):
-    return ops.robots_removed(table(spark, sf_dir, "pages"), domains(spark, sf_dir), key="page_id")
+    return ops.robots_removed(spread_small_input(table(spark, sf_dir, "pages")), domains(spark, sf_dir), key="page_id")
 
 
 @query(
@@ -140,7 +140,7 @@ def robots_removed(spark, sf_dir):
     """,
 )
 def extra_blocklists(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
+    pages = spread_small_input(table(spark, sf_dir, "pages"))
     urls = pages.filter(F.col("url").contains("html")).select("url")
     out = ops.extra_blocklists(pages, domains(spark, sf_dir), urls, ["feed", "page"], key="page_id")
     return out.select("page_id", "url")
@@ -153,12 +153,12 @@ _B_TEXT, _B_N = ibans_sql("text")
 
 @query("redact_emails", f"SELECT doc_id, {_E_TEXT} AS text, {_E_N}::BIGINT AS pii_count FROM documents")
 def redact_emails(spark, sf_dir):
-    return ops.redact_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), ibans=False, ips=False)
+    return ops.redact_pii(spread_small_input(table(spark, sf_dir, "documents")).select("doc_id", "text"), ibans=False, ips=False)
 
 
 @query("redact_ips", f"SELECT doc_id, {_I_TEXT} AS text, {_I_N}::BIGINT AS pii_count FROM documents")
 def redact_ips(spark, sf_dir):
-    return ops.redact_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), emails=False, ibans=False)
+    return ops.redact_pii(spread_small_input(table(spark, sf_dir, "documents")).select("doc_id", "text"), emails=False, ibans=False)
 
 
 @query("redact_ibans", f"SELECT doc_id, {_B_TEXT} AS text, {_B_N}::BIGINT AS pii_count FROM ({_WITH_IBANS_SQL})")
@@ -173,7 +173,7 @@ def pii_count(spark, sf_dir):
 
 @query("keep_schema", redacted_sql("SELECT * FROM documents", "doc_id, lang, source, n_chars"))
 def keep_schema(spark, sf_dir):
-    return ops.redact_pii(table(spark, sf_dir, "documents"))
+    return ops.redact_pii(spread_small_input(table(spark, sf_dir, "documents")))
 
 
 _STAGE_DOCS_SQL = f"SELECT page_id, url, url || ' mail a.b@c.example.org from 10.0.0.' || page_id || {_IBANS!r} AS text, listed_domain FROM ({FLAGGED_SQL})"
@@ -189,7 +189,7 @@ _STAGE_DOCS_SQL = f"SELECT page_id, url, url || ' mail a.b@c.example.org from 10
 )
 def url_pii_stage(spark, sf_dir):
     text = F.concat("url", F.lit(" mail a.b@c.example.org from 10.0.0."), "page_id", F.lit(_IBANS))
-    docs = table(spark, sf_dir, "pages").select("page_id", "url", text.alias("text"))
+    docs = spread_small_input(table(spark, sf_dir, "pages")).select("page_id", "url", text.alias("text"))
     kept, removed = ops.url_pii_stage(docs, domains(spark, sf_dir), key="page_id")
     return kept.withColumn("side", F.lit("kept")).unionByName(
         removed.withColumn("side", F.lit("removed")), allowMissingColumns=True

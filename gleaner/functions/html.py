@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from gleaner.functions.text import replace_matches
+from gleaner.functions.text import let, replace_matches
 
 # What is dropped with its content, what starts a new paragraph, entity names.
 _ATTRIBUTES = r"(?:[ \t\n\r\f/][^>]*)?"
@@ -35,7 +35,7 @@ def _entity_text(entity: Column) -> Column:
 
 def unescape(text: Column) -> Column:
     """Replace the common named and all numeric entities, each once."""
-    return replace_matches(text, ENTITY, _entity_text)
+    return let(text, lambda t: F.when(t.contains("&"), replace_matches(t, ENTITY, _entity_text)).otherwise(t))
 
 
 def drop_hidden(html: Column) -> Column:
@@ -53,21 +53,16 @@ def plain_text(fragment: Column) -> Column:
     return F.trim(F.regexp_replace(bare, r"[ \t\n\r\f]+", " "))
 
 
-def paragraphs(html: Column) -> Column:
-    """Array of ``(tag, text, link_chars)`` in page order, empty ones left out."""
-    visible = drop_hidden(html)
+def block_pieces(visible: Column) -> tuple[Column, Column]:
+    """Pieces of a page between block tags, and the tag before each (empty for the first)."""
     tags = F.concat(F.array(F.lit("")), F.transform(F.regexp_extract_all(visible, F.lit(BLOCK), 1), F.lower))
-    pieces = F.split(visible, BLOCK, -1)
+    return F.split(visible, BLOCK, -1), tags
 
-    def paragraph(piece: Column, tag: Column) -> Column:
-        links = F.transform(F.regexp_extract_all(piece, F.lit(LINK), 1), lambda a: F.length(plain_text(a)))
-        return F.struct(
-            tag.alias("tag"),
-            plain_text(piece).alias("text"),
-            F.aggregate(links, F.lit(0), lambda a, b: a + b).alias("link_chars"),
-        )
 
-    return F.filter(F.zip_with(pieces, tags, paragraph), lambda p: p["text"] != "")
+def link_chars(piece: Column) -> Column:
+    """Characters of the plain text inside links."""
+    links = F.transform(F.regexp_extract_all(piece, F.lit(LINK), 1), lambda a: F.length(plain_text(a)))
+    return F.aggregate(links, F.lit(0), lambda a, b: a + b)
 
 
 def html_language(html: Column, default: str = "en") -> Column:

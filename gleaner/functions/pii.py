@@ -36,29 +36,43 @@ def iban_remainder(iban: Column) -> Column:
     )
 
 
+# Cheap tests that most texts fail; only the others are searched in full.
+def _may_hold_email(text: Column) -> Column:
+    return text.contains("@")
+
+
+def _may_hold_iban(text: Column) -> Column:
+    return text.rlike(r"[0-9]{2}[A-Z0-9]{11}")
+
+
+def _may_hold_ip(text: Column) -> Column:
+    return text.rlike(r"[0-9]\.[0-9]{1,3}\.[0-9]") | (text.contains(":") & text.rlike(r":[0-9A-Fa-f]{1,4}:"))
+
+
 def redact_emails(text: Column) -> Column:
-    return F.regexp_replace(text, EMAIL, EMAIL_MARK)
+    return F.when(_may_hold_email(text), F.regexp_replace(text, EMAIL, EMAIL_MARK)).otherwise(text)
 
 
 def count_emails(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(EMAIL)).cast("bigint")
+    return F.when(_may_hold_email(text), F.regexp_count(text, F.lit(EMAIL))).otherwise(0).cast("bigint")
 
 
 def redact_ibans(text: Column) -> Column:
     """Replace well-formed IBANs whose check digits are right."""
-    return replace_matches(
+    marked = replace_matches(
         text, _WHOLE_IBAN, lambda m: F.when(iban_remainder(m) == 1, F.lit(IBAN_MARK)).otherwise(m)
     )
+    return F.when(_may_hold_iban(text), marked).otherwise(text)
 
 
 def count_ibans(text: Column) -> Column:
-    hits = F.regexp_extract_all(text, F.lit(_WHOLE_IBAN), 0)
-    return F.size(F.filter(hits, lambda m: iban_remainder(m) == 1)).cast("bigint")
+    hits = F.filter(F.regexp_extract_all(text, F.lit(_WHOLE_IBAN), 0), lambda m: iban_remainder(m) == 1)
+    return F.when(_may_hold_iban(text), F.size(hits)).otherwise(0).cast("bigint")
 
 
 def redact_ips(text: Column) -> Column:
-    return F.regexp_replace(text, _WHOLE_IP, IP_MARK)
+    return F.when(_may_hold_ip(text), F.regexp_replace(text, _WHOLE_IP, IP_MARK)).otherwise(text)
 
 
 def count_ips(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(_WHOLE_IP)).cast("bigint")
+    return F.when(_may_hold_ip(text), F.regexp_count(text, F.lit(_WHOLE_IP))).otherwise(0).cast("bigint")

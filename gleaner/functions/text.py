@@ -28,9 +28,17 @@ def newline_count(text: Column) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))).cast("bigint")
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, for use inside lambdas."""
+    return F.transform(F.array(value), body)[0]
+
+
 def replace_matches(text: Column, pattern: str, replacement) -> Column:
     """Replace each match by ``replacement(match)``, a Column-to-Column function."""
-    parts = F.split(text, pattern, -1)
-    hits = F.transform(F.regexp_extract_all(text, F.lit(pattern), 0), replacement)
-    woven = F.zip_with(parts, hits, lambda part, hit: F.concat(part, F.coalesce(hit, F.lit(""))))
-    return F.when(F.regexp_like(text, F.lit(pattern)), F.array_join(woven, "")).otherwise(text)
+
+    def woven(t: Column) -> Column:
+        hits = F.transform(F.regexp_extract_all(t, F.lit(pattern), 0), replacement)
+        parts = F.zip_with(F.split(t, pattern, -1), hits, lambda part, hit: F.concat(part, F.coalesce(hit, F.lit(""))))
+        return F.array_join(parts, "")
+
+    return let(text, woven)

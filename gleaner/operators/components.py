@@ -8,24 +8,24 @@ from gleaner.operators.skew import HOT_ROWS, SALTS, spread_join
 from gleaner.session import cut_lineage
 
 
-def _to_minimum(pairs: DataFrame, hot_rows: int, salts: int) -> DataFrame:
+def _to_minimum(pairs: DataFrame, max_rows: int, hot_rows: int, salts: int) -> DataFrame:
     """Add to every ``(u, v)`` the least node ``m`` among ``u`` and all its ``v``."""
     least = pairs.groupBy("u").agg(
         F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("_size")
     )
-    return spread_join(pairs, least, "u", "_size", spread_by="v", hot_rows=hot_rows, salts=salts)
+    return spread_join(pairs, least, "u", "_size", spread_by="v", hot_rows=hot_rows, salts=salts, max_rows=max_rows)
 
 
-def _large_star(edges: DataFrame, hot_rows: int, salts: int) -> DataFrame:
+def _large_star(edges: DataFrame, max_rows: int, hot_rows: int, salts: int) -> DataFrame:
     """Connect every larger neighbour of a node to the node's least neighbour."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    pairs = _to_minimum(both, hot_rows, salts)
+    pairs = _to_minimum(both, 2 * max_rows, hot_rows, salts)
     return pairs.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame, hot_rows: int, salts: int) -> DataFrame:
+def _small_star(edges: DataFrame, max_rows: int, hot_rows: int, salts: int) -> DataFrame:
     """Connect a node and its smaller neighbours to the least of them."""
-    pairs = _to_minimum(edges, hot_rows, salts)
+    pairs = _to_minimum(edges, max_rows, hot_rows, salts)
     moved = pairs.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
     return moved.filter("u > v").distinct()
 
@@ -52,7 +52,9 @@ def connected_components(
     )
     state = _state(current)
     for _ in range(max_rounds):
-        step = _small_star(_large_star(current, hot_rows, salts), hot_rows, salts)
+        # A large-star step gives at most one edge per edge and direction.
+        larger = _large_star(current, state[0], hot_rows, salts)
+        step = _small_star(larger, 2 * state[0], hot_rows, salts)
         current = cut_lineage(step)
         before, state = state, _state(current)
         if state == before:

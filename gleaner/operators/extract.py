@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gleaner.functions.html import html_language, paragraphs
+from gleaner.functions.html import block_pieces, drop_hidden, html_language, link_chars, plain_text
 
 # Thresholds and the size of the stop lists.
 LENGTH_LOW = 70
@@ -21,10 +21,22 @@ WORD = r"[^ \t\n\r\f.,;:!?()\[\]\"]+"
 
 
 def page_paragraphs(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """``(key, lang, para_no, tag, text, link_chars)``."""
-    return pages.select(
-        key, html_language(F.col(html)).alias("lang"), F.posexplode(paragraphs(F.col(html))).alias("para_no", "p")
-    ).select(key, "lang", "para_no", "p.tag", "p.text", "p.link_chars")
+    """``(key, lang, para_no, tag, text, link_chars)``; pieces without text are left out."""
+    # Step by step, so that each pattern runs once over a page.
+    visible = pages.select(key, html_language(F.col(html)).alias("lang"), drop_hidden(F.col(html)).alias("_visible"))
+    pieces, tags = block_pieces(F.col("_visible"))
+    paired = visible.select(key, "lang", F.arrays_zip(pieces.alias("piece"), tags.alias("tag")).alias("_pieces"))
+    found = F.filter(
+        F.transform(
+            "_pieces",
+            lambda p: F.struct(
+                p["tag"].alias("tag"), plain_text(p["piece"]).alias("text"), p["piece"].alias("piece")
+            ),
+        ),
+        lambda p: p["text"] != "",
+    )
+    rows = paired.select(key, "lang", found.alias("_found")).select(key, "lang", F.posexplode("_found").alias("para_no", "p"))
+    return rows.select(key, "lang", "para_no", "p.tag", "p.text", link_chars(F.col("p.piece")).alias("link_chars"))
 
 
 def stopword_table(

@@ -21,7 +21,7 @@ ROWS_PER_BAND = 13
 PRIME = 2**31 - 1
 SEED = "minhash"
 
-_BLOCK = 512
+_BLOCK = 256
 
 
 def coefficient(kind: str, i: int, seed: str = SEED) -> int:
@@ -48,25 +48,23 @@ def shingle_hashes(text: str, weights: np.ndarray) -> np.ndarray:
     return sums % np.uint64(PRIME)
 
 
-def _fold(x: np.ndarray, spare: np.ndarray) -> None:
-    """x mod PRIME up to one extra PRIME, in place, for x below 2**62."""
-    np.right_shift(x, np.uint64(31), out=spare)
-    np.bitwise_and(x, np.uint64(PRIME), out=x)
-    np.add(x, spare, out=x)
-
-
 def minima(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each (a, b): the smallest ``(a * h + b) mod PRIME`` over all hashes."""
-    best = np.full(len(a), PRIME, dtype=np.uint64)
+    """For each (a, b): the smallest ``(a * h + b) mod PRIME`` over all hashes.
+
+    PRIME is 2**31 - 1, so high and low half of a product add up to at most twice
+    PRIME, and the smaller of ``y`` and ``y - PRIME`` (wrapping) is the remainder.
+    """
+    prime = np.uint32(PRIME)
+    best = np.full(len(a), PRIME, dtype=np.uint32)
     for start in range(0, len(hashes), _BLOCK):
-        block = hashes[start : start + _BLOCK]
-        values = a[:, None] * block[None, :]
-        values += b[:, None]
-        spare = np.empty_like(values)
-        _fold(values, spare)
-        _fold(values, spare)
-        values[values == PRIME] = 0
-        np.minimum(best, values.min(axis=1), out=best)
+        values = hashes[start : start + _BLOCK, None] * a
+        values += b
+        low = values.astype(np.uint32)
+        low &= prime
+        values >>= np.uint64(31)
+        low += values.astype(np.uint32)
+        np.minimum(low, low - prime, out=low)
+        np.minimum(best, low.min(axis=0), out=best)
     return best
 
 
@@ -131,13 +129,14 @@ def lsh_edges(
     that holds a large share of all rows is salted when the members look it up.
     """
     keys = cut_lineage(df.select(F.col(key).alias("dst"), band_keys(F.col(text)).alias("_keys")))
+    rows = keys.count() * BANDS
     members = keys.select("dst", F.explode("_keys").alias("band_hash"))
     buckets = (
         members.groupBy("band_hash")
         .agg(F.min("dst").alias("src"), F.count(F.lit(1)).alias("_size"))
         .filter(F.col("_size") > 1)
     )
-    joined = spread_join(members, buckets, "band_hash", "_size", spread_by="dst", hot_rows=hot_rows, salts=salts)
+    joined = spread_join(members, buckets, "band_hash", "_size", spread_by="dst", hot_rows=hot_rows, salts=salts, max_rows=rows)
     return joined.filter("src <> dst").select("src", "dst").distinct()
 
 

@@ -59,13 +59,17 @@ def spread_join(
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Join ``rows`` with ``groups`` (one row per ``key``, with its row count in ``size_col``).
 
     Keys above ``hot_rows`` are salted: their rows spread over ``salts`` tasks and
     their one group row is repeated as often. The hot key list that is broadcast
-    has at most ``count(rows) / hot_rows`` entries. ``size_col`` is dropped.
+    has at most ``count(rows) / hot_rows`` entries. ``size_col`` is dropped. Where
+    ``rows`` are known to number at most ``max_rows``, no key can exceed that.
     """
+    if max_rows is not None and max_rows <= hot_rows:
+        return rows.join(groups.drop(size_col), key, how)
     hot = groups.filter(F.col(size_col) > hot_rows).select(key, F.lit(True).alias("_hot"))
     salted_rows = rows.join(F.broadcast(hot), key, "left").withColumn(
         "_salt",

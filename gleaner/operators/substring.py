@@ -10,7 +10,6 @@ repeated minimizer, and only windows under a repeated one are hashed in full.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,10 +53,9 @@ def doc_offsets(
     return ends.select(*order, "n_tokens", (F.col("doc_end") - size).alias("doc_start"), "doc_end")
 
 
-def _token_hashes(tokens) -> np.ndarray:
-    digest = hashlib.blake2b
-    packed = b"".join([digest(t.encode(), digest_size=8).digest() for t in tokens])
-    return np.frombuffer(packed, dtype=np.uint64)
+def token_hashes(tokens: Column, seed: int = 0) -> Column:
+    """A 64-bit hash per token; only these numbers travel to Python."""
+    return F.transform(tokens, lambda t: F.xxhash64(F.lit(seed), t))
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -78,48 +76,50 @@ def _window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     return windows ^ (windows >> np.uint64(29))
 
 
-def _minimizers(tokens, k: int) -> list[dict]:
+def _minimizers(hashes: np.ndarray, k: int) -> list[dict]:
     """``hash, lo, hi``: the minimizer of the windows starting at ``lo`` up to ``hi`` (exclusive)."""
-    if len(tokens) < k:
+    if len(hashes) < k:
         return []
     sub = max(k // 2, 1)
-    grams = _window_hashes(_token_hashes(tokens), sub)
+    grams = _window_hashes(hashes.astype(np.int64).view(np.uint64), sub)
     span = k - sub + 1
-    starts = np.arange(len(tokens) - k + 1)
+    starts = np.arange(len(hashes) - k + 1)
     at = np.empty(len(starts), dtype=np.int64)
     for lo in range(0, len(starts), 100_000):
         view = np.lib.stride_tricks.sliding_window_view(grams[lo : lo + 100_000 + span - 1], span)
         at[lo : lo + len(view)] = view.argmin(axis=1) + np.arange(lo, lo + len(view))
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
     last = np.r_[first[1:], len(starts)]
-    values = grams[at[first]].astype(np.int64)
+    values = grams[at[first]].view(np.int64)
     return [{"hash": h, "lo": a, "hi": b} for h, a, b in zip(values.tolist(), first.tolist(), last.tolist())]
 
 
-def minimizers(tokens: Column, k: int = MIN_TOKENS) -> Column:
+def minimizers(hashes: Column, k: int = MIN_TOKENS) -> Column:
     @F.pandas_udf("array<struct<hash: bigint, lo: int, hi: int>>")
     def of(lists: pd.Series) -> pd.Series:
-        return pd.Series([_minimizers(t, k) for t in lists])
+        return pd.Series([_minimizers(h, k) for h in lists])
 
-    return of(tokens)
+    return of(hashes)
 
 
 def kgram_keys(df: DataFrame, key: str, k: int) -> DataFrame:
-    """``(key, pos, gram)`` for the starts in ``ranges`` of each row ``(key, tokens, ranges)``."""
+    """``(key, pos, gram)`` for the starts in ``ranges`` of each row ``(key, first, second, ranges)``.
 
-    schema = T.StructType([df.schema[key], T.StructField("pos", T.IntegerType()), T.StructField("gram", T.BinaryType())])
+    ``gram`` is a pair of independent 64-bit hashes of the k tokens.
+    """
+    schema = T.StructType(
+        [df.schema[key], *[T.StructField(n, t) for n, t in (("pos", T.IntegerType()), ("_g1", T.LongType()), ("_g2", T.LongType()))]]
+    )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for doc, tokens, ranges in zip(pdf[key], pdf["tokens"], pdf["ranges"]):
-                parts = [hashlib.md5(t.encode()).digest() for t in tokens]
-                starts = sorted({p for r in ranges for p in range(r["lo"], r["hi"])})
-                for at in range(0, len(starts), 50_000):
-                    chunk = starts[at : at + 50_000]
-                    grams = [hashlib.md5(b"".join(parts[p : p + k])).digest() for p in chunk]
-                    yield pd.DataFrame({key: doc, "pos": np.array(chunk, dtype=np.int32), "gram": grams})
+            for doc, first, second, ranges in zip(pdf[key], pdf["first"], pdf["second"], pdf["ranges"]):
+                starts = np.unique(np.concatenate([np.arange(r["lo"], r["hi"], dtype=np.int32) for r in ranges]))
+                one, two = (_window_hashes(h.astype(np.int64).view(np.uint64), k).view(np.int64) for h in (first, second))
+                yield pd.DataFrame({key: doc, "pos": starts, "_g1": one[starts], "_g2": two[starts]})
 
-    return df.select(key, "tokens", "ranges").mapInPandas(run, schema)
+    rows = df.select(key, "first", "second", "ranges").mapInPandas(run, schema)
+    return rows.select(key, "pos", F.struct("_g1", "_g2").alias("gram"))
 
 
 def repeated_kgrams(
@@ -140,7 +140,9 @@ def repeated_kgrams(
         raise ValueError("keep must be 'first' or 'none'")
     tokenised = df.select(key, tokens(F.col(text)).alias("tokens")).filter(F.size("tokens") >= k)
     marks = cut_lineage(
-        tokenised.select(key, F.explode(minimizers(F.col("tokens"), k)).alias("m")).select(key, "m.hash", "m.lo", "m.hi")
+        tokenised.select(key, F.explode(minimizers(token_hashes(F.col("tokens")), k)).alias("m")).select(
+            key, "m.hash", "m.lo", "m.hi"
+        )
     )
     shared = marks.groupBy("hash").agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > 1)
     ranges = (
@@ -151,7 +153,10 @@ def repeated_kgrams(
     stored, small = small_or_none(ranges)
     # Text moves only when the ranges of the affected documents are too many to broadcast.
     affected = tokenised.join(F.broadcast(stored) if small else stored, key)
-    grams = cut_lineage(kgram_keys(affected, key, k))
+    hashed = affected.select(
+        key, token_hashes(F.col("tokens")).alias("first"), token_hashes(F.col("tokens"), 1).alias("second"), "ranges"
+    )
+    grams = cut_lineage(kgram_keys(hashed, key, k))
     repeated = (
         grams.groupBy("gram")
         .agg(F.count(F.lit(1)).alias("_size"), F.min(F.struct(key, "pos")).alias("_first"))
