@@ -48,10 +48,18 @@ def _warc_files(spark, sf_dir):
     return path
 
 
-@query("list_input_files")
+@query(
+    "list_input_files",
+    "SELECT page_id % 5 AS part, sum(strlen(url) + 1)::BIGINT AS length FROM pages GROUP BY part ORDER BY part LIMIT 3",
+)
 def list_input_files(spark, sf_dir):
-    listed = files.list_input_files(spark, _warc_files(spark, sf_dir), r"/warc/[^/]*\.gz$", limit=3)
-    return listed.select(F.regexp_extract("path", "/(segment/warc)/", 1).alias("folder"), "length")
+    """One text file of URLs per part in ``warc``, and side files that must not be listed."""
+    urls = table(spark, sf_dir, "pages").select("url", (F.col("page_id") % 5).alias("part"))
+    path = scratch_path(spark, "listing")
+    urls.repartition("part").write.partitionBy("part").text(f"{path}/warc")
+    urls.repartition("part").write.partitionBy("part").text(f"{path}/wet")
+    listed = files.list_input_files(spark, path, r"/warc/part=[0-9]+/[^/]*\.txt$", limit=3)
+    return listed.select(F.regexp_extract("path", "part=([0-9]+)/", 1).cast("bigint").alias("part"), "length")
 
 
 @query(

@@ -46,7 +46,7 @@ def _visible(html: str) -> str:
 
 _LANG = r"""regexp_extract(html, '(?i)<html[^>]*[ \t\n\r\f]lang=["'']?([a-z]{2})', 1)"""
 PARAGRAPHS_SQL = rf"""
-SELECT page_id, lang, (row_number() OVER (PARTITION BY page_id ORDER BY i) - 1)::INTEGER AS para_no, tag, text, link_chars FROM (
+SELECT page_id, lang, (i - 1)::INTEGER AS para_no, tag, text, link_chars FROM (
   SELECT page_id, lang, i, lower(tag) AS tag, {_plain("piece")} AS text,
     coalesce(list_sum(list_transform(regexp_extract_all(piece, '(?is)<a{_ATTR}>(.*?)</a[ \t\n\r\f]*>', 1), lambda a: length({_plain("a")}))), 0)::INTEGER AS link_chars
   FROM (SELECT page_id, CASE WHEN {_LANG} = '' THEN 'en' ELSE lower({_LANG}) END AS lang,

@@ -16,8 +16,8 @@ BLOCK_TAGS = (
 BLOCK = rf"(?i)</?({BLOCK_TAGS}){_ATTRIBUTES}>"
 LINK = rf"(?is)<a{_ATTRIBUTES}>(.*?)</a[ \t\n\r\f]*>"
 LINE_BREAK = rf"(?i)<br{_ATTRIBUTES}>"
-ENTITY = r"&(?:amp|lt|gt|quot|apos|nbsp|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
-NAMED = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " "}
+ENTITY = r"&(?:amp|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
+NAMED = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " "}
 
 
 def _entity_text(entity: Column) -> Column:
@@ -27,15 +27,23 @@ def _entity_text(entity: Column) -> Column:
     code = F.when(entity.rlike("^&#[xX]"), hexadecimal).otherwise(decimal)
     is_char = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
     char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    out = F.when(entity.startswith("&#"), F.when(is_char, char).otherwise(entity))
-    for name, value in NAMED.items():
-        out = out.when(entity == name, F.lit(value))
-    return out.otherwise(entity)
+    return F.when(entity == "&amp;", F.lit("&")).when(is_char, char).otherwise(entity)
 
 
 def unescape(text: Column) -> Column:
-    """Replace the common named and all numeric entities, each once."""
-    return let(text, lambda t: F.when(t.contains("&"), replace_matches(t, ENTITY, _entity_text)).otherwise(t))
+    """Replace the common named and all numeric entities, each once.
+
+    Names that do not give an ampersand are plain replacements. Ampersands and
+    numbers go together in one pass, so that none is read twice.
+    """
+
+    def rest(t: Column) -> Column:
+        numbered = replace_matches(t, ENTITY, _entity_text)
+        return F.when(t.contains("&#"), numbered).otherwise(F.replace(t, F.lit("&amp;"), F.lit("&")))
+
+    for name, value in NAMED.items():
+        text = F.replace(text, F.lit(name), F.lit(value))
+    return let(text, rest)
 
 
 def drop_hidden(html: Column) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from gleaner.functions.text import let
+
 # Fixed values: (pattern, replacement), applied in this order.
 MARKDOWN = [
     (r"`([^`\n]+)`", "$1"),
@@ -70,8 +72,6 @@ def bulleted_lines(text: Column) -> Column:
 
 def question_answer_pairs(text: Column) -> Column:
     """Array of ``Question: …\\nAnswer: …`` texts; a question without an answer is left out."""
-    split = F.split(text, QUESTION_START, -1)
-    parts = F.slice(split, F.lit(2), F.size(split))
 
     def pair(part: Column) -> Column:
         question = strip_blanks(F.substring_index(part, ANSWER, 1))
@@ -79,4 +79,5 @@ def question_answer_pairs(text: Column) -> Column:
         ok = part.contains(ANSWER) & (question != "") & (answer != "")
         return F.when(ok, F.concat(F.lit("Question: "), question, F.lit("\nAnswer: "), answer))
 
+    parts = let(F.split(text, QUESTION_START, -1), lambda s: F.slice(s, F.lit(2), F.size(s)))
     return F.filter(F.transform(parts, pair), lambda p: p.isNotNull())

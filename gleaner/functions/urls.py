@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from gleaner.functions.text import let
+
 # Fixed value: scheme, optional user part, then the host (group 1).
 HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]+)"
 
@@ -16,8 +18,9 @@ def url_host(url: Column) -> Column:
 
 def domain_suffixes(host: Column) -> Column:
     """``a.b.c`` gives ``[a.b.c, b.c, c]``."""
-    labels = F.split(host, r"\.")
-    return F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
-    )
+
+    def suffixes(labels: Column) -> Column:
+        size = F.size(labels)
+        return F.transform(F.sequence(F.lit(1), size), lambda i: F.array_join(F.slice(labels, i, size), "."))
+
+    return let(F.split(host, r"\."), suffixes)

@@ -21,22 +21,16 @@ WORD = r"[^ \t\n\r\f.,;:!?()\[\]\"]+"
 
 
 def page_paragraphs(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """``(key, lang, para_no, tag, text, link_chars)``; pieces without text are left out."""
-    # Step by step, so that each pattern runs once over a page.
+    """``(key, lang, para_no, tag, text, link_chars)``; pieces without text are left out, so numbers may skip."""
+    # Step by step, so that each pattern runs once over a page or piece.
     visible = pages.select(key, html_language(F.col(html)).alias("lang"), drop_hidden(F.col(html)).alias("_visible"))
     pieces, tags = block_pieces(F.col("_visible"))
-    paired = visible.select(key, "lang", F.arrays_zip(pieces.alias("piece"), tags.alias("tag")).alias("_pieces"))
-    found = F.filter(
-        F.transform(
-            "_pieces",
-            lambda p: F.struct(
-                p["tag"].alias("tag"), plain_text(p["piece"]).alias("text"), p["piece"].alias("piece")
-            ),
-        ),
-        lambda p: p["text"] != "",
-    )
-    rows = paired.select(key, "lang", found.alias("_found")).select(key, "lang", F.posexplode("_found").alias("para_no", "p"))
-    return rows.select(key, "lang", "para_no", "p.tag", "p.text", link_chars(F.col("p.piece")).alias("link_chars"))
+    zipped = F.arrays_zip(pieces.alias("piece"), tags.alias("tag"))
+    rows = visible.select(key, "lang", F.posexplode(zipped).alias("para_no", "_p"))
+    # A one-element array that is filtered and exploded computes the text once; a plain filter would do so twice.
+    text = F.filter(F.array(plain_text(F.col("_p.piece"))), lambda t: t != "")
+    filled = rows.select(key, "lang", "para_no", "_p", F.explode(text).alias("text"))
+    return filled.select(key, "lang", "para_no", "_p.tag", "text", link_chars(F.col("_p.piece")).alias("link_chars"))
 
 
 def stopword_table(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,6 +22,7 @@ ROWS_PER_BAND = 13
 PRIME = 2**31 - 1
 SEED = "minhash"
 
+# Shingles hashed at a time: the working arrays stay in the processor's cache.
 _BLOCK = 256
 
 
@@ -35,20 +37,22 @@ def char_shingles(df: DataFrame, key: str = "doc_id", text: str = "text", width:
     return df.select(key, F.explode(F.array_distinct(grams)).alias("shingle"))
 
 
-def shingle_hashes(text: str, weights: np.ndarray) -> np.ndarray:
-    """Multilinear hash of every shingle: weighted sum of its code points modulo PRIME."""
-    codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+def shingle_hashes(text: str, weights: np.ndarray) -> Iterator[np.ndarray]:
+    """Multilinear hash of every shingle (the weighted sum of its code points modulo PRIME), in blocks."""
+    codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
     width = len(weights)
     if len(codes) < width:
-        codes = np.concatenate([codes, np.zeros(width - len(codes), dtype=np.uint64)])
-    count = len(codes) - width + 1
-    sums = np.zeros(count, dtype=np.uint64)
-    for j, weight in enumerate(weights):
-        sums += codes[j : j + count] * weight
-    return sums % np.uint64(PRIME)
+        codes = np.concatenate([codes, np.zeros(width - len(codes), dtype=np.uint32)])
+    for start in range(0, len(codes) - width + 1, _BLOCK):
+        block = codes[start : start + _BLOCK + width - 1].astype(np.uint64)
+        count = len(block) - width + 1
+        sums = np.zeros(count, dtype=np.uint64)
+        for j, weight in enumerate(weights):
+            sums += block[j : j + count] * weight
+        yield sums % np.uint64(PRIME)
 
 
-def minima(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def minima(blocks: Iterable[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For each (a, b): the smallest ``(a * h + b) mod PRIME`` over all hashes.
 
     PRIME is 2**31 - 1, so high and low half of a product add up to at most twice
@@ -56,8 +60,8 @@ def minima(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """
     prime = np.uint32(PRIME)
     best = np.full(len(a), PRIME, dtype=np.uint32)
-    for start in range(0, len(hashes), _BLOCK):
-        values = hashes[start : start + _BLOCK, None] * a
+    for hashes in blocks:
+        values = hashes[:, None] * a
         values += b
         low = values.astype(np.uint32)
         low &= prime

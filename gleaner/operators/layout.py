@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gleaner.operators.prefix import row_index, running_totals
+from gleaner.operators.skew import small_or_none
 
 
 def record_limit(df: DataFrame, n: int, file_col: str = "file_name", order: str = "doc_id", salts: int = 64) -> DataFrame:
@@ -98,7 +99,10 @@ def shard_manifest(sharded: DataFrame, length_col: str = "length") -> DataFrame:
 
 def invert_layout(df: DataFrame, path: str, outer: str = "task", inner: str = "shard", done: DataFrame | None = None) -> DataFrame:
     """Write ``df`` as ``outer/inner`` folders, leaving out pairs listed in ``done``; return what was written."""
-    todo = df if done is None else df.join(F.broadcast(done.select(outer, inner).distinct()), [outer, inner], "left_anti")
+    todo = df
+    if done is not None:
+        pairs, small = small_or_none(done.select(outer, inner).distinct())
+        todo = df.join(F.broadcast(pairs) if small else pairs, [outer, inner], "left_anti")
     todo.write.mode("append").partitionBy(outer, inner).parquet(path)
     return todo
 

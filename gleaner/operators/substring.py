@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from gleaner.functions.text import lossless_tokens
+from gleaner.functions.text import let, lossless_tokens
 from gleaner.operators.prefix import running_totals
 from gleaner.operators.skew import HOT_ROWS, SALTS, small_or_none, spread_join
 from gleaner.session import cut_lineage
@@ -146,7 +146,7 @@ def repeated_kgrams(
     )
     shared = marks.groupBy("hash").agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > 1)
     ranges = (
-        spread_join(marks, shared, "hash", "_size", spread_by=key, hot_rows=hot_rows, salts=salts)
+        spread_join(marks, shared, "hash", "_size", key, hot_rows=hot_rows, salts=salts, max_rows=marks.count())
         .groupBy(key)
         .agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
     )
@@ -162,7 +162,9 @@ def repeated_kgrams(
         .agg(F.count(F.lit(1)).alias("_size"), F.min(F.struct(key, "pos")).alias("_first"))
         .filter(F.col("_size") > 1)
     )
-    found = spread_join(grams, repeated, "gram", "_size", spread_by="pos", hot_rows=hot_rows, salts=salts)
+    found = spread_join(
+        grams, repeated, "gram", "_size", key, hot_rows=hot_rows, salts=salts, max_rows=grams.count()
+    )
     if keep == "first":
         found = found.filter(F.struct(key, "pos") != F.col("_first"))
     return found.select(key, F.col("pos").cast("bigint").alias("pos"))
@@ -266,12 +268,17 @@ def dedup_offsets(
 
 def kept_text(tokens: Column, cuts: Column) -> Column:
     """Tokens outside the sorted, disjoint ``cuts``, joined: slices between the cuts."""
-    gaps = F.zip_with(
-        F.concat(F.array(F.lit(0).cast("bigint")), F.transform(cuts, lambda c: c["end"])),
-        F.concat(F.transform(cuts, lambda c: c["start"]), F.array(F.size(tokens).cast("bigint"))),
-        lambda lo, hi: F.array_join(F.slice(tokens, (lo + 1).cast("int"), (hi - lo).cast("int")), ""),
-    )
-    return F.array_join(gaps, "")
+
+    def joined(t: Column) -> Column:
+        zero, size = F.lit(0).cast("bigint"), F.size(t).cast("bigint")
+        gaps = F.zip_with(
+            F.concat(F.array(zero), F.transform(cuts, lambda c: c["end"])),
+            F.concat(F.transform(cuts, lambda c: c["start"]), F.array(size)),
+            lambda lo, hi: F.array_join(F.slice(t, (lo + 1).cast("int"), (hi - lo).cast("int")), ""),
+        )
+        return F.array_join(gaps, "")
+
+    return let(tokens, joined)
 
 
 def cut_intervals(

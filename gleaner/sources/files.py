@@ -65,12 +65,15 @@ def write_parquet(df: DataFrame, path: str, compression: str = "zstd") -> None:
     df.write.option("compression", compression).parquet(path)
 
 
-def write_bucketed(df: DataFrame, path: str, column: str = BUCKET_COLUMN) -> None:
+def write_bucketed(df: DataFrame, path: str, column: str = BUCKET_COLUMN, rebalance: bool = False) -> None:
     """Overwrite ``path`` with one folder per value of ``column``.
 
-    Every writing task may hold several buckets; nothing is shuffled for it.
+    Every writing task may add a file to several buckets. ``rebalance`` shuffles
+    by bucket first for fewer and larger files; adaptive execution then splits a
+    bucket that holds a large share of the rows.
     """
-    df.write.mode("overwrite").partitionBy(column).parquet(path)
+    out = df.hint("rebalance", F.col(f"`{column}`")) if rebalance else df
+    out.write.mode("overwrite").partitionBy(column).parquet(path)
 
 
 def read_buckets(
