@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gleaner.functions.html import block_pieces, drop_hidden, html_language, link_chars, plain_text
+from gleaner.operators.skew import first_per_group
 
 # Thresholds and the size of the stop lists.
 LENGTH_LOW = 70
@@ -43,8 +44,7 @@ def stopword_table(
         .groupBy("lang", "word")
         .agg(F.count(F.lit(1)).alias("doc_freq"))
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("doc_freq"), "word")
-    return counts.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= top).drop("_n")
+    return first_per_group(counts, "lang", [F.desc("doc_freq"), "word"], top, spread_by="word")
 
 
 def paragraph_features(paragraph_rows: DataFrame, stopwords: DataFrame) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gleaner.functions.text import ngrams
+from gleaner.operators.skew import first_per_group
 from gleaner.session import cut_lineage
 
 # Trigrams kept per language, and the scale that makes log probabilities whole numbers.
@@ -27,9 +28,8 @@ def train_language_model(
         .groupBy("lang", "gram")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    ranked = counts.withColumn("_rank", F.row_number().over(best))
-    vocabulary = cut_lineage(ranked.filter(F.col("_rank") <= top).select("gram").distinct())
+    best = first_per_group(counts, "lang", [F.desc("n"), "gram"], top, spread_by="gram")
+    vocabulary = cut_lineage(best.select("gram").distinct())
     size = vocabulary.count()
     kept = counts.join(vocabulary, "gram")
     # One total per language, held on the driver and repeated in each gram's row.

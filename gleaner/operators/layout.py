@@ -2,28 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gleaner.operators.prefix import row_index, running_totals
-from gleaner.operators.skew import small_or_none
+from gleaner.operators.skew import first_per_group, small_or_none
 
 
 def record_limit(df: DataFrame, n: int, file_col: str = "file_name", order: str = "doc_id", salts: int = 64) -> DataFrame:
-    """At most the first ``n`` rows of every file.
-
-    Each file is first thinned in ``salts`` independent parts, so one file that
-    holds most rows is not sorted in a single task.
-    """
-    part = Window.partitionBy(file_col, "_salt").orderBy(order)
-    whole = Window.partitionBy(file_col).orderBy(order)
-    return (
-        df.withColumn("_salt", F.pmod(F.xxhash64(order), F.lit(salts)))
-        .withColumn("_n", F.row_number().over(part))
-        .filter(F.col("_n") <= n)
-        .withColumn("_n", F.row_number().over(whole))
-        .filter(F.col("_n") <= n)
-        .drop("_salt", "_n")
-    )
+    """At most the first ``n`` rows of every file."""
+    return first_per_group(df, file_col, [order], n, spread_by=order, salts=salts)
 
 
 def kept_and_removed(df: DataFrame, removed: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gleaner.session import cut_lineage
 
@@ -82,3 +82,23 @@ def spread_join(
         ),
     ).drop(size_col)
     return salted_rows.drop("_hot").join(salted_groups, [key, "_salt"], how).drop("_salt")
+
+
+def first_per_group(
+    df: DataFrame, group: str, order: list[Column | str], n: int, spread_by: str, salts: int = SALTS
+) -> DataFrame:
+    """The first ``n`` rows of every group in ``order``.
+
+    Each group is first thinned in ``salts`` independent parts, so one group that
+    holds most rows is not sorted in a single task.
+    """
+    part = Window.partitionBy(group, "_salt").orderBy(*order)
+    whole = Window.partitionBy(group).orderBy(*order)
+    return (
+        df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)))
+        .withColumn("_n", F.row_number().over(part))
+        .filter(F.col("_n") <= n)
+        .withColumn("_n", F.row_number().over(whole))
+        .filter(F.col("_n") <= n)
+        .drop("_salt", "_n")
+    )

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gleaner.functions import pii
 from gleaner.functions.urls import domain_suffixes, url_host
-from gleaner.operators.skew import lookup
+from gleaner.operators.skew import HOT_ROWS, lookup
 
 
 def domain_table(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -19,31 +19,32 @@ def load_domain_list(spark: SparkSession, path: str) -> DataFrame:
     return domain_table(spark.read.text(path))
 
 
-def listed_hosts(docs: DataFrame, domains: DataFrame, url: str = "url") -> DataFrame:
-    """``(host, domain, rows)``: hosts in the data that, or a parent of which, are listed.
+def host_or_empty(url: Column) -> Column:
+    return F.coalesce(url_host(url), F.lit(""))
 
-    Only distinct hosts are expanded into their parent domains; ``domain`` is the
-    most specific entry that matched.
+
+def listed_hosts(docs: DataFrame, domains: DataFrame, url: str = "url", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``(host, listed_domain, rows)``: hosts in the data that, or a parent of which, are listed.
+
+    Only distinct hosts are expanded into their parent domains; the most specific
+    entry that matched is kept. Unlisted hosts above ``hot_rows`` are there too,
+    with a NULL domain, so that a join by host knows to spread them.
     """
-    hosts = (
-        docs.select(url_host(F.col(url)).alias("host"))
-        .filter(F.col("host").isNotNull())
-        .groupBy("host")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    return (
-        hosts.select("host", "rows", F.explode(domain_suffixes(F.col("host"))).alias("domain"))
+    hosts = docs.groupBy(host_or_empty(F.col(url)).alias("host")).agg(F.count(F.lit(1)).alias("rows"))
+    listed = (
+        hosts.select("host", F.explode(domain_suffixes(F.col("host"))).alias("domain"))
         .join(domains.select("domain"), "domain")
         .groupBy("host")
-        .agg(F.max_by("domain", F.length("domain")).alias("domain"), F.first("rows").alias("rows"))
+        .agg(F.max_by("domain", F.length("domain")).alias("listed_domain"))
     )
+    return hosts.join(listed, "host", "left").filter(F.col("listed_domain").isNotNull() | (F.col("rows") > hot_rows))
 
 
 def flag_listed(docs: DataFrame, domains: DataFrame, url: str, key: str) -> DataFrame:
     """Add ``listed_domain``: the list entry that matched, or NULL. Documents are not shuffled
     while the listed hosts are few enough to broadcast."""
-    hosts = listed_hosts(docs, domains, url).withColumnRenamed("domain", "listed_domain")
-    keyed = docs.withColumn("host", F.coalesce(url_host(F.col(url)), F.lit("")))
+    keyed = docs.withColumn("host", host_or_empty(F.col(url)))
+    hosts = listed_hosts(docs, domains, url)
     return lookup(keyed, hosts, "host", spread_by=key, size_col="rows", how="left").drop("host")
 
 
@@ -76,7 +77,7 @@ def extra_blocklists(
         listed = urls.select(F.trim("url").alias("_url")).filter("_url <> ''").distinct().withColumn("_listed", F.lit(True))
         keyed = out.withColumn("_url", F.coalesce(F.col(url), F.lit("")))
         sizes = keyed.groupBy("_url").agg(F.count(F.lit(1)).alias("_rows"))
-        hits = listed.join(sizes, "_url")
+        hits = sizes.join(listed, "_url", "left").filter(F.col("_listed") | (F.col("_rows") > HOT_ROWS))
         out = lookup(keyed, hits, "_url", spread_by=key, size_col="_rows", how="left")
         out = out.filter(F.col("_listed").isNull()).select(*docs.columns)
     if domains is not None:

@@ -82,6 +82,14 @@ def test_hot_host_is_salted_when_the_list_is_large(spark):
     assert left.count() == 300 and left.filter("low IS NULL").count() == 200
 
 
+def test_hot_unlisted_hosts_are_in_the_lookup_table(spark):
+    rows = [(str(i), None if i % 3 == 0 else "https://big.org/x" if i % 3 == 1 else f"https://h{i}.net/") for i in range(90)]
+    docs = spark.createDataFrame(rows, "warc_id string, url string")
+    domains = spark.createDataFrame([("h2.net",)], "domain string")
+    table = urlpii.listed_hosts(docs, domains, hot_rows=20)
+    assert sorted(map(tuple, table.collect()), key=str) == [("", 30, None), ("big.org", 30, None), ("h2.net", 1, "h2.net")]
+
+
 def test_missing_domain_list_is_an_error(spark):
     with pytest.raises(Exception):
         urlpii.load_domain_list(spark, "/no/such/list").count()
