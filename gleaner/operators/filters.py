@@ -47,13 +47,21 @@ def score_only(df: DataFrame, score: Column, score_field: str) -> DataFrame:
 def score_filter(
     df: DataFrame, score: Column, score_field: str, minimum: float | None = None, maximum: float | None = None
 ) -> DataFrame:
-    """Add a score column and keep the rows inside the (inclusive) bounds."""
-    out = df.withColumn(score_field, score)
-    if minimum is not None:
-        out = out.filter(F.col(score_field) >= minimum)
-    if maximum is not None:
-        out = out.filter(F.col(score_field) <= maximum)
-    return out
+    """Add a score column and keep the rows inside the (inclusive) bounds.
+
+    The score passes through a filtered one-element array that is exploded, so
+    it is computed once; the optimizer would compute a plain filter's score twice.
+    """
+    if (minimum is None and maximum is None) or score_field in df.columns:
+        out = df.withColumn(score_field, score)
+        out = out if minimum is None else out.filter(F.col(score_field) >= minimum)
+        return out if maximum is None else out.filter(F.col(score_field) <= maximum)
+
+    def inside(value: Column) -> Column:
+        low = F.lit(True) if minimum is None else value >= minimum
+        return low if maximum is None else low & (value <= maximum)
+
+    return df.select("*", F.explode(F.filter(F.array(score), inside)).alias(score_field))
 
 
 def predicate_filter(df: DataFrame, field: str, keep) -> DataFrame:

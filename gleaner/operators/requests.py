@@ -150,8 +150,7 @@ def min_response_tokens(df: DataFrame, field: str, minimum: int, count=token_cou
 
 def substring_filter(df: DataFrame, field: str, substring: str, position: str, out: str = "substring") -> DataFrame:
     """Keep rows with ``substring`` at ``position`` and add the flag as ``out``."""
-    flag = md.has_substring(F.col(field), substring, position).cast("int")
-    return df.withColumn(out, flag).filter(F.col(out) == 1)
+    return score_filter(df, md.has_substring(F.col(field), substring, position).cast("int"), out, minimum=1)
 
 
 def qa_postprocess(
@@ -169,9 +168,10 @@ def qa_postprocess(
         lambda p, i: F.struct(F.md5(F.concat_ws(":", row_id, i.cast("string"))).alias("h"), p.alias("pair")),
     )
     chosen = F.transform(F.slice(F.array_sort(ranked), F.lit(1), limit), lambda r: r["pair"])
+    # Exploding a filtered one-element array finds the pairs once; see score_filter.
+    found = F.filter(F.array(md.question_answer_pairs(F.col(field))), lambda pairs: F.size(pairs) > 0)
     return (
-        df.withColumn("_pairs", md.question_answer_pairs(F.col(field)))
-        .filter(F.size("_pairs") > 0)
+        df.select("*", F.explode(found).alias("_pairs"))
         .withColumn(field, F.concat_ws("\n\n", F.col(text), F.array_join(chosen, "\n\n")))
         .drop("_pairs")
     )

@@ -124,7 +124,7 @@ def brute_force(texts, k, keep):
     """Cut token positions of every document, from all k-grams."""
     import re
 
-    split = [re.findall(substring.lossless_tokens and r"^[ \t\n\r\f]+|[^ \t\n\r\f]+[ \t\n\r\f]*", t) for t in texts]
+    split = [re.findall(r"^[ \t\n\r\f]+|[^ \t\n\r\f]+[ \t\n\r\f]*", t) for t in texts]
     seen = {}
     for d, tokens in enumerate(split):
         for p in range(len(tokens) - k + 1):
