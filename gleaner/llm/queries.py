@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleaner.llm import bpe, exact, mixing, rules
+from gleaner.llm import bpe, exact, mixing, near, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,6 +95,12 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicate_rows(_table(spark, sf_dir, "documents"))
 
 
+@query("op5_minhash")
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL twin on whole tables (all pairs); tested against brute force."""
+    return near.near_duplicate_rows(_table(spark, sf_dir, "documents"))
+
+
 def _rules_sql() -> str:
     steps = ", ".join(f"('{r}', {i}, {c}::DOUBLE)" for r, cs in rules.RULES.items() for i, c in enumerate(cs))
     p, level = rules.ALPHA / len(rules.RULES), f"{rules.DELTA}::DOUBLE / ((SELECT count(DISTINCT stratum) FROM held) * {len(rules.RULES)})"
