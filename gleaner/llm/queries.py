@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleaner.llm import bpe, exact, mixing, near, rules
+from gleaner.llm import archives, bpe, exact, mixing, near, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,6 +77,22 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_rows(_table(spark, sf_dir, "documents"))
 
 
+WARC_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+h AS (SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+m AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM h)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes < 100 OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to, true AS verified
+FROM m
+"""
+
+
+@query("op3_warc", WARC_SQL)
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives.archive_round_trip(_table(spark, sf_dir, "pages"))
+
+
 EXACT_SQL = f"""
 WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '{_BLANK}', '', 'g') AS norm FROM documents
