@@ -140,9 +140,8 @@ def encoder(path: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFra
                     ids_sha.append(hashlib.sha256(ids).hexdigest())
                     text_sha.append(hashlib.sha256(decoded).hexdigest())
                     same.append(decoded == text)
-            yield pd.DataFrame(
-                {"doc_id": frame["doc_id"], "n_tokens": counts, "ids_sha256": ids_sha, "decoded_sha256": text_sha, "round_trip": same}
-            )
+            texts_out = pd.DataFrame({"ids_sha256": ids_sha, "decoded_sha256": text_sha}, dtype=object, index=frame.index)
+            yield pd.concat([frame[["doc_id"]].assign(n_tokens=counts), texts_out], axis=1).assign(round_trip=same)
 
     return run
 

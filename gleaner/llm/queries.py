@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleaner.llm import archives, bpe, exact, mixing, near, rules
+from gleaner.llm import archives, bpe, exact, mixing, near, neighbours, rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -188,3 +188,15 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No SQL twin: SQL has no BPE; tested against the vocabulary's library."""
     return bpe.encode_rows(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL twin: a trained model; tested by held-out accuracy."""
+    return toxicity.toxicity_rows(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query("op9_quality_neighbours")
+def op9_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL twin: a trained model; tested by held-out accuracy."""
+    return neighbours.quality_rows(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
