@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gleaner.llm import archives, bpe, exact, mixing, near, neighbours, rules, toxicity
+from gleaner.llm import archives, attribution, bpe, disclosure, exact, mixing, near, neighbours, rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -200,3 +200,16 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No SQL twin: a trained model; tested by held-out accuracy."""
     return neighbours.quality_rows(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query("op7_token_counts")
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each line. No SQL twin: SQL has no BPE; tested against the library's offsets."""
+    starts, ends = attribution.line_sections(F.col("text"))
+    return attribution.attribute(_table(spark, sf_dir, "documents"), tokenizer_path(), starts, ends)
+
+
+@query("op10_disclosure")
+def op10_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL twin: DuckDB's patterns give no places; tested against brute force."""
+    return disclosure.digest_rows(_table(spark, sf_dir, "documents"))
