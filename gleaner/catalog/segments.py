@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from gleaner.catalog.base import query, table
 from gleaner.catalog.filters import CANONICAL_SQL, canonical
@@ -141,12 +141,31 @@ def chunk_documents(spark, sf_dir):
     return ops.chunk_documents(_docs(spark, sf_dir), MAX, MIN)
 
 
-@query("chunk_equivalence", f"SELECT count(*) AS compared, 0::BIGINT AS different FROM ({_PACKED_SQL})")
+def _minimum_sql(maximum: int) -> str:
+    return f"SELECT doc_id, segment_id, text, segment_token_count FROM ({chunks_sql(_DOCS_SQL, str(maximum))})"
+
+
+@query(
+    "chunk_equivalence",
+    f"""
+    SELECT (SELECT count(*) FROM ({_minimum_sql(MAX)})) AS compared, 0::BIGINT AS different,
+      (SELECT count(*) FROM ({_minimum_sql(MAX)}) a FULL JOIN ({_minimum_sql(MAX - 7)}) b USING (doc_id, segment_id)
+       WHERE a.text IS DISTINCT FROM b.text OR a.segment_token_count IS DISTINCT FROM b.segment_token_count) AS different_maximum
+    """,
+)
 def chunk_equivalence(spark, sf_dir):
-    stock, fused = _stock(spark, sf_dir), ops.chunk_documents(_docs(spark, sf_dir), MAX, 0)
-    different = ops.chunk_equivalence(stock, fused, key="doc_id")
-    counts = stock.select(F.lit(1).alias("a"), F.lit(0).alias("b")).union(different.select(F.lit(0), F.lit(1)))
-    return counts.agg(F.sum("a").alias("compared"), F.sum("b").alias("different"))
+    """Both ways to segment agree, minimum included; another maximum is told apart."""
+    packed = ops.min_segment_tokens(_stock(spark, sf_dir), MIN)
+    place = Window.partitionBy("doc_id").orderBy("segment_id")
+    stock = packed.withColumn("segment_id", F.row_number().over(place) - 1)
+    fused, other = (ops.chunk_documents(_docs(spark, sf_dir), m, MIN) for m in (MAX, MAX - 7))
+    sides = [
+        stock.select(F.lit(0).alias("kind")),
+        ops.chunk_equivalence(stock, fused, key="doc_id").select(F.lit(1).alias("kind")),
+        ops.chunk_equivalence(fused, other, key="doc_id").select(F.lit(2).alias("kind")),
+    ]
+    counts = [F.count_if(F.col("kind") == k).alias(n) for k, n in enumerate(("compared", "different", "different_maximum"))]
+    return sides[0].union(sides[1]).union(sides[2]).agg(*counts)
 
 
 _REQUEST_SQL = """

@@ -9,7 +9,7 @@ from gleaner.operators import layout, stats as ops
 
 _FILE_SQL = """
 SELECT source || '/' || lang AS path, count(text) AS n, sum(length(text))::BIGINT AS sum,
-  sum(length(text)::BIGINT * length(text))::BIGINT AS sumsq,
+  sum(length(text)::BIGINT * length(text))::DECIMAL(38,0) AS sumsq,
   min(length(text))::BIGINT AS min, max(length(text))::BIGINT AS max,
   sum(length(text) - length(replace(text, chr(10), '')))::BIGINT AS sum_lines,
   max(length(text) - length(replace(text, chr(10), '')))::BIGINT AS max_lines
@@ -17,7 +17,7 @@ FROM documents GROUP BY ALL
 """
 _MERGED_SQL = """
   count(*) AS n_files, sum(n)::BIGINT AS n, round(sum(sum) / sum(n), 6) AS mean,
-  round(sqrt(greatest(sum(sumsq) / sum(n) - (sum(sum) / sum(n)) * (sum(sum) / sum(n)), 0)), 6) AS std,
+  round(sqrt(greatest(sum(sumsq)::DOUBLE / sum(n) - (sum(sum) / sum(n)) * (sum(sum) / sum(n)), 0)), 6) AS std,
   min(min) AS min, max(max) AS max, round(sum(sum_lines) / sum(n), 6) AS mean_lines, max(max_lines) AS max_lines
 """
 _SHARD_SQL = f"""
@@ -58,7 +58,7 @@ def top_shards_by_lines(spark, sf_dir):
 @query(
     "human_size",
     """
-    WITH s AS (SELECT doc_id, pow(strlen(text), 1 + doc_id % 4)::BIGINT AS size FROM documents WHERE strlen(text) < 5000)
+    WITH s AS (SELECT doc_id, strlen(text)::BIGINT * pow(2, 9 * (doc_id % 5))::BIGINT AS size FROM documents)
     SELECT doc_id, size, CASE
       WHEN size < 1024 THEN printf('%.1f B', size::DOUBLE)
       WHEN size < 1048576 THEN printf('%.1f KiB', size / 1024.0::DOUBLE)
@@ -69,7 +69,7 @@ def top_shards_by_lines(spark, sf_dir):
     """,
 )
 def human_size(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").filter(F.octet_length("text") < 5000)
-    size = F.pow(F.octet_length("text").cast("double"), 1 + F.col("doc_id") % 4).cast("bigint")
+    docs = table(spark, sf_dir, "documents")
+    size = F.octet_length("text").cast("bigint") * F.pow(F.lit(2.0), 9 * (F.col("doc_id") % 5)).cast("bigint")
     sized = docs.select("doc_id", size.alias("size"))
     return sized.withColumn("human", ops.human_size(F.col("size")))

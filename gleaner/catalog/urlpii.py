@@ -11,7 +11,7 @@ from gleaner.session import scratch_path, spread_small_input
 
 # SQL building blocks. DuckDB has no lookaround, so the text is cut into runs and
 # each run is matched as a whole.
-_RE_EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}\.[A-Za-z]{2,24}"
+_RE_EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 _RE_OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _RE_IPV4 = rf"(?:{_RE_OCTET}\.){{3}}{_RE_OCTET}"
 _RE_IPV6 = r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
@@ -80,8 +80,13 @@ def _with_ibans(spark, sf_dir):
 
 # Host of a URL and whether it, or a parent of it, is listed.
 _HOST_SQL = r"rtrim(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]+)', 1), '.')"
-_DOMAIN_LIST = ["spam-farm.example.org", "", "  ththan.example.net  ", "example.com.evil", "m.therou.example.com", "spam-farm.example.org"]
-_LIST_SQL = "SELECT * FROM (VALUES " + ", ".join(f"('{d}')" for d in _DOMAIN_LIST) + ") v(value)"
+# The list follows from the pages: a quarter of the hosts, of some the parent, with blanks, blank lines and repeats.
+_HOSTS_SQL = f"SELECT DISTINCT host, md5(host) AS m FROM (SELECT {_HOST_SQL} AS host FROM pages) WHERE host <> ''"
+_LIST_SQL = f"""
+SELECT '  ' || CASE WHEN m < '1' AND len(string_split(host, '.')) > 3 THEN regexp_replace(host, '^[^.]*[.]', '') ELSE host END || ' ' AS value
+FROM ({_HOSTS_SQL}) WHERE m < '4'
+UNION ALL SELECT '' UNION ALL SELECT host FROM ({_HOSTS_SQL}) WHERE m < '2' AND m >= '1'
+"""
 _DOMAINS_SQL = f"SELECT DISTINCT trim(value) AS domain FROM ({_LIST_SQL}) WHERE trim(value) <> ''"
 FLAGGED_SQL = (
     f"SELECT p.*, (SELECT arg_max(domain, length(domain)) FROM ({_DOMAINS_SQL}) d "
@@ -91,10 +96,12 @@ FLAGGED_SQL = (
 
 
 def list_lines(spark, sf_dir):
-    """The domain list with its blank line, as rows derived from the pages' hosts and fixed extras."""
-    hosts = spread_small_input(table(spark, sf_dir, "pages")).select(F.explode(domain_suffixes(url_host(F.col("url")))).alias("h")).distinct()
-    known = hosts.filter(F.col("h").isin([d.strip() for d in _DOMAIN_LIST])).select(F.concat(F.lit(" "), "h").alias("value"))
-    return known.union(spark.createDataFrame([(d,) for d in _DOMAIN_LIST], "value string"))
+    """The lines of a domain list, derived from the pages' hosts."""
+    hosts = spread_small_input(table(spark, sf_dir, "pages")).select(url_host(F.col("url")).alias("h")).distinct().filter("h <> ''")
+    m, labels = F.md5("h"), F.size(F.split("h", r"\."))
+    parent = F.when((m < "1") & (labels > 3), F.regexp_replace("h", r"^[^.]*\.", "")).otherwise(F.col("h"))
+    dressed = F.array(F.concat(F.lit("  "), parent, F.lit(" ")), F.lit(""), F.when(m.between("1", "1z"), F.col("h")).otherwise(""))
+    return hosts.filter(m < "4").select(F.explode(dressed).alias("value"))
 
 
 def domains(spark, sf_dir):
@@ -176,7 +183,7 @@ def keep_schema(spark, sf_dir):
     return ops.redact_pii(spread_small_input(table(spark, sf_dir, "documents")))
 
 
-_STAGE_DOCS_SQL = f"SELECT page_id, url, url || ' mail a.b@c.example.org from 10.0.0.' || page_id || {_IBANS!r} AS text, listed_domain FROM ({FLAGGED_SQL})"
+_STAGE_DOCS_SQL = f"SELECT page_id, url, html || ' mail a.b@c.example.org from 10.0.0.' || page_id || {_IBANS!r} AS text, listed_domain FROM ({FLAGGED_SQL})"
 
 
 @query(
@@ -188,7 +195,7 @@ _STAGE_DOCS_SQL = f"SELECT page_id, url, url || ' mail a.b@c.example.org from 10
     """,
 )
 def url_pii_stage(spark, sf_dir):
-    text = F.concat("url", F.lit(" mail a.b@c.example.org from 10.0.0."), "page_id", F.lit(_IBANS))
+    text = F.concat("html", F.lit(" mail a.b@c.example.org from 10.0.0."), "page_id", F.lit(_IBANS))
     docs = spread_small_input(table(spark, sf_dir, "pages")).select("page_id", "url", text.alias("text"))
     kept, removed = ops.url_pii_stage(docs, domains(spark, sf_dir), key="page_id")
     return kept.withColumn("side", F.lit("kept")).unionByName(

@@ -7,7 +7,8 @@ from pyspark.sql import Column, functions as F
 from gleaner.functions.text import replace_matches
 
 # Patterns and placeholders.
-EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}\.[A-Za-z]{2,24}"
+# The run before the sign is taken whole and only from its start, which keeps the search linear.
+EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IPV4 = rf"(?:{OCTET}\.){{3}}{OCTET}"
 IPV6 = r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gleaner.operators.filters import CANONICAL_FIELDS
 from gleaner.operators.prefix import row_index
-from gleaner.operators.skew import small_or_none
+from gleaner.operators.skew import lookup, small_or_none
 
 
 def assign_ids(df: DataFrame, key: str, out: str = "id") -> DataFrame:
@@ -18,19 +18,15 @@ def text_hash(text: Column) -> Column:
     return F.md5(text)
 
 
-def exact_keepers(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The lowest id of every group of equal texts.
+def exact_dup_ids(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Ids to remove: all but the lowest of every group of equal texts. A missing text is no copy of another.
 
-    Partial aggregation shrinks a group of any size to one row per input task
-    before it is shuffled.
+    Partial aggregation shrinks a group of any size to one row per input task before
+    the shuffle; only hashes that occur twice are joined back, hot ones spread.
     """
-    hashed = df.select(F.col(key), F.unhex(text_hash(F.col(text))).alias("_hash"))
-    return hashed.groupBy("_hash").agg(F.min(key).alias(key)).select(key)
-
-
-def exact_dup_ids(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Ids to remove: all but the lowest of every group. Joined on the unique id, so no group is hot."""
-    return df.select(key).join(exact_keepers(df, key, text), key, "left_anti")
+    hashed = df.filter(F.col(text).isNotNull()).select(F.col(key), F.unhex(text_hash(F.col(text))).alias("_hash"))
+    groups = hashed.groupBy("_hash").agg(F.min(key).alias("_keeper"), F.count(F.lit(1)).alias("_size")).filter("_size > 1")
+    return lookup(hashed, groups, "_hash", spread_by=key, size_col="_size").filter(F.col(key) != F.col("_keeper")).select(key)
 
 
 def remove_by_ids(df: DataFrame, ids: DataFrame, key: str = "doc_id", fields: list[str] | None = None) -> DataFrame:

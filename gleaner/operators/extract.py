@@ -50,10 +50,15 @@ def stopword_table(
 def paragraph_features(paragraph_rows: DataFrame, stopwords: DataFrame) -> DataFrame:
     """Add ``length``, ``stop_density``, ``link_density``.
 
-    The stop list is one row per language with a fixed number of words, so it is broadcast.
+    The stop list is one row per language with a fixed number of words, so it is
+    broadcast. A language without one gets the words of all.
     """
     lists = stopwords.groupBy("lang").agg(F.collect_set("word").alias("_stops"))
-    joined = paragraph_rows.join(F.broadcast(lists), "lang", "left")
+    every = stopwords.agg(F.collect_set("word").alias("_every"))
+    joined = (
+        paragraph_rows.join(F.broadcast(lists), "lang", "left").join(F.broadcast(every), how="left")
+        .withColumn("_stops", F.coalesce("_stops", "_every")).drop("_every")
+    )
     words = F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0)
     return (
         joined.withColumn("_words", words)

@@ -13,7 +13,7 @@ from gleaner.functions.text import ngrams
 from gleaner.operators.components import connected_components
 from gleaner.operators.exact import remove_by_ids
 from gleaner.operators.skew import HOT_ROWS, SALTS, spread_join
-from gleaner.session import cut_lineage
+from gleaner.session import store
 
 # Fixed values.
 SHINGLE = 24
@@ -82,7 +82,7 @@ def _coefficients(permutations: int, width: int, seed: str) -> tuple[np.ndarray,
 def minhash(
     text: Column, bands: int = BANDS, rows: int = ROWS_PER_BAND, width: int = SHINGLE, seed: str = SEED
 ) -> Column:
-    """MinHash signature as ``array<int>`` of ``bands * rows`` minima.
+    """MinHash signature as ``array<int>`` of ``bands * rows`` minima; a null text has none and joins no bucket.
 
     One vectorised pass per text in blocks, so memory does not grow with the
     number of permutations times the length of the text.
@@ -91,7 +91,7 @@ def minhash(
 
     @F.pandas_udf("array<int>")
     def signature(texts: pd.Series) -> pd.Series:
-        return pd.Series([minima(shingle_hashes(t, weights), a, b).astype(np.int32) for t in texts])
+        return pd.Series([None if t is None else minima(shingle_hashes(t, weights), a, b).astype(np.int32) for t in texts], dtype=object)
 
     return signature(text)
 
@@ -108,7 +108,7 @@ def band_keys(
             low = minima(shingle_hashes(text, weights), a, b).reshape(bands, rows).tolist()
             return [hashlib.md5(",".join(map(str, [i, *band])).encode()).digest() for i, band in enumerate(low)]
 
-        return pd.Series([of(t) for t in texts])
+        return pd.Series([None if t is None else of(t) for t in texts], dtype=object)
 
     return keys(text)
 
@@ -132,7 +132,7 @@ def lsh_edges(
     once and stored; the lowest id comes from a partial aggregation, and a bucket
     that holds a large share of all rows is salted when the members look it up.
     """
-    keys = cut_lineage(df.select(F.col(key).alias("dst"), band_keys(F.col(text)).alias("_keys")))
+    keys = store(df.select(F.col(key).alias("dst"), band_keys(F.col(text)).alias("_keys")), "bands")
     rows = keys.count() * BANDS
     members = keys.select("dst", F.explode("_keys").alias("band_hash"))
     buckets = (

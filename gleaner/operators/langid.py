@@ -51,7 +51,7 @@ def _key(grams: np.ndarray) -> np.ndarray:
 
 
 def language_scorer(model: DataFrame, top: int = GRAMS_PER_LANGUAGE):
-    """A Column function giving ``(code, score)``; ties go to the first code.
+    """A Column function giving ``(code, score)``; ties go to the first code, a null text has neither.
 
     The model is collected: ``top`` grams per language bound it.
     """
@@ -69,6 +69,10 @@ def language_scorer(model: DataFrame, top: int = GRAMS_PER_LANGUAGE):
     def score(texts: pd.Series) -> pd.DataFrame:
         codes, scores = [], []
         for text in texts:
+            if text is None:
+                codes.append(None)
+                scores.append(None)
+                continue
             c = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
             sums = np.zeros(len(langs), dtype=np.int64)
             if len(c) >= 3:
@@ -80,7 +84,7 @@ def language_scorer(model: DataFrame, top: int = GRAMS_PER_LANGUAGE):
             best = int(sums.argmax())
             codes.append(langs[best].upper())
             scores.append(round(float(1.0 / np.exp((sums - sums[best]) / SCALE).sum()), 6))
-        return pd.DataFrame({"code": codes, "score": scores})
+        return pd.DataFrame({"code": pd.Series(codes, dtype=object), "score": pd.Series(scores, dtype="float64")})
 
     return lambda text: score(F.lower(text))
 

@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gleaner.session import cut_lineage
+from gleaner.session import store
 
 
 def _sliced(df: DataFrame, order: list[str]) -> DataFrame:
     # The slice number is stored as data: range bounds are sampled, so a
     # second evaluation could cut elsewhere.
     cut = df.repartitionByRange(*[F.col(f"`{c}`") for c in order])
-    return cut_lineage(cut.withColumn("_slice", F.spark_partition_id()))
+    return store(cut.withColumn("_slice", F.spark_partition_id()), "slices")
 
 
 def running_totals(

@@ -88,8 +88,11 @@ def model_score(df: DataFrame, model: PipelineModel, score_field: str) -> DataFr
 
 
 def digitize(score: Column, thresholds: list[float]) -> Column:
-    """Number of thresholds at or below the score; thresholds may tie, NaN is above all."""
-    above = [F.when(score >= F.lit(float(t)), 1).otherwise(0) for t in thresholds]
+    """Number of thresholds at or below the score; thresholds may tie.
+
+    A missing score, NaN or null, is above all; it takes no part in finding thresholds.
+    """
+    above = [F.when(score.isNull() | (score >= F.lit(float(t))), 1).otherwise(0) for t in thresholds]
     return reduce(lambda a, b: a + b, above, F.lit(0)).cast("int")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gleaner.functions import markdown as md
 from gleaner.functions.text import TOKEN, token_count
 from gleaner.operators.filters import modify, score_filter
-from gleaner.operators.segments import chunk_documents
+from gleaner.operators.segments import chunk_documents, line_counts_of
 
 
 @dataclass(frozen=True)
@@ -116,11 +116,13 @@ def build_requests(segments: DataFrame, tasks: list[Task] | None = None, key: st
 
 
 def requests_for_tasks(docs: DataFrame, tasks: list[Task] | None = None, key: str = "id", count=_tokens) -> DataFrame:
-    """Requests of every task, each over its own segmentation of ``docs``, from one scan."""
-    counted = docs.withColumn("document_token_count", token_count(F.col("text")))
+    """Requests of every task, each over its own segmentation of ``docs``; lines are counted once for all."""
+    lines = line_counts_of(F.split(F.col("text"), "\n", -1))
+    counted = docs.withColumns({"document_token_count": token_count(F.col("text")), "_line_counts": lines})
     with_task = counted.withColumn("_t", F.explode(_task_column(tasks or list(TASKS.values()), count)))
     long_enough = with_task.filter(F.col("document_token_count") >= F.col("_t.min_document"))
-    return _request_rows(chunk_documents(long_enough, F.col("_t.max_segment"), F.col("_t.min_segment")), key)
+    segments = chunk_documents(long_enough, F.col("_t.max_segment"), F.col("_t.min_segment"), counts="_line_counts")
+    return _request_rows(segments, key)
 
 
 def join_responses(

@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gleaner.functions.text import token_count
-from gleaner.operators.exact import assign_ids
 from gleaner.operators.filters import score_filter
-
-_CHUNKS = "array<struct<start: int, len: int, n: bigint>>"
-
+from gleaner.operators.prefix import row_index
+from gleaner.operators.skew import lookup
+from gleaner.session import store
 
 def add_document_id(df: DataFrame, key: str, out: str = "id") -> DataFrame:
-    """Add a dense id by the order of ``key`` unless there is one; unique over the whole table."""
-    return df if out in df.columns else df.join(assign_ids(df, key, out), key)
+    """Add a dense id by the order of ``key`` unless there is one.
+
+    Every row gets its own: rows that share a key, or have none, are told apart by
+    their place in the stored table. Only key and place are ordered; texts stay where
+    they are while the ids are few enough to broadcast.
+    """
+    if out in df.columns:
+        return df
+    rows = store(df.withColumn("_row", F.monotonically_increasing_id()), "document-id")
+    ids = row_index(rows.select(key, "_row"), [key, "_row"], out).select("_row", out)
+    return lookup(rows, ids, "_row", spread_by="_row").select(*[F.col(f"`{c}`") for c in df.columns], out)
 
 
 def min_document_tokens(df: DataFrame, minimum, text: str = "text", count=token_count) -> DataFrame:
@@ -33,47 +44,73 @@ def line_token_filter(lines: DataFrame, maximum, text: str = "text", count=token
     return score_filter(lines, count(F.col(text)), "segment_token_count", maximum=maximum)
 
 
-def _pack(counts: Column, maximum: Column, separator_length: int) -> Column:
-    """Greedy chunks over an array of line counts, as (first line, lines, tokens).
-
-    The fold holds only numbers; a chunk's text is sliced out afterwards.
+def greedy_cuts(counts: list[int], maximum: int, separator_length: int) -> list[tuple[list[int], int]]:
+    """Chunks as ``(lines, tokens)``: lines above ``maximum`` are left out, the others packed in order."""
+    chunks: list[tuple[list[int], int]] = []
+    lines: list[int] = []
+    total = 0
+    for i, n in enumerate(counts):
+        if n > maximum:
+            continue
+        if lines and total + n + separator_length <= maximum:
+            lines.append(i)
+            total += n + separator_length
+            continue
+        if lines:
+            chunks.append((lines, total))
+        lines, total = [i], n
+    if lines:
+        chunks.append((lines, total))
+    return chunks
+
+
+def _chunk_rows(df: DataFrame, lines: Column, separator: str, text: str, columns: list[str]) -> DataFrame:
+    """One row per chunk. ``df`` has ``_counts``, ``_high`` and ``_low``; ``lines`` is the text or the array of its lines.
+
+    Each document is passed over once, in Arrow batches: time and memory are linear in it,
+    and no chunk's row ever carries the other lines.
     """
-
-    def chunk(acc: Column, at: Column) -> Column:
-        one = F.struct(acc["start"].alias("start"), (at - acc["start"]).alias("len"), acc["n"].alias("n"))
-        return F.concat(acc["done"], F.array(one))
-
-    def step(acc: Column, n: Column) -> Column:
-        proposed = acc["n"] + n + separator_length
-        return (
-            F.when(acc["n"].isNull(), F.struct((acc["i"] + 1).alias("i"), acc["i"].alias("start"), n.alias("n"), acc["done"].alias("done")))
-            .when(proposed <= maximum, F.struct((acc["i"] + 1).alias("i"), acc["start"].alias("start"), proposed.alias("n"), acc["done"].alias("done")))
-            .otherwise(
-                F.struct((acc["i"] + 1).alias("i"), acc["i"].alias("start"), n.alias("n"), chunk(acc, acc["i"]).alias("done"))
-            )
-        )
-
-    begin = F.struct(
-        F.lit(0).alias("i"),
-        F.lit(0).alias("start"),
-        F.lit(None).cast("bigint").alias("n"),
-        F.array().cast(_CHUNKS).alias("done"),
-    )
-    return F.aggregate(
-        counts, begin, step, lambda acc: F.when(acc["n"].isNull(), acc["done"]).otherwise(chunk(acc, acc["i"]))
-    )
-
-
-def _chunk_rows(
-    df: DataFrame, lines: str, counts: str, maximum: Column, minimum: Column | None, separator: str, text: str
-) -> DataFrame:
-    packed = df.withColumn("_chunks", _pack(F.col(counts), maximum, len(separator)))
-    chunks = F.col("_chunks") if minimum is None else F.filter("_chunks", lambda c: c["n"] >= minimum)
-    body = F.array_join(F.slice(F.col(lines), F.col("_chunk.start") + 1, F.col("_chunk.len")), separator)
-    rows = packed.select("*", F.posexplode(chunks).alias("segment_id", "_chunk"))
-    return rows.withColumns({text: body, "segment_token_count": F.col("_chunk.n")}).drop(
-        "_chunk", "_chunks", lines, counts
-    )
+    others = [c for c in columns if c != text]
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in others], f"`{text}` string", "segment_id int", "segment_token_count bigint"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[int] = []
+            texts: list[str] = []
+            numbers: list[int] = []
+            sizes: list[int] = []
+            held = 0
+
+            def out() -> pa.RecordBatch:
+                kept = [batch.column(c).take(pa.array(rows, pa.int64())) for c in others]
+                made = [pa.array(texts, pa.string()), pa.array(numbers, pa.int32()), pa.array(sizes, pa.int64())]
+                return pa.RecordBatch.from_arrays([*kept, *made], names=[*others, text, "segment_id", "segment_token_count"])
+
+            for i in range(batch.num_rows):
+                body, counts = batch.column("_lines")[i].as_py(), batch.column("_counts")[i]
+                if body is None or not counts.is_valid:
+                    continue
+                parts = body.split(separator) if isinstance(body, str) else body
+                low = batch.column("_low")[i].as_py()
+                number = 0
+                for chosen, total in greedy_cuts(counts.values.to_pylist(), batch.column("_high")[i].as_py(), len(separator)):
+                    if low is not None and total < low:
+                        continue
+                    rows.append(i)
+                    texts.append(separator.join([parts[k] for k in chosen]))
+                    numbers.append(number)
+                    sizes.append(total)
+                    number += 1
+                    held += len(texts[-1])
+                    if held >= 8_000_000:
+                        yield out()
+                        rows, texts, numbers, sizes, held = [], [], [], [], 0
+            if rows:
+                yield out()
+
+    given = df.select(*[F.col(f"`{c}`") for c in others], lines.alias("_lines"), "_counts", "_high", "_low")
+    return given.mapInArrow(run, schema).select(*[F.col(f"`{c}`") for c in columns], "segment_id", "segment_token_count")
 
 
 def greedy_join(
@@ -86,15 +123,15 @@ def greedy_join(
     others = [c for c in lines.columns if c not in (key, text, "segment_id", "segment_token_count")]
     line = F.struct("segment_id", F.col(text).alias("text"), F.col("segment_token_count").alias("n"))
     per_doc = lines.groupBy(key).agg(F.array_sort(F.collect_list(line)).alias("_l"), *[F.first(c).alias(c) for c in others])
-    arrays = per_doc.withColumns({"_lines": F.col("_l.text"), "_counts": F.col("_l.n")}).drop("_l")
-    return _chunk_rows(arrays, "_lines", "_counts", F.lit(maximum), None, separator, text)
+    arrays = per_doc.withColumns({"_counts": F.col("_l.n"), "_high": F.lit(maximum), "_low": F.lit(None).cast("int")})
+    return _chunk_rows(arrays, F.col("_l.text"), separator, text, [key, *others, text])
 
 
 def min_segment_tokens(segments: DataFrame, minimum: int) -> DataFrame:
     return segments.filter(F.col("segment_token_count") >= minimum)
 
 
-def _line_counts(lines: Column) -> Column:
+def line_counts_of(lines: Column) -> Column:
     return F.transform(lines, token_count)
 
 
@@ -104,23 +141,22 @@ def chunk_documents(
     minimum: int | Column,
     text: str = "text",
     separator: str = "\n",
-    line_counts=_line_counts,
+    line_counts=line_counts_of,
+    counts: str | None = None,
 ) -> DataFrame:
     """Split, filter, pack and filter again inside each row, without a row per line.
 
     ``segment_id`` counts the segments left, from 0. Both bounds may be columns.
     ``line_counts`` maps an array of lines to their token counts; a Pandas UDF
-    around another tokeniser fits.
+    around another tokeniser fits. ``counts`` names a column that holds the counts
+    already; it is dropped. A null text has no segment.
     """
-    high = maximum if isinstance(maximum, Column) else F.lit(maximum)
-    low = minimum if isinstance(minimum, Column) else F.lit(minimum)
-    split = df.withColumn("_all", F.split(F.col(text), rf"\Q{separator}\E", -1)).withColumn("_all_counts", line_counts(F.col("_all")))
-    zipped = F.arrays_zip(F.col("_all").alias("line"), F.col("_all_counts").alias("n"))
-    kept = split.withColumn("_kept", F.filter(zipped, lambda x: x["n"] <= high))
-    arrays = kept.withColumns({"_lines": F.col("_kept.line"), "_counts": F.col("_kept.n")}).drop("_all", "_all_counts", "_kept")
-    return _chunk_rows(arrays, "_lines", "_counts", high, low, separator, text).select(
-        *[F.col(f"`{c}`") for c in df.columns], F.col("segment_id"), F.col("segment_token_count")
-    )
+    counted = df if counts else df.withColumn("_counts", line_counts(F.split(F.col(text), rf"\Q{separator}\E", -1)))
+    bounds = {name: b if isinstance(b, Column) else F.lit(b) for name, b in (("_high", maximum), ("_low", minimum))}
+    if counts:
+        bounds["_counts"] = F.col(counts)
+    columns = [c for c in df.columns if c != counts]
+    return _chunk_rows(counted.withColumns(bounds), F.col(text), separator, text, columns)
 
 
 def chunk_equivalence(

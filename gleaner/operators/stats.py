@@ -14,7 +14,7 @@ def file_char_stats(df: DataFrame, file_col: str = "path", text: str = "text") -
     return df.groupBy(file_col).agg(
         F.count(text).alias("n"),
         F.sum(length).alias("sum"),
-        F.sum(length * length).alias("sumsq"),
+        F.sum((length * length).cast("decimal(38,0)")).cast("decimal(38,0)").alias("sumsq"),
         F.min(length).alias("min"),
         F.max(length).alias("max"),
         F.sum(lines).alias("sum_lines"),
@@ -25,7 +25,7 @@ def file_char_stats(df: DataFrame, file_col: str = "path", text: str = "text") -
 def _merged() -> list[Column]:
     n = F.sum("n")
     mean = F.try_divide(F.sum("sum"), n)
-    variance = F.greatest(F.try_divide(F.sum("sumsq"), n) - mean * mean, F.lit(0.0))
+    variance = F.greatest(F.try_divide(F.sum("sumsq").cast("double"), n) - mean * mean, F.lit(0.0))
     filled = F.col("n") > 0
     zero = F.lit(0)
     return [

@@ -31,9 +31,11 @@ def listed_hosts(docs: DataFrame, domains: DataFrame, url: str = "url", hot_rows
     with a NULL domain, so that a join by host knows to spread them.
     """
     hosts = docs.groupBy(host_or_empty(F.col(url)).alias("host")).agg(F.count(F.lit(1)).alias("rows"))
+    parents = hosts.select("host", F.explode(domain_suffixes(F.col("host"))).alias("domain"))
+    # A last label like "com" is the parent of most hosts: a listed one is known with its size.
+    sized = domains.select("domain").join(parents.groupBy("domain").agg(F.count(F.lit(1)).alias("hosts")), "domain")
     listed = (
-        hosts.select("host", F.explode(domain_suffixes(F.col("host"))).alias("domain"))
-        .join(domains.select("domain"), "domain")
+        lookup(parents, sized, "domain", spread_by="host", size_col="hosts", hot_rows=hot_rows)
         .groupBy("host")
         .agg(F.max_by("domain", F.length("domain")).alias("listed_domain"))
     )
@@ -71,7 +73,7 @@ def extra_blocklists(
     """Further optional lists: domains, whole URLs, and words that may not occur in a URL."""
     out = docs
     if words:
-        pattern = "(^|[^a-z0-9])(" + "|".join(sorted(words)) + ")($|[^a-z0-9])"
+        pattern = "(^|[^a-z0-9])(" + "|".join(rf"\Q{w}\E" for w in sorted(words)) + ")($|[^a-z0-9])"
         out = out.filter(F.coalesce(~F.lower(F.col(url)).rlike(pattern), F.lit(True)))
     if urls is not None:
         listed = urls.select(F.trim("url").alias("_url")).filter("_url <> ''").distinct().withColumn("_listed", F.lit(True))

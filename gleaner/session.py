@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,7 +27,8 @@ def local_session(cpus: int = 8, memory: str = "12g", app: str = "gleaner") -> S
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: the one named in ``spark.checkpoint.dir``.
 
-    Only a session that names none (tests, a laptop) gets a temporary folder.
+    Only a local session that names none (tests, a laptop) gets a temporary folder;
+    on a cluster that is an error.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -35,6 +37,8 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(named)
         return named.rstrip("/")
     if sc.getCheckpointDir() is None:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="gleaner-"))
     return sc.getCheckpointDir().rstrip("/")
 

@@ -9,11 +9,12 @@ from pyspark.sql.types import StructType
 
 BUCKET_COLUMN = "ensemble-max-int"
 TOP_BUCKETS = [18, 19]
+JSON_FILES = "*.{json,jsonl,json.gz,jsonl.gz,json.zst,jsonl.zst,json.bz2,jsonl.bz2}"
 
 
 def read_jsonl(spark: SparkSession, path, schema: StructType) -> DataFrame:
-    """All ``.jsonl``/``.json`` files below ``path``, with a given schema."""
-    return spark.read.schema(schema).option("recursiveFileLookup", True).json(path)
+    """All ``.jsonl``/``.json`` files below ``path``, compressed or not, with a given schema; others are left alone."""
+    return spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", JSON_FILES).json(path)
 
 
 def read_parquet(spark: SparkSession, path, columns: list[str] | None = None) -> DataFrame:
@@ -30,6 +31,8 @@ def read_paths_list(
     """
     reader = spark.read.schema(schema).format(fmt)
     if paths_file is None:
+        if fmt == "json":
+            return read_jsonl(spark, base, schema)
         return reader.option("recursiveFileLookup", True).load(base)
     names = [r[0].strip() for r in spark.read.text(paths_file).collect() if r[0].strip()]
     if not names:

@@ -13,9 +13,11 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-MARKER = "WARC/1.0\r\n"
+#: Begins the version line of every record; what follows is the minor version.
+MARKER = "WARC/1."
 RECORD_SCHEMA = "url string, warc_id string, source_id string, content string, file_name string, record_no bigint"
 
+_HEAD_END = re.compile(rb"</head|<body", re.IGNORECASE)
 _CHARSET = re.compile(rb"charset=[\"']?([A-Za-z0-9_.:-]+)", re.IGNORECASE)
 
 
@@ -24,11 +26,17 @@ def _headers(block: bytes) -> dict[str, str]:
     return {k.strip().lower().decode("latin-1"): v.strip().decode("utf-8", "replace") for k, sep, v in pairs if sep}
 
 
+def _head_end(body: bytes) -> int:
+    """End of the document head, or of the document."""
+    found = _HEAD_END.search(body)
+    return found.start() if found else len(body)
+
+
 def _decode(body: bytes, http_head: bytes) -> str:
     try:
         return body.decode("utf-8")
     except UnicodeDecodeError:
-        named = _CHARSET.search(http_head) or _CHARSET.search(body, 0, 2048)
+        named = _CHARSET.search(http_head) or _CHARSET.search(body, 0, _head_end(body))
         try:
             return body.decode(named.group(1).decode() if named else "latin-1", "replace")
         except LookupError:
@@ -120,7 +128,7 @@ def warc_lines(pages: DataFrame, url: str = "url", html: str = "html", record_id
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"), F.col(html))
     return pages.select(
         F.concat(
-            F.lit(MARKER + "WARC-Type: response\r\nWARC-Record-ID: <urn:uuid:"),
+            F.lit(MARKER + "0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:"),
             F.col(record_id).cast("string"),
             F.lit(">\r\nWARC-Target-URI: "),
             F.col(url),

@@ -32,7 +32,7 @@ def compare(df, con, sql: str) -> str:
     if cols != sorted(rel.columns):
         return f"columns {cols} != {sorted(rel.columns)}"
     duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
-    types = [(n, t, duck_types[n]) for n, t in df.dtypes if TYPE_NAMES.get(t, t) != duck_types[n] and not t.startswith("array")]
+    types = [(n, t, duck_types[n]) for n, t in df.dtypes if TYPE_NAMES.get(t, t.upper()) != duck_types[n] and not t.startswith("array")]
     note += f" TYPES {types}" if types else ""
     key = lambda row: tuple((v is None, str(v)) for v in row)
     start = time.time()
