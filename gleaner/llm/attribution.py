@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gleaner.llm.bpe import Vocabulary
 from gleaner.llm.disclosure import placed
-from gleaner.llm.text import column, once, whole
+from gleaner.llm.text import column, id_as_text, id_type, once, whole
 
 #: Which section gets a crossing token: that of its first or of its last character.
 RULES = ("first", "last")
@@ -79,13 +79,11 @@ def attribute(
             for _, some in frame.groupby(part, sort=False):
                 yield from _attributed(some, vocabulary, sizes, rule)
 
-    narrow = docs.select(
-        column(id_col).alias("doc_id"), whole(column(text_col)).alias("text"), starts.alias("starts"), ends.alias("ends")
-    )
-    kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInPandas(
-        run, f"doc_id {kind}, section bigint, start bigint, end bigint, n_tokens bigint, n_crossing bigint, doc_tokens bigint"
+    narrow = docs.select(id_as_text(id_col), whole(column(text_col)).alias("text"), starts.alias("starts"), ends.alias("ends"))
+    rows = narrow.mapInPandas(
+        run, "doc_id string, section bigint, start bigint, end bigint, n_tokens bigint, n_crossing bigint, doc_tokens bigint"
     )
+    return rows.withColumn("doc_id", F.col("doc_id").cast(id_type(docs, id_col)))
 
 
 def _attributed(frame: pd.DataFrame, vocabulary: Vocabulary, sizes: np.ndarray, rule: str) -> Iterator[pd.DataFrame]:

@@ -15,9 +15,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from gleaner.llm.text import column, once
+from gleaner.llm.text import column, id_as_text, id_type, once
 
 #: A worker forgets its fragments when it holds this many bytes of them (text and ids).
 CACHE_BYTES = 96_000_000
@@ -116,18 +116,20 @@ def _regex_safe() -> np.ndarray:
     return (~blank & ~continued & (right != ord("'"))).ravel()
 
 
-def encoder(path: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    def parts(texts: list[bytes]) -> Iterator[list[bytes]]:
-        part, held = [], 0
-        for t in texts:
-            part.append(t)
-            held += len(t)
-            if held >= PART_BYTES:
-                yield part
-                part, held = [], 0
-        if part:
+def parts(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """The texts in order, in lists of about PART_BYTES."""
+    part, held = [], 0
+    for t in texts:
+        part.append(t)
+        held += len(t)
+        if held >= PART_BYTES:
             yield part
+            part, held = [], 0
+    if part:
+        yield part
+
 
+def encoder(path: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = once(f"bpe:{path}", lambda: Vocabulary(path))
         for frame in frames:
@@ -154,20 +156,22 @@ def encode_rows(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     token; null and repeated ids keep their rows; an empty table gives an empty
     table; further columns are ignored. Rows don't move between tasks.
     """
-    narrow = docs.select(column(id_col).alias("doc_id"), column(text_col).alias("text"))
-    return narrow.mapInPandas(
-        encoder(path), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, round_trip boolean"
+    narrow = docs.select(id_as_text(id_col), column(text_col).alias("text"))
+    rows = narrow.mapInPandas(
+        encoder(path), "doc_id string, n_tokens bigint, ids_sha256 string, decoded_sha256 string, round_trip boolean"
     )
+    return rows.withColumn("doc_id", F.col("doc_id").cast(id_type(docs, id_col)))
 
 
-def token_ids(docs: DataFrame, path: str, out: str = "token_ids", text_col: str = "text") -> DataFrame:
-    """``docs`` with the token ids of each text in a new column ``out``."""
-    schema = docs.schema.add(out, "array<int>")
+def token_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, token_ids``: the ids themselves, one row per document; rules as in :func:`encode_rows`."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = once(f"bpe:{path}", lambda: Vocabulary(path))
         for frame in frames:
-            texts = [b"" if t is None else t.encode() for t in frame[text_col]]
-            yield frame.assign(**{out: [np.frombuffer(i, dtype="<u4").astype("int32") for i in vocabulary.ids(texts)]})
+            texts = [b"" if t is None else t.encode() for t in frame["text"]]
+            ids = [np.frombuffer(i, dtype="<u4").astype("int32") for part in parts(texts) for i in vocabulary.ids(part)]
+            yield frame[["doc_id"]].assign(token_ids=ids)
 
-    return docs.mapInPandas(run, schema)
+    narrow = docs.select(id_as_text(id_col), column(text_col).alias("text"))
+    return narrow.mapInPandas(run, "doc_id string, token_ids array<int>").withColumn("doc_id", F.col("doc_id").cast(id_type(docs, id_col)))

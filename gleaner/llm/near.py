@@ -19,7 +19,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gleaner.llm.text import column, fresh, once
+from gleaner.llm.text import column, fresh, id_as_text, id_type, once
 from gleaner.operators.components import connected_components
 from gleaner.operators.skew import lookup, spread_join
 from gleaner.session import store
@@ -311,18 +311,15 @@ def near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def _decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     narrow = docs.select(
-        column(id_col).alias("doc_id"),
+        id_as_text(id_col),
         column(text_col).alias("text"),
         _row_key(column(id_col), column(text_col)).alias("row_key"),
         F.xxhash64(column(text_col)).alias("text_key"),
     )
-    id_type = narrow.schema["doc_id"].dataType.simpleString()
-    rows = store(
-        narrow.mapInPandas(
-            _sketch, f"doc_id {id_type}, row_key bigint, text_key bigint, n bigint, klass binary, sketch array<bigint>"
-        ),
-        "sketches",
+    sketched = narrow.mapInPandas(
+        _sketch, "doc_id string, row_key bigint, text_key bigint, n bigint, klass binary, sketch array<bigint>"
     )
+    rows = store(sketched.withColumn("doc_id", F.col("doc_id").cast(id_type(docs, id_col))), "sketches")
     linked = connected_components(_links(docs, rows, text_col))
     sizes = rows.filter("klass is not null").groupBy("klass").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
     sizes = store(sizes, "class-sizes")

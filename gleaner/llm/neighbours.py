@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from gleaner.llm.samples import labelled_sample, remainder
-from gleaner.llm.text import column
+from gleaner.llm.text import column, id_as_text, id_type
 
 #: Bounds of the model: labelled documents per class, hashed features, latent dimensions.
 PER_CLASS = 1_500
@@ -122,9 +122,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
             at = [np.flatnonzero(r) for r in rows]
             yield frame[["doc_id", "label"]].assign(slots=at, counts=[r[i] for r, i in zip(rows, at)])
 
-    id_type = sample.schema["doc_id"].dataType.simpleString()
+    kind = sample.schema["doc_id"].dataType.simpleString()
     rows = (
-        sample.mapInPandas(counted, f"doc_id {id_type}, label int, slots array<int>, counts array<int>")
+        sample.mapInPandas(counted, f"doc_id {kind}, label int, slots array<int>, counts array<int>")
         .dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
     )
     x = np.zeros((len(rows), TERMS), dtype=np.float32)
@@ -169,10 +169,9 @@ def quality_rows(docs: DataFrame, labels: DataFrame, label: str = "quality", id_
             scores = [model.value.scores(term_counts(block, kinds, slots)) for block in blocks(texts)]
             yield frame[["doc_id"]].assign(score=np.concatenate(scores) if scores else [])
 
-    narrow = docs.select(column(id_col).alias("doc_id"), column(text_col).alias("text"))
-    id_type = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInPandas(scored, f"doc_id {id_type}, score double").select(
-        "doc_id",
+    narrow = docs.select(id_as_text(id_col), column(text_col).alias("text"))
+    return narrow.mapInPandas(scored, "doc_id string, score double").select(
+        F.col("doc_id").cast(id_type(docs, id_col)).alias("doc_id"),
         F.coalesce(remainder(F.col("doc_id"), PARTS) == HELD, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),

@@ -49,6 +49,15 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def id_as_text(id_col: str) -> Column:
+    """The id in the form in which it goes through Python: numbers beside nulls would become floating there."""
+    return column(id_col).cast("string").alias("doc_id")
+
+
+def id_type(docs: DataFrame, id_col: str) -> str:
+    return docs.select(column(id_col)).schema[0].dataType.simpleString()
+
+
 def once(key: str, make: Callable):
     """``make()``, kept for the life of this Python worker (vocabularies, tables)."""
     kept = sys.__dict__.setdefault("_gleaner_kept", {})

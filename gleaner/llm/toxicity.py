@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from gleaner.llm.samples import labelled_sample, labelled_share, remainder
-from gleaner.llm.text import column
+from gleaner.llm.text import column, id_as_text, id_type
 from gleaner.session import store
 
 PARTS, HELD = 5, 0
@@ -317,10 +317,9 @@ def toxicity_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_c
             chance = sent.value.probability(np.array([f[0] for f in found], dtype=np.float64).reshape(len(found), TOP))
             yield frame[["doc_id"]].assign(score=chance, worst_word=pd.Series([f[1] for f in found], dtype=object, index=frame.index))
 
-    narrow = docs.select(column(id_col).alias("doc_id"), column(text_col).alias("text"))
-    kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInPandas(scored, f"doc_id {kind}, score double, worst_word string").select(
-        "doc_id",
+    narrow = docs.select(id_as_text(id_col), column(text_col).alias("text"))
+    return narrow.mapInPandas(scored, "doc_id string, score double, worst_word string").select(
+        F.col("doc_id").cast(id_type(docs, id_col)).alias("doc_id"),
         F.coalesce(remainder(F.col("doc_id"), PARTS) == HELD, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
