@@ -54,14 +54,11 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     level = (share * F.sum("source_size").over(everything) - repeats * F.coalesce(F.sum("source_size").over(by_cap), F.lit(0))) / (
         F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(by_cap), F.lit(0))
     )
-    # If all sources before this one are capped, the others would rise to this level.
-    leveled = ranked.withColumn("level", level)
-    fits = F.when(F.col("level") * F.col("weight") <= repeats * F.col("source_size"), F.col("level"))
-    return leveled.withColumn("fit", F.min(fits).over(everything)).select(
-        "skey",
-        "source_size",
-        F.least((repeats * F.col("source_size")).cast("double"), F.coalesce(F.col("fit") * F.col("weight"), (repeats * F.col("source_size")).cast("double"))).alias("target"),
-    )
+    # The level if just the sources before this one are capped. It rises while they are rightly
+    # so, as each gives up some of its share, and falls once one is capped without need.
+    cap = (repeats * F.col("source_size")).cast("double")
+    leveled = ranked.withColumn("level", level).withColumn("level", F.max("level").over(everything))
+    return leveled.select("skey", "source_size", F.least(cap, F.col("level") * F.col("weight")).alias("target"))
 
 
 def _boundary(histogram: DataFrame, keys: list[str], bucket: str) -> DataFrame:

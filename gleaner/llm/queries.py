@@ -55,7 +55,7 @@ WITH r AS (
   WINDOW before AS (ORDER BY source_size::DOUBLE / weight, skey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), t AS (
   SELECT skey, source_size,
-         least(2.0::DOUBLE * source_size, coalesce(min(CASE WHEN level * weight <= 2 * source_size THEN level END) OVER () * weight, 2.0::DOUBLE * source_size)) AS target
+         least(2.0::DOUBLE * source_size, max(level) OVER () * weight) AS target
   FROM l
 ), g AS (
   SELECT *, CASE WHEN source_size > 0 THEN least(CAST(floor(target / source_size) AS BIGINT), 2) ELSE 0 END AS copies FROM t
