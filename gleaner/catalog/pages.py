@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import functions as F
 
 from gleaner.catalog.base import query, table
@@ -25,10 +27,13 @@ def _unescaped(text: str) -> str:
         for n, v in {"&amp;": "'&'", "&lt;": "'<'", "&gt;": "'>'", "&quot;": "'\"'", "&apos;": "''''", "&nbsp;": "' '"}.items()
     )
     known = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
+    names = sorted(n for n in html5 if n.endswith(";"))
+    values = "\x01".join(html5[n] for n in names).replace("'", "''")
+    table = f"map(string_split('{' '.join(names)}', ' '), string_split('{values}', chr(1)))"
     return (
-        rf"array_to_string(list_transform(regexp_extract_all({text}, '&(?:amp|lt|gt|quot|apos|nbsp|#[0-9]{{1,7}}|#[xX][0-9A-Fa-f]{{1,6}});|[^&]+|&'), "
+        rf"array_to_string(list_transform(regexp_extract_all({text}, '&(?:[A-Za-z][A-Za-z0-9]{{1,31}}|#[0-9]{{1,7}}|#[xX][0-9A-Fa-f]{{1,6}});|[^&]+|&'), "
         f"lambda e: CASE {named} WHEN regexp_full_match(e, '{known}') AND (({code}) BETWEEN 1 AND 55295 OR ({code}) BETWEEN 57344 AND 1114111) "
-        f"THEN chr(({code})::INTEGER) ELSE e END), '')"
+        f"THEN chr(({code})::INTEGER) WHEN regexp_full_match(e, '&[A-Za-z][A-Za-z0-9]*;') THEN coalesce({table}[substr(e, 2)], e) ELSE e END), '')"
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, functions as F
 
 from gleaner.functions.text import let, replace_matches
@@ -16,10 +18,16 @@ BLOCK_TAGS = (
 BLOCK = rf"(?i)</?({BLOCK_TAGS}){_ATTRIBUTES}>"
 LINK = rf"(?is)<a{_ATTRIBUTES}>(.*?)</a[ \t\n\r\f]*>"
 LINE_BREAK = rf"(?i)<br{_ATTRIBUTES}>"
-ENTITY = r"&(?:amp|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
+ENTITY = r"&(?:[A-Za-z][A-Za-z0-9]{1,31}|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
 NAMED = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " "}
 
 
+def _entity_names() -> Column:
+    """All names of the standard with their characters, as a map that is folded into a constant."""
+    names = sorted(n for n in html5 if n.endswith(";"))
+    return F.map_from_arrays(F.split(F.lit(" ".join(names)), " "), F.split(F.lit("\x01".join(html5[n] for n in names)), "\x01"))
+
+
 def _entity_text(entity: Column) -> Column:
     digits = F.regexp_extract(entity, "#[xX]?([0-9A-Fa-f]+);", 1)
     decimal = F.conv(digits, 10, 10).cast("bigint")
@@ -27,11 +35,12 @@ def _entity_text(entity: Column) -> Column:
     code = F.when(entity.rlike("^&#[xX]"), hexadecimal).otherwise(decimal)
     is_char = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
     char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    return F.when(entity == "&amp;", F.lit("&")).when(is_char, char).otherwise(entity)
+    named = F.element_at(_entity_names(), F.substring(entity, 2, 40))
+    return F.when(entity == "&amp;", F.lit("&")).when(is_char, char).otherwise(F.coalesce(named, entity))
 
 
 def unescape(text: Column) -> Column:
-    """Replace the common named and all numeric entities, each once.
+    """Replace all named and numeric entities, each once; unknown names stay.
 
     Names that do not give an ampersand are plain replacements. Ampersands and
     numbers go together in one pass, so that none is read twice.
@@ -39,7 +48,7 @@ def unescape(text: Column) -> Column:
 
     def rest(t: Column) -> Column:
         numbered = replace_matches(t, ENTITY, _entity_text)
-        return F.when(t.contains("&#"), numbered).otherwise(F.replace(t, F.lit("&amp;"), F.lit("&")))
+        return F.when(t.rlike("&(?!amp;)[A-Za-z#]"), numbered).otherwise(F.replace(t, F.lit("&amp;"), F.lit("&")))
 
     for name, value in NAMED.items():
         text = F.replace(text, F.lit(name), F.lit(value))

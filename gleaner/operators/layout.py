@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gleaner.operators.prefix import row_index, running_totals
-from gleaner.operators.skew import first_per_group, small_or_none
+from gleaner.operators.skew import first_per_group, lookup, small_or_none
 
 
 def record_limit(df: DataFrame, n: int, file_col: str = "file_name", order: str = "doc_id", salts: int = 64) -> DataFrame:
@@ -14,8 +14,19 @@ def record_limit(df: DataFrame, n: int, file_col: str = "file_name", order: str
 
 
 def kept_and_removed(df: DataFrame, removed: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Two disjoint frames: rows whose key is not, and is, in ``removed``."""
-    return df.join(removed.select(key), key, "left_anti"), df.join(removed.select(key), key, "left_semi")
+    """Two disjoint frames: rows whose key is not, and is, in ``removed``.
+
+    The rows are flagged by one join, which moves none of them while the keys are
+    measured to be few enough to broadcast.
+    """
+    flagged = lookup(df, removed.select(key).distinct().withColumn("_gone", F.lit(True)), key, spread_by=key, how="left")
+    return flagged.filter("_gone is null").drop("_gone"), flagged.filter("_gone").drop("_gone")
+
+
+def write_sides(kept: DataFrame, removed: DataFrame, path: str) -> None:
+    """Kept and removed documents in trees of their own, each with its own columns."""
+    kept.write.parquet(f"{path}/kept")
+    removed.write.parquet(f"{path}/removed")
 
 
 def json_bytes(df: DataFrame) -> Column:
@@ -90,7 +101,8 @@ def invert_layout(df: DataFrame, path: str, outer: str = "task", inner: str = "s
     if done is not None:
         pairs, small = small_or_none(done.select(outer, inner).distinct())
         todo = df.join(F.broadcast(pairs) if small else pairs, [outer, inner], "left_anti")
-    todo.write.mode("append").partitionBy(outer, inner).parquet(path)
+    # Rows of a folder meet first, so that not every task writes a file into every folder; large ones are split.
+    todo.hint("rebalance", outer, inner).write.mode("append").partitionBy(outer, inner).parquet(path)
     return todo
 
 

@@ -32,12 +32,14 @@ def curate_pages(
     domains, redact, remove exact copies. HTML is read once; only extracted text
     goes through a shuffle.
     """
-    texts = extract_text(pages, stopwords, key="warc_id", html="content")
-    docs = texts.join(pages.drop("content"), "warc_id")
+    # The other columns travel with the key, so the source is read and unpacked once.
+    others = F.struct(*[F.col(f"`{c}`") for c in pages.columns if c != "content"])
+    texts = extract_text(pages.select(others.alias("_page"), "content"), stopwords, key="_page", html="content")
+    docs = texts.select("_page.*", *[c for c in texts.columns if c != "_page"])
     tagged = parse_language(language_score_filter(lang_id(docs, language_model)))
     clean = language_filter(tagged, targets).withColumn("text", unicode_cleanup(F.col("text")))
     kept, _ = url_pii_stage(store(clean, "extracted"), domains)
-    return select_output_fields(exact_dedup(kept, key="warc_id"))
+    return select_output_fields(exact_dedup(store(kept, "redacted"), key="warc_id"))
 
 
 def curate_documents(

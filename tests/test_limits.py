@@ -145,3 +145,23 @@ def test_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(Session())
+
+
+def test_entity_names(spark):
+    from gleaner.functions.html import unescape
+
+    text = "caf&eacute; &ndash; &copy;2020 &amp;lt; &lt;b&gt; &#233;&#xe9; &nosuch; &AMP; a&b &notin; R&D; &"
+    got = spark.createDataFrame([(text,)], "t string").select(unescape(F.col("t"))).first()[0]
+    assert got == "café – ©2020 &lt; <b> éé &nosuch; & a&b ∉ R&D; &"
+
+
+def test_repeated_page_ids_do_not_multiply(spark):
+    from gleaner.plans.curate import curate_pages
+
+    body = "<html lang=en><body><p>" + "the cat and the dog are in the house and the garden is on the hill " * 6 + "{}</p></body></html>"
+    pages = [("http://a.example/1", "w1", "s", body.format("one"), "f"), ("http://b.example/2", "w1", "s", body.format("two"), "f")]
+    df = spark.createDataFrame(pages, "url string, warc_id string, source_id string, content string, file_name string")
+    stops = spark.createDataFrame([("en", w) for w in ("the", "and", "in", "is", "on", "are")], "lang string, word string")
+    model = langid.train_language_model(spark.createDataFrame([("the cat and the dog", "en"), ("der hund", "de")], "text string, lang string"))
+    listed = spark.createDataFrame([("b.example",)], "domain string")
+    assert [r.url for r in curate_pages(df, stops, model, listed).collect()] == ["http://a.example/1"]
