@@ -127,10 +127,17 @@ def _around(text: Column, span: Column) -> Column:
 
 
 def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, key, base, near``: base spans, and the terms around each."""
+    """``doc_id, key, base, near, terms``: base spans, the terms around each, and all terms of a text with spans."""
     texts = docs.select(column(id_col).alias("doc_id"), whole(column(text_col)).alias("text"))
     spans = bound(base_spans(F.col("text")), lambda s: F.struct(s.alias("base"), F.transform(s, lambda x: _around(F.col("text"), x)).alias("near")))
-    return store(texts.select("doc_id", F.md5("text").alias("key"), spans.alias("s")).select("doc_id", "key", "s.base", "s.near"), "spans")
+    found = texts.select("doc_id", "text", F.md5("text").alias("key"), spans.alias("s"))
+    terms = F.when(F.size("s.base") > 0, F.array_distinct(F.transform(words(F.col("text")), term_of)))
+    return store(found.select("doc_id", "key", "s.base", "s.near", terms.alias("terms")), "spans")
+
+
+def _salted(candidates: DataFrame) -> DataFrame:
+    """Their terms, once each. How often a term occurs isn't known yet: beyond a broadcast all are salted."""
+    return candidates.select("term").distinct().withColumn("rows", F.lit(1 << 40))
 
 
 def revealing_terms(docs: DataFrame, rows: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame | None]:
@@ -144,17 +151,22 @@ def revealing_terms(docs: DataFrame, rows: DataFrame, text_col: str = "text") ->
     pairs = placed.select("key", F.lower("x.base.value").alias("entity"), F.col("x.near").alias("near"))
     entities = pairs.select("key", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     together = pairs.select("key", "entity", F.explode("near").alias("term")).distinct()
-    candidates = store(
-        together.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n_te")).filter(F.col("n_te") >= SUPPORT).join(entities, "entity"),
-        "candidates",
-    )
+    # A term occurs in no fewer texts than it does near entities, nor than in texts with
+    # entities. If it fails by these counts it fails by the whole count, so common words
+    # are ruled out before the corpus is searched.
+    near = together.select("key", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
+    pairs = together.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n_te")).filter(F.col("n_te") >= SUPPORT)
+    likely = pairs.join(near, "term").filter(F.col("n_te") >= GENERALISE * F.col("n_near")).drop("n_near")
+    likely = store(likely.join(entities, "entity"), "likely")
+    within = rows.filter("terms is not null").select("key", F.explode("terms").alias("term"))
+    within = lookup(within, _salted(likely), "term", spread_by="key", size_col="rows").distinct()
+    within = within.groupBy("term").agg(F.count(F.lit(1)).alias("n_within"))
+    candidates = store(likely.join(within, "term").filter(F.col("n_te") >= GENERALISE * F.col("n_within")).drop("n_within"), "candidates")
     if candidates.isEmpty():
         return candidates.select("term", F.lit("").alias("action")).limit(0), None
-    # How often a term was seen near entities bounds nothing: its rows are salted as if it were everywhere.
-    listed = candidates.select("term").distinct().withColumn("rows", F.lit(1 << 40))
     text = whole(column(text_col))
     spoken = docs.select(F.md5(text).alias("key"), F.explode(F.array_distinct(F.transform(words(text), term_of))).alias("term"))
-    hits = store(lookup(spoken, listed, "term", spread_by="key", size_col="rows").distinct(), "hits")
+    hits = store(lookup(spoken, _salted(candidates), "term", spread_by="key", size_col="rows").distinct(), "hits")
     counts = hits.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     total = rows.select("key").distinct().count()
     chance = F.col("n_te") / F.col("n_t")
@@ -198,6 +210,7 @@ def span_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     none = F.array().cast(_SPAN)
     if hits is None or actions.isEmpty():
         return rows.select("doc_id", "key", "base", none.alias("terms"))
+    rows = rows.drop("terms")
     table = store(_term_spans(docs, actions, hits, text_col), "term-spans")
     sizes = lookup(rows.select("key"), table.select("key"), "key", spread_by="key").groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
     joined = lookup(rows, table.join(sizes, "key"), "key", spread_by="doc_id", size_col="rows", how="left")
