@@ -86,6 +86,10 @@ class Model:
     good: np.ndarray
     votes: np.ndarray
 
+    def parts(self) -> tuple:
+        """Plain values to broadcast: executors need not know this package."""
+        return self.idf, self.basis, self.vectors, self.good, self.votes
+
     def project(self, counts: np.ndarray) -> np.ndarray:
         return _unit(_unit(np.log1p(counts).astype(np.float32) * self.idf) @ self.basis)
 
@@ -149,7 +153,7 @@ def quality_rows(docs: DataFrame, labels: DataFrame, label: str = "quality", id_
     out. Without any label all scores are one half. Repeated rows score alike; an empty
     table gives an empty table; further columns are ignored.
     """
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, label, id_col, text_col, per_class))
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, label, id_col, text_col, per_class).parts())
 
     def blocks(texts: list[bytes]) -> Iterator[list[bytes]]:
         block, held = [], 0
@@ -163,10 +167,10 @@ def quality_rows(docs: DataFrame, labels: DataFrame, label: str = "quality", id_
             yield block
 
     def scored(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kinds, slots = _byte_kinds(), _trigram_slots()
+        model, kinds, slots = Model(*sent.value), _byte_kinds(), _trigram_slots()
         for frame in frames:
             texts = [b"" if t is None else t.encode() for t in frame["text"]]
-            scores = [model.value.scores(term_counts(block, kinds, slots)) for block in blocks(texts)]
+            scores = [model.scores(term_counts(block, kinds, slots)) for block in blocks(texts)]
             yield frame[["doc_id"]].assign(score=np.concatenate(scores) if scores else [])
 
     narrow = docs.select(id_as_text(id_col), column(text_col).alias("text"))

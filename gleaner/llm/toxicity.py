@@ -141,6 +141,10 @@ class Machine:
     slopes: tuple[float, ...] = (1.0, 0.0, 0.0)
     offset: float = 0.0
 
+    def parts(self) -> tuple:
+        """Plain values to broadcast: executors need not know this package."""
+        return self.weights, self.bias, tuple(map(float, self.slopes)), self.offset
+
     def of_words(self, words: list[str], table: np.ndarray) -> np.ndarray:
         parts, owner = pieces(words)
         codes, part, lengths = _flat(parts, table)
@@ -276,10 +280,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
         return never
     for turn in range(ROUNDS + 1):
         machine = _train(toxic, clean)
-        sent = sample.sparkSession.sparkContext.broadcast(machine)
+        sent = sample.sparkSession.sparkContext.broadcast(machine.parts())
 
         def worst(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            score = sent.value.scorer()
+            score = Machine(*sent.value).scorer()
             for frame in frames:
                 found = [score(t) for t in frame["text"]]
                 yield frame[["doc_id", "label"]].assign(scores=[f[0] for f in found], word=pd.Series([f[1][:200] for f in found], dtype=object, index=frame.index))
@@ -308,13 +312,14 @@ def toxicity_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_c
     held out. Without labels of both classes nothing is toxic. Repeated rows score
     alike; an empty table gives an empty table; further columns are ignored.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, label, id_col, text_col, per_class))
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, label, id_col, text_col, per_class).parts())
 
     def scored(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        score = sent.value.scorer()
+        machine = Machine(*sent.value)
+        score = machine.scorer()
         for frame in frames:
             found = [score(t) for t in frame["text"]]
-            chance = sent.value.probability(np.array([f[0] for f in found], dtype=np.float64).reshape(len(found), TOP))
+            chance = machine.probability(np.array([f[0] for f in found], dtype=np.float64).reshape(len(found), TOP))
             yield frame[["doc_id"]].assign(score=chance, worst_word=pd.Series([f[1] for f in found], dtype=object, index=frame.index))
 
     narrow = docs.select(id_as_text(id_col), column(text_col).alias("text"))
