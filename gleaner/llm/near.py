@@ -178,32 +178,44 @@ def _estimates(sketches: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
     common = _overlaps(sketches)
     # A sketch that holds its whole set is complete everywhere.
     ends = np.array([s[-1] if len(s) < n else np.iinfo(np.int64).max for s, n in zip(sketches, sizes)])
+    # Own values up to the other's end; up to the own end there are all.
     under = np.array([np.searchsorted(s, ends, side="right") for s in sketches], dtype=np.float64)
-    length = np.array([len(s) for s in sketches], dtype=np.float64)
-    under = np.minimum(under, length[:, None])
-    union = under + under.T - common
-    # Each entry counts own values up to the other's end; up to the own end there are all.
-    return common / np.maximum(union, 1)
+    return common / np.maximum(under + under.T - common, 1)
+
+
+def _pair_estimate(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int) -> float:
+    """:func:`_estimates` for one pair."""
+    ends = [s[-1] for s, n in ((a, size_a), (b, size_b)) if len(s) < n]
+    if ends:
+        a, b = (s[: np.searchsorted(s, min(ends), side="right")] for s in (a, b))
+    common = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
+    return common / max(1, len(a) + len(b) - common)
 
 
 def _comparable(sizes: np.ndarray) -> np.ndarray:
     return 100 * np.minimum.outer(sizes, sizes) >= PERCENT * np.maximum.outer(sizes, sizes)
 
 
-def _by_task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The rows of each task whole; batches come sorted by task."""
-    held: list[pd.DataFrame] = []
+def _by_task(frames: Iterator[pd.DataFrame], names: list[str]) -> Iterator[list[np.ndarray]]:
+    """The named columns of each task's rows; batches come sorted by task."""
+    held: list[list[np.ndarray]] = []
+    last = None
+
+    def whole() -> list[np.ndarray]:
+        return held[0] if len(held) == 1 else [np.concatenate(c) for c in zip(*held)]
+
     for frame in frames:
-        cuts = [0, *(np.flatnonzero(frame["task"].values[1:] != frame["task"].values[:-1]) + 1), len(frame)]
+        task = frame["task"].to_numpy()
+        columns = [frame[c].to_numpy() for c in names]
+        cuts = [0, *(np.flatnonzero(task[1:] != task[:-1]) + 1).tolist(), len(task)]
         for a, b in zip(cuts, cuts[1:]):
-            if a == b:
-                continue
-            if held and held[-1]["task"].values[-1] != frame["task"].values[a]:
-                yield pd.concat(held) if len(held) > 1 else held[0]
+            if held and task[a] != last:
+                yield whole()
                 held = []
-            held.append(frame.iloc[a:b])
+            held.append([c[a:b] for c in columns])
+            last = task[a]
     if held:
-        yield pd.concat(held) if len(held) > 1 else held[0]
+        yield whole()
 
 
 def _batched(rows: Iterator[tuple], names: list[str]) -> Iterator[pd.DataFrame]:
@@ -221,16 +233,15 @@ def _survivors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Members with at least one partner that the sketches don't rule out."""
 
     def rows() -> Iterator[tuple]:
-        for group in _by_task(frames):
-            if len(group) < 2:
-                continue
-            sizes, sketches = group["n"].values, list(group["sketch"])
-            if len(group) == 2 and 100 * sizes.min() < PERCENT * sizes.max():
-                continue
-            near = _comparable(sizes) & (_estimates(sketches, sizes) >= LEAST_ESTIMATE)
-            np.fill_diagonal(near, False)
-            for i in np.flatnonzero(near.any(axis=1)):
-                yield group["hub"].values[i], group["klass"].values[i], int(sizes[i])
+        for hub, klass, sizes, sketches in _by_task(frames, ["hub", "klass", "n", "sketch"]):
+            if len(sizes) == 2:
+                small, large = sorted(sizes.tolist())
+                if 100 * small >= PERCENT * large and _pair_estimate(*sketches, *sizes) >= LEAST_ESTIMATE:
+                    yield from ((hub[i], klass[i], int(sizes[i])) for i in (0, 1))
+            elif len(sizes) > 2:
+                near = _comparable(sizes) & (_estimates(list(sketches), sizes) >= LEAST_ESTIMATE)
+                np.fill_diagonal(near, False)
+                yield from ((hub[i], klass[i], int(sizes[i])) for i in np.flatnonzero(near.any(axis=1)))
 
     yield from _batched(rows(), ["hub", "klass", "n"])
 
@@ -253,16 +264,15 @@ def _verified(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Links confirmed on full sets: a spanning forest of each task's links."""
 
     def rows() -> Iterator[tuple]:
-        for group in _by_task(frames):
-            if len(group) < 2:
+        for klass, values in _by_task(frames, ["klass", "values"]):
+            if len(klass) < 2:
                 continue
-            sets = [np.frombuffer(v, dtype=np.int64) for v in group["values"]]
+            sets = [np.frombuffer(v, dtype=np.int64) for v in values]
             sizes = np.array([len(s) for s in sets])
             common = _overlaps(sets)
             links = 100 * common >= PERCENT * (sizes[:, None] + sizes[None, :] - common)
             np.fill_diagonal(links, False)
-            for i, j in _forest(links):
-                yield group["klass"].values[i], group["klass"].values[j]
+            yield from ((klass[i], klass[j]) for i, j in _forest(links))
 
     yield from _batched(rows(), ["src", "dst"])
 
