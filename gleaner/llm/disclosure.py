@@ -1,15 +1,16 @@
 """Personal data: patterns, and terms that give protected entities away.
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers with their places.
-The corpus then shows which words stand near an entity so often, and elsewhere so seldom,
-that they reveal it: from the number of distinct texts with both, with the term and with the
-entity follow the chance of the entity given the term and the pointwise mutual
-information. Terms above the thresholds are generalised or removed. All of it is made of
-built-in expressions and joins.
+The corpus then shows which words share their texts with an entity so often, and stand
+elsewhere so seldom, that they reveal it: from the number of distinct texts with both, with
+the term and with the entity follow the chance of the entity given the term and the
+pointwise mutual information. Terms above the thresholds are generalised or removed. All of it is made of built-in expressions and joins.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gleaner.llm.text import bound, column, fresh, whole, words
@@ -28,16 +29,15 @@ PATTERNS = {
 #: What a text must hold for a search to make sense.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 
-#: Words on each side of an entity, within so many characters, that may give it away.
-NEAR_WORDS = 6
-NEAR_CHARS = 96
-#: Distinct texts that must show term and entity together; bits of mutual information.
+#: Distinct texts that must show term and entity together.
 SUPPORT = 3
+#: Bits of mutual information.
 LEAST_BITS = 5.0
 #: Chance of the entity given the term from which the term is generalised, and removed.
 GENERALISE = 0.5
 REMOVE = 0.8
-TERM = r"^\p{L}{3,40}$"
+#: A term is any word with a letter or digit.
+TERM = r"[\p{L}\p{N}]"
 
 _BLOCK = 256
 _SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
@@ -117,22 +117,95 @@ def term_of(word: Column) -> Column:
     return F.lower(F.btrim(word, F.lit(".,;:!?\"'()[]{}<>*")))
 
 
-def _around(text: Column, span: Column) -> Column:
-    """Terms near a span."""
-    before = F.substring(text, F.greatest(span["start"] - (NEAR_CHARS - 1), F.lit(1)), F.least(span["start"], F.lit(NEAR_CHARS)))
-    after = F.substring(text, span["end"] + 1, F.lit(NEAR_CHARS))
-    last = bound(words(before), lambda w: F.slice(w, F.greatest(F.size(w) - NEAR_WORDS + 1, F.lit(1)), NEAR_WORDS))
-    near = F.concat(last, F.slice(words(after), 1, NEAR_WORDS))
-    return F.filter(F.transform(near, term_of), lambda t: F.regexp_like(t, F.lit(TERM)))
+def in_order(spans: Column) -> Column:
+    return F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+
+
+def replaced(text: Column, spans: Column, mark: Callable[[Column], Column]) -> Column:
+    """The text with marks for spans in order; of overlapping ones the first counts. Null for null spans."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+
+    def step(state: Column, s: Column) -> Column:
+        more = F.concat(state["parts"], F.array(F.substring(text, state["at"] + 1, s["start"] - state["at"]), mark(s)))
+        return F.when(s["start"] >= state["at"], F.struct(s["end"].alias("at"), more.alias("parts"))).otherwise(state)
+
+    def rest(state: Column) -> Column:
+        return F.concat(F.array_join(state["parts"], ""), F.substring(text, state["at"] + 1, F.length(text)))
+
+    return F.aggregate(spans, start, step, rest)
+
+
+def terms_of(text: Column) -> Column:
+    """The distinct terms of a text."""
+    return F.array_distinct(F.filter(F.transform(words(text), term_of), lambda t: F.regexp_like(t, F.lit(TERM))))
 
 
 def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, key, base, near, terms``: base spans, the terms around each, and all terms of a text with spans."""
+    """``doc_id, key, uid, base, entities, terms, inner``: base spans, and of texts with spans the distinct values and terms.
+
+    A word that occurs only within spans is no term of its text but an ``inner`` one.
+    Mail and IP addresses lie within a word, cards and phone numbers may take several.
+    """
     texts = docs.select(column(id_col).alias("doc_id"), whole(column(text_col)).alias("text"))
-    spans = bound(base_spans(F.col("text")), lambda s: F.struct(s.alias("base"), F.transform(s, lambda x: _around(F.col("text"), x)).alias("near")))
-    found = texts.select("doc_id", "text", F.md5("text").alias("key"), spans.alias("s"))
-    terms = F.when(F.size("s.base") > 0, F.array_distinct(F.transform(words(F.col("text")), term_of)))
-    return store(found.select("doc_id", "key", "s.base", "s.near", terms.alias("terms")), "spans")
+    found = texts.select("doc_id", "text", F.md5("text").alias("key"), base_spans(F.col("text")).alias("base"))
+    value = lambda s: F.lower(s["value"])
+    single = F.transform(F.filter("base", lambda s: s["kind"].isin("email", "ip")), value)
+    several = F.filter("base", lambda s: s["kind"].isin("card", "phone"))
+    # The mark is no blank, so what is stuck to a number doesn't become a word.
+    apart = F.when(F.size(several) > 0, replaced(F.col("text"), in_order(several), lambda s: F.lit("\ue000"))).otherwise(F.col("text"))
+    held = F.size("base") > 0
+    found = found.withColumn("every", F.when(held, terms_of(F.col("text")))).withColumn("terms", F.when(held, F.array_except(terms_of(apart), single)))
+    return store(
+        found.select(
+            "doc_id", "key", F.monotonically_increasing_id().alias("uid"), "base",
+            F.when(held, F.array_distinct(F.transform("base", value))).alias("entities"),
+            "terms", F.array_except("every", "terms").alias("inner"),
+        ),
+        "spans",
+    )
+
+
+def _classes(texts: DataFrame, items: str, name: str, n: str) -> DataFrame:
+    """``name, n, same``: the items of SUPPORT texts and more, the texts of each, and the least item in just the same texts.
+
+    Items in the same texts have all counts in common, so one of them is counted for all.
+    Sets of distinct texts are the same if their size and 128 bits of their hashes are.
+    """
+    said = texts.select("key", F.explode(items).alias(name))
+    bits = [F.bit_xor(F.xxhash64("key", F.lit(i))).alias(f"set{i}") for i in (0, 1)]
+    counts = store(said.groupBy(name).agg(F.count(F.lit(1)).alias(n), *bits).filter(F.col(n) >= SUPPORT), f"{name}-counts")
+    least = counts.groupBy(n, "set0", "set1").agg(F.min(name).alias("same"))
+    return store(counts.join(least, [n, "set0", "set1"]).select(name, n, "same"), f"{name}-classes")
+
+
+def _distinct(rows: DataFrame) -> DataFrame:
+    """One row of each text with spans."""
+    held = rows.filter("size(base) > 0").select("key", "uid", "entities", "terms", "inner")
+    first = store(held.groupBy("key").agg(F.min("uid").alias("uid")).select("uid"), "first")
+    return store(lookup(held, first, "uid", spread_by="key"), "texts")
+
+
+def _likely(texts: DataFrame) -> DataFrame:
+    """``term, n_te, n_e``: terms that may reveal an entity, by the texts with entities alone.
+
+    A term occurs in no fewer texts than in texts with entities. If it fails by that
+    count it fails by the whole count. A pair is only made where the entity is in enough
+    texts for the term: words more common than twice the entity are never paired with it.
+    """
+    entities = _classes(texts, "entities", "entity", "n_e")
+    most = entities.agg(F.coalesce(F.max("n_e"), F.lit(0))).first()[0]
+    terms = _classes(texts, "terms", "term", "n_w").filter(F.col("n_w") * GENERALISE <= most)
+
+    def chosen(items: str, name: str, table: DataFrame, n: str) -> DataFrame:
+        """``uid, name, n``: the items of each text that stand for their class."""
+        said = texts.select("uid", F.explode(items).alias(name))
+        return lookup(said, table.filter(F.col(name) == F.col("same")).select(name, n, F.col(n).alias("rows")), name, spread_by="uid", size_col="rows")
+
+    pairs = chosen("terms", "term", terms, "n_w").join(chosen("entities", "entity", entities, "n_e"), "uid")
+    pairs = pairs.filter(F.col("n_w") * GENERALISE <= F.col("n_e")).groupBy("term", "entity", "n_w", "n_e").agg(F.count(F.lit(1)).alias("n_te"))
+    pairs = pairs.filter((F.col("n_te") >= SUPPORT) & (F.col("n_te") >= GENERALISE * F.col("n_w")))
+    counts = pairs.select(F.col("term").alias("same"), "n_te", "n_e").distinct()
+    return terms.select("term", "same").join(counts, "same").drop("same")
 
 
 def _salted(candidates: DataFrame) -> DataFrame:
@@ -143,31 +216,19 @@ def _salted(candidates: DataFrame) -> DataFrame:
 def revealing_terms(docs: DataFrame, rows: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame | None]:
     """``(term, action)`` for the terms above the thresholds, and ``(key, term)`` of the texts that hold candidates.
 
-    Copies of a text count once. Only terms that stand near one entity in SUPPORT texts
-    are candidates; only they are counted in the whole corpus. A common word is in
-    very many texts: pairs are made distinct and counted before the shuffle.
+    Copies of a text count once. A term is counted by whole texts, however far it stands
+    from the entity. Only likely terms are searched in the whole corpus.
     """
-    placed = rows.filter(F.size("base") > 0).select("key", F.explode(F.arrays_zip("base", "near")).alias("x"))
-    pairs = placed.select("key", F.lower("x.base.value").alias("entity"), F.col("x.near").alias("near"))
-    entities = pairs.select("key", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    together = pairs.select("key", "entity", F.explode("near").alias("term")).distinct()
-    # A term occurs in no fewer texts than it does near entities, nor than in texts with
-    # entities. If it fails by these counts it fails by the whole count, so common words
-    # are ruled out before the corpus is searched.
-    near = together.select("key", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
-    pairs = together.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n_te")).filter(F.col("n_te") >= SUPPORT)
-    likely = pairs.join(near, "term").filter(F.col("n_te") >= GENERALISE * F.col("n_near")).drop("n_near")
-    likely = store(likely.join(entities, "entity"), "likely")
-    within = rows.filter("terms is not null").select("key", F.explode("terms").alias("term"))
-    within = lookup(within, _salted(likely), "term", spread_by="key", size_col="rows").distinct()
-    within = within.groupBy("term").agg(F.count(F.lit(1)).alias("n_within"))
-    candidates = store(likely.join(within, "term").filter(F.col("n_te") >= GENERALISE * F.col("n_within")).drop("n_within"), "candidates")
+    texts = _distinct(rows)
+    candidates = store(_likely(texts), "candidates")
     if candidates.isEmpty():
         return candidates.select("term", F.lit("").alias("action")).limit(0), None
     text = whole(column(text_col))
-    spoken = docs.select(F.md5(text).alias("key"), F.explode(F.array_distinct(F.transform(words(text), term_of))).alias("term"))
+    spoken = docs.select(F.md5(text).alias("key"), F.explode(terms_of(text)).alias("term"))
     hits = store(lookup(spoken, _salted(candidates), "term", spread_by="key", size_col="rows").distinct(), "hits")
-    counts = hits.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    inner = texts.select(F.explode("inner").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_inner"))
+    counts = hits.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(inner, "term", "left")
+    counts = counts.select("term", (F.col("n_t") - F.coalesce("n_inner", F.lit(0))).alias("n_t"))
     total = rows.select("key").distinct().count()
     chance = F.col("n_te") / F.col("n_t")
     bits = F.log2(F.lit(float(total)) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
@@ -210,7 +271,7 @@ def span_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     none = F.array().cast(_SPAN)
     if hits is None or actions.isEmpty():
         return rows.select("doc_id", "key", "base", none.alias("terms"))
-    rows = rows.drop("terms")
+    rows = rows.select("doc_id", "key", "base")
     table = store(_term_spans(docs, actions, hits, text_col), "term-spans")
     sizes = lookup(rows.select("key"), table.select("key"), "key", spread_by="key").groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
     joined = lookup(rows, table.join(sizes, "key"), "key", spread_by="doc_id", size_col="rows", how="left")
@@ -241,19 +302,13 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ou
     """
     key, spans = fresh(docs, "_key"), fresh(docs, "_spans")
     found = span_rows(docs, id_col, text_col).filter("size(base) + size(terms) > 0")
-    order = F.array_sort(F.transform(F.concat("base", "terms"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    order = in_order(F.concat("base", "terms"))
     table = found.groupBy("key").agg(F.first(order).alias(spans), F.count(F.lit(1)).alias("_rows")).withColumnRenamed("key", key)
     text = whole(column(text_col))
     joined = lookup(docs.withColumn(key, F.md5(text)), table, key, spread_by=text_col, size_col="_rows", how="left")
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def step(state: Column, s: Column) -> Column:
-        mark = F.when(s["kind"] == "remove", "").when(s["kind"] == "generalise", "[TERM]").otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-        more = F.concat(state["parts"], F.array(F.substring(text, state["at"] + 1, s["start"] - state["at"]), mark))
-        return F.when(s["start"] >= state["at"], F.struct(s["end"].alias("at"), more.alias("parts"))).otherwise(state)
 
-    def rest(state: Column) -> Column:
-        return F.concat(F.array_join(state["parts"], ""), F.substring(text, state["at"] + 1, F.length(text)))
+    def mark(s: Column) -> Column:
+        return F.when(s["kind"] == "remove", "").when(s["kind"] == "generalise", "[TERM]").otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
 
-    changed = F.aggregate(F.col(spans), start, step, rest)
+    changed = replaced(text, F.col(spans), mark)
     return joined.select(*[column(c) for c in docs.columns], F.coalesce(changed, column(text_col)).alias(out))

@@ -111,3 +111,22 @@ def test_sanitise_keeps_everything_else(spark):
         if x.doc_id is not None:
             assert (x.sanitised == rows[x.doc_id]) or plain_spans(rows[x.doc_id])
     assert "[EMAIL]" in [x.sanitised for x in disclosure.sanitise(table(spark, ODD)).collect() if x.text and "me@" in x.text][0]
+
+
+def marked(spark, rows):
+    """Per document the terms that are marked in it."""
+    text = dict(rows)
+    spans = {x.doc_id: re.findall(r"term:(\d+):(\d+)", x.spans) for x in disclosure.digest_rows(table(spark, rows)).collect()}
+    return {i: {text[i][int(a) : int(b)].lower() for a, b in at} for i, at in spans.items()}
+
+
+def test_terms_far_from_the_entity_and_of_any_form(spark):
+    """A name in the header tells of an address in the signature; digits, hyphens, apostrophes and lengths don't matter."""
+    r = random.Random(2)
+    fill = lambda n: " ".join(f"wo{r.choice('abcdefghijklmnop')}" for _ in range(n))
+    telling = ["Zebulon", "jdoe84", "O'Brien", "Anna-Maria", "4711", "Qx", "y" * 60]
+    rows = [(i, f"{' '.join(telling)} {fill(300)} mail zeb@corp.example.com {fill(2)}") for i in range(6)]
+    rows += [(100 + i, f"mail {fill(320)}") for i in range(200)]
+    got = marked(spark, rows)
+    assert all(got[i] == {t.lower() for t in telling} for i in range(6))
+    assert not any(got[100 + i] for i in range(200))
