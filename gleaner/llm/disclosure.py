@@ -3,8 +3,9 @@
 Patterns find e-mail addresses, IP addresses, card and phone numbers with their places.
 The corpus then shows which words share their texts with an entity so often, and stand
 elsewhere so seldom, that they reveal it: from the number of distinct texts with both, with
-the term and with the entity follow the chance of the entity given the term and the
-pointwise mutual information. Terms above the thresholds are generalised or removed. All of it is made of built-in expressions and joins.
+the term, with the entity and in all follow the chance of the entity given the term and the
+log-likelihood ratio against the entity's share of all texts. Terms above the thresholds
+are generalised or removed. All of it is made of built-in expressions and joins.
 """
 
 from __future__ import annotations
@@ -31,8 +32,9 @@ HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "ph
 
 #: Distinct texts that must show term and entity together.
 SUPPORT = 3
-#: Bits of mutual information.
-LEAST_BITS = 5.0
+#: Least log-likelihood ratio of the chance against the entity's share of all texts. Words
+#: without a bearing on the entity exceed it about once in a thousand.
+LEAST_RATIO = 10.83
 #: Chance of the entity given the term from which the term is generalised, and removed.
 GENERALISE = 0.5
 REMOVE = 0.8
@@ -213,6 +215,22 @@ def _salted(candidates: DataFrame) -> DataFrame:
     return candidates.select("term").distinct().withColumn("rows", F.lit(1 << 40))
 
 
+def _ratio(total: float) -> Column:
+    """Log-likelihood ratio of term and entity, 0 where the term makes the entity no more likely.
+
+    Unlike the mutual information it isn't bounded by the entity's rarity: it grows with the
+    texts that bear it out, also for an entity in most of them and in a small table.
+    """
+    both, term, entity, every = F.col("n_te"), F.col("n_t"), F.col("n_e"), F.lit(total)
+
+    def cell(seen: Column, row: Column, col: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen * every / (row * col))).otherwise(0.0)
+
+    cells = cell(both, term, entity) + cell(term - both, term, every - entity)
+    cells += cell(entity - both, every - term, entity) + cell(every - term - entity + both, every - term, every - entity)
+    return F.when(both * every > term * entity, 2 * cells).otherwise(0.0)
+
+
 def revealing_terms(docs: DataFrame, rows: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame | None]:
     """``(term, action)`` for the terms above the thresholds, and ``(key, term)`` of the texts that hold candidates.
 
@@ -231,8 +249,7 @@ def revealing_terms(docs: DataFrame, rows: DataFrame, text_col: str = "text") ->
     counts = counts.select("term", (F.col("n_t") - F.coalesce("n_inner", F.lit(0))).alias("n_t"))
     total = rows.select("key").distinct().count()
     chance = F.col("n_te") / F.col("n_t")
-    bits = F.log2(F.lit(float(total)) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
-    scored = candidates.join(counts, "term").filter((chance >= GENERALISE) & (bits >= LEAST_BITS))
+    scored = candidates.join(counts, "term").filter((chance >= GENERALISE) & (_ratio(float(total)) >= LEAST_RATIO))
     actions = scored.groupBy("term").agg(F.when(F.max(chance) >= REMOVE, "remove").otherwise("generalise").alias("action"))
     return store(actions, "actions"), hits
 

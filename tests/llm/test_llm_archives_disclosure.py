@@ -130,3 +130,15 @@ def test_terms_far_from_the_entity_and_of_any_form(spark):
     got = marked(spark, rows)
     assert all(got[i] == {t.lower() for t in telling} for i in range(6))
     assert not any(got[100 + i] for i in range(200))
+
+
+def test_terms_of_hot_entities_and_in_small_tables(spark):
+    """An entity in a third of all texts has its terms, while words that are as common elsewhere stay; so in a table of 20 texts."""
+    r = random.Random(3)
+    fill = lambda: " ".join(f"wo{r.choice('abcdefghijklmnop')}" for _ in range(30))
+    for n in (20, 300):
+        rows = [(i, f"{fill()} Zebulon {fill()} zeb@corp.example.com {fill()}" if i % 3 == 0 else fill() + fill()) for i in range(n)]
+        assert marked(spark, rows) == {i: {"zebulon"} if i % 3 == 0 else set() for i in range(n)}
+    # In more than half of all texts: a common word's chance is just the entity's share.
+    rows = [(i, f"{fill()} Zebulon {fill()} zeb@corp.example.com {fill()}" if i % 3 else fill() + fill()) for i in range(300)]
+    assert marked(spark, rows) == {i: {"zebulon"} if i % 3 else set() for i in range(300)}
