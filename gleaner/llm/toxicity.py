@@ -38,6 +38,8 @@ CLEAN_WORDS = 3_000
 LANDMARKS = 192
 #: A word can only tell if it occurs in this share of the toxic documents, and in two.
 LEAST_SHARE = 0.01
+#: A word is toxic if its share of the toxic documents is at least so many times that of the clean ones.
+TELLING = 20
 #: Factor per spanned letter; a subsequence spans at most five. Offsets of the second and further letters.
 DECAY = 0.6
 SPANS = ((1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4), (1, 2, 3), (1, 2, 4), (1, 3, 4), (2, 3, 4))
@@ -202,10 +204,14 @@ def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, passes: int = 60) -> tu
     return w[:-1], float(w[-1])
 
 
-def _train(toxic: list[str], clean: list[str]) -> Machine:
-    """Landmarks from both classes, whitened kernel features, and the machine folded into subsequences."""
-    table = _codes()
-    words, y = toxic + clean, np.array([1.0] * len(toxic) + [-1.0] * len(clean))
+def _train(toxic: list[str], clean: list[str], quoted: dict[str, float] | None = None) -> Machine:
+    """Landmarks from both classes, whitened kernel features, and the machine folded into subsequences.
+
+    ``quoted`` words are toxic ones that also stand in clean documents, with the weight
+    of those: further clean examples of less cost.
+    """
+    table, quoted = _codes(), quoted or {}
+    words, y = [*toxic, *clean, *quoted], np.array([1.0] * len(toxic) + [-1.0] * (len(clean) + len(quoted)))
     marks = toxic[: LANDMARKS * 2 // 3] + clean[: LANDMARKS - min(len(toxic), LANDMARKS * 2 // 3)]
     phi_m = features(marks, table)
     values, vectors = np.linalg.eigh((phi_m @ phi_m.T).astype(np.float64))
@@ -213,6 +219,7 @@ def _train(toxic: list[str], clean: list[str]) -> Machine:
     white = vectors[:, keep] / np.sqrt(values[keep])
     kernel = np.vstack([features(words[a : a + 250], table) @ phi_m.T for a in range(0, len(words), 250)])
     cost = np.where(y > 0, len(y) / (2 * max(1, len(toxic))), len(y) / (2 * max(1, len(clean))))
+    cost[len(toxic) + len(clean) :] *= list(quoted.values())
     w, bias = _svm(kernel @ white, y, cost)
     return Machine((phi_m.T @ (white @ w)).astype(np.float64), bias)
 
@@ -255,10 +262,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     if not sizes.get(1) or not sizes.get(0):
         return never
 
+    def plain(word: str) -> str:
+        return "".join(filter(str.isalpha, word))
+
     def listed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for text, value in zip(frame["text"], frame["label"]):
-                found = {"".join(filter(str.isalpha, w)) for w in words_of(text)}
+                found = {plain(w) for w in words_of(text)}
                 found = [w for w in found if len(w) >= 3]
                 yield pd.DataFrame({"word": pd.Series(found, dtype=object), "label": [value] * len(found)})
 
@@ -270,7 +280,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     share = sizes[1] / sizes[0]
     excess = F.col("t") - F.col("c") * share
     least = max(2, math.ceil(LEAST_SHARE * sizes[1]))
-    telling = counts.filter((F.col("t") >= least) & (F.col("t") >= 20 * share * F.col("c")))
+    telling = counts.filter((F.col("t") >= least) & (F.col("t") >= TELLING * share * F.col("c")))
     toxic = [r["word"] for r in telling.orderBy((excess * excess / (F.col("t") + F.col("c") * share)).desc(), "word").limit(TOXIC_WORDS).select("word").collect()]
     ordinary = counts.filter((F.col("c") > 0) & (F.col("t") < 3 * share * F.col("c") + 1))
     common = ordinary.orderBy(F.desc("c"), "word").limit(CLEAN_WORDS // 3).select("word")
@@ -278,8 +288,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     clean = [r["word"] for r in other.unionByName(common).distinct().orderBy(F.xxhash64("word"), "word").collect()]
     if not toxic or not clean:
         return never
+    quoted: dict[str, float] = {}
     for turn in range(ROUNDS + 1):
-        machine = _train(toxic, clean)
+        machine = _train(toxic, clean, quoted)
         sent = sample.sparkSession.sparkContext.broadcast(machine.parts())
 
         def worst(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -294,11 +305,23 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
         if turn == ROUNDS:
             return _calibrated(machine, scores, seen["label"].to_numpy() == 1, labelled_share(labels, label, PARTS, HELD))
         seen = seen.assign(score=scores[:, 0])
-        # The worst words of clean documents are clean however they look.
         hard = seen[(seen["label"] == 0) & (seen["score"] > -1) & (seen["word"] != "")]["word"].value_counts()
-        clean = list(dict.fromkeys([*clean, *sorted(hard.index)]))
         found = seen[(seen["label"] == 1) & (seen["score"] > 0)]["word"].value_counts()
-        toxic = list(dict.fromkeys([w for w in toxic if w not in set(hard.index)] + sorted(w for w in found.index if found[w] >= least and w not in set(clean))))
+        # The worst words of clean documents are clean however they look, unless their share of
+        # the toxic documents is far greater: some labels are wrong, and some documents quote.
+        asked = sorted({plain(w) for w in [*hard.index, *found.index]})
+        seen_in = {r["word"]: (r["t"], r["c"]) for r in counts.filter(F.col("word").isin(asked)).collect()}
+
+        def rates(word: str) -> tuple[float, float]:
+            t, c = seen_in.get(plain(word), (0, 0))
+            return max(t, int(found.get(word, 0))), share * max(c, int(hard.get(word, 0)))
+
+        told = {w: rates(w) for w in sorted({*hard.index, *found.index})}
+        moved = {w for w in hard.index if told[w][0] < max(least, TELLING * told[w][1])}
+        quoted |= {w: told[w][1] / (told[w][0] + told[w][1]) for w in sorted(set(hard.index) - moved)}
+        clean = list(dict.fromkeys([*clean, *sorted(moved)]))
+        more = sorted(w for w in found.index if found[w] >= least and told[w][0] >= TELLING * told[w][1])
+        toxic = list(dict.fromkeys(w for w in [*toxic, *more] if w not in set(clean)))
         if not toxic:
             return never
     raise AssertionError

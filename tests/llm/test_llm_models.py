@@ -56,6 +56,23 @@ def test_toxicity_on_held_out(talk):
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1
 
 
+def test_toxicity_with_wrong_labels(spark):
+    """One in a hundred clean labels stands at a document with an insult: insults stay insults."""
+    r = random.Random(12)
+    rows, labels, bad = [], [], {}
+    for i in range(1200):
+        words = [word(r) for _ in range(r.randint(20, 60))]
+        bad[i] = i % 3 == 0
+        if bad[i]:
+            words.insert(r.randrange(len(words)), ["idiot", "moron"][i // 3 % 2])
+        rows.append((i, " ".join(words), "en", "a"))
+    wrong = [i for i in bad if bad[i] and zlib.crc32(str(i).encode()) % 5][:8]
+    labels = [(i, 1, int(bad[i] and i not in wrong)) for i in bad]
+    rows = toxicity.toxicity_rows(table(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    held = [(x.predicted, bad[x.doc_id]) for x in rows.filter("held_out").collect()]
+    assert all(p for p, b in held if b) and sum(p == b for p, b in held) > 0.9 * len(held)
+
+
 def test_kernel_tolerates_gaps():
     table_ = toxicity._codes()
     plain = toxicity.features(["idiot"], table_)[0]
