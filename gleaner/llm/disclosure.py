@@ -61,22 +61,25 @@ def placed(text: Column, pattern: str, kind: str) -> Column:
     )
     add = lambda total, s: total + s["gap"] + s["size"]
 
-    def offsets(s: Column) -> Column:
+    def offsets(s: Column, block: Column) -> Column:
         """Characters before each block."""
-        blocks = F.sequence(F.lit(0), F.floor((F.size(s) - 1) / _BLOCK).cast("int"))
-        sums = F.transform(blocks, lambda b: F.aggregate(F.slice(s, b * _BLOCK + 1, _BLOCK), F.lit(0), add))
+        blocks = F.sequence(F.lit(0), F.floor((F.size(s) - 1) / block).cast("int"))
+        sums = F.transform(blocks, lambda b: F.aggregate(F.slice(s, b * block + 1, block), F.lit(0), add))
         return F.aggregate(sums, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
 
-    def place(s: Column, before: Column) -> Column:
+    def place(s: Column, block: Column, before: Column) -> Column:
         def one(x: Column, i: Column) -> Column:
-            b = F.floor(i / _BLOCK).cast("int")
-            start = F.get(before, b) + F.aggregate(F.slice(s, b * _BLOCK + 1, i - b * _BLOCK), F.lit(0), add) + x["gap"]
+            b = F.floor(i / block).cast("int")
+            start = F.get(before, b) + F.aggregate(F.slice(s, b * block + 1, i - b * block), F.lit(0), add) + x["gap"]
             return F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + x["size"]).alias("end"), x["value"].alias("value"))
 
         return F.transform(s, one)
 
     none = F.array().cast(_SPAN)
-    return bound(steps, lambda s: F.when(F.size(s) > 0, bound(offsets(s), lambda before: place(s, before))).otherwise(none))
+    # A block of the root of their number costs least.
+    size = lambda s: F.least(F.ceil(F.sqrt(F.size(s))), F.lit(_BLOCK)).cast("int")
+    in_blocks = lambda s: bound(size(s), lambda n: bound(offsets(s, n), lambda before: place(s, n, before)))
+    return bound(steps, lambda s: F.when(F.size(s) > 0, in_blocks(s)).otherwise(none))
 
 
 def _digits(value: Column) -> Column:
@@ -242,7 +245,7 @@ def revealing_terms(docs: DataFrame, rows: DataFrame, text_col: str = "text") ->
     if candidates.isEmpty():
         return candidates.select("term", F.lit("").alias("action")).limit(0), None
     text = whole(column(text_col))
-    spoken = docs.select(F.md5(text).alias("key"), F.explode(terms_of(text)).alias("term"))
+    spoken = docs.select(F.md5(text).alias("key"), F.explode(F.array_distinct(F.transform(words(text), term_of))).alias("term"))
     hits = store(lookup(spoken, _salted(candidates), "term", spread_by="key", size_col="rows").distinct(), "hits")
     inner = texts.select(F.explode("inner").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_inner"))
     counts = hits.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(inner, "term", "left")
@@ -270,7 +273,7 @@ def _term_spans(docs: DataFrame, actions: DataFrame, hits: DataFrame, text_col:
         return F.struct(action.alias("kind"), (s["start"] + left).alias("start"), (s["start"] + left + size).alias("end"), term_of(s["value"]).alias("value"))
 
     word_spans = placed(F.col("text"), r"[^\x20\x09-\x0D]++", "term")
-    terms = F.filter(F.transform(word_spans, lean), lambda s: s["kind"].isNotNull())
+    terms = F.transform(F.filter(word_spans, lambda s: F.map_contains_key("actions", term_of(s["value"]))), lean)
     return found.select("key", terms.alias("terms"))
 
 
