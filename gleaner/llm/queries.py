@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gleaner.llm import archives, attribution, bpe, disclosure, exact, mixing, near, neighbours, rules, toxicity
+from gleaner.llm import archives, attribution, bpe, disclosure, exact, mixing, near, neighbours, postings, rules, spelling, toxicity, turns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -213,3 +213,154 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No SQL twin: DuckDB's patterns give no places; tested against brute force."""
     return disclosure.digest_rows(_table(spark, sf_dir, "documents"))
+
+
+#: Table of CRC-32 as a list, made by its rule, and the checksum of a list of bytes.
+_CRC_TABLE = """crc AS (
+  SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY n) AS tab
+  FROM range(256) AS t(n)
+)"""
+_CRC = "xor(list_reduce(list_prepend(4294967295, {bytes}), lambda c, b: xor(c >> 8, tab[xor(c & 255, b) + 1])), 4294967295)"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SPELLING_SQL = f"""
+WITH RECURSIVE {_CRC_TABLE}, runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS marked, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)
+  WHERE length(run) >= {spelling.MIN_LETTERS} GROUP BY ALL
+), hashed AS (
+  SELECT run, n, {_CRC.format(bytes="""flatten(list_transform(string_split(marked, ''), lambda x:
+    CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [CAST(192 + (unicode(x) >> 6) AS BIGINT), CAST(128 + (unicode(x) & 63) AS BIGINT)] END))""")} AS h
+  FROM runs, crc
+), results AS (
+  SELECT CASE WHEN h % {spelling.DAMAGED} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM results WHERE length(word) >= {spelling.MIN_LETTERS} GROUP BY word HAVING sum(n) >= {spelling.MIN_COUNT}
+), cut AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT cut.word, words.word FROM cut JOIN words ON cut.rest = words.word
+  UNION SELECT words.word, cut.word FROM cut JOIN words ON cut.rest = words.word
+), best AS (
+  SELECT near.word, count(*) AS n_near, first(other ORDER BY w.n DESC, other) AS other, max(w.n) AS other_n
+  FROM near JOIN words w ON w.word = other GROUP BY near.word
+), formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= {spelling.FORM_TIMES} * n THEN other END AS form,
+         CASE WHEN other_n >= {spelling.FORM_TIMES} * n THEN other_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), way AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT way.word, formed.form FROM way JOIN formed ON formed.word = way.at WHERE formed.form IS NOT NULL
+)
+SELECT f.word, f.form, way.at AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n
+FROM formed f JOIN way ON way.word = f.word JOIN formed e ON e.word = way.at AND e.form IS NULL
+"""
+
+
+@query("op11_spelling", SPELLING_SQL)
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def _turns_sql() -> str:
+    """The cheapest edits by a recursion over the rows of each conversation, last to first, with a cost for each of four states."""
+    pair = "{{'c': {c}, 'a': {a}, 'r': {r}}}"
+    state = lambda i: f"v[{i + 1}]"
+
+    def base(q: int) -> str:
+        name, after, keeps = turns.NAME[q], state(turns.NEXT[q]), turns.STEP[q]
+        kept = "CASE initial " + " ".join(f"WHEN '{x}' THEN {state(k)}" for x, k in zip(turns.INITIALS, keeps) if k is not None) + " END"
+        options = [
+            pair.format(c=f"{turns.DELETE} + {state(q)}.c", a=f"'D' || {state(q)}.a", r=f"{state(q)}.r"),
+            f"CASE WHEN NOT gone AND {kept} IS NOT NULL THEN " + pair.format(c=f"late + ({kept}).c", a=f"'K' || ({kept}).a", r=f"list_prepend(role || ':' || text, ({kept}).r)") + " END",
+            "CASE WHEN NOT gone THEN " + pair.format(c=f"{turns.RETYPE} + late + {after}.c", a=f"'R' || {after}.a", r=f"list_prepend('{name}:' || text, {after}.r)") + " END",
+        ]
+        return f"list_sort(list_filter([{', '.join(options)}], lambda x: x IS NOT NULL))[1] AS b{q}"
+
+    def closed(q: int) -> str:
+        one = turns.NEXT[q]
+        two = turns.NEXT[one]
+        names = f"'{turns.NAME[q]}:'", f"'{turns.NAME[one]}:'"
+        options = [
+            f"b{q}",
+            pair.format(c=f"{turns.INSERT} + b{one}.c", a=f"'I' || b{one}.a", r=f"list_prepend({names[0]}, b{one}.r)"),
+            pair.format(c=f"{2 * turns.INSERT} + b{two}.c", a=f"'II' || b{two}.a", r=f"list_prepend({names[0]}, list_prepend({names[1]}, b{two}.r))"),
+        ]
+        return f"list_sort([{', '.join(options)}])[1]"
+
+    end = ", ".join(
+        pair.format(c=f"CAST({turns.INSERT * len(letters)} AS BIGINT)", a=f"'{letters}'", r=f"CAST([{', '.join(lines)}] AS VARCHAR[])")
+        for letters, lines in (("", []), ("II", ["'user:'", "'assistant:'"]), ("I", ["'assistant:'"]), ("", []))
+    )
+    return f"""
+WITH RECURSIVE {_CRC_TABLE}, hashed AS (
+  SELECT coalesce('=' || CAST(conv_id AS VARCHAR), 'none') AS conv, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_CRC.format(bytes="list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(unicode(x) AS BIGINT))")} % 20 AS h
+  FROM conversations, crc
+), damaged AS (
+  SELECT conv, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role, CASE h WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE h WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hashed WHERE h <> 0
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i, substr(role, 1, 1) AS initial FROM damaged
+), faults AS (
+  SELECT *, NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank, row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 AS seen,
+         NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') AS open, lag(initial) OVER (PARTITION BY conv ORDER BY i) || initial AS two
+  FROM ordered
+), checked AS (
+  SELECT *, blank OR seen AS gone, CASE WHEN open THEN {turns.TRUNCATED} ELSE 0 END AS late FROM faults
+), counts AS (
+  SELECT conv, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+         count(*) FILTER (WHERE seen AND NOT blank) AS duplicate, count(*) FILTER (WHERE open AND NOT gone) AS truncated,
+         count(*) FILTER (WHERE two IS NOT NULL AND two NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM checked GROUP BY conv
+), every AS (
+  SELECT DISTINCT conv, conv_id FROM hashed
+), priced AS (
+  SELECT e.conv, coalesce(n, 0) AS i, [{end}] AS v FROM every e LEFT JOIN counts USING (conv)
+  UNION ALL
+  SELECT conv, i - 1, [{", ".join(closed(q) for q in range(4))}]
+  FROM (SELECT p.conv, p.i, {", ".join(base(q) for q in range(4))} FROM priced p JOIN checked k ON k.conv = p.conv AND k.i = p.i)
+)
+SELECT e.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(v[1].c AS BIGINT) AS cost, v[1].a AS audit, sha256(array_to_string(v[1].r, chr(10))) AS repaired_sha256
+FROM every e JOIN priced p ON p.conv = e.conv AND p.i = 0 LEFT JOIN counts c ON c.conv = e.conv
+"""
+
+
+@query("op12_conversations", _turns_sql())
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair_rows(_table(spark, sf_dir, "conversations"))
+
+
+_PLAIN_WORDS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+POSTINGS_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, {_PLAIN_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS ws FROM documents
+), b AS (
+  SELECT item_id, {_PLAIN_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS ws FROM benchmark
+), windows AS (
+  SELECT item_id, ws[i:i + {postings.WINDOW_WORDS - 1}] AS w
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(1, len(ws) - {postings.WINDOW_WORDS - 1}) + 1)) AS i FROM b WHERE len(ws) > 0)
+), sizes AS (
+  SELECT DISTINCT len(w) AS size FROM windows
+), spots AS (
+  SELECT rid, i, size, ws[i:i + size - 1] AS w FROM (SELECT rid, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM d, sizes)
+), found AS (
+  SELECT rid, i, size, item_id FROM spots JOIN windows USING (w)
+), hit AS (
+  SELECT rid, count(DISTINCT place) AS n FROM (SELECT rid, unnest(range(i, i + size)) AS place FROM found) GROUP BY rid
+), named AS (
+  SELECT rid, count(*) AS n, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS name FROM found WHERE item_id IS NOT NULL) GROUP BY rid
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)
+"""
+
+
+@query("op13_decontamination", POSTINGS_SQL)
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return postings.digest_rows(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))

@@ -4,7 +4,7 @@ import pytest
 from llm_helpers import ODD, table
 from pyspark.sql import functions as F
 
-from gleaner.llm import archives, attribution, bpe, disclosure, exact, mixing, near, neighbours, rules, toxicity
+from gleaner.llm import archives, attribution, bpe, disclosure, exact, mixing, near, neighbours, postings, rules, toxicity
 from gleaner.llm.queries import tokenizer_path
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -33,6 +33,7 @@ ROWS = {
     "neighbours without labels": lambda s, d: neighbours.quality_rows(d, labels(s, ())),
     "disclosure": lambda s, d: disclosure.digest_rows(d),
     "sanitise": lambda s, d: disclosure.sanitise(d),
+    "postings": lambda s, d: postings.digest_rows(d, s.createDataFrame([(1, "the lazy dog"), (None, "one")], "item_id long, text string")),
     "ids": lambda s, d: bpe.token_ids(d, tokenizer_path()),
 }
 
