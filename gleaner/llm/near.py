@@ -12,35 +12,39 @@ full sets. What leaves a task is at most one link per member.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gleaner.llm.text import column, fresh, id_as_text, id_type, once
+from gleaner.llm.text import bounded_batches, column, fresh, id_as_text, id_type
 from gleaner.operators.components import connected_components
 from gleaner.operators.skew import lookup, spread_join
 from gleaner.session import store
 
-SHINGLE_WORDS = 3
-#: Linked: 100 * intersection >= PERCENT * union.
-PERCENT = 85
+#: Defaults of the operator. Linked: 100 * intersection >= percent * union.
+SHINGLE_WORDS = 5
+PERCENT = 80
 SKETCH = 64
 #: Positions of the sketch with an inverted list, and how many values a list's key may have.
 INDEXED = 32
 DEPTH = 3
 #: Lists longer than this get a longer key.
 LONG_LIST = 16
-#: A pair under this estimate isn't verified; a link is estimated lower about once in a hundred million.
-LEAST_ESTIMATE = 0.6
+#: A pair estimated so far under the asked similarity isn't verified; a link is estimated lower about
+#: once in a hundred million at 85 percent, once in a million at 80.
+MARGIN = 0.25
 #: What one task compares at once: two blocks of so many members and shingles at most.
 BLOCK_MEMBERS = 512
 BLOCK_SHINGLES = 250_000
 
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
-_WORDS_HELD = 300_000
+_WORDS_HELD = 100_000
+
+
+Frames = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
 class _WordHashes(dict):
@@ -51,12 +55,11 @@ class _WordHashes(dict):
         return value
 
 
-def shingle_set(text: str | None, size: int = SHINGLE_WORDS) -> np.ndarray:
+def shingle_set(text: str | None, size: int, hashes: _WordHashes) -> np.ndarray:
     """Sorted distinct 63-bit hashes of the word shingles; of a shorter text the whole sequence is one."""
     words = (text or "").encode().lower().split()  # on bytes: ASCII letters and blanks only
     if not words:
         return np.empty(0, dtype=np.int64)
-    hashes = once("near:words", _WordHashes)
     h = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
     span = min(size, len(h))
     x = np.full(len(h) - span + 1, span, dtype=np.uint64)
@@ -70,22 +73,37 @@ def _set_key(values: np.ndarray) -> bytes | None:
     return hashlib.md5(values.tobytes()).digest() if len(values) else None
 
 
-def _sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        sets = [shingle_set(t) for t in frame["text"]]
-        yield frame[["doc_id", "row_key", "text_key"]].assign(
-            n=[len(s) for s in sets], klass=[_set_key(s) for s in sets], sketch=[s[:SKETCH] for s in sets]
-        )
+def _sketch(size: int) -> Frames:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = _WordHashes()  # goes with the task
+        for frame in frames:
+            sets = [shingle_set(t, size, hashes) for t in frame["text"]]
+            yield frame[["doc_id", "row_key", "text_key"]].assign(
+                n=[len(s) for s in sets], klass=[_set_key(s) for s in sets], sketch=[s[:SKETCH] for s in sets]
+            )
 
+    return run
 
-def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        sets = [shingle_set(t) for t in frame["text"]]
-        yield pd.DataFrame({"klass": [_set_key(s) for s in sets], "values": [s.tobytes() for s in sets]})
+
+def _sets(size: int) -> Frames:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = _WordHashes()
+        for frame in frames:
+            sets = [shingle_set(t, size, hashes) for t in frame["text"]]
+            yield pd.DataFrame({"klass": [_set_key(s) for s in sets], "values": [s.tobytes() for s in sets]})
+
+    return run
+
+
+def _text_key(text_col: Column) -> Column:
+    """128 bits: among 10^11 rows two texts share 64 bits for sure."""
+    return F.unhex(F.md5(text_col))
 
 
 def _row_key(id_col: Column, text_col: Column) -> Column:
-    return F.xxhash64(id_col, text_col)
+    """128 bits of id and text; nulls differ from empty ones."""
+    part = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit("-"))
+    return F.unhex(F.md5(F.concat(part(id_col.cast("string")), F.lit(":"), part(F.md5(text_col)))))
 
 
 def inverted_lists(classes: DataFrame) -> DataFrame:
@@ -113,14 +131,14 @@ def _gatherings(lists: DataFrame) -> DataFrame:
     return spread_join(lists, hubs, "key", "rows", spread_by="klass").select("hub", "klass", "n").distinct()
 
 
-def _blocks(members: DataFrame) -> DataFrame:
+def _blocks(members: DataFrame, percent: int) -> DataFrame:
     """Add ``task``, the comparisons a member takes part in, one row each.
 
     A small gathering is one task. A large one is cut by size class (two linked sets lie
     in the same or in neighbouring classes), each class by hash into blocks, and every
     two blocks that may hold a link make a task.
     """
-    ratio = float(np.log(100 / PERCENT))
+    ratio = float(np.log(100 / percent))
     rows = members.withColumn("q", F.floor(F.log("n") / ratio).cast("int"))
     whole = rows.groupBy("hub").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"))
     large = store(whole.filter((F.col("rows") > BLOCK_MEMBERS) | (F.col("shingles") > 2 * BLOCK_SHINGLES)).select("hub", "rows"), "large")
@@ -148,11 +166,11 @@ def _blocks(members: DataFrame) -> DataFrame:
     return small.select("hub", "klass", "n", "task").unionByName(big.select("hub", "klass", "n", "task"))
 
 
-def _overlaps(values: list[np.ndarray]) -> np.ndarray:
+def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all intersections, by products of blocks of the incidence matrix."""
-    m = len(values)
-    flat = np.concatenate(values)
-    owner = np.repeat(np.arange(m), [len(v) for v in values])
+    m = len(sets)
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(m), [len(v) for v in sets])
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
     new = np.empty(len(flat), dtype=bool)
@@ -164,8 +182,9 @@ def _overlaps(values: list[np.ndarray]) -> np.ndarray:
     keep = shared[number]
     owner, number = owner[keep], renamed[number[keep]]
     out = np.zeros((m, m), dtype=np.float64)
-    step = max(256, 2_000_000 // m)
-    for start in range(0, int(number[-1]) + 1 if len(number) else 0, step):
+    values = int(number[-1]) + 1 if len(number) else 0
+    step = max(1, min(values, max(256, 2_000_000 // m)))  # as wide as there are shared values at most
+    for start in range(0, values, step):
         lo, hi = np.searchsorted(number, [start, start + step])
         x = np.zeros((m, step), dtype=np.float32)
         x[owner[lo:hi], number[lo:hi] - start] = 1
@@ -192,8 +211,8 @@ def _pair_estimate(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int) -> fl
     return common / max(1, len(a) + len(b) - common)
 
 
-def _comparable(sizes: np.ndarray) -> np.ndarray:
-    return 100 * np.minimum.outer(sizes, sizes) >= PERCENT * np.maximum.outer(sizes, sizes)
+def _comparable(sizes: np.ndarray, percent: int) -> np.ndarray:
+    return 100 * np.minimum.outer(sizes, sizes) >= percent * np.maximum.outer(sizes, sizes)
 
 
 def _by_task(frames: Iterator[pd.DataFrame], names: list[str]) -> Iterator[list[np.ndarray]]:
@@ -229,21 +248,22 @@ def _batched(rows: Iterator[tuple], names: list[str]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=names)
 
 
-def _survivors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _survivors(percent: int) -> Frames:
     """Members with at least one partner that the sketches don't rule out."""
+    least = percent / 100 - MARGIN
 
-    def rows() -> Iterator[tuple]:
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for hub, klass, sizes, sketches in _by_task(frames, ["hub", "klass", "n", "sketch"]):
             if len(sizes) == 2:
                 small, large = sorted(sizes.tolist())
-                if 100 * small >= PERCENT * large and _pair_estimate(*sketches, *sizes) >= LEAST_ESTIMATE:
+                if 100 * small >= percent * large and _pair_estimate(*sketches, *sizes) >= least:
                     yield from ((hub[i], klass[i], int(sizes[i])) for i in (0, 1))
             elif len(sizes) > 2:
-                near = _comparable(sizes) & (_estimates(list(sketches), sizes) >= LEAST_ESTIMATE)
+                near = _comparable(sizes, percent) & (_estimates(list(sketches), sizes) >= least)
                 np.fill_diagonal(near, False)
                 yield from ((hub[i], klass[i], int(sizes[i])) for i in np.flatnonzero(near.any(axis=1)))
 
-    yield from _batched(rows(), ["hub", "klass", "n"])
+    return lambda frames: _batched(rows(frames), ["hub", "klass", "n"])
 
 
 def _forest(links: np.ndarray) -> list[tuple[int, int]]:
@@ -260,32 +280,32 @@ def _forest(links: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def _verified(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _verified(percent: int) -> Frames:
     """Links confirmed on full sets: a spanning forest of each task's links."""
 
-    def rows() -> Iterator[tuple]:
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for klass, values in _by_task(frames, ["klass", "values"]):
             if len(klass) < 2:
                 continue
             sets = [np.frombuffer(v, dtype=np.int64) for v in values]
             sizes = np.array([len(s) for s in sets])
             common = _overlaps(sets)
-            links = 100 * common >= PERCENT * (sizes[:, None] + sizes[None, :] - common)
+            links = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
             np.fill_diagonal(links, False)
             yield from ((klass[i], klass[j]) for i, j in _forest(links))
 
-    yield from _batched(rows(), ["src", "dst"])
+    return lambda frames: _batched(rows(frames), ["src", "dst"])
 
 
-def _in_tasks(members: DataFrame, payload: DataFrame, col: str) -> DataFrame:
+def _in_tasks(members: DataFrame, payload: DataFrame, col: str, percent: int) -> DataFrame:
     """Members by task with what is compared. Each task's rows lie together and sorted."""
-    rows = _blocks(members)
+    rows = _blocks(members, percent)
     sized = rows.groupBy("klass").agg(F.count(F.lit(1)).alias("rows"))
     joined = spread_join(rows, payload.select("klass", col).join(sized, "klass"), "klass", "rows", spread_by="task")
     return joined.repartition("task").sortWithinPartitions("task")
 
 
-def _links(docs: DataFrame, rows: DataFrame, text_col: str) -> DataFrame:
+def _links(docs: DataFrame, rows: DataFrame, text_col: str, size: int, percent: int) -> DataFrame:
     """``(src, dst)`` between classes of equal sets, enough of them to connect all that are linked."""
     classes = store(
         rows.filter("klass is not null").groupBy("klass").agg(
@@ -295,19 +315,23 @@ def _links(docs: DataFrame, rows: DataFrame, text_col: str) -> DataFrame:
     )
     members = store(_gatherings(inverted_lists(classes)), "gatherings")
     near = store(
-        _in_tasks(members, classes, "sketch").mapInPandas(_survivors, "hub binary, klass binary, n bigint").distinct(), "near"
+        _in_tasks(members, classes, "sketch", percent).mapInPandas(_survivors(percent), "hub binary, klass binary, n bigint").distinct(),
+        "near",
     )
     # Full sets of those only, computed anew from one text of each class.
     wanted = near.select("klass").distinct().join(classes.select("klass", "text_key"), "klass").select("text_key").distinct()
-    texts = docs.select(column(text_col).alias("text")).withColumn("text_key", F.xxhash64("text"))
+    texts = docs.select(column(text_col).alias("text")).withColumn("text_key", _text_key(F.col("text")))
     one_each = lookup(texts, wanted.withColumn("rows", F.lit(1)), "text_key", spread_by="text", size_col="rows").dropDuplicates(["text_key"])
-    sets = store(one_each.select("text").mapInPandas(_sets, "klass binary, values binary").dropDuplicates(["klass"]), "sets")
-    return _in_tasks(near, sets, "values").mapInPandas(_verified, "src binary, dst binary")
+    sets = store(one_each.select("text").mapInPandas(_sets(size), "klass binary, values binary").dropDuplicates(["klass"]), "sets")
+    return _in_tasks(near, sets, "values", percent).mapInPandas(_verified(percent), "src binary, dst binary")
 
 
-def near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicate_rows(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE_WORDS, percent: int = PERCENT
+) -> DataFrame:
     """One narrow row per document: ``doc_id, n_shingles, component_id, kept``.
 
+    Sets hold shingles of ``size`` words; linked are sets with at least ``percent`` percent in common.
     ``component_id`` is the least id reachable over links, itself included. Documents
     with equal shingle sets form one class, found by a 128-bit hash of the set, and are
     compared once. Texts without words, empty or null, have no shingle and link with
@@ -316,21 +340,22 @@ def near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``component_id`` is null and all its rows are kept. Rows repeated with one id are all
     kept or all not. An empty table gives an empty table; further columns are ignored.
     """
-    return _decided(docs, id_col, text_col).select("doc_id", "n_shingles", "component_id", "kept")
+    return _decided(docs, id_col, text_col, size, percent).select("doc_id", "n_shingles", "component_id", "kept")
 
 
-def _decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _decided(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
+    bounded_batches(docs.sparkSession)
     narrow = docs.select(
         id_as_text(id_col),
         column(text_col).alias("text"),
         _row_key(column(id_col), column(text_col)).alias("row_key"),
-        F.xxhash64(column(text_col)).alias("text_key"),
+        _text_key(column(text_col)).alias("text_key"),
     )
     sketched = narrow.mapInPandas(
-        _sketch, "doc_id string, row_key bigint, text_key bigint, n bigint, klass binary, sketch array<bigint>"
+        _sketch(size), "doc_id string, row_key binary, text_key binary, n bigint, klass binary, sketch array<bigint>"
     )
     rows = store(sketched.withColumn("doc_id", F.col("doc_id").cast(id_type(docs, id_col))), "sketches")
-    linked = connected_components(_links(docs, rows, text_col))
+    linked = connected_components(_links(docs, rows, text_col, size, percent))
     sizes = rows.filter("klass is not null").groupBy("klass").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
     sizes = store(sizes, "class-sizes")
     # Only classes of several rows or with links need a look-up; the others are their own component.
@@ -349,12 +374,14 @@ def _decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE_WORDS, percent: int = PERCENT
+) -> DataFrame:
     """The rows of ``docs`` that :func:`near_duplicate_rows` keeps, with all their columns.
 
     What leaves is a list of row keys (hash of id and text), broadcast when measured to be small.
     """
     key = fresh(docs, "_row_key")
-    gone = _decided(docs, id_col, text_col).filter("not kept").select(F.col("row_key").alias(key)).distinct()
+    gone = _decided(docs, id_col, text_col, size, percent).filter("not kept").select(F.col("row_key").alias(key)).distinct()
     keyed = docs.withColumn(key, _row_key(column(id_col), column(text_col)))
     return lookup(keyed, gone, key, spread_by=key, how="left_anti").select(*[column(c) for c in docs.columns])

@@ -114,7 +114,7 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_minhash")
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No SQL twin on whole tables (all pairs); tested against brute force."""
-    return near.near_duplicate_rows(_table(spark, sf_dir, "documents"))
+    return near.near_duplicate_rows(_table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
 def _rules_sql() -> str:

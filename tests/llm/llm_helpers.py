@@ -68,6 +68,6 @@ def components(links, ids):
     return {i: root(i) for i in ids}
 
 
-def shingles(text):
+def shingles(text, size=3):
     w = WORD.findall((text or "").translate(LOWER))
-    return {tuple(w[i : i + 3]) for i in range(max(1, len(w) - 2))} if w else set()
+    return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from llm_helpers import ODD, components, shingles, table
 from pyspark.sql import functions as F
@@ -61,11 +62,11 @@ def corpus(seed=5):
     return rows
 
 
-def plain_near(rows):
-    sets = {i: shingles(t) for i, t, *_ in rows}
+def plain_near(rows, size=3, percent=85):
+    sets = {i: shingles(t, size) for i, t, *_ in rows}
     links = [
         (a, b) for a in sets for b in sets
-        if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+        if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
     ]
     least = components(links, sets)
     return {i: (len(sets[i]), least[i], least[i] == i) for i in sets}
@@ -78,8 +79,22 @@ def test_near_rows(spark, monkeypatch, blocks):
         monkeypatch.setattr(near, "BLOCK_MEMBERS", blocks[0])
         monkeypatch.setattr(near, "BLOCK_SHINGLES", blocks[1])
     rows = corpus()
-    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near.near_duplicate_rows(table(spark, rows)).collect()}
-    assert got == plain_near(rows)
+    got = near.near_duplicate_rows(table(spark, rows), size=3, percent=85).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == plain_near(rows)
+    got = near.near_duplicate_rows(table(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == plain_near(rows, 5, 80)
+
+
+def test_overlaps_of_all_widths():
+    """Few and many shared values, none, and equal sets: sizes of intersections as Python's sets give them."""
+    r = np.random.default_rng(3)
+    for m, n, top in [(2, 5, 8), (3, 64, 10**6), (17, 64, 90), (40, 300, 2000), (6, 1, 1)]:
+        sets = [np.unique(r.integers(0, top, n)) for _ in range(m)]
+        want = [[len(set(a.tolist()) & set(b.tolist())) for b in sets] for a in sets]
+        got = near._overlaps(sets)
+        for i in range(m):
+            for j in range(m):
+                assert i == j or got[i, j] == want[i][j]
 
 
 def test_near_without_ids(spark):
@@ -90,5 +105,5 @@ def test_near_without_ids(spark):
 
 def test_near_dedup_matches_rows(spark):
     rows = corpus(6)
-    want = {i for i, (_, _, kept) in plain_near(rows).items() if kept}
+    want = {i for i, (_, _, kept) in plain_near(rows, 5, 80).items() if kept}
     assert {r.doc_id for r in near.near_dedup(table(spark, rows)).collect()} == want
