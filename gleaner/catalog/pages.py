@@ -108,7 +108,7 @@ def pages(spark, sf_dir):
 
 
 def stopwords(spark, sf_dir):
-    return ops.stopword_table(table(spark, sf_dir, "documents"))
+    return ops.stopword_table(spread_small_input(table(spark, sf_dir, "documents")))
 
 
 def _features(spark, sf_dir):
@@ -137,7 +137,7 @@ def paragraph_class(spark, sf_dir):
 
 @query("paragraph_context", CONTEXT_SQL)
 def paragraph_context(spark, sf_dir):
-    return ops.paragraph_context(ops.paragraph_class(_features(spark, sf_dir)))
+    return ops.paragraph_context(pages(spark, sf_dir), stopwords(spark, sf_dir))
 
 
 @query("extract_text", EXTRACT_SQL)

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from gleaner.catalog.base import query, table
 from gleaner.catalog.dedup import components_ctes, edges_sql
 from gleaner.catalog.pages import EXTRACT_SQL, lang_ctes, stopwords
-from gleaner.catalog.quality import BUCKETS_SQL, SCORED_SQL, SCORES, binned_sql, scored, thresholds_sql, with_scores
+from gleaner.catalog.quality import BUCKETS_SQL, SCORES, binned_sql, scored, scores_ctes, thresholds_sql, trained_sql, with_trained_scores
 from gleaner.catalog.segments import requests_sql
 from gleaner.catalog.substring import cut_sql
 from gleaner.catalog.urlpii import FLAGGED_SQL, domains, redacted_sql
 from gleaner.operators import quality
 from gleaner.operators.langid import train_language_model
+from gleaner.operators.metrics import StageMetrics
+from gleaner.operators.quality import TRAINED_SCORES
 from gleaner.plans import curate
 from gleaner.session import scratch_path, spread_small_input
 from gleaner.sources import files
@@ -50,23 +52,52 @@ def curate_pages(spark, sf_dir):
 
 
 _CLEAN_SQL = redacted_sql("SELECT * FROM documents", "doc_id, lang, source, n_chars")
-_SCORED_CUT_SQL = SCORED_SQL.replace("FROM documents", "FROM cut")
-_ENGLISH_CUT_SQL = f"SELECT * FROM ({_SCORED_CUT_SQL}) WHERE language = 'EN'"
-_CURATED_SQL = f"""
-WITH RECURSIVE clean AS MATERIALIZED ({_CLEAN_SQL}),
+_STAGES_SQL = f"""
+clean AS MATERIALIZED ({_CLEAN_SQL}),
 exact AS MATERIALIZED ({_exact("SELECT * FROM clean", "doc_id")}),
 {components_ctes(edges_sql("SELECT * FROM exact"))},
 fuzzy AS MATERIALIZED (SELECT * FROM exact WHERE doc_id NOT IN (SELECT id FROM comp WHERE id <> component)),
-cut AS MATERIALIZED ({cut_sql("SELECT * FROM fuzzy")}),
-english AS MATERIALIZED ({_ENGLISH_CUT_SQL})
-SELECT * FROM ({binned_sql("SELECT * FROM english", thresholds_sql("SELECT * FROM english"))})
+cut AS MATERIALIZED ({cut_sql("SELECT * FROM fuzzy")})
+"""
+_ENGLISH = "SELECT * FROM trained WHERE language = 'EN'"
+_CURATED_SQL = f"""
+WITH RECURSIVE {_STAGES_SQL}, {scores_ctes("SELECT * FROM cut")}, trained AS MATERIALIZED ({trained_sql("SELECT * FROM cut")})
+SELECT * FROM ({binned_sql(_ENGLISH, thresholds_sql(_ENGLISH, TRAINED_SCORES), TRAINED_SCORES)})
 """
 
 
+def _curated(spark, sf_dir, metrics=None):
+    docs = spread_small_input(table(spark, sf_dir, "documents"))
+    return curate.curate_documents(docs, with_trained_scores(spark, sf_dir), TRAINED_SCORES, sample_fraction=1.0, metrics=metrics)
+
+
 @query("curate_documents", _CURATED_SQL)
 def curate_documents(spark, sf_dir):
-    docs = spread_small_input(table(spark, sf_dir, "documents"))
-    return curate.curate_documents(docs, with_scores, SCORES, sample_fraction=1.0)
+    """Buckets by the three trained scores."""
+    return _curated(spark, sf_dir)
+
+
+def _counted(stage: str, number: int, source: str, redactions: bool = False) -> str:
+    more = f" UNION ALL SELECT {number}, '{stage}', 'redactions', sum(pii_count)::DOUBLE FROM {source}" if redactions else ""
+    return f"""SELECT {number} AS number, '{stage}' AS stage, 'rows' AS metric, count(*)::DOUBLE AS value FROM {source}
+      UNION ALL SELECT {number}, '{stage}', 'text_bytes', sum(strlen(text))::DOUBLE FROM {source}{more}"""
+
+
+@query(
+    "curation_metrics",
+    f"WITH RECURSIVE {_STAGES_SQL} "
+    + " UNION ALL ".join(
+        _counted(stage, i, source, stage == "clean")
+        for i, (stage, source) in enumerate([("clean", "clean"), ("exact", "exact"), ("fuzzy", "fuzzy"), ("distinct", "cut"), ("scored", "cut")])
+    ),
+)
+def curation_metrics(spark, sf_dir):
+    """What :func:`curate_documents` measured while it ran, read back from its JSON report; seconds differ from run to run."""
+    metrics = StageMetrics()
+    _curated(spark, sf_dir, metrics)
+    path = scratch_path(spark, "metrics")
+    metrics.save(spark, path)
+    return StageMetrics.load(spark, path).table(spark).filter("metric <> 'seconds'")
 
 
 _TOP_SQL = f'SELECT doc_id, text FROM ({BUCKETS_SQL}) WHERE "ensemble-max-int" IN (18, 19)'

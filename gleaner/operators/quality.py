@@ -11,8 +11,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gleaner.functions.text import TOKEN
+from gleaner.operators import linear
 from gleaner.operators.filters import english_filter
 from gleaner.operators.quantiles import byte_weight, compute_thresholds, threshold_sample
+from gleaner.operators.skew import lookup
+from gleaner.session import store
 from gleaner.sources.files import BUCKET_COLUMN
 
 # Very frequent words of the languages at hand, for the stop-word share.
@@ -87,6 +90,40 @@ def model_score(df: DataFrame, model: PipelineModel, score_field: str) -> DataFr
     return scored.select(*[F.col(f"`{c}`") for c in df.columns], F.col(f"`{score_field}`"))
 
 
+# Names of the trained scores, and how sharply a mean weight tells.
+TRAINED_SCORES = ["quality-score-ngram", "quality-score-edu-a", "quality-score-edu-b"]
+NGRAM_SHARPNESS = 8.0
+CONTRAST_SHARPNESS = 40.0
+
+
+def ngram_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", out: str = TRAINED_SCORES[0]) -> DataFrame:
+    """``(key, out)``: log odds of words and word pairs, cross-fitted on the labelled documents."""
+    grams = linear.words_and_pairs(F.col(text))
+    model = linear.log_odds(linear.gram_counts(linear.labelled(docs.select(key, text), labels, "quality", key), grams))
+    return linear.gram_scores(docs, key, grams, model, NGRAM_SHARPNESS, out)
+
+
+def contrast_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", out: str = TRAINED_SCORES[1]) -> DataFrame:
+    """``(key, out)``: rare words that good documents hold more often than bad ones, cross-fitted."""
+    grams = F.array_distinct(linear.words(F.col(text)))
+    rows = linear.labelled(docs.select(key, text), labels, "quality", key)
+    model = linear.rarity_contrast(linear.gram_counts(rows, grams), rows)
+    return linear.gram_scores(docs, key, grams, model, CONTRAST_SHARPNESS, out)
+
+
+def statistics_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", out: str = TRAINED_SCORES[2]) -> DataFrame:
+    """``(key, out)``: a linear discriminant on :data:`FEATURES`, cross-fitted."""
+    featured = quality_features(docs.select(key, text), text).select(key, *FEATURES)
+    model = linear.statistics_model(linear.labelled(featured, labels, "quality", key), FEATURES)
+    return featured.select(key, linear.statistics_score(model, F.col(key), FEATURES).alias(out))
+
+
+def trained_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with the three trained scores; ids are unique. Scores are narrow tables until they meet the documents."""
+    parts = [store(make(docs, labels, key, text), "scores") for make in (ngram_scores, contrast_scores, statistics_scores)]
+    return lookup(docs, reduce(lambda a, b: a.join(b, key), parts), key, spread_by=key, how="left")
+
+
 def digitize(score: Column, thresholds: list[float]) -> Column:
     """Number of thresholds at or below the score; thresholds may tie.
 

@@ -130,10 +130,23 @@ def test_paragraphs(spark):
         (["good", "neargood", "bad"], ["good", "good", "bad"]),
     ],
 )
-def test_context(spark, classes, final):
-    rows = [(1, i, c) for i, c in enumerate(classes)]
-    df = spark.createDataFrame(rows, "page_id bigint, para_no int, cls string").repartition(3)
-    assert [r["final"] for r in extract.paragraph_context(df).orderBy("para_no").collect()] == final
+def test_context(classes, final):
+    assert extract.settle("".join(c[0] for c in classes)) == "".join(f[0] for f in final)
+
+
+def test_context_of_long_pages_is_linear():
+    """A page of a million short paragraphs between a bad and a good one."""
+    page = "b" + "s" * 500_000 + "n" + "s" * 500_000 + "g"
+    assert extract.settle(page) == "b" + "b" * 500_000 + "g" + "g" * 500_000 + "g"
+
+
+def test_extraction_moves_no_text(spark):
+    pages = spark.createDataFrame([(1, "<p>x</p>", "k")], "page_id bigint, html string, paragraphs string")
+    stops = spark.createDataFrame([("en", "the")], "lang string, word string")
+    for df in (extract.with_main_text(pages, stops), extract.with_paragraphs(pages, stops)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "RepartitionByExpression" not in plan and "Window" not in plan
+        assert "page_id" not in " ".join(line for line in plan.splitlines() if "Aggregate" in line)
 
 
 @pytest.mark.parametrize(
