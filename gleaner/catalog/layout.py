@@ -73,6 +73,43 @@ def warc_records(spark, sf_dir):
     return warc.read_warc(spark, f"{path}/segment/warc").select("url", "warc_id", "content")
 
 
+# A record quoted whole inside a page.
+_QUOTED = "<pre>\r\n\r\nWARC/1.0\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n</pre>"
+_QUOTED_SQL = "html || CASE WHEN page_id % 7 = 0 THEN '" + _QUOTED.replace("\r\n", "' || chr(13) || chr(10) || '") + "' ELSE '' END"
+
+
+def _quoting(spark, sf_dir):
+    quoted = F.when(F.col("page_id") % 7 == 0, F.lit(_QUOTED)).otherwise(F.lit(""))
+    return table(spark, sf_dir, "pages").withColumn("html", F.concat("html", quoted))
+
+
+@query("warc_plain_records", f"SELECT url, page_id::VARCHAR AS warc_id, {_QUOTED_SQL} AS content FROM pages")
+def warc_plain_records(spark, sf_dir):
+    """Plain files read in many ranges, with pages that quote whole records."""
+    path = scratch_path(spark, "warc-plain")
+    warc.write_warc(_quoting(spark, sf_dir).repartition(2, "page_id"), path, "none")
+    return warc.read_warc(spark, path, split_bytes=50_000).select("url", "warc_id", "content")
+
+
+@query(
+    "warc_record_limit",
+    f"""
+    SELECT kind, page_id::VARCHAR AS warc_id, {_QUOTED_SQL} AS content FROM pages, (SELECT unnest(['gzip', 'none']) AS kind)
+    QUALIFY row_number() OVER (PARTITION BY kind, page_id % 3 ORDER BY page_id) <= 5
+    """,
+)
+def warc_record_limit(spark, sf_dir):
+    """The first five records of each of three files, plain and gzipped; the rest isn't read."""
+    parts = _quoting(spark, sf_dir).withColumn("part", F.col("page_id") % 3).repartition(3, "part").sortWithinPartitions("part", "page_id")
+    out = []
+    for kind in ("gzip", "none"):
+        path = scratch_path(spark, f"warc-{kind}")
+        lines = parts.select("part", warc.warc_value().alias("value"))
+        lines.write.partitionBy("part").option("compression", kind).option("lineSep", "\r\n\r\n").text(path)
+        out.append(warc.read_warc(spark, path, limit=5).select(F.lit(kind).alias("kind"), "warc_id", "content"))
+    return out[0].unionByName(out[1])
+
+
 @query(
     "record_limit",
     "SELECT source, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 7",

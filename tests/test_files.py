@@ -35,6 +35,93 @@ def test_warc_members_types_charsets_and_quoted_markers(spark, tmp_path):
     ]
 
 
+def members(n, cut=None):
+    """``n`` records, number ``cut`` 30 bytes short, as single gzip members and as one plain file; pages quote records."""
+    inner = record("quoted", b"x" * 40, number=999).decode("latin-1").encode()
+    parts = []
+    for i in range(n):
+        body = f"<p>page {i}</p>".encode() + (b"\r\n\r\n" + inner + b"after" if i % 5 == 0 else b"") + b"y" * (i * 37 % 900)
+        whole = record(f"u{i}", body, number=i)
+        parts.append(whole[:-34] if i == cut else whole)
+    return parts
+
+
+@pytest.mark.parametrize("split", [700, 5_000, 1 << 20])
+@pytest.mark.parametrize("zipped", [True, False])
+def test_ranges_of_one_warc_file(spark, tmp_path, zipped, split):
+    """Each record comes once, in whole, whatever the ranges; a record cut short loses only itself."""
+    parts = members(60, cut=33)
+    data = b"".join(map(gzip.compress, parts)) if zipped else b"".join(parts)
+    (tmp_path / ("a.warc.gz" if zipped else "a.warc")).write_bytes(data)
+    df = warc.read_warc(spark, str(tmp_path), split_bytes=split)
+    if split == 700:
+        assert df.rdd.getNumPartitions() > 10
+    rows = df.orderBy("record_offset").collect()
+    assert [r.warc_id for r in rows] == [str(i) for i in range(60) if i != 33]
+    want = {str(i): p.split(b"\r\n\r\n", 2)[2].removesuffix(b"\r\n\r\n") for i, p in enumerate(parts)}
+    assert all(r.content.encode() == want[r.warc_id] for r in rows)
+
+
+def test_broken_gzip_member_loses_only_itself(spark, tmp_path):
+    zipped = [gzip.compress(p) for p in members(20)]
+    zipped[7] = zipped[7][:-40]
+    zipped[12] = zipped[12][:20] + bytes(len(zipped[12]) - 20)
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(zipped))
+    for split in (300, 1 << 20):
+        got = {int(r.warc_id) for r in warc.read_warc(spark, str(tmp_path), split_bytes=split).select("warc_id").collect()}
+        assert set(range(20)) - {7, 12} <= got
+
+
+@pytest.mark.parametrize("zipped", [True, False])
+def test_limit_leaves_the_file(spark, tmp_path, zipped, monkeypatch):
+    """Behind the first records lies what can't be read at all: a limit never gets there."""
+    parts = members(30)
+    data = b"".join(gzip.compress(p) if zipped else p for p in parts)
+    (tmp_path / ("a.warc.gz" if zipped else "a.warc")).write_bytes(data)
+    assert sorted(int(r.warc_id) for r in warc.read_warc(spark, str(tmp_path), limit=4).collect()) == [0, 1, 2, 3]
+
+    class Counting:
+        def __init__(self, data):
+            self.data, self.at, self.read_bytes = data, 0, 0
+
+        def seek(self, at):
+            self.at = at
+
+        def read(self, n):
+            out = self.data[self.at : self.at + n]
+            self.at += len(out)
+            self.read_bytes += len(out)
+            return out
+
+    monkeypatch.setattr(warc, "_READ", 1000)
+    monkeypatch.setattr(warc, "_LONGEST_HEADER", 1000)
+    file = Counting(data * 50)
+    read = (warc._gzip_records if zipped else warc._plain_records)(file, 0, len(file.data))
+    assert len([next(read) for _ in range(4)]) == 4
+    assert file.read_bytes < len(file.data) / 10
+
+
+def test_files_only_spark_can_reach(spark, tmp_path, monkeypatch):
+    """Spark's text reader gives the same rows, also where it splits plain files."""
+
+    def unknown(path):
+        raise OSError("no such scheme")
+
+    parts = members(60, cut=33)
+    (tmp_path / "a.warc").write_bytes(b"".join(parts))
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(map(gzip.compress, parts)))
+    direct = sorted(r[:5] for r in warc.read_warc(spark, str(tmp_path)).collect())
+    monkeypatch.setattr(warc, "_file_system", unknown)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        streamed = warc.read_warc(spark, str(tmp_path))
+        assert sorted(r[:5] for r in streamed.collect()) == direct and len(direct) == 118
+        assert warc.read_warc(spark, str(tmp_path), limit=2).count() == 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_listing_picks_main_files_in_order(spark, tmp_path):
     for name in ("s1/warc/b.warc.gz", "s1/warc/a.warc.gz", "s1/wet/c.warc.wet.gz", "s1/robotstxt/d.warc.gz"):
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
