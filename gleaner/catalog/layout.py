@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gleaner.catalog.base import query, table
+from gleaner.catalog.base import ORACLES, query, table
 from gleaner.functions.text import token_count
 from gleaner.operators import layout as ops
 from gleaner.session import scratch_path
@@ -197,6 +197,24 @@ def reshard_by_size(spark, sf_dir):
     return ops.size_parts(docs, _LIMIT, "source", ["doc_id"], size)
 
 
+# What a row may take as a JSON line: two bytes for each of its text, and the rest.
+_ROW_BOUND = "2 * {} + 200"
+_RESHARD_SQL = ORACLES["reshard_by_size"].replace("strlen(text) + 1 AS row_bytes", _ROW_BOUND.format("strlen(text)") + " AS row_bytes")
+
+
+@query(
+    "resharded_files",
+    f"SELECT source AS file, part::INTEGER AS part, 1::BIGINT AS files, count(*) AS rows, true AS within_limit, true AS in_order FROM ({_RESHARD_SQL}) GROUP BY ALL",
+)
+def resharded_files(spark, sf_dir):
+    """Written files read back: none above the limit, rows in their order."""
+    docs = table(spark, sf_dir, "documents").select("source", "doc_id", "text")
+    path = scratch_path(spark, "resharded")
+    ops.write_resharded(docs, path, _LIMIT, "source", ["doc_id"], size=(2 * F.octet_length("text") + 200).cast("bigint"))
+    schema = "doc_id bigint, text string, source string, part int"
+    return ops.written_parts(spark, path, "source", "doc_id", schema, _LIMIT).drop("bytes")
+
+
 _FILES_SQL = (
     "SELECT source || '/' || lang AS path, sum(strlen(text))::BIGINT AS length FROM documents GROUP BY ALL"
 )

@@ -153,7 +153,7 @@ def lang_ctes(source: str, key: str) -> str:
     """CTEs ending in ``lid(key, code, score)`` for ``source(key, text)``."""
     return f"""
     cnt AS MATERIALIZED (SELECT lang, gram, count(*) AS n FROM ({_GRAMS.format(keys="lang", source="SELECT * FROM documents")}) GROUP BY ALL),
-    voc AS MATERIALIZED (SELECT DISTINCT gram FROM (SELECT gram, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS r FROM cnt) WHERE r <= 2000),
+    voc AS MATERIALIZED (SELECT DISTINCT gram FROM cnt),
     kpt AS MATERIALIZED (SELECT lang, gram, n FROM cnt JOIN voc USING (gram)),
     tot AS MATERIALIZED (SELECT lang, sum(n)::BIGINT AS total, (SELECT count(*) FROM voc) AS size FROM kpt GROUP BY lang),
     mdl AS MATERIALIZED (SELECT t.lang, v.gram, round(ln((coalesce(k.n, 0) + 1)::DOUBLE / (t.total + t.size + 1)) * 10000)::BIGINT AS weight
@@ -176,17 +176,22 @@ def lang_id(spark, sf_dir):
 
 _ODD = "“x” ‘y’\r\nﬁn ﬂy\x07​﻿end"
 _ODD_CLEAN = "\"x\" 'y'\nfin flyend"
+# Runs misread as Windows-1252 or Latin-1 beside other characters, and text that only looks so.
+_RUNS = " itâ€™s cafÃ© 漢字 dÃ¼nn Ð¿Ñ€Ð¸Ð²ÐµÑ‚ ðŸ˜€ â€” “CAFÉ” «\u00a0été\u00a0» می\u200cخواهم"
+_RUNS_CLEAN = " it's café 漢字 dünn привет 😀 — \"CAFÉ\" «\u00a0été\u00a0» می\u200cخواهم"
 
 
 @query(
     "unicode_cleanup",
-    f"SELECT doc_id, text || CASE WHEN doc_id % 3 = 0 THEN '{_ODD_CLEAN.replace(chr(39), chr(39) * 2)}' ELSE '' END AS text FROM documents",
+    f"SELECT doc_id, text || CASE doc_id % 3 WHEN 0 THEN '{_ODD_CLEAN.replace(chr(39), chr(39) * 2)}' "
+    f"WHEN 1 THEN '{_RUNS_CLEAN.replace(chr(39), chr(39) * 2)}' ELSE '' END AS text FROM documents",
 )
 def cleanup(spark, sf_dir):
-    """Documents spoilt on purpose: read as Latin-1, or with odd characters at the end."""
+    """Documents spoilt on purpose: read as Latin-1, or with odd characters or misread runs at the end."""
     docs = table(spark, sf_dir, "documents")
     misread = F.decode(F.col("text").cast("binary"), "ISO-8859-1")
-    spoilt = F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(_ODD))).otherwise(misread)
+    rest = F.col("doc_id") % 3
+    spoilt = F.when(rest == 0, F.concat("text", F.lit(_ODD))).when(rest == 1, F.concat("text", F.lit(_RUNS))).otherwise(misread)
     return docs.select("doc_id", unicode_cleanup(spoilt).alias("text"))
 
 

@@ -6,29 +6,31 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gleaner.functions.names import all_columns, column, fresh
 from gleaner.functions.text import ngrams
-from gleaner.operators.skew import first_per_group
-from gleaner.session import cut_lineage
+from gleaner.operators.skew import first_per_group, spread_join
+from gleaner.session import cut_lineage, store
 
-# Trigrams kept per language, and the scale that makes log probabilities whole numbers.
-GRAMS_PER_LANGUAGE = 2000
+# Fixed value: the scale that makes log probabilities whole numbers.
 SCALE = 10_000
+#: A model of so many (language, trigram) rows is sent to the tasks; a larger one meets the texts in a join.
+MODEL_ROWS = 2_000_000
 
 
 def train_language_model(
-    docs: DataFrame, text: str = "text", lang: str = "lang", top: int = GRAMS_PER_LANGUAGE
+    docs: DataFrame, text: str = "text", lang: str = "lang", top: int | None = None
 ) -> DataFrame:
     """``(lang, gram, weight)`` from labelled text; a NULL gram holds the weight of unseen ones.
 
-    Weights are scaled, rounded log probabilities with add-one smoothing. The
-    table has at most ``top`` grams per language, seen from every language.
+    Weights are scaled, rounded log probabilities with add-one smoothing. The table has all grams of
+    all languages, seen from every language; with ``top`` only the most frequent of each language.
     """
     counts = cut_lineage(
         docs.select(F.col(lang).alias("lang"), F.explode(ngrams(F.lower(F.col(text)), 3)).alias("gram"))
         .groupBy("lang", "gram")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    best = first_per_group(counts, "lang", [F.desc("n"), "gram"], top, spread_by="gram")
+    best = counts if top is None else first_per_group(counts, "lang", [F.desc("n"), "gram"], top, spread_by="gram")
     vocabulary = cut_lineage(best.select("gram").distinct())
     size = vocabulary.count()
     kept = counts.join(vocabulary, "gram")
@@ -50,10 +52,10 @@ def _key(grams: np.ndarray) -> np.ndarray:
     return (grams[0] << np.uint64(42)) | (grams[1] << np.uint64(21)) | grams[2]
 
 
-def language_scorer(model: DataFrame, top: int = GRAMS_PER_LANGUAGE):
+def language_scorer(model: DataFrame):
     """A Column function giving ``(code, score)``; ties go to the first code, a null text has neither.
 
-    The model is collected: ``top`` grams per language bound it.
+    The model is collected; :func:`lang_id` does so only if it is measured to be small.
     """
     table = model.toPandas()
     wide = table[table.gram.notna()].pivot(index="gram", columns="lang", values="weight").sort_index(axis=1)
@@ -89,10 +91,44 @@ def language_scorer(model: DataFrame, top: int = GRAMS_PER_LANGUAGE):
     return lambda text: score(F.lower(text))
 
 
-def lang_id(df: DataFrame, model: DataFrame, text: str = "text", out: str = "language") -> DataFrame:
+def lang_id(df: DataFrame, model: DataFrame, text: str = "text", out: str = "language", max_rows: int = MODEL_ROWS) -> DataFrame:
     """Add ``out`` as the literal ``"[score, 'CODE']"``."""
-    scored = df.withColumn("_lang", language_scorer(model)(F.col(text)))
-    return scored.withColumn(out, language_field(F.col("_lang.score"), F.col("_lang.code"))).drop("_lang")
+    lang = fresh(df, "_lang")
+    model = cut_lineage(model)
+    if model.count() <= max_rows:
+        scored = df.withColumn(lang, language_scorer(model)(column(text)))
+    else:
+        scored = _joined_scores(df, model, text, lang)
+    field = language_field(F.col(f"{lang}.score"), F.col(f"{lang}.code"))
+    return scored.withColumn(out, field).drop(lang)
+
+
+def _joined_scores(df: DataFrame, model: DataFrame, text: str, out: str) -> DataFrame:
+    """``df`` with the struct ``out`` of code and score, by one row per trigram and document.
+
+    Trigrams of a document are counted before they move; a trigram of very many documents is spread.
+    """
+    rest = {r["lang"]: r["weight"] for r in model.filter("gram is null").collect()}  # one row per language
+    langs = sorted(rest)
+    number = fresh(df, "_number")
+    numbered = store(df.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    grams = numbered.select(F.col(number).alias("number"), F.explode(ngrams(F.lower(column(text)), 3)).alias("gram"))
+    counted = store(grams.groupBy("number", "gram").agg(F.count(F.lit(1)).alias("c")), "document-grams")
+    weight = lambda name: F.max(F.when(F.col("lang") == name, F.col("weight")))
+    wide = model.filter("gram is not null").groupBy("gram").agg(*[weight(name).alias(f"w{i}") for i, name in enumerate(langs)])
+    sizes = counted.groupBy("gram").agg(F.count(F.lit(1)).alias("size"))
+    met = spread_join(counted, sizes.join(wide, "gram", "left"), "gram", "size", spread_by="number")
+    sums = met.groupBy("number").agg(
+        *[F.sum(F.col("c") * F.coalesce(F.col(f"w{i}"), F.lit(rest[name]))).alias(f"s{i}") for i, name in enumerate(langs)]
+    )
+    scores = [F.coalesce(F.col(f"s{i}"), F.lit(0)) for i in range(len(langs))]
+    top = F.greatest(*scores) if len(scores) > 1 else scores[0]
+    code = F.coalesce(*[F.when(s == top, F.lit(name.upper())) for s, name in zip(scores, langs)])
+    share = sum((F.exp((s - top) / F.lit(float(SCALE))) for s in scores), start=F.lit(0.0))
+    found = F.struct(code.alias("code"), F.round(1.0 / share, 6).alias("score"))
+    joined = numbered.join(sums.withColumnRenamed("number", number), number, "left")
+    told = joined.withColumn(out, F.when(column(text).isNotNull(), found))
+    return told.select(*all_columns(df), out)
 
 
 def language_field(score: Column, code: Column) -> Column:

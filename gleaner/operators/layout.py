@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from gleaner.functions.names import fresh
 from gleaner.operators.prefix import row_index, running_totals
 from gleaner.operators.skew import first_per_group, lookup, small_or_none
 
@@ -19,8 +20,9 @@ def kept_and_removed(df: DataFrame, removed: DataFrame, key: str) -> tuple[DataF
     The rows are flagged by one join, which moves none of them while the keys are
     measured to be few enough to broadcast.
     """
-    flagged = lookup(df, removed.select(key).distinct().withColumn("_gone", F.lit(True)), key, spread_by=key, how="left")
-    return flagged.filter("_gone is null").drop("_gone"), flagged.filter("_gone").drop("_gone")
+    gone = fresh(df, "_gone")
+    flagged = lookup(df, removed.select(key).distinct().withColumn(gone, F.lit(True)), key, spread_by=key, how="left")
+    return flagged.filter(F.col(gone).isNull()).drop(gone), flagged.filter(F.col(gone)).drop(gone)
 
 
 def write_sides(kept: DataFrame, removed: DataFrame, path: str) -> None:
@@ -60,10 +62,13 @@ def size_parts(
 
 
 def write_resharded(
-    df: DataFrame, path: str, limit: int, file_col: str, order: list[str], fmt: str = "json"
+    df: DataFrame, path: str, limit: int, file_col: str, order: list[str], fmt: str = "json", size: Column | None = None
 ) -> None:
-    """Rewrite every file as ``<file>/part=<n>`` with no part above ``limit`` bytes."""
-    parts = size_parts(df, limit, file_col, order).drop("row_bytes")
+    """Rewrite every file as ``<file>/part=<n>`` with no part above ``limit`` bytes, as long as no row is.
+
+    ``size`` is what a row may take at most; without it, its bytes as one JSON line.
+    """
+    parts = size_parts(df, limit, file_col, order, size).drop("row_bytes")
     (
         df.join(parts, [file_col, *order])
         .repartition(file_col, "part")
@@ -74,6 +79,30 @@ def write_resharded(
     )
 
 
+def written_parts(spark: SparkSession, path: str, file_col: str, order: str, schema, limit: int, fmt: str = "json") -> DataFrame:
+    """``(file, part, files, rows, bytes, within_limit, in_order)`` of a tree that :func:`write_resharded` wrote.
+
+    Sizes are those of the files; ``in_order``: rows stand in their file in the order of ``order``, and no part
+    before holds a later one. Every part is one file, written by one task.
+    """
+    read = spark.read.schema(schema).format(fmt).load(path)
+    rows = read.select(
+        F.col(file_col).alias("file"), "part", F.col(order).alias("place"), F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_size").alias("size"), F.monotonically_increasing_id().alias("number"),
+    )
+    before = F.lag("place").over(Window.partitionBy("path").orderBy("number"))
+    told = rows.withColumn("sorted", F.coalesce(before <= F.col("place"), F.lit(True)))
+    parts = told.groupBy("file", "part").agg(
+        F.count_distinct("path").alias("files"), F.count(F.lit(1)).alias("rows"), F.max("size").alias("bytes"),
+        F.bool_and("sorted").alias("sorted"), F.min("place").alias("low"), F.max("place").alias("high"),
+    )
+    last = F.max("high").over(Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    return parts.withColumn("last", last).select(
+        "file", "part", "files", "rows", "bytes", ((F.col("bytes") <= limit) | (F.col("rows") == 1)).alias("within_limit"),
+        (F.col("sorted") & F.coalesce(F.col("last") < F.col("low"), F.lit(True))).alias("in_order"),
+    )
+
+
 def shard_of_files(files: DataFrame, num_shards: int, path_col: str = "path") -> DataFrame:
     """Add ``shard_id``: the sorted files are dealt out in turn."""
     if num_shards < 1:

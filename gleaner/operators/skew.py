@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gleaner.functions.names import fresh
 from gleaner.session import cut_lineage
 
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -63,25 +64,24 @@ def spread_join(
 ) -> DataFrame:
     """Join ``rows`` with ``groups`` (one row per ``key``, with its row count in ``size_col``).
 
-    Keys above ``hot_rows`` are salted: their rows spread over ``salts`` tasks and
-    their one group row is repeated as often. The hot key list that is broadcast
-    has at most ``count(rows) / hot_rows`` entries. ``size_col`` is dropped. Where
+    Keys above ``hot_rows`` are salted: their rows spread over at least ``salts`` tasks, and
+    over so many that none gets more than about ``hot_rows`` of them; their one group row is
+    repeated as often. The hot key list that is broadcast has at most
+    ``count(rows) / hot_rows`` entries. ``size_col`` is dropped. Where
     ``rows`` are known to number at most ``max_rows``, no key can exceed that.
     """
     if max_rows is not None and max_rows <= hot_rows:
         return rows.join(groups.drop(size_col), key, how)
-    hot = groups.filter(F.col(size_col) > hot_rows).select(key, F.lit(True).alias("_hot"))
+    salt, times = fresh(rows, "_salt"), fresh(rows, "_times")
+    spread = F.greatest(F.ceil(F.col(size_col) / hot_rows), F.lit(salts)).cast("int")
+    hot = groups.filter(F.col(size_col) > hot_rows).select(key, spread.alias(times))
     salted_rows = rows.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(F.lit(0)),
+        salt, F.when(F.col(times).isNotNull(), F.pmod(F.xxhash64(spread_by), F.col(times)).cast("int")).otherwise(F.lit(0))
     )
     salted_groups = groups.withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col(size_col) > hot_rows, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ),
+        salt, F.explode(F.when(F.col(size_col) > hot_rows, F.sequence(F.lit(0), spread - 1)).otherwise(F.array(F.lit(0))))
     ).drop(size_col)
-    return salted_rows.drop("_hot").join(salted_groups, [key, "_salt"], how).drop("_salt")
+    return salted_rows.drop(times).join(salted_groups, [key, salt], how).drop(salt)
 
 
 def first_per_group(
@@ -92,13 +92,14 @@ def first_per_group(
     Each group is first thinned in ``salts`` independent parts, so one group that
     holds most rows is not sorted in a single task.
     """
-    part = Window.partitionBy(group, "_salt").orderBy(*order)
+    salt, number = fresh(df, "_salt"), fresh(df, "_n")
+    part = Window.partitionBy(group, salt).orderBy(*order)
     whole = Window.partitionBy(group).orderBy(*order)
     return (
-        df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)))
-        .withColumn("_n", F.row_number().over(part))
-        .filter(F.col("_n") <= n)
-        .withColumn("_n", F.row_number().over(whole))
-        .filter(F.col("_n") <= n)
-        .drop("_salt", "_n")
+        df.withColumn(salt, F.pmod(F.xxhash64(spread_by), F.lit(salts)))
+        .withColumn(number, F.row_number().over(part))
+        .filter(F.col(number) <= n)
+        .withColumn(number, F.row_number().over(whole))
+        .filter(F.col(number) <= n)
+        .drop(salt, number)
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gleaner.functions import pii
+from gleaner.functions.names import all_columns, column, fresh
 from gleaner.functions.urls import domain_suffixes, url_host
 from gleaner.operators.skew import HOT_ROWS, lookup
 
@@ -42,24 +43,28 @@ def listed_hosts(docs: DataFrame, domains: DataFrame, url: str = "url", hot_rows
     return hosts.join(listed, "host", "left").filter(F.col("listed_domain").isNotNull() | (F.col("rows") > hot_rows))
 
 
-def flag_listed(docs: DataFrame, domains: DataFrame, url: str, key: str) -> DataFrame:
-    """Add ``listed_domain``: the list entry that matched, or NULL. Documents are not shuffled
+def flag_listed(docs: DataFrame, domains: DataFrame, url: str, key: str, out: str = "listed_domain") -> DataFrame:
+    """Add ``out``: the list entry that matched, or NULL. Documents are not shuffled
     while the listed hosts are few enough to broadcast."""
-    keyed = docs.withColumn("host", host_or_empty(F.col(url)))
-    hosts = listed_hosts(docs, domains, url)
-    return lookup(keyed, hosts, "host", spread_by=key, size_col="rows", how="left").drop("host")
+    host, rows = fresh(docs, "_host"), fresh(docs, "_rows")
+    keyed = docs.withColumn(host, host_or_empty(column(url)))
+    hosts = listed_hosts(docs, domains, url).select(F.col("host").alias(host), F.col("listed_domain").alias(out), F.col("rows").alias(rows))
+    return lookup(keyed, hosts, host, spread_by=key, size_col=rows, how="left").drop(host)
 
 
 def robots_filter(docs: DataFrame, domains: DataFrame, url: str = "url", key: str = "warc_id") -> DataFrame:
     """Documents whose host and parent domains are all unlisted; a NULL URL is kept."""
-    flagged = flag_listed(docs, domains, url, key)
-    return flagged.filter(F.col("listed_domain").isNull()).select(*docs.columns)
+    listed = fresh(docs, "listed_domain")
+    flagged = flag_listed(docs, domains, url, key, listed)
+    return flagged.filter(F.col(listed).isNull()).select(*all_columns(docs))
 
 
 def robots_removed(docs: DataFrame, domains: DataFrame, url: str = "url", key: str = "warc_id") -> DataFrame:
-    """The excluded documents with their raw text, and the entry that matched."""
-    flagged = flag_listed(docs, domains, url, key)
-    return flagged.filter(F.col("listed_domain").isNotNull()).select(*docs.columns, "listed_domain")
+    """The excluded documents with their raw text, and the entry that matched as ``listed_domain``
+    (with underscores in front, where the documents have such a column)."""
+    listed = fresh(docs, "listed_domain")
+    flagged = flag_listed(docs, domains, url, key, listed)
+    return flagged.filter(F.col(listed).isNotNull()).select(*all_columns(docs), listed)
 
 
 def extra_blocklists(
@@ -76,12 +81,13 @@ def extra_blocklists(
         pattern = "(^|[^a-z0-9])(" + "|".join(rf"\Q{w}\E" for w in sorted(words)) + ")($|[^a-z0-9])"
         out = out.filter(F.coalesce(~F.lower(F.col(url)).rlike(pattern), F.lit(True)))
     if urls is not None:
-        listed = urls.select(F.trim("url").alias("_url")).filter("_url <> ''").distinct().withColumn("_listed", F.lit(True))
-        keyed = out.withColumn("_url", F.coalesce(F.col(url), F.lit("")))
-        sizes = keyed.groupBy("_url").agg(F.count(F.lit(1)).alias("_rows"))
-        hits = sizes.join(listed, "_url", "left").filter(F.col("_listed") | (F.col("_rows") > HOT_ROWS))
-        out = lookup(keyed, hits, "_url", spread_by=key, size_col="_rows", how="left")
-        out = out.filter(F.col("_listed").isNull()).select(*docs.columns)
+        at, flag, rows = fresh(docs, "_url"), fresh(docs, "_listed"), fresh(docs, "_rows")
+        listed = urls.select(F.trim("url").alias(at)).filter(F.col(at) != "").distinct().withColumn(flag, F.lit(True))
+        keyed = out.withColumn(at, F.coalesce(column(url), F.lit("")))
+        sizes = keyed.groupBy(at).agg(F.count(F.lit(1)).alias(rows))
+        hits = sizes.join(listed, at, "left").filter(F.col(flag) | (F.col(rows) > HOT_ROWS))
+        out = lookup(keyed, hits, at, spread_by=key, size_col=rows, how="left")
+        out = out.filter(F.col(flag).isNull()).select(*all_columns(docs))
     if domains is not None:
         out = robots_filter(out, domains, url, key)
     return out
@@ -110,7 +116,8 @@ def url_pii_stage(
     docs: DataFrame, domains: DataFrame, url: str = "url", text: str = "text", key: str = "warc_id"
 ) -> tuple[DataFrame, DataFrame]:
     """Kept documents (redacted, with ``pii_count``) and removed ones (raw, input schema)."""
-    flagged = flag_listed(docs, domains, url, key)
-    kept = redact_pii(flagged.filter(F.col("listed_domain").isNull()).select(*docs.columns), text)
-    removed = flagged.filter(F.col("listed_domain").isNotNull()).select(*docs.columns)
+    listed = fresh(docs, "listed_domain")
+    flagged = flag_listed(docs, domains, url, key, listed)
+    kept = redact_pii(flagged.filter(F.col(listed).isNull()).select(*all_columns(docs)), text)
+    removed = flagged.filter(F.col(listed).isNotNull()).select(*all_columns(docs))
     return kept, removed

@@ -23,8 +23,8 @@ def seconds(lines: int) -> float:
 
 
 def test_chunker_is_linear():
-    seconds(1_000)
-    assert seconds(1_000_000) < 400 * max(seconds(10_000), 1e-3)
+    least = lambda lines: min(seconds(lines) for _ in range(3))  # noqa: E731  (other work may slow one of them)
+    assert least(1_000_000) < 2_000 * max(least(10_000), 1e-3)  # 10_000 times if it were quadratic
 
 
 def test_chunker_takes_a_million_lines(spark):
@@ -165,3 +165,51 @@ def test_repeated_page_ids_do_not_multiply(spark):
     model = langid.train_language_model(spark.createDataFrame([("the cat and the dog", "en"), ("der hund", "de")], "text string, lang string"))
     listed = spark.createDataFrame([("b.example",)], "domain string")
     assert [r.url for r in curate_pages(df, stops, model, listed).collect()] == ["http://a.example/1"]
+
+
+HELPERS = ["host", "rows", "listed_domain", "_gone", "_host", "_rows", "_url", "_listed", "_salt", "_hot", "_times", "_n", "_lang", "_stops", "_made"]
+
+
+def test_columns_called_like_helpers(spark):
+    from gleaner.operators import layout
+
+    docs = spark.createDataFrame([(1, "http://a.example/x", "t"), (2, "http://b.example/y", "t"), (3, None, "t")], "warc_id long, url string, text string")
+    docs = docs.withColumns({c: F.lit("mine") for c in HELPERS})
+    listed = spark.createDataFrame([("b.example",)], "domain string")
+    urls = spark.createDataFrame([("http://a.example/x",)], "url string")
+    kept, removed = urlpii.url_pii_stage(docs, listed)
+    here, gone = layout.kept_and_removed(docs, docs.filter("warc_id = 2"), "warc_id")
+    frames = {
+        "filter": (urlpii.robots_filter(docs, listed), [1, 3]),
+        "removed": (urlpii.robots_removed(docs, listed), [2]),
+        "lists": (urlpii.extra_blocklists(docs, listed, urls), [3]),
+        "kept side": (kept, [1, 3]),
+        "removed side": (removed, [2]),
+        "here": (here, [1, 3]),
+        "gone": (gone, [2]),
+        "limit": (layout.record_limit(docs, 2, "text", "warc_id"), [1, 2]),
+    }
+    for name, (df, ids) in frames.items():
+        rows = df.collect()
+        assert sorted(r.warc_id for r in rows) == ids, name
+        assert all(r[c] == "mine" for r in rows for c in HELPERS), name
+
+
+def test_language_model_in_a_join(spark):
+    """A model that isn't sent gives the same scores: short, empty and missing texts, unseen trigrams, ties."""
+    docs = spark.createDataFrame([("the cat and the dog", "en"), ("der hund und die katze", "de"), ("le chat et le chien", "fr")], "text string, lang string")
+    model = langid.train_language_model(docs)
+    given = spark.createDataFrame([(1, None), (2, "the dog"), (3, ""), (4, "xx"), (5, "ZZZ qqq"), (6, "die Katze et"), (2, "the dog")], "id long, text string")
+    sent = sorted(map(str, langid.lang_id(given, model).collect()))
+    assert sorted(map(str, langid.lang_id(given, model, max_rows=0).collect())) == sent
+
+
+def test_salts_grow_with_the_rows_of_a_key(spark):
+    from gleaner.operators.skew import spread_join
+
+    rows = spark.range(5000).select((F.col("id") % 5 == 0).cast("int").alias("k"), "id")
+    groups = rows.groupBy("k").agg(F.count(F.lit(1)).alias("size"), F.max("id").alias("top"))
+    out = spread_join(rows, groups, "k", "size", spread_by="id", hot_rows=100, salts=2)
+    assert out.count() == 5000 and out.columns == ["k", "id", "top"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan and "_times" in plan

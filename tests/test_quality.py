@@ -84,3 +84,59 @@ def test_trained_scores_are_probabilities_and_tell_labels_apart(spark):
         scored = quality.model_score(docs, pipeline.fit(docs), "s-score").collect()
         assert len(scored) == 60 and all(0 <= r["s-score"] <= 1 for r in scored)
         assert min(r["s-score"] for r in scored if r["quality"]) > max(r["s-score"] for r in scored if not r["quality"])
+
+
+def auc(pairs):
+    """Chance that a good document scores above a bad one; ties count half."""
+    good, bad = ([s for s, y in pairs if y == k] for k in (1, 0))
+    return sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad))
+
+
+def test_trained_scores_on_documents_they_have_not_seen(spark):
+    """Every labelled document is scored by a model without its fold."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = quality.trained_scores(docs, labels).join(labels, "doc_id").select(*quality.TRAINED_SCORES, "quality").collect()
+    assert len(rows) == labels.count()
+    reached = [auc([(r[c], r["quality"]) for r in rows]) for c in quality.TRAINED_SCORES]
+    assert all(0 <= r[c] <= 1 for r in rows for c in quality.TRAINED_SCORES)
+    print(reached)
+    assert min(reached) > 0.8, reached
+
+
+def test_models_leave_out_their_fold(spark):
+    """A label that only one document has can't be told by a model that hasn't seen it."""
+    from gleaner.operators import linear
+
+    docs = spark.createDataFrame([(i, f"word{i} common text", i % 2) for i in range(40)], "doc_id long, text string, quality int")
+    rows = quality.ngram_scores(docs, docs).join(docs, "doc_id").collect()
+    assert 0.3 < auc([(r[quality.TRAINED_SCORES[0]], r["quality"]) for r in rows]) < 0.7
+    folds = {r.f for r in docs.select(linear.fold_of(F.col("doc_id")).alias("f")).distinct().collect()}
+    assert folds == set(range(linear.FOLDS))
+
+
+def test_scores_of_a_model_too_large_to_send(spark):
+    from gleaner.operators import linear
+
+    docs = spark.createDataFrame([(i, f"a b c{i % 7} d{i % 3}", int(i % 7 > 3)) for i in range(60)] + [(99, None, 1), (100, "", 0)], "doc_id long, text string, quality int")
+    rows = linear.labelled(docs.select("doc_id", "text"), docs, "quality")
+    model = linear.log_odds(linear.gram_counts(rows, linear.words(F.col("text"))))
+    both = [linear.gram_scores(docs, "doc_id", linear.words(F.col("text")), model, 8.0, "s", b).collect() for b in (1 << 26, 0)]
+    assert sorted(both[0]) == sorted(both[1]) and len(both[0]) == 62
+
+
+def test_figures_of_stages(spark, tmp_path):
+    from gleaner.operators.metrics import StageMetrics, bytes_of
+
+    docs = spark.createDataFrame([(1, "é"), (2, None), (3, "abc")], "id long, text string")
+    metrics = StageMetrics()
+    once = metrics.store(docs, "first", text_bytes=bytes_of("text"))
+    metrics.store(once.filter("id = 9"), "none", text_bytes=bytes_of("text"))
+    metrics.store(once, "first")
+    metrics.save(spark, str(tmp_path / "m"))
+    rows = [tuple(r) for r in StageMetrics.load(spark, str(tmp_path / "m")).table(spark).collect()]
+    assert [r[:3] for r in rows] == [r[:3] for r in metrics.rows()]
+    assert [r for r in rows if r[2] != "seconds"] == [
+        (0, "first", "rows", 3.0), (0, "first", "text_bytes", 5.0), (1, "none", "rows", 0.0), (1, "none", "text_bytes", 0.0), (2, "first", "rows", 3.0)
+    ]
+    assert all(r[3] > 0 for r in rows if r[2] == "seconds")
