@@ -118,8 +118,13 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rules_sql() -> str:
-    steps = ", ".join(f"('{r}', {i}, {c}::DOUBLE)" for r, cs in rules.RULES.items() for i, c in enumerate(cs))
-    p, level = rules.ALPHA / len(rules.RULES), f"{rules.DELTA}::DOUBLE / ((SELECT count(DISTINCT stratum) FROM held) * {len(rules.RULES)})"
+    share = "{}::DOUBLE / greatest({}, 1)"
+    shares = {
+        "symbols": ("n_symbols", "word_chars"), "duplicate_lines": ("n_dup_lines", "n_lines"), "repeated_words": ("n_repeat_words", "n_words"),
+        "capitals": ("n_capitals", "word_chars"), "short_words": ("n_words", "word_chars"),
+    }
+    first = ", ".join(f"CASE WHEN {share.format(*shares[r])} >= {c}::DOUBLE THEN {j} END" for j, (r, c) in enumerate(rules.PATH))
+    p, end = rules.ALPHA, len(rules.PATH) - 1
     word = "[^\\x20\\x09-\\x0D]+"
     return f"""
 WITH d AS (
@@ -146,36 +151,39 @@ WITH d AS (
          length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_capitals
   FROM d JOIN w USING (rid) LEFT JOIN lines USING (rid) LEFT JOIN rep USING (rid)
 ), f AS (
-  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-         coalesce('=' || lang, 'none') || '/' || CASE WHEN n_words < {rules.LONG_TEXT_WORDS} THEN 'short' ELSE 'long' END AS stratum,
-         n_symbols::DOUBLE / greatest(word_chars, 1) AS symbols, n_dup_lines::DOUBLE / greatest(n_lines, 1) AS duplicate_lines,
-         n_repeat_words::DOUBLE / greatest(n_words, 1) AS repeated_words, n_capitals::DOUBLE / greatest(word_chars, 1) AS capitals,
-         n_words::DOUBLE / greatest(word_chars, 1) AS short_words
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, coalesce('=' || lang, 'none') AS lang_key,
+         CASE WHEN n_words < {rules.LONG_TEXT_WORDS} THEN '/short' ELSE '/long' END AS size, least({first}) AS first
   FROM c
-), share AS (
-  SELECT rid, rule, v FROM f UNPIVOT (v FOR rule IN (symbols, duplicate_lines, repeated_words, capitals, short_words))
 ), good AS (
   SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1
 ), held AS (
-  SELECT min(rid) AS rid, any_value(stratum) AS stratum FROM f JOIN good USING (doc_id) WHERE NOT base_failed GROUP BY sha
-), step(rule, step, cutoff) AS (VALUES {steps}), k AS (
-  SELECT stratum, step.rule, step, cutoff, count(*) AS n, count(*) FILTER (WHERE v >= cutoff) AS k
-  FROM held JOIN share USING (rid) JOIN step ON step.rule = share.rule GROUP BY ALL
+  SELECT min(lang_key) AS lang_key, any_value(size) AS size, any_value(first) AS first FROM f JOIN good USING (doc_id) WHERE NOT base_failed GROUP BY sha
+), leaf AS (
+  SELECT lang_key, lang_key || size AS stratum, first, count(*) AS k FROM held GROUP BY ALL
+), need AS (
+  SELECT ceil(ln({rules.DELTA}::DOUBLE / greatest(count(DISTINCT stratum), 1)) / ln(1 - {p}::DOUBLE)) AS needed FROM leaf
+), own AS (
+  SELECT *, sum(k) OVER (PARTITION BY stratum) >= needed AS own FROM leaf, need
+), merged AS (
+  SELECT CASE WHEN own THEN stratum WHEN sum(k) FILTER (NOT own) OVER (PARTITION BY lang_key) >= needed THEN lang_key || '/*' ELSE '*' END AS stratum, first, k FROM own
+), sized AS (
+  SELECT stratum, CAST(sum(k) AS BIGINT) AS n FROM merged GROUP BY stratum
+), level AS (
+  SELECT {rules.DELTA}::DOUBLE / greatest(count(*), 1) AS level FROM sized
+), k AS (
+  SELECT stratum, step, n, CAST(coalesce(sum(k) FILTER (first <= step), 0) AS BIGINT) AS k
+  FROM merged JOIN sized USING (stratum), (SELECT unnest(range(-1, {end + 1})) AS step) GROUP BY stratum, step, n
 ), tail AS (
-  SELECT stratum, rule, step, cutoff, CASE WHEN k < n * {p} THEN (
+  SELECT stratum, step, CASE WHEN k < n * {p} THEN (
            SELECT sum(exp(lgamma(n + 1.0) - lgamma(j + 1.0) - lgamma(n - j + 1.0) + j * ln({p}) + (n - j) * ln(1 - {p})))
            FROM (SELECT unnest(range(0, k + 1)) AS j)) ELSE 1 END AS tail
   FROM k
-), stop AS (
-  SELECT *, coalesce(min(CASE WHEN tail > {level} THEN step END) OVER (PARTITION BY stratum, rule), 1000) AS stop FROM tail
-), cut AS (
-  SELECT stratum, rule, min(cutoff) AS cutoff FROM stop WHERE step < stop GROUP BY stratum, rule
-), rejected AS (
-  SELECT DISTINCT f.rid FROM f JOIN cut USING (stratum) JOIN share ON share.rid = f.rid AND share.rule = cut.rule WHERE v >= cutoff
+), last AS (
+  SELECT stratum, coalesce(min(CASE WHEN tail > level THEN step END) - 1, {end}) AS last FROM tail, level GROUP BY stratum
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND rid NOT IN (SELECT rid FROM rejected) AS kept
-FROM f
+       NOT base_failed AND NOT coalesce(first <= coalesce(o.last, g.last, (SELECT last FROM last WHERE stratum = '*'), -1), false) AS kept
+FROM f LEFT JOIN last o ON o.stratum = lang_key || size LEFT JOIN last g ON g.stratum = lang_key || '/*'
 """
 
 

@@ -1,20 +1,23 @@
 """Quality rules whose cutoffs are chosen under a guaranteed rate of false rejection.
 
-Labelled good documents that no rule has seen are the holdout. Per stratum and rule
-the cutoffs are tried from mild to strict; each is tested with the exact binomial
-tail (Clopper and Pearson), the first failure ends the sequence, and strata and rules
-share the error probability (Bonferroni). With probability ``1 - delta`` every
-stratum then loses at most ``alpha`` of its good documents to the rules together.
+Labelled good documents that no rule has seen are the holdout. All cutoffs of all rules
+stand in one fixed order, the mildest of each rule first, and are added one by one: what is
+tested with the exact binomial tail (Clopper and Pearson) is the share of good documents that
+the cutoffs so far reject together. The first failure ends the sequence, so a sequence
+needs no correction; strata share the error probability (Bonferroni). With probability
+``1 - delta`` every stratum then loses at most ``alpha`` of its good documents to the rules
+together. Strata with too few holdouts to prove anything are merged, first within their
+language, then over all; how is decided by numbers of holdouts alone, so the bound holds.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gleaner.llm.text import BLANKS, bound, column, fresh, whole, words
-from gleaner.operators.skew import lookup, small_or_none
+from gleaner.operators.skew import lookup
 from gleaner.session import store
 
 ALPHA = 0.02
@@ -33,6 +36,9 @@ RULES: dict[str, tuple[float, ...]] = {
     "short_words": (0.6, 0.5, 0.45, 0.4, 0.36, 0.33),
 }
 
+#: The fixed order of all (rule, cutoff).
+PATH = [(r, steps[i]) for i in range(max(map(len, RULES.values()))) for r, steps in RULES.items() if i < len(steps)]
+
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -120,10 +126,20 @@ def base_failed(n: dict[str, str]) -> Column:
     return (count < BASE_MIN_WORDS) | (100 * repeats > BASE_REPEAT_PERCENT * count)
 
 
-def stratum(n: dict[str, str], lang: Column) -> Column:
-    """Language and length class; a null language is a stratum of its own."""
-    size = F.when(F.col(n["n_words"]) < LONG_TEXT_WORDS, "short").otherwise("long")
-    return F.concat_ws("/", F.coalesce(F.concat(F.lit("="), lang), F.lit("none")), size)
+def language_key(lang: Column) -> Column:
+    """Never null; a null language is one of its own."""
+    return F.coalesce(F.concat(F.lit("="), lang), F.lit("none"))
+
+
+def stratum(n: dict[str, str], lang_key: Column) -> Column:
+    """Language and length class."""
+    return F.concat_ws("/", lang_key, F.when(F.col(n["n_words"]) < LONG_TEXT_WORDS, "short").otherwise("long"))
+
+
+def first_step(n: dict[str, str]) -> Column:
+    """Number of the first step on :data:`PATH` that rejects a document; null if none does."""
+    shares = _shares(n)
+    return F.least(*[F.when(shares[r] >= c, F.lit(j)) for j, (r, c) in enumerate(PATH)])
 
 
 def binomial_tail(n: Column, k: Column, p: float) -> Column:
@@ -141,59 +157,51 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
     return F.exp(F.aggregate(terms, first, add, lambda s: s["sum"]))
 
 
-def cutoffs(good: DataFrame, names: dict[str, str], strata: str, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """``(stratum, rule, cutoff)``: per stratum and rule the strictest cutoff that all tests allow.
+def last_steps(held: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """``(stratum, last)``: the last step on :data:`PATH` that all tests allow, -1 if none does.
 
-    ``good`` is the holdout with its counts. The number of rejected good documents
-    per cutoff comes from one partial aggregation; the result has at most one row
-    per stratum and rule.
+    ``held`` are the holdouts with ``lang_key, stratum, first``. Only their numbers per stratum and
+    first rejecting step are looked at, at most ``len(PATH) + 1`` rows a stratum. A stratum
+    is kept by its own name if it has holdouts enough for a proof, else it goes into ``<language>/*``,
+    and if that has too few, into ``*``, whose row is always there.
     """
-    per_rule = alpha / len(RULES)
-    shares = _shares(names)
-    counted = (
-        good.groupBy(F.col(strata).alias("stratum"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.count_if(shares[r] >= c).alias(f"{r}:{i}") for r, steps in RULES.items() for i, c in enumerate(steps)],
-        )
-    )
-    long = counted.select(
-        "stratum",
-        "n",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(r).alias("rule"), F.lit(i).alias("step"), F.lit(c).alias("cutoff"), F.col(f"`{r}:{i}`").alias("k"))
-                    for r, steps in RULES.items()
-                    for i, c in enumerate(steps)
-                ]
-            )
-        ).alias("t"),
-    ).select("stratum", "n", "t.*")
-    n_strata = counted.agg(F.count(F.lit(1)).alias("strata"))
-    level = F.lit(delta) / (F.col("strata") * len(RULES))
-    # A rejected share of p or more can't pass at these levels, so its tail isn't summed.
-    tail = F.when(F.col("k") < F.col("n") * per_rule, binomial_tail(F.col("n"), F.col("k"), per_rule)).otherwise(F.lit(1.0))
-    tested = long.join(F.broadcast(n_strata)).withColumn("passed", tail <= level)
-    first_fail = F.coalesce(F.min(F.when(~F.col("passed"), F.col("step"))), F.lit(1 << 20))
-    ends = tested.groupBy("stratum", "rule").agg(
-        first_fail.alias("stop"), F.collect_list(F.struct("step", "cutoff")).alias("steps")
-    )
-    allowed = F.filter("steps", lambda s: s["step"] < F.col("stop"))
-    return ends.select("stratum", "rule", F.array_max(allowed)["cutoff"].alias("cutoff")).filter("cutoff is not null")
-
-
-def _verdicts(counted: DataFrame, names: dict[str, str], cuts: DataFrame, strata: str) -> tuple[DataFrame, Column, Column]:
-    """Join the cutoffs of its stratum to each row; gives the frame and the columns for base_failed and kept."""
-    wide = cuts.groupBy(F.col("stratum").alias(strata)).agg(
-        *[F.min(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_cut_{r}") for r in RULES]
-    )
-    wide, small = small_or_none(wide)
-    joined = counted.join(F.broadcast(wide) if small else wide, strata, "left")
-    shares = _shares(names)
-    hits = [F.coalesce(shares[r] >= F.col(f"_cut_{r}"), F.lit(False)) for r in RULES]
+    counts = store(held.groupBy("lang_key", "stratum", "first").agg(F.count(F.lit(1)).alias("k")), "holdouts")
+    total = lambda over: F.sum("k").over(Window.partitionBy(over))
+    leaves = counts.agg(F.greatest(F.count_distinct("stratum"), F.lit(1)).alias("leaves"))
+    needed = F.ceil(F.log(F.lit(delta) / F.col("leaves")) / math.log1p(-alpha))
+    own = counts.join(F.broadcast(leaves)).withColumn("needed", needed).withColumn("own", total("stratum") >= F.col("needed"))
+    pooled = F.sum(F.when(~F.col("own"), F.col("k"))).over(Window.partitionBy("lang_key")) >= F.col("needed")
+    named = F.when(F.col("own"), F.col("stratum")).when(pooled, F.concat(F.col("lang_key"), F.lit("/*"))).otherwise(F.lit("*"))
+    merged = store(own.withColumn("name", named).groupBy(F.col("name").alias("stratum"), "first").agg(F.sum("k").alias("k")), "strata")
+    sizes = merged.groupBy("stratum").agg(F.sum("k").alias("n"))
+    level = F.lit(delta) / F.col("strata")
+    strata = sizes.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("strata"))
+    by_step = Window.partitionBy("stratum").orderBy("first")
+    rejected = merged.filter("first is not null").withColumn("upto", F.sum("k").over(by_step))
+    tested = rejected.join(F.broadcast(sizes), "stratum").join(F.broadcast(strata))
+    # A rejected share of alpha or more can't pass at these levels, so its tail isn't summed.
+    tail = F.when(F.col("upto") < F.col("n") * alpha, binomial_tail(F.col("n"), F.col("upto"), alpha)).otherwise(F.lit(1.0))
+    fails = tested.withColumn("fails", tail > level).filter("fails").groupBy("stratum").agg(F.min("first").alias("stop"))
+    none = binomial_tail(F.col("n"), F.lit(0).cast("bigint"), alpha) > level
+    last = F.when(none, F.lit(-1)).otherwise(F.coalesce(F.col("stop") - 1, F.lit(len(PATH) - 1))).cast("int")
+    known = sizes.join(F.broadcast(strata)).join(fails, "stratum", "left").select("stratum", last.alias("last"))
+    rest = held.sparkSession.range(1).select(F.lit("*").alias("stratum"), F.lit(-1).alias("last"))
+    return known.unionByName(rest).groupBy("stratum").agg(F.max("last").alias("last"))
+
+
+def _verdicts(counted: DataFrame, names: dict[str, str], lasts: DataFrame, lang_key: str, strata: str, first: str) -> tuple[DataFrame, Column, Column]:
+    """Join the last step of its stratum to each row; gives the frame and the columns for base_failed and kept."""
+    lasts = store(lasts, "last-steps")
+    rest = lasts.filter("stratum = '*'").first()["last"]
+    own, pool = fresh(counted, "_own_last"), fresh(counted, "_pool_last")
+    by_name = lambda key, out: lasts.select(F.col("stratum").alias(key), F.col("last").alias(out))
+    pooled = lasts.filter(F.col("stratum").endswith("/*")).select(F.regexp_replace("stratum", r"/\*$", "").alias(lang_key), F.col("last").alias(pool))
+    joined = lookup(counted, by_name(strata, own), strata, spread_by=first, how="left")
+    joined = lookup(joined, pooled, lang_key, spread_by=first, how="left")
+    last = F.coalesce(F.col(own), F.col(pool), F.lit(rest))
+    hit = F.coalesce(F.col(first) <= last, F.lit(False))
     # One expression over both sides of the join: no part of it can be pushed below the counting.
-    passed = ~F.array_contains(F.array(base_failed(names), *hits), True)
+    passed = ~F.array_contains(F.array(base_failed(names), hit), True)
     return joined, base_failed(names), passed
 
 
@@ -203,8 +211,9 @@ def _good_ids(labels: DataFrame) -> DataFrame:
 
 
 def _holdout(counted: DataFrame, names: dict[str, str], sha: str) -> DataFrame:
-    """Of equal texts one row: copies are not independent trials."""
-    return counted.filter(~base_failed(names)).dropDuplicates([sha])
+    """Of equal texts one holdout, as copies are not independent trials; it takes their least language."""
+    passed = counted.filter(~base_failed(names))
+    return passed.groupBy(sha).agg(F.min(F.struct("lang_key", "stratum", "first")).alias("least")).select("least.*")
 
 
 def rule_rows(
@@ -215,21 +224,22 @@ def rule_rows(
 
     A null text counts as empty and fails the base rules, as does any text of under
     ten words. Null labels, ids and languages are allowed: an unlabelled or null id
-    holds nothing out, a null language is its own stratum. A stratum with too few
-    labelled rows to prove a bound rejects nothing beyond the base rules; so does an
+    holds nothing out, a null language is its own. With too few labelled rows in all to
+    prove a bound nothing is rejected beyond the base rules; so it is with an
     empty label table. Repeated rows each get their row; an empty table gives an
     empty table; further columns are ignored.
     """
     counted, names = with_counts(
         docs.select(
-            column(id_col).alias("doc_id"), column(lang_col).alias("lang"), column(text_col).alias("text"),
+            column(id_col).alias("doc_id"), language_key(column(lang_col)).alias("lang_key"), column(text_col).alias("text"),
             F.md5(whole(column(text_col))).alias("sha"),
         )
     )
-    counted = store(counted.withColumn("strata", stratum(names, F.col("lang"))).drop("text", "lang"), "counts")
+    counted = counted.withColumns({"stratum": stratum(names, F.col("lang_key")), "first": first_step(names)})
+    counted = store(counted.drop("text"), "counts")
     good = _good_ids(labels).withColumn("n", F.lit(1))
     held = _holdout(lookup(counted, good, "doc_id", spread_by="sha", size_col="n"), names, "sha")
-    joined, failed, passed = _verdicts(counted, names, cutoffs(held, names, "strata", alpha, delta), "strata")
+    joined, failed, passed = _verdicts(counted, names, last_steps(held, alpha, delta), "lang_key", "stratum", "first")
     return joined.select(
         "doc_id",
         *[F.col(names[c]).alias(c) for c in COUNTS],
@@ -246,13 +256,19 @@ def rule_filter(
 
     Only labelled documents are counted twice; no text is shuffled but theirs.
     """
-    key, sha = fresh(docs, "_id"), fresh(docs, "_sha")
-    good = store(_good_ids(labels).select(F.col("doc_id").alias(key), F.lit(1).alias("_one")), "good")
-    narrow = docs.select(column(id_col).alias(key), column(lang_col).alias("lang"), column(text_col).alias("text"), F.md5(whole(column(text_col))).alias(sha))
-    labelled, names = with_counts(lookup(narrow, good, key, spread_by=sha, size_col="_one"))
-    labelled = store(labelled.withColumn("strata", stratum(names, F.col("lang"))).drop("text", "lang"), "labelled")
-    cuts = cutoffs(_holdout(labelled, names, sha), names, "strata", alpha, delta)
+    key, sha, one = (fresh(docs, n) for n in ("_id", "_sha", "_one"))
+    good = store(_good_ids(labels).select(F.col("doc_id").alias(key), F.lit(1).alias(one)), "good")
+    narrow = docs.select(
+        column(id_col).alias(key), language_key(column(lang_col)).alias("lang_key"), column(text_col).alias("text"),
+        F.md5(whole(column(text_col))).alias(sha),
+    )
+    labelled, names = with_counts(lookup(narrow, good, key, spread_by=sha, size_col=one))
+    labelled = labelled.withColumns({"stratum": stratum(names, F.col("lang_key")), "first": first_step(names)})
+    held = _holdout(store(labelled.drop("text"), "labelled"), names, sha)
+    lasts = last_steps(held, alpha, delta)
     counted, names = with_counts(docs)
-    strata = fresh(counted, "_strata")
-    joined, _, passed = _verdicts(counted.withColumn(strata, stratum(names, column(lang_col))), names, cuts, strata)
+    lang, strata, first = (fresh(counted, n) for n in ("_lang_key", "_strata", "_first"))
+    counted = counted.withColumn(lang, language_key(column(lang_col)))
+    counted = counted.withColumns({strata: stratum(names, F.col(lang)), first: first_step(names)})
+    joined, _, passed = _verdicts(counted, names, lasts, lang, strata, first)
     return joined.filter(passed).select(*[column(c) for c in docs.columns])
