@@ -17,7 +17,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, parts: int,
 
     Rows whose remainder is ``held`` are never used. Ids are taken in the order of a
     hash, so the sample doesn't depend on the order of rows; contradicting or null
-    labels are left out. Only the chosen ids are broadcast: their number is bounded.
+    labels are left out. Of several texts of one id the one with the least MD5 is taken.
+    Only the chosen ids are broadcast: their number is bounded.
     """
     known = (
         labels.filter(F.col("doc_id").isNotNull() & column(label).isNotNull() & (remainder(F.col("doc_id"), parts) != held))
@@ -31,7 +32,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, parts: int,
         some = known.filter(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = some if chosen is None else chosen.unionByName(some)
     texts = docs.select(column(id_col).alias("doc_id"), column(text_col).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id")
+    found = texts.join(F.broadcast(chosen), "doc_id").withColumn("h", F.md5(F.coalesce("text", F.lit(""))))
+    least = F.min(F.struct("h", "text", "label")).alias("least")
+    return found.groupBy("doc_id").agg(least).select("doc_id", "least.text", "least.label")
 
 
 def labelled_share(labels: DataFrame, label: str, parts: int, held: int) -> float:

@@ -7,18 +7,23 @@ of the labelled sample; kernel values with them, whitened, are the features of a
 linear machine. As those features are linear in the subsequences, the trained machine folds
 into one weight per subsequence, and a word is scored without visiting the landmarks.
 
-Labels belong to documents. A sentence is as toxic as its worst word: all sentences of a
-clean document are clean, in a toxic document the worst is toxic. The worst are found
-anew by the machine and learned again. A document's score weighs its three worst
-distinct words, so one word that only sounds like an insult counts for little where the
-sample says so.
+Labels belong to documents, which are read as bags of runs of letters: words, words spelled
+letter by letter, and the letters of two neighbouring short words across the blank. A
+document is as toxic as its worst runs: all runs of a clean document are clean, in a toxic
+one the worst is toxic. The worst are found anew by the machine and learned again. Toxic
+words are also learned with a letter put in between, so the machine's threshold lies below such
+forms, and a word costs as much as it has documents, so what also stands in clean text scores low.
+A document's score weighs its three worst distinct runs; a run that scores higher than
+those of nearly all clean documents decides alone.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+import random
 import re
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -27,13 +32,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from gleaner.llm.samples import labelled_sample, labelled_share, remainder
-from gleaner.llm.text import column, id_as_text, id_type
+from gleaner.llm.text import bounded_batches, column, id_as_text, id_type
 from gleaner.session import store
 
 PARTS, HELD = 5, 0
 #: Bounds of the model: labelled documents per class, words to learn from, landmarks.
 PER_CLASS = 2_000
-TOXIC_WORDS = 400
+TOXIC_WORDS = 600
 CLEAN_WORDS = 3_000
 LANDMARKS = 192
 #: A word can only tell if it occurs in this share of the toxic documents, and in two.
@@ -46,6 +51,18 @@ SPANS = ((1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4), (1, 2, 3), (1, 2, 4), (
 PAD = 4
 #: Longer words are scored in overlapping pieces, so an insult inside isn't diluted.
 PIECE, STEP = 14, 7
+#: Two neighbouring words of so many letters at most, together and each, are also read as one.
+JOINED, HALF = 10, 6
+#: Forms with an inserted letter that are learned of each toxic word.
+FORMS = 4
+#: Of the clean documents so many may have a run that decides alone; how fast certainty grows from there.
+CLEAN_RATE = 0.004
+CERTAINTY = 6.0
+#: Runs at this score are also looked at without each of their letters, and score so much less then.
+SUSPECT = 0.6
+PUT_IN = 0.1
+#: Score of a run that isn't there, and the least that counts.
+NOTHING = -1.0
 ROUNDS = 2
 WORDS_HELD = 400_000
 
@@ -78,6 +95,14 @@ def words_of(text: str | None) -> set[str]:
     return found
 
 
+def runs_of(text: str | None) -> set[str]:
+    """The words, and the letters of two neighbouring short words across the blank (``mo ron``)."""
+    found = words_of(text)
+    short = [(w, len(w)) for w in (t.strip(_MARKS) for t in (text or "").lower().split())]
+    found.update(a + b for (a, m), (b, n) in zip(short, short[1:]) if 1 < m <= HALF and 1 < n <= HALF and m + n <= JOINED)
+    return found
+
+
 def _flat(words: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(codes, owner, lengths)`` of the letters of all words, PAD zeros after each; words carry the marks of their ends."""
     joined = (("\0" * PAD).join(words) + "\0" * PAD).encode("utf-32-le", "surrogatepass")
@@ -121,11 +146,15 @@ def features(words: list[str], table: np.ndarray) -> np.ndarray:
     return out / _scale(lengths)[:, None].astype(np.float32)
 
 
-def pieces(words: list[str]) -> tuple[list[str], np.ndarray]:
-    """Words with their ends marked, long ones cut to overlapping pieces, and the word each piece is of."""
+def pieces(words: list[str], table: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Words with their ends marked, long ones cut to overlapping pieces, and the word each piece is of.
+
+    What isn't a letter is dropped before a word is cut, so marks between letters don't part them.
+    """
     words = [START + w + END for w in words]
     if all(len(w) <= PIECE for w in words):
         return words, np.arange(len(words))
+    words = [w if len(w) <= PIECE else "".join(c for c in w if ord(c) >= len(table) or table[ord(c)]) for w in words]
     out, owner = [], []
     for i, w in enumerate(words):
         parts = [w] if len(w) <= PIECE else [w[a : a + PIECE] for a in range(0, len(w) - STEP, STEP)]
@@ -142,13 +171,25 @@ class Machine:
     bias: float
     slopes: tuple[float, ...] = (1.0, 0.0, 0.0)
     offset: float = 0.0
+    #: A worst run at this score makes a document toxic by itself.
+    certain: float = math.inf
 
     def parts(self) -> tuple:
         """Plain values to broadcast: executors need not know this package."""
-        return self.weights, self.bias, tuple(map(float, self.slopes)), self.offset
+        return self.weights, self.bias, tuple(map(float, self.slopes)), self.offset, self.certain
 
     def of_words(self, words: list[str], table: np.ndarray) -> np.ndarray:
-        parts, owner = pieces(words)
+        """Scores of runs. A suspect one is as toxic as it would be without one of its letters, which may be put in."""
+        best = self._of_words(words, table)
+        suspects = [i for i in np.flatnonzero(best > SUSPECT).tolist() if 4 < len(words[i]) <= PIECE]
+        forms = [(i, words[i][:a] + words[i][a + 1 :]) for i in suspects for a in range(len(words[i]))]
+        for start in range(0, len(forms), 50_000):
+            some = forms[start : start + 50_000]
+            np.maximum.at(best, np.array([i for i, _ in some]), self._of_words([f for _, f in some], table) - PUT_IN)
+        return best
+
+    def _of_words(self, words: list[str], table: np.ndarray) -> np.ndarray:
+        parts, owner = pieces(words, table)
         codes, part, lengths = _flat(parts, table)
         sums = np.zeros(len(codes))
         for number, whole, weight in _subsequences(codes):
@@ -159,13 +200,13 @@ class Machine:
         return best
 
     def scorer(self) -> Callable[[str | None], tuple[list[float], str]]:
-        """The TOP worst scores of a text and its worst word; remembers the words it has seen, up to a bound."""
+        """The TOP worst scores of a text and its worst run; remembers the runs it has seen, up to a bound."""
         table, known = _codes(), {}
 
         def score(text: str | None) -> tuple[float, str]:
-            words = words_of(text)
+            words = runs_of(text)
             if not words:
-                return [self.bias] * TOP, ""
+                return [NOTHING] * TOP, ""
             fresh = words.difference(known)
             if fresh:
                 if len(known) > WORDS_HELD:
@@ -176,12 +217,15 @@ class Machine:
                     part = some[start : start + 50_000]
                     known.update(zip(part, self.of_words(part, table).tolist()))
             worst = heapq.nlargest(TOP, [(known[w], w) for w in words])
-            return [*(value for value, _ in worst), *[self.bias] * (TOP - len(worst))], worst[0][1]
+            return [*(max(value, NOTHING) for value, _ in worst), *[NOTHING] * (TOP - len(worst))], worst[0][1]
 
         return score
 
     def probability(self, scores: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(scores @ np.array(self.slopes) + self.offset, -500, 500)))
+        together = scores @ np.array(self.slopes) + self.offset
+        if self.certain < math.inf:
+            together = np.maximum(together, CERTAINTY * (scores.max(axis=1) - self.certain))
+        return 1 / (1 + np.exp(-np.clip(together, -500, 500)))
 
 
 def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, passes: int = 60) -> tuple[np.ndarray, float]:
@@ -204,37 +248,83 @@ def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, passes: int = 60) -> tu
     return w[:-1], float(w[-1])
 
 
-def _train(toxic: list[str], clean: list[str], quoted: dict[str, float] | None = None) -> Machine:
-    """Landmarks from both classes, whitened kernel features, and the machine folded into subsequences.
+def gapped(words: list[str]) -> list[str]:
+    """Each word with one letter put in between, at places and of letters that its checksum chooses."""
+    out = []
+    for w in words:
+        r = random.Random(zlib.crc32(w.encode()))
+        for _ in range(FORMS if len(w) > 3 else 0):
+            at = r.randrange(1, len(w))
+            out.append(w[:at] + r.choice("abcdefghijklmnopqrstuvwxyz" + w[at]) + w[at:])
+    return sorted(set(out).difference(words))
 
-    ``quoted`` words are toxic ones that also stand in clean documents, with the weight
-    of those: further clean examples of less cost.
+
+def landmark_machine(
+    toxic: list[str], clean: list[str], quoted: dict[str, float] | None = None, documents: dict[str, int] | None = None
+) -> tuple[list[str], np.ndarray, float]:
+    """``(landmarks, weight of each, bias)``: a word's score is the weighted sum of its kernel values with them.
+
+    Landmarks are from both classes; the machine is linear in their whitened kernel values. Toxic words
+    are learned with their :func:`gapped` forms. ``quoted`` words are toxic ones that also stand in clean
+    documents, with the weight of those: further clean examples of less cost. ``documents`` are the number of
+    toxic documents of each toxic word; a word costs by their root.
     """
-    table, quoted = _codes(), quoted or {}
-    words, y = [*toxic, *clean, *quoted], np.array([1.0] * len(toxic) + [-1.0] * (len(clean) + len(quoted)))
+    table, quoted, documents = _codes(), quoted or {}, documents or {}
+    forms = [(f, w) for w in toxic for f in gapped([w])]
+    weight = np.sqrt([*(documents.get(w, 1) for w in toxic), *(documents.get(w, 1) for _, w in forms)])
+    words = [*toxic, *(f for f, _ in forms), *clean, *quoted]
+    y = np.array([1.0] * (len(toxic) + len(forms)) + [-1.0] * (len(clean) + len(quoted)))
     marks = toxic[: LANDMARKS * 2 // 3] + clean[: LANDMARKS - min(len(toxic), LANDMARKS * 2 // 3)]
     phi_m = features(marks, table)
     values, vectors = np.linalg.eigh((phi_m @ phi_m.T).astype(np.float64))
     keep = values > 1e-6 * values.max()
     white = vectors[:, keep] / np.sqrt(values[keep])
     kernel = np.vstack([features(words[a : a + 250], table) @ phi_m.T for a in range(0, len(words), 250)])
-    cost = np.where(y > 0, len(y) / (2 * max(1, len(toxic))), len(y) / (2 * max(1, len(clean))))
-    cost[len(toxic) + len(clean) :] *= list(quoted.values())
-    w, bias = _svm(kernel @ white, y, cost)
-    return Machine((phi_m.T @ (white @ w)).astype(np.float64), bias)
+    cost = np.where(y > 0, len(y) / (2 * max(1, len(toxic) + len(forms))), len(y) / (2 * max(1, len(clean))))
+    cost[y > 0] *= weight / max(1e-9, weight.mean())
+    if quoted:
+        cost[-len(quoted) :] = cost[: len(toxic)].mean() * np.array(list(quoted.values()))
+    # A word like none of the landmarks is clean: an example without features, which sets the bias.
+    x = np.vstack([kernel @ white, np.zeros((1, white.shape[1]))])
+    w, bias = _svm(x, np.append(y, -1.0), np.append(cost, cost[y < 0].sum()))
+    return marks, white @ w, bias
+
+
+def _train(toxic: list[str], clean: list[str], quoted: dict[str, float] | None = None, documents: dict[str, int] | None = None) -> Machine:
+    """The machine with its landmarks folded into one weight per subsequence."""
+    marks, beta, bias = landmark_machine(toxic, clean, quoted, documents)
+    return Machine((features(marks, _codes()).T @ beta).astype(np.float64), bias)
 
 
 def _calibrated(machine: Machine, scores: np.ndarray, toxic: np.ndarray, share: float) -> Machine:
-    """Platt's sigmoid on the documents' worst scores; ``share`` of all labelled documents are toxic."""
+    """Platt's sigmoid on the documents' worst scores; ``share`` of all labelled documents are toxic.
+
+    Slopes are not negative: a further insult makes nothing less toxic.
+    """
     if not len(scores) or toxic.all() or not toxic.any():
         return machine
     n1, n0 = toxic.sum(), (~toxic).sum()
     goal = np.where(toxic, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     weight = np.where(toxic, share / n1, (1 - share) / n0)
     middle, spread = scores.mean(axis=0), np.maximum(scores.std(axis=0), 1e-6)
-    x = np.hstack([(scores - middle) / spread, np.ones((len(scores), 1))])
-    b = np.zeros(TOP + 1)
-    ridge = np.diag([1e-3] * TOP + [1e-9])
+    used = list(range(TOP))
+    while True:
+        x = np.hstack([((scores - middle) / spread)[:, used], np.ones((len(scores), 1))])
+        b = _logistic_fit(x, goal, weight)
+        if (b[:-1] >= 0).all() or len(used) == 1:
+            break
+        used.remove(used[int(np.argmin(b[:-1]))])
+    slopes = np.zeros(TOP)
+    slopes[used] = b[:-1] / spread[used]
+    clean = np.sort(scores[~toxic, 0])
+    certain = float(clean[max(0, math.ceil((1 - CLEAN_RATE) * len(clean)) - 1)])
+    return Machine(machine.weights, machine.bias, tuple(slopes), float(b[-1] - slopes @ middle), max(certain, 0.0) + 0.05)
+
+
+def _logistic_fit(x: np.ndarray, goal: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weighted logistic regression by Newton's steps; the last column is the constant."""
+    b = np.zeros(x.shape[1])
+    ridge = np.diag([1e-3] * (x.shape[1] - 1) + [1e-9])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ b, -50, 50)))
         gradient = x.T @ (weight * (p - goal)) + ridge @ b
@@ -244,17 +334,21 @@ def _calibrated(machine: Machine, scores: np.ndarray, toxic: np.ndarray, share:
         b = b - step
         if np.abs(step).max() < 1e-9:
             break
-    slopes = b[:TOP] / spread
-    return Machine(machine.weights, machine.bias, tuple(slopes), float(b[TOP] - slopes @ middle))
+    return b
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS) -> Machine:
+def fit(
+    docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS,
+    toxic_words: int = TOXIC_WORDS, clean_words: int = CLEAN_WORDS,
+) -> Machine:
     """The machine learned from at most ``2 * per_class`` labelled documents.
 
-    Words are counted by the executors, by class of their documents; the driver gets
-    bounded lists of words and one worst word per sampled document.
+    Of the words that tell, the ``toxic_words`` that tell most are learned, with ``clean_words`` clean ones: bounds
+    of the machine's training set, as ``per_class`` is. Words are counted by the executors, by class of their
+    documents; the driver gets these lists and one worst run per sampled document.
     """
-    sample = store(labelled_sample(docs, labels, label, PARTS, HELD, per_class, id_col, text_col).dropDuplicates(["doc_id"]), "sample")
+    bounded_batches(docs.sparkSession)
+    sample = store(labelled_sample(docs, labels, label, PARTS, HELD, per_class, id_col, text_col), "sample")
     # Copies would make each of their words look telling.
     sample = store(sample.withColumn("h", F.md5("text")).dropDuplicates(["h", "label"]).drop("h"), "sample")
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -281,23 +375,25 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     excess = F.col("t") - F.col("c") * share
     least = max(2, math.ceil(LEAST_SHARE * sizes[1]))
     telling = counts.filter((F.col("t") >= least) & (F.col("t") >= TELLING * share * F.col("c")))
-    toxic = [r["word"] for r in telling.orderBy((excess * excess / (F.col("t") + F.col("c") * share)).desc(), "word").limit(TOXIC_WORDS).select("word").collect()]
+    told_most = telling.orderBy((excess * excess / (F.col("t") + F.col("c") * share)).desc(), "word").limit(toxic_words).collect()
+    toxic = [r["word"] for r in told_most]
+    documents = {r["word"]: r["t"] for r in told_most}
     ordinary = counts.filter((F.col("c") > 0) & (F.col("t") < 3 * share * F.col("c") + 1))
-    common = ordinary.orderBy(F.desc("c"), "word").limit(CLEAN_WORDS // 3).select("word")
-    other = ordinary.orderBy(F.xxhash64("word"), "word").limit(CLEAN_WORDS - CLEAN_WORDS // 3).select("word")
+    common = ordinary.orderBy(F.desc("c"), "word").limit(clean_words // 3).select("word")
+    other = ordinary.orderBy(F.xxhash64("word"), "word").limit(clean_words - clean_words // 3).select("word")
     clean = [r["word"] for r in other.unionByName(common).distinct().orderBy(F.xxhash64("word"), "word").collect()]
     if not toxic or not clean:
         return never
-    quoted: dict[str, float] = {}
+    quoted: dict[str, float] = {r["word"]: share * r["c"] / (r["t"] + share * r["c"]) for r in told_most if r["c"]}
     for turn in range(ROUNDS + 1):
-        machine = _train(toxic, clean, quoted)
+        machine = _train(toxic, clean, quoted, documents)
         sent = sample.sparkSession.sparkContext.broadcast(machine.parts())
 
         def worst(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             score = Machine(*sent.value).scorer()
             for frame in frames:
                 found = [score(t) for t in frame["text"]]
-                yield frame[["doc_id", "label"]].assign(scores=[f[0] for f in found], word=pd.Series([f[1][:200] for f in found], dtype=object, index=frame.index))
+                yield frame[["doc_id", "label"]].assign(scores=[f[0] for f in found], word=pd.Series([f[1] for f in found], dtype=object, index=frame.index))
 
         kind = sample.schema["doc_id"].dataType.simpleString()
         seen = sample.mapInPandas(worst, f"doc_id {kind}, label int, scores array<double>, word string").toPandas().sort_values("doc_id")
@@ -327,7 +423,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     raise AssertionError
 
 
-def toxicity_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS) -> DataFrame:
+def toxicity_rows(
+    docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS,
+    toxic_words: int = TOXIC_WORDS, clean_words: int = CLEAN_WORDS,
+) -> DataFrame:
     """One narrow row per document: ``doc_id, held_out, score, predicted, worst_word``.
 
     ``held_out`` rows (CRC-32 of the id modulo 5 is 0) are never learned from. A null or
@@ -335,7 +434,7 @@ def toxicity_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_c
     held out. Without labels of both classes nothing is toxic. Repeated rows score
     alike; an empty table gives an empty table; further columns are ignored.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, label, id_col, text_col, per_class).parts())
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, label, id_col, text_col, per_class, toxic_words, clean_words).parts())
 
     def scored(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         machine = Machine(*sent.value)

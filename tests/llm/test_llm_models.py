@@ -4,6 +4,7 @@ import math
 import random
 import zlib
 
+import numpy as np
 import pytest
 from llm_helpers import table
 from pyspark.sql import functions as F
@@ -73,6 +74,125 @@ def test_toxicity_with_wrong_labels(spark):
     assert all(p for p, b in held if b) and sum(p == b for p, b in held) > 0.9 * len(held)
 
 
+def plain_kernel(a, b):
+    """Subsequences of three and four letters spanning up to five, each weighing by its span, normalised by the lengths."""
+
+    def weights(word):
+        letters, out = "\x01" + word + "\x02", {}
+        for i in range(len(letters)):
+            for span in toxicity.SPANS:
+                if i + span[-1] < len(letters):
+                    s = letters[i] + "".join(letters[i + k] for k in span)
+                    out[s] = out.get(s, 0) + toxicity.DECAY ** span[-1]
+        total = sum(max(0, len(letters) - span[-1]) * toxicity.DECAY ** (2 * span[-1]) for span in toxicity.SPANS)
+        return out, math.sqrt(max(total, toxicity.DECAY**4))
+
+    (x, m), (y, n) = weights(a), weights(b)
+    return sum(v * y.get(s, 0) for s, v in x.items()) / m / n
+
+
+def test_machine_equals_its_expansion_over_landmarks():
+    """The folded machine gives the weighted sum of kernel values with the landmarks, by a plain kernel."""
+    r = random.Random(5)
+    clean = sorted({word(r) for _ in range(120)})
+    marks, beta, bias = toxicity.landmark_machine(INSULTS, clean)
+    machine = toxicity._train(INSULTS, clean)
+    words = [*INSULTS, *clean[:20], "idxiot", "lo", "mooron"]
+    want = [sum(b * plain_kernel(w, m) for b, m in zip(beta, marks)) + bias for w in words]
+    got = machine._of_words(words, toxicity._codes())
+    # Four letters share places by a hash, which moves a value a little.
+    assert max(abs(g - w) for g, w in zip(got, want)) < 0.02
+
+
+@pytest.mark.parametrize("insult", ["idiot", "idxiot", "iddiot", "i...d...i...o...t", "id iot", "I D I O T", "worthxless", "worth less"])
+def test_one_disguised_insult_decides(insult, machine):
+    """A letter put in, marks between all letters, parted in two: toxic in a clean sentence, which without it is clean."""
+    score = machine.scorer()
+    r = random.Random(21)
+    clean = " ".join(word(r) for _ in range(30))
+    chance = [machine.probability(np.array([score(t)[0]]))[0] for t in (clean, f"{clean} {insult} ba lo")]
+    assert chance[0] < 0.5 <= chance[1], chance
+
+
+@pytest.fixture(scope="module")
+def machine(spark):
+    r = random.Random(14)
+    rows, labels = [], []
+    for i in range(800):
+        words = [word(r) for _ in range(r.randint(20, 60))]
+        if i % 4 == 0:
+            for _ in range(r.randint(1, 3)):
+                words.insert(r.randrange(len(words)), r.choice([*INSULTS, "worthless"]))
+        rows.append((i, " ".join(words), "en", "a"))
+        labels.append((i, 1, int(i % 4 == 0)))
+    return toxicity.fit(table(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+
+
+def test_neighbours_against_a_plain_search(talk):
+    """Scores by cosines with every labelled vector, sorted, ties to the least id."""
+    docs, labels = talk
+    model = neighbours.fit(docs, labels)
+    kinds, slots = neighbours._byte_kinds(), neighbours._trigram_slots()
+    some = docs.filter("doc_id < 60").select("doc_id", "text").collect()
+    got = {x.doc_id: x.score for x in neighbours.quality_rows(docs, labels).filter("doc_id < 60").collect()}
+    for row in some:
+        v = model.project(neighbours.term_counts([row.text.encode()], kinds, slots))[0].astype(float)
+        near = sorted((-round(float(v @ u) * 1e6), i) for i, u in enumerate(model.vectors.astype(float)))[: neighbours.NEIGHBOURS]
+        votes = [(max(0.0, float(v @ model.vectors[i].astype(float))) ** neighbours.POWER * model.votes[i], model.good[i]) for _, i in near]
+        want = sum(w * g for w, g in votes) / sum(w for w, _ in votes)
+        assert got[row.doc_id] == pytest.approx(want, abs=2e-3)
+
+
+def test_equally_near_vectors():
+    cosines = np.array([[0.5, 0.9, 0.5, 0.5, 0.1]], dtype=np.float32)
+    assert sorted(neighbours._nearest(cosines, 3)[0].tolist()) == [0, 1, 2]
+    assert sorted(neighbours._nearest(cosines + np.float32(1e-7), 3)[0].tolist()) == [0, 1, 2]
+
+
+def test_one_id_with_two_texts(spark):
+    """The text with the least hash is learned, whatever the order of rows."""
+    from gleaner.llm.samples import labelled_sample
+
+    rows = [(1, "b"), (1, "a"), (2, None), (2, "c"), (3, "d")]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    seen = set()
+    for order in (rows, rows[::-1]):
+        sample = labelled_sample(table(spark, order), labels, "quality", 4, 9, 10, "doc_id", "text")
+        seen.add(tuple(sorted((x.doc_id, x.text, x.label) for x in sample.collect())))
+    assert len(seen) == 1 and len(next(iter(seen))) == 3
+
+
+def test_false_rejection_stays_under_its_bound(spark):
+    """Many strata with known rates of rejection: none loses more than alpha of its good documents."""
+    r = random.Random(31)
+    rows, rate = [], {}
+    for s in range(40):
+        steps = [r.choice([0, 0, 0.002, 0.01]) for _ in rules.PATH]
+        rate[f"=l{s}/long"] = steps
+        for _ in range(600):
+            hit = next((j for j, p in enumerate(steps) if r.random() < p), None)
+            rows.append((f"=l{s}", f"=l{s}/long", hit))
+    held = spark.createDataFrame(rows, "lang_key string, stratum string, first int")
+    lasts = {x.stratum: x.last for x in rules.last_steps(held).collect()}
+    assert set(rate) <= set(lasts)
+    lost = {s: 1 - math.prod(1 - p for p in steps[: lasts[s] + 1]) for s, steps in rate.items()}
+    assert max(lost.values()) <= rules.ALPHA and sum(lasts[s] >= 0 for s in rate) > 20
+
+
+def test_small_strata_are_merged(spark):
+    held = [("=en", "=en/long", None)] * 400 + [("=en", "=en/short", None)] * 10 + [("=de", "=de/long", None)] * 150 + [("=de", "=de/short", 3)] * 200
+    lasts = {x.stratum: x.last for x in rules.last_steps(spark.createDataFrame(held, "lang_key string, stratum string, first int")).collect()}
+    end = len(rules.PATH) - 1
+    assert lasts == {"=en/long": end, "=de/*": 2, "*": -1}
+
+
+def test_rules_reject_more_than_the_base(spark):
+    """With a few hundred labels the method rejects junk that the base rules pass."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = rules.rule_rows(docs, spark.read.parquet("/root/testdata/sf0.01/labels.parquet")).cache()
+    assert rows.filter("not base_failed and not kept").count() > 10
+
+
 def test_kernel_tolerates_gaps():
     table_ = toxicity._codes()
     plain = toxicity.features(["idiot"], table_)[0]
