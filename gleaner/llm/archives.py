@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -214,20 +215,25 @@ def reassembled(segments: DataFrame) -> DataFrame:
     )
 
 
+_CHUNK_LINE = re.compile(rb"([0-9A-Fa-f]{1,15})[ \t]*(?:;[^\r\n]*)?")
+_TRAILER = re.compile(rb"(?:[^\r\n:]+:[^\r\n]*\r\n)*\r\n")
+
+
 def unchunk(body: bytes) -> bytes | None:
-    """The payload of a chunked body; None if the framing is broken."""
+    """The payload of a chunked body; None if the framing is broken.
+
+    A size is hexadecimal digits only, with extensions behind a semicolon; each chunk ends with a line end; the
+    last one, of size 0, is followed by trailer lines and a blank line, and by nothing else.
+    """
     out, at = [], 0
     while True:
         end = body.find(b"\r\n", at)
-        if end < 0:
-            return None
-        try:
-            size = int(body[at:end].split(b";")[0], 16)
-        except ValueError:
+        line = _CHUNK_LINE.fullmatch(body, at, end) if end >= 0 else None
+        if line is None:
             return None
-        at = end + 2
+        size, at = int(line.group(1), 16), end + 2
         if size == 0:
-            return b"".join(out)
+            return b"".join(out) if _TRAILER.fullmatch(body, at) else None
         if body[at + size : at + size + 2] != b"\r\n":
             return None
         out.append(body[at : at + size])
@@ -305,7 +311,7 @@ def archive_round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str =
 
     A null html counts as empty. A null id is written without its header and read as
     null; repeated rows are records of their own, all but the first of equal payloads
-    revisits. Lines in an url are escaped, a null url has no header. No page gives no
+    revisits. Ids are whole numbers. Lines in an url are escaped, a null url has no header. No page gives no
     record. Further columns are ignored.
     """
     spark = pages.sparkSession

@@ -17,10 +17,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from gleaner.llm.text import column, id_as_text, id_type, once
+from gleaner.llm.text import bounded_batches, column, id_as_text, id_type, once
 
 #: A worker forgets its fragments when it holds this many bytes of them (text and ids).
-CACHE_BYTES = 96_000_000
+CACHE_BYTES = 48_000_000
 #: Texts of one Arrow batch are worked on in parts of about so many bytes.
 PART_BYTES = 4_000_000
 
@@ -75,8 +75,7 @@ class Vocabulary:
         cut = [self._pieces(t) for t in texts]
         unseen = list({f for pieces in cut for f in pieces}.difference(self.cache))
         if self.held > CACHE_BYTES:
-            self.cache.clear()
-            self.held = 0
+            self.forget()
             unseen = list({f for pieces in cut for f in pieces})
         for start in range(0, len(unseen), 20_000):
             some = unseen[start : start + 20_000]
@@ -88,6 +87,11 @@ class Vocabulary:
         known = self.cache.__getitem__
         return [b"".join(map(known, pieces)) for pieces in cut]
 
+    def forget(self) -> None:
+        """Drop the fragments, so that a worker of later stages doesn't hold them."""
+        self.cache.clear()
+        self.held = 0
+
     def _pieces(self, data: bytes) -> list[bytes]:
         """Fragments in order; special tokens stand alone, as the tokenizer finds them first."""
         if not self.finder.search(data):
@@ -144,6 +148,7 @@ def encoder(path: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFra
                     same.append(decoded == text)
             texts_out = pd.DataFrame({"ids_sha256": ids_sha, "decoded_sha256": text_sha}, dtype=object, index=frame.index)
             yield pd.concat([frame[["doc_id"]].assign(n_tokens=counts), texts_out], axis=1).assign(round_trip=same)
+        vocabulary.forget()
 
     return run
 
@@ -156,6 +161,7 @@ def encode_rows(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     token; null and repeated ids keep their rows; an empty table gives an empty
     table; further columns are ignored. Rows don't move between tasks.
     """
+    bounded_batches(docs.sparkSession)
     narrow = docs.select(id_as_text(id_col), column(text_col).alias("text"))
     rows = narrow.mapInPandas(
         encoder(path), "doc_id string, n_tokens bigint, ids_sha256 string, decoded_sha256 string, round_trip boolean"
@@ -172,6 +178,7 @@ def token_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             texts = [b"" if t is None else t.encode() for t in frame["text"]]
             ids = [np.frombuffer(i, dtype="<u4").astype("int32") for part in parts(texts) for i in vocabulary.ids(part)]
             yield frame[["doc_id"]].assign(token_ids=ids)
+        vocabulary.forget()
 
     narrow = docs.select(id_as_text(id_col), column(text_col).alias("text"))
     return narrow.mapInPandas(run, "doc_id string, token_ids array<int>").withColumn("doc_id", F.col("doc_id").cast(id_type(docs, id_col)))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gleaner.llm.text import column, fresh, whole, words
+from gleaner.operators.prefix import row_index, running_totals
 from gleaner.operators.skew import lookup, small_or_none
 from gleaner.session import store
 
@@ -40,25 +41,21 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 
     Resharing the excess over the caps by weight until none is above ends where
     every source has ``min(cap, level * weight)``. Sources are capped in the order of
-    cap per weight, so the level follows from running sums in that order.
+    cap per weight, so the level follows from running sums in that order. Ranks and
+    sums are made over slices, so there may be any number of sources.
     """
-    ranked = sizes.withColumn(
-        "weight",
-        F.element_at(
-            F.array(*[F.lit(w) for w in weights]),
-            (F.pmod(F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1, F.lit(len(weights))) + 1).cast("int"),
-        ),
-    )
-    everything = Window.partitionBy()
-    by_cap = Window.orderBy((F.col("source_size") / F.col("weight")), "skey").rowsBetween(Window.unboundedPreceding, -1)
-    level = (share * F.sum("source_size").over(everything) - repeats * F.coalesce(F.sum("source_size").over(by_cap), F.lit(0))) / (
-        F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(by_cap), F.lit(0))
-    )
+    placed = row_index(sizes.withColumn("last", F.col("source").isNull()), ["last", "source"], "place")
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    ranked = placed.withColumn("weight", weight).withColumn("ratio", F.col("source_size") / F.col("weight"))
+    before = {"size_before": F.col("source_size"), "weight_before": F.col("weight").cast("bigint")}
+    summed = store(running_totals(ranked, before, ["ratio", "skey"], inclusive=False), "levels")
+    whole_sums = summed.agg(F.sum("source_size").alias("all_size"), F.sum("weight").alias("all_weight"))
+    level = (share * F.col("all_size") - repeats * F.col("size_before")) / (F.col("all_weight") - F.col("weight_before"))
     # The level if just the sources before this one are capped. It rises while they are rightly
     # so, as each gives up some of its share, and falls once one is capped without need.
+    greatest = summed.join(F.broadcast(whole_sums)).agg(F.max(level).alias("level"))
     cap = (repeats * F.col("source_size")).cast("double")
-    leveled = ranked.withColumn("level", level).withColumn("level", F.max("level").over(everything))
-    return leveled.select("skey", "source_size", F.least(cap, F.col("level") * F.col("weight")).alias("target"))
+    return summed.join(F.broadcast(greatest)).select("skey", "source_size", F.least(cap, F.col("level") * F.col("weight")).alias("target"))
 
 
 def _boundary(histogram: DataFrame, keys: list[str], bucket: str) -> DataFrame:
@@ -155,12 +152,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         ),
         "sizes",
     )
-    key, at = fresh(docs, "_skey"), fresh(docs, "_hash")
-    cuts = _plan(narrow).select(F.col("skey").alias(key), F.col("copies").alias("_copies"), F.col("below").alias("_below"), F.col("n").alias("_n"))
+    key, at, copies, below, n = (fresh(docs, name) for name in ("_skey", "_hash", "_copies", "_below", "_n"))
+    cuts = _plan(narrow).select(F.col("skey").alias(key), F.col("copies").alias(copies), F.col("below").alias(below), F.col("n").alias(n))
     keyed = docs.withColumns({key: source_key(column(source_col)), at: document_hash(column(id_col), column(text_col))})
-    joined = lookup(keyed, cuts, key, spread_by=at, size_col="_n")
+    joined = lookup(keyed, cuts, key, spread_by=at, size_col=n)
     times = F.when(F.btrim(whole(column(text_col)), F.lit(" \t\n\x0b\x0c\r")) == "", 0).otherwise(
-        F.col("_copies") + F.when(F.col(at) < F.col("_below"), 1).otherwise(0)
+        F.col(copies) + F.when(F.col(at) < F.col(below), 1).otherwise(0)
     )
     copied = joined.withColumn(fresh(docs, "_copy"), F.explode(F.array_repeat(F.lit(1), times.cast("int"))))
     return copied.select(*[column(c) for c in docs.columns])

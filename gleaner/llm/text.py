@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from gleaner.functions.names import column, fresh  # noqa: F401  (the operators take them from here)
+
 #: Blanks of all word and text definitions here: the class [\x20\x09-\x0D].
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RUN = "[\\x20\\x09-\\x0D]+"
@@ -36,19 +38,6 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def fresh(df: DataFrame, name: str) -> str:
-    """``name``, with underscores in front until no column of ``df`` is called so."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = f"_{name}"
-    return name
-
-
-def column(name: str) -> Column:
-    """The column of exactly this name, dots and blanks included."""
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def id_as_text(id_col: str) -> Column:
     """The id in the form in which it goes through Python: numbers beside nulls would become floating there."""
     return column(id_col).cast("string").alias("doc_id")

@@ -1,3 +1,4 @@
+import pytest
 """Archives byte by byte, personal data against plain patterns."""
 
 import glob
@@ -142,3 +143,29 @@ def test_terms_of_hot_entities_and_in_small_tables(spark):
     # In more than half of all texts: a common word's chance is just the entity's share.
     rows = [(i, f"{fill()} Zebulon {fill()} zeb@corp.example.com {fill()}" if i % 3 else fill() + fill()) for i in range(300)]
     assert marked(spark, rows) == {i: {"zebulon"} if i % 3 else set() for i in range(300)}
+
+
+BROKEN = [
+    b"1\r\na\r\n-6\r\n0\r\n\r\n", b"+1\r\na\r\n0\r\n\r\n", b"1_0\r\naaaaaaaaaaaaaaaa\r\n0\r\n\r\n", b"0x1\r\na\r\n0\r\n\r\n", b" 1\r\na\r\n0\r\n\r\n",
+    b"0\r\n", b"1\r\na\r\n0\r\n", b"1\r\na\r\n", b"1\r\nab\r\n0\r\n\r\n", b"2\r\na\r\n0\r\n\r\n", b"", b"\r\n", b"\r\n\r\n", b"g\r\n\r\n",
+    b"1\na\n0\n\n", b"1\r\na\r\n0\r\n\r\nmore", b"1\r\na0\r\n\r\n", b"ffffffffffffffffffffffff\r\na\r\n0\r\n\r\n",
+    b"1;\r\r\na\r\n0\r\n\r\n", b"1\r\na\r\n0\r\nno colon\r\n\r\n", b"1\r\na\r\n00000000000000000\r\n\r\n",
+]
+
+
+@pytest.mark.parametrize("body", BROKEN)
+def test_broken_chunk_framing(body):
+    assert archives.unchunk(body) is None
+
+
+@pytest.mark.parametrize(
+    "body, payload",
+    [
+        (b"0\r\n\r\n", b""),
+        (b"3\r\nabc\r\n0\r\n\r\n", b"abc"),
+        (b"A;x=y\r\n0123456789\r\n00\r\nTrailer: v\r\n\r\n", b"0123456789"),
+        (b"2 \r\n\r\n\r\n0\r\n\r\n", b"\r\n"),
+    ],
+)
+def test_chunk_framing(body, payload):
+    assert archives.unchunk(body) == payload

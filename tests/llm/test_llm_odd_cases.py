@@ -68,3 +68,20 @@ def test_filters_keep_all_columns(spark, name):
     given = {tuple(r) for r in docs.collect()}
     assert {tuple(r) for r in out.collect()} <= given
     assert FILTERS[name](spark, docs.limit(0)).count() == 0
+
+
+CLASHING = [
+    "_copies", "_below", "_skey", "_hash", "_n", "_copy", "_cut_symbols", "_strata", "_first", "_lang_key", "_own_last", "_pool_last",
+    "_id", "_sha", "_one", "_row_key", "_salt", "_hot", "stratum", "first", "lang_key", "sha", "task", "hub", "last",
+]
+
+
+@pytest.mark.parametrize("name", FILTERS)
+def test_columns_called_like_helpers(spark, name):
+    """Columns of the caller keep their values, whatever they are called."""
+    docs = table(spark, ODD).withColumns({c: F.lit("mine") for c in CLASHING})
+    out = FILTERS[name](spark, docs)
+    assert out.schema.fieldNames() == docs.schema.fieldNames()
+    rows = out.select(*CLASHING).distinct().collect()
+    assert [set(r) for r in rows] == [{"mine"}]
+    assert out.count() == FILTERS[name](spark, table(spark, ODD)).count()
