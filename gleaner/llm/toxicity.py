@@ -52,7 +52,7 @@ PAD = 4
 #: Longer words are scored in overlapping pieces, so an insult inside isn't diluted.
 PIECE, STEP = 14, 7
 #: Two neighbouring words of so many letters at most, together and each, are also read as one.
-JOINED, HALF = 10, 6
+JOINED, HALF = 9, 5
 #: Forms with an inserted letter that are learned of each toxic word.
 FORMS = 4
 #: Of the clean documents so many may have a run that decides alone; how fast certainty grows from there.
@@ -64,7 +64,7 @@ PUT_IN = 0.1
 #: Score of a run that isn't there, and the least that counts.
 NOTHING = -1.0
 ROUNDS = 2
-WORDS_HELD = 400_000
+WORDS_HELD = 600_000
 
 _LETTERS = 32
 #: Triples have a place each, four letters share as many places by a hash.
@@ -97,9 +97,14 @@ def words_of(text: str | None) -> set[str]:
 
 def runs_of(text: str | None) -> set[str]:
     """The words, and the letters of two neighbouring short words across the blank (``mo ron``)."""
-    found = words_of(text)
-    short = [(w, len(w)) for w in (t.strip(_MARKS) for t in (text or "").lower().split())]
-    found.update(a + b for (a, m), (b, n) in zip(short, short[1:]) if 1 < m <= HALF and 1 < n <= HALF and m + n <= JOINED)
+    low = (text or "").lower()
+    words = [w.strip(_MARKS) for w in low.split()]
+    sizes = [len(w) for w in words]
+    found = set(words).union("".join(m.split()) for m in _SPELLED.findall(low))
+    found.update(
+        a + b for a, b, m, n in zip(words, words[1:], sizes, sizes[1:]) if 1 < m <= HALF and 1 < n <= HALF and m + n <= JOINED
+    )
+    found.discard("")
     return found
 
 
