@@ -140,6 +140,30 @@ def lsh_edges(spark, sf_dir):
     return fuzzy.lsh_edges(kept(spark, sf_dir))
 
 
+def verified_sql(source: str) -> str:
+    """Pairs of a shared band whose sets of shingles have at least 80 percent in common."""
+    return f"""
+    SELECT src, dst FROM (
+      SELECT src, dst, len(list_intersect(s.grams, d.grams)) AS common, len(s.grams) + len(d.grams) AS sizes
+      FROM (SELECT DISTINCT a.doc_id AS src, b.doc_id AS dst FROM bands a JOIN bands b ON a.band_hash = b.band_hash AND a.doc_id < b.doc_id)
+      JOIN (SELECT doc_id, {_GRAMS_SQL} AS grams FROM ({source})) s ON s.doc_id = src
+      JOIN (SELECT doc_id, {_GRAMS_SQL} AS grams FROM ({source})) d ON d.doc_id = dst)
+    WHERE 100 * common >= 80 * (sizes - common)
+    """
+
+
+_GRAMS_SQL = "list_distinct(list_transform(range(1, greatest(length(text) - 23, 1) + 1), lambda s: substr(text, s, 24)))"
+
+
+@query(
+    "lsh_groups_verified",
+    f"WITH RECURSIVE bands AS MATERIALIZED ({bands_sql('SELECT * FROM documents')}), "
+    f"{components_ctes(verified_sql('SELECT * FROM documents'))} SELECT id, component FROM comp",
+)
+def lsh_groups_verified(spark, sf_dir):
+    return fuzzy.verified_groups(spread_small_input(table(spark, sf_dir, "documents")))
+
+
 _CHAIN_LINKS = "SELECT doc_id AS dst, doc_id - 1 AS src FROM documents WHERE doc_id % 25 <> 0"
 
 
@@ -152,6 +176,21 @@ def components(spark, sf_dir):
     return connected_components(chains.select((F.col("doc_id") - 1).alias("src"), F.col("doc_id").alias("dst")))
 
 
+# Ids by their remainder of 3: a star around 0, a chain, and a binary tree below 2.
+_SHAPES = """
+SELECT CASE doc_id % 3 WHEN 0 THEN 0 WHEN 1 THEN doc_id - 3 ELSE 2 + 3 * (doc_id // 3 // 2) END AS src, doc_id AS dst
+FROM documents WHERE doc_id > 2
+"""
+
+
+@query("component_shapes", f"WITH RECURSIVE {components_ctes(_SHAPES)} SELECT id, component FROM comp")
+def component_shapes(spark, sf_dir):
+    i = F.col("doc_id")
+    parent = F.when(i % 3 == 0, F.lit(0)).when(i % 3 == 1, i - 3).otherwise(F.expr("2 + 3 * (doc_id div 3 div 2)"))
+    links = table(spark, sf_dir, "documents").filter("doc_id > 2")
+    return connected_components(links.select(parent.cast("bigint").alias("src"), i.alias("dst")))
+
+
 @query(
     "fuzzy_dup_ids",
     f"WITH RECURSIVE {components_ctes(edges_sql(EXACT_KEPT_SQL))} SELECT id AS doc_id FROM comp WHERE id <> component",

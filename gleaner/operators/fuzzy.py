@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gleaner.functions.text import ngrams
 from gleaner.operators.components import connected_components
 from gleaner.operators.exact import remove_by_ids
-from gleaner.operators.skew import HOT_ROWS, SALTS, spread_join
+from gleaner.operators.skew import HOT_ROWS, SALTS, first_per_group, spread_join
 from gleaner.session import store
 
 # Fixed values.
@@ -22,6 +22,11 @@ ROWS_PER_BAND = 13
 PRIME = 2**31 - 1
 SEED = "minhash"
 
+# Least similarity of a verified link, in percent of the union.
+PERCENT = 80
+# Hubs a bucket gets in one round of verification at most.
+_HUBS = 64
+
 # Shingles hashed at a time: the working arrays stay in the processor's cache.
 _BLOCK = 256
 
@@ -144,11 +149,108 @@ def lsh_edges(
     return joined.filter("src <> dst").select("src", "dst").distinct()
 
 
+def shingle_sets(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE) -> DataFrame:
+    """``(id, grams)``: the distinct shingles of a text as 64-bit hashes."""
+    grams = F.when(F.length(text) >= width, ngrams(F.col(text), width)).otherwise(F.array(text))
+    return df.select(F.col(key).alias("id"), F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g))).alias("grams"))
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, hot_rows: int, salts: int) -> DataFrame:
+    """``(id, hub, common, total)`` of distinct pairs: sizes of intersection and union of their sets."""
+    sized = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("_size"))
+    hubs = sets.select(F.col("id").alias("hub"), F.col("grams").alias("hub_grams")).join(sized, "hub")
+    # A member meets at most the hubs of one round in each band, so its own set needs no spreading.
+    both = spread_join(pairs.join(sets, "id"), hubs, "hub", "_size", spread_by="id", hot_rows=hot_rows, salts=salts)
+    common = F.size(F.array_intersect("grams", "hub_grams"))
+    both = both.select("id", "hub", common.alias("common"), (F.size("grams") + F.size("hub_grams")).alias("both"))
+    return both.select("id", "hub", "common", (F.col("both") - F.col("common")).alias("total"))
+
+
+def verified_edges(
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    percent: int = PERCENT,
+    bands: int = BANDS,
+    rows_per_band: int = ROWS_PER_BAND,
+    hot_rows: int = HOT_ROWS,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Edges ``(src, dst)`` between members of a bucket whose full sets are similar enough.
+
+    The components of these edges are those of all pairs that share a band and have
+    ``100 * intersection >= percent * union``. Only hubs are compared: a bucket's least
+    member first. Members that aren't similar to it are hubs in their turn, and so are linked
+    members that lie near another hub (distance up to twice the limit) without a link to it:
+    by the triangle inequality no other pair can join two stars. The number of hubs doubles by
+    round. A bucket of copies takes one comparison a member; the work grows with members times
+    hubs only where a bucket truly holds unlike texts, which 13 equal minima make rare.
+    Sets are compared whole, as 64-bit hashes of their shingles.
+
+    Null texts have no link; equal texts are linked; rows with the same id count once.
+    """
+    keys = store(df.select(F.col(key).alias("id"), band_keys(F.col(text), bands, rows_per_band).alias("_keys")), "bands")
+    rows = keys.count() * bands
+    members = keys.select("id", F.explode("_keys").alias("bucket")).distinct()
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > 1)
+    flags = {f: F.lit(False) for f in ("linked", "near", "hub_before")}
+    open_ = store(
+        spread_join(members, shared, "bucket", "_size", spread_by="id", hot_rows=hot_rows, salts=salts, max_rows=rows).withColumns(flags),
+        "members",
+    )
+    kept = open_.select("id").distinct()
+    sets = store(shingle_sets(df, key, text).join(kept, "id", "left_semi").dropDuplicates(["id"]), "sets")
+    edges, n = None, 1
+    todo = ~F.col("hub_before") & ~(F.col("linked") & ~F.col("near"))
+    while not open_.filter(todo).isEmpty():
+        hubs = first_per_group(open_.filter(todo).select("bucket", "id"), "bucket", ["id"], n, spread_by="id")
+        chosen = store(hubs.groupBy("bucket").agg(F.collect_list("id").alias("hubs")), "hubs")
+        sized = open_.groupBy("bucket").agg(F.count(F.lit(1)).alias("_size")).join(chosen, "bucket")
+        met = spread_join(open_, sized, "bucket", "_size", spread_by="id", how="inner", hot_rows=hot_rows, salts=salts, max_rows=rows)
+        # Between two hubs of a round the greater one is the member.
+        met = met.filter("not hub_before").select("bucket", "id", F.array_contains("hubs", F.col("id")).alias("is_hub"), F.explode("hubs").alias("hub"))
+        met = store(met.filter("id <> hub and (not is_hub or id > hub)"), "met")
+        found = store(_compared(met.select("id", "hub").distinct(), sets, hot_rows, salts), "compared")
+        scaled, total = 100 * F.col("common").cast("bigint"), F.col("total").cast("bigint")
+        ok, close = scaled >= percent * total, scaled >= (2 * percent - 100) * total
+        pairs = found.filter(ok).select(F.least("id", "hub").alias("src"), F.greatest("id", "hub").alias("dst"))
+        edges = pairs if edges is None else edges.union(pairs)
+        told = (
+            met.join(found, ["id", "hub"])
+            .groupBy("bucket", "id")
+            .agg(F.bool_or(ok).alias("_ok"), F.bool_or(close & ~ok).alias("_close"))
+        )
+        now_hubs = chosen.select("bucket", F.explode("hubs").alias("id"), F.lit(True).alias("_hub"))
+        # Buckets without a hub in this round are done.
+        going = open_.join(told, ["bucket", "id"], "left").join(now_hubs, ["bucket", "id"], "left")
+        going = going.join(chosen.select("bucket"), "bucket", "left_semi")
+        no = F.lit(False)
+        open_ = store(
+            going.select(
+                "bucket",
+                "id",
+                (F.col("linked") | F.coalesce("_ok", no)).alias("linked"),
+                (F.col("near") | F.coalesce("_close", no)).alias("near"),
+                (F.col("hub_before") | F.coalesce("_hub", no)).alias("hub_before"),
+            ),
+            "members",
+        )
+        n = min(2 * n, _HUBS)
+    if edges is None:
+        return open_.select(F.col("id").alias("src"), F.col("id").alias("dst"))
+    return edges.distinct()
+
+
 def fuzzy_dup_ids(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Ids that are not the lowest of their group of near copies."""
     groups = connected_components(lsh_edges(df, key, text))
     return groups.filter("id <> component").select(F.col("id").alias(key))
 
 
+def verified_groups(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """``(id, component)`` of the documents with a verified near copy; the component is the least id."""
+    return connected_components(verified_edges(df, key, text, percent))
+
+
 def fuzzy_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", fields: list[str] | None = None) -> DataFrame:
     return remove_by_ids(df, fuzzy_dup_ids(df, key, text), key, fields)

@@ -78,6 +78,101 @@ def test_components_of_random_graph(spark):
     assert dict(components.connected_components(df, **SKEW).collect()) == union_find(edges)
 
 
+def test_contraction_keeps_the_components(spark):
+    rng = random.Random(6)
+    edges = [(a, b) for a, b in ((rng.randrange(400), rng.randrange(400)) for _ in range(500)) if a > b]
+    named = [(f"n{a:03d}", f"n{b:03d}") for a, b in edges]
+    for rows, kind in ((edges, "bigint"), (named, "string")):
+        df = spark.createDataFrame(rows, f"u {kind}, v {kind}").repartition(3)
+        smaller = components.contract(df, block=40)
+        assert union_find([tuple(r) for r in smaller.collect()]) == union_find(rows)
+        assert smaller.count() <= len(rows)
+    chain = spark.createDataFrame([(i + 1, i) for i in range(100)], "u bigint, v bigint").coalesce(1)
+    assert {tuple(r) for r in components.contract(chain).collect()} == {(i, 0) for i in range(1, 101)}
+
+
+def test_components_without_edges_and_with_nulls(spark):
+    assert components.connected_components(spark.createDataFrame([], "src bigint, dst bigint")).count() == 0
+    df = spark.createDataFrame([(1, None), (None, None), (2, 3)], "src bigint, dst bigint")
+    assert dict(components.connected_components(df).collect()) == {2: 2, 3: 2}
+
+
+def test_a_star_of_all_edges_fills_all_tasks_alike(spark):
+    """The rows a hub's join sends to each of 211 tasks."""
+    n, tasks = 2_000_000, 211
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        star = spark.range(1, n + 1).select(F.lit(0).cast("bigint").alias("u"), F.col("id").alias("v"))
+        sized = spark.createDataFrame([(0, 0, n)], "u bigint, m bigint, _size bigint")
+        joined = components.spread_join(star, sized.hint("merge"), "u", "_size", "v", hot_rows=components._hot_rows(star, n))
+        rows = sorted(r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(rows) == n and len(rows) > 0.95 * tasks and rows[-1] <= 3 * rows[len(rows) // 2]
+
+
+def grams(text, width=24):
+    return {text[i : i + width] for i in range(max(len(text) - width, 0) + 1)}
+
+
+def similar(a, b, percent):
+    a, b = grams(a), grams(b)
+    return 100 * len(a & b) >= percent * len(a | b)
+
+
+@pytest.mark.parametrize("skew", [{}, SKEW])
+def test_verified_links_equal_brute_force_among_candidates(spark, skew):
+    """Short bands put unlike texts into one bucket: drifting copies, of which neighbours are alike and ends aren't."""
+    rng = random.Random(8)
+    base = [rng.choice("abcdefgh") for _ in range(900)]
+    texts = ["".join(base)]
+    for i in range(25):
+        at = 20 * i
+        base[at : at + 30] = [rng.choice("ijklmnop") for _ in range(30)]
+        texts.append("".join(base))
+    texts += ["", "", "short", texts[3], "x" * 40, "x" * 60]
+    docs = documents(spark, texts)
+    edges = [tuple(r) for r in fuzzy.verified_edges(docs, bands=8, rows_per_band=1, **skew).collect()]
+    assert all(similar(texts[a], texts[b], 80) for a, b in edges)
+    buckets = docs.select("doc_id", F.posexplode(fuzzy.band_keys(F.col("text"), 8, 1)).alias("band", "k")).collect()
+    keys = {}
+    for i, _, k in buckets:
+        keys.setdefault(bytes(k), []).append(i)
+    candidates = {(a, b) for ids_ in keys.values() for a in ids_ for b in ids_ if a < b}
+    unlike = [c for c in candidates if not similar(texts[c[0]], texts[c[1]], 80)]
+    assert len(unlike) > 20
+    assert union_find(edges) == union_find([c for c in candidates if similar(texts[c[0]], texts[c[1]], 80)])
+
+
+def test_verified_groups_against_all_pairs(spark):
+    """Recall and precision on the smallest table, links of all pairs taken as the truth."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    sets = {i: grams(t) for i, t in rows.filter("text is not null").collect()}
+    order = sorted(sets)
+    links = [
+        (a, b) for n, a in enumerate(order) for b in order[n + 1 :]
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    ]
+    truth = union_find(links)
+    found = dict(fuzzy.verified_groups(rows).collect())
+    assert truth
+    together = lambda groups: {(a, b) for a in groups for b in groups if a < b and groups[a] == groups[b]}
+    assert together(found) <= together(truth)
+    assert len(together(found)) >= 0.9 * len(together(truth))
+
+
+def test_verified_links_of_odd_tables(spark):
+    none = spark.createDataFrame([], "doc_id bigint, text string")
+    assert fuzzy.verified_edges(none).count() == 0
+    odd = spark.createDataFrame([(1, None), (2, None), (3, ""), (4, ""), (4, "")], "doc_id bigint, text string").withColumn("hub", F.lit(1))
+    assert [tuple(r) for r in fuzzy.verified_edges(odd).collect()] == [(3, 4)]
+
+
 def near_copies(n=30):
     rng = random.Random(3)
     words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
