@@ -16,6 +16,7 @@ _RE_OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _RE_IPV4 = rf"(?:{_RE_OCTET}\.){{3}}{_RE_OCTET}"
 _RE_IPV6 = r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
 _RE_IBAN = r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}"
+_RE_PRINTED = r"\b[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?\b"
 
 
 def _runs(text: str, run: str, gap: str) -> str:
@@ -30,6 +31,9 @@ def _iban_ok(run: str) -> str:
     )
 
 
+_JOINED_SQL = "array_to_string(string_split(m, ' ')[1:n], '')"
+
+
 def emails_sql(text: str) -> tuple[str, str]:
     return (
         f"regexp_replace({text}, '{_RE_EMAIL}', '[EMAIL]', 'g')",
@@ -39,22 +43,40 @@ def emails_sql(text: str) -> tuple[str, str]:
 
 def ibans_sql(text: str) -> tuple[str, str]:
     runs = _runs(text, "[A-Za-z0-9]+", "[^A-Za-z0-9]+")
+    compact = f"array_to_string(list_transform({runs}, lambda r: CASE WHEN {_iban_ok('r')} THEN '[IBAN]' ELSE r END), '')"
+    # Group counts that make an IBAN, the greatest first.
+    fits = f"list_filter(range(len(string_split(m, ' ')), 2, -1), lambda n: {_iban_ok(_JOINED_SQL)})"
+    rest = f"list_prepend('[IBAN]', string_split(m, ' ')[{fits}[1] + 1:])"
+    hit = f"CASE WHEN len({fits}) = 0 THEN m ELSE array_to_string({rest}, ' ') END"
+    matches = f"list_transform(regexp_extract_all({compact}, '{_RE_PRINTED}'), lambda m: {hit})"
+    gaps = f"string_split_regex({compact}, '{_RE_PRINTED}')"
+    woven = f"list_transform(list_zip({gaps}, {matches}), lambda z: z[1] || coalesce(z[2], ''))"
     return (
-        f"array_to_string(list_transform({runs}, lambda r: CASE WHEN {_iban_ok('r')} THEN '[IBAN]' ELSE r END), '')",
-        f"len(list_filter({runs}, lambda r: {_iban_ok('r')}))",
+        f"array_to_string({woven}, '')",
+        f"(len(list_filter({runs}, lambda r: {_iban_ok('r')}))"
+        f" + len(list_filter(regexp_extract_all({text}, '{_RE_PRINTED}'), lambda m: len({fits}) > 0)))",
     )
 
 
 def ips_sql(text: str) -> tuple[str, str]:
-    """IPv4 runs first, IPv6 runs on the outcome; neither mark holds a digit or colon."""
+    """IPv4 runs first, IPv6 runs on the outcome, then short ones; no mark holds a digit or colon."""
     four = _runs(text, r"[0-9]+(?:\.[0-9]+)*", "[^0-9]+")
     ok4 = f"regexp_full_match(r, '{_RE_IPV4}')"
     after4 = f"array_to_string(list_transform({four}, lambda r: CASE WHEN {ok4} THEN '[IP]' ELSE r END), '')"
     six = _runs(after4, "[0-9A-Fa-f:]+", "[^0-9A-Fa-f:]+")
     ok6 = f"regexp_full_match(r, '{_RE_IPV6}')"
+    after6 = f"array_to_string(list_transform({six}, lambda r: CASE WHEN {ok6} THEN '[IP]' ELSE r END), '')"
+    short = _runs(after6, "[0-9A-Za-z_:]+", "[^0-9A-Za-z_:]+")
+    # Two colons once; up to seven groups of up to four hex digits, one of them a decimal digit.
+    sides = "list_filter(string_split(replace(r, '::', ':'), ':'), lambda g: g <> '')"
+    ok0 = (
+        f"(len(string_split(r, '::')) = 2 AND NOT contains(r, ':::') AND regexp_matches(r, '[0-9]') AND len({sides}) <= 7 "
+        f"AND regexp_full_match(r, '(?:[0-9A-Fa-f]{{1,4}}:)*:?(?::[0-9A-Fa-f]{{1,4}})*') "
+        f"AND len(list_filter({sides}, lambda g: NOT regexp_full_match(g, '[0-9A-Fa-f]{{1,4}}'))) = 0)"
+    )
     return (
-        f"array_to_string(list_transform({six}, lambda r: CASE WHEN {ok6} THEN '[IP]' ELSE r END), '')",
-        f"(len(list_filter({four}, lambda r: {ok4})) + len(list_filter({six}, lambda r: {ok6})))",
+        f"array_to_string(list_transform({short}, lambda r: CASE WHEN {ok0} THEN '[IP]' ELSE r END), '')",
+        f"(len(list_filter({four}, lambda r: {ok4})) + len(list_filter({six}, lambda r: {ok6})) + len(list_filter({short}, lambda r: {ok0})))",
     )
 
 
@@ -68,8 +90,14 @@ def redacted_sql(source: str, keep: str) -> str:
     return f"SELECT {keep}, {t3} AS text, (pii_count + {n3})::BIGINT AS pii_count FROM ({second})"
 
 
-# One right IBAN, one with a wrong check digit.
-_IBANS = " Pay DE89370400440532013000 or GB82WEST12345698765432, not DE88370400440532013000."
+# Right IBANs, some with a wrong check digit; compact, and printed with a year or word behind.
+_IBANS = (
+    " Pay DE89370400440532013000 or GB82WEST12345698765432, not DE88370400440532013000."
+    " Print GB82 WEST 1234 5698 7654 32, AT61 1904 3002 3457 3201 2024 or NO93 8601 1117 947 BY MAIL, not AT62 1904 3002 3457 3201."
+)
+# Short IPv6, and what isn't one.
+_IPS = " Hosts 2001:db8::8a2e:370:7334, ::1 and fe80::1%eth0 (1:2:3:4:5:6:7::), not std::abs, A::B, 12::34::56 or 1::2:3:4:5:6:7:8."
+_WITH_IPS_SQL = f"SELECT doc_id, text || CASE WHEN doc_id % 5 = 1 THEN '{_IPS}' ELSE '' END AS text FROM documents"
 _WITH_IBANS_SQL = f"SELECT doc_id, text || CASE WHEN doc_id % 5 = 0 THEN '{_IBANS}' ELSE '' END AS text FROM documents"
 
 
@@ -78,6 +106,11 @@ def _with_ibans(spark, sf_dir):
     return spread_small_input(table(spark, sf_dir, "documents")).select("doc_id", F.concat("text", extra).alias("text"))
 
 
+def _with_ips(spark, sf_dir):
+    extra = F.when(F.col("doc_id") % 5 == 1, F.lit(_IPS)).otherwise(F.lit(""))
+    return spread_small_input(table(spark, sf_dir, "documents")).select("doc_id", F.concat("text", extra).alias("text"))
+
+
 # Host of a URL and whether it, or a parent of it, is listed.
 _HOST_SQL = r"rtrim(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]+)', 1), '.')"
 # The list follows from the pages: a quarter of the hosts, of some the parent, with blanks, blank lines and repeats.
@@ -163,9 +196,9 @@ def redact_emails(spark, sf_dir):
     return ops.redact_pii(spread_small_input(table(spark, sf_dir, "documents")).select("doc_id", "text"), ibans=False, ips=False)
 
 
-@query("redact_ips", f"SELECT doc_id, {_I_TEXT} AS text, {_I_N}::BIGINT AS pii_count FROM documents")
+@query("redact_ips", f"SELECT doc_id, {_I_TEXT} AS text, {_I_N}::BIGINT AS pii_count FROM ({_WITH_IPS_SQL})")
 def redact_ips(spark, sf_dir):
-    return ops.redact_pii(spread_small_input(table(spark, sf_dir, "documents")).select("doc_id", "text"), emails=False, ibans=False)
+    return ops.redact_pii(_with_ips(spark, sf_dir), emails=False, ibans=False)
 
 
 @query("redact_ibans", f"SELECT doc_id, {_B_TEXT} AS text, {_B_N}::BIGINT AS pii_count FROM ({_WITH_IBANS_SQL})")

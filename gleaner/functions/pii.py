@@ -13,16 +13,31 @@ OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IPV4 = rf"(?:{OCTET}\.){{3}}{OCTET}"
 IPV6 = r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
 IBAN = r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}"
+# The printed form: groups of four, the last one may be shorter.
+PRINTED_IBAN = r"[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?"
 EMAIL_MARK = "[EMAIL]"
 IP_MARK = "[IP]"
 IBAN_MARK = "[IBAN]"
 
+
+
+def short_ipv6() -> str:
+    """IPv6 with ``::`` for at least one group, by the number of groups before it."""
+    groups = lambda least, most: rf"[0-9A-Fa-f]{{1,4}}(?::[0-9A-Fa-f]{{1,4}}){{{least - 1},{most - 1}}}"
+    forms = ["::" + groups(1, 7)]
+    forms += [f"{groups(n, n)}::(?:{groups(1, 7 - n)})?" for n in range(1, 7)]
+    return "|".join([*forms, groups(7, 7) + "::"])
+
+
 # An address must be the whole dotted (or hex and colon) run, not a part of a longer one.
 _WHOLE_IP = (
     rf"(?<![0-9])(?<![0-9]\.){IPV4}(?![0-9])(?!\.[0-9])"
     rf"|(?<![0-9A-Fa-f:]){IPV6}(?![0-9A-Fa-f:])"
+    # The short form needs a digit, so names like A::B stay.
+    rf"|(?<![0-9A-Za-z_:])(?=[A-Fa-f:]*+[0-9])(?:{short_ipv6()})(?![0-9A-Za-z_:])"
 )
 _WHOLE_IBAN = rf"(?<![A-Za-z0-9]){IBAN}(?![A-Za-z0-9])"
+_WHOLE_PRINTED = rf"(?<![A-Za-z0-9_]){PRINTED_IBAN}(?![A-Za-z0-9_])"
 
 
 def iban_remainder(iban: Column) -> Column:
@@ -47,7 +62,7 @@ def _may_hold_iban(text: Column) -> Column:
 
 
 def _may_hold_ip(text: Column) -> Column:
-    return text.rlike(r"[0-9]\.[0-9]{1,3}\.[0-9]") | (text.contains(":") & text.rlike(r":[0-9A-Fa-f]{1,4}:"))
+    return text.rlike(r"[0-9]\.[0-9]{1,3}\.[0-9]") | (text.contains(":") & text.rlike(r":[0-9A-Fa-f]{0,4}:"))
 
 
 def redact_emails(text: Column) -> Column:
@@ -58,17 +73,44 @@ def count_emails(text: Column) -> Column:
     return F.when(_may_hold_email(text), F.regexp_count(text, F.lit(EMAIL))).otherwise(0).cast("bigint")
 
 
+def _may_hold_printed(text: Column) -> Column:
+    return text.rlike("[A-Z]{2}[0-9]{2} [A-Z0-9]{4} [A-Z0-9]{4}")
+
+
+def _iban_groups(match: Column) -> Column:
+    """How many groups, from the first on, are an IBAN: the most that fit, null for none.
+
+    Words and years in capitals and digits that follow a printed IBAN look like further groups.
+    """
+    groups = F.split(match, " ")
+
+    def fits(n: Column) -> Column:
+        joined = F.array_join(F.slice(groups, 1, n), "")
+        return (F.length(joined) >= 15) & (iban_remainder(joined) == 1)
+
+    return F.get(F.filter(F.sequence(F.size(groups), F.lit(3), F.lit(-1)), fits), F.lit(0))
+
+
+def _marked_printed(match: Column) -> Column:
+    groups, n = F.split(match, " "), _iban_groups(match)
+    rest = F.slice(groups, n + 1, F.size(groups))
+    return F.when(n.isNull(), match).otherwise(F.array_join(F.concat(F.array(F.lit(IBAN_MARK)), rest), " "))
+
+
 def redact_ibans(text: Column) -> Column:
-    """Replace well-formed IBANs whose check digits are right."""
+    """Replace IBANs, compact or printed in groups of four, whose check digits are right."""
     marked = replace_matches(
         text, _WHOLE_IBAN, lambda m: F.when(iban_remainder(m) == 1, F.lit(IBAN_MARK)).otherwise(m)
     )
-    return F.when(_may_hold_iban(text), marked).otherwise(text)
+    compact = F.when(_may_hold_iban(text), marked).otherwise(text)
+    return F.when(_may_hold_printed(text), replace_matches(compact, _WHOLE_PRINTED, _marked_printed)).otherwise(compact)
 
 
 def count_ibans(text: Column) -> Column:
     hits = F.filter(F.regexp_extract_all(text, F.lit(_WHOLE_IBAN), 0), lambda m: iban_remainder(m) == 1)
-    return F.when(_may_hold_iban(text), F.size(hits)).otherwise(0).cast("bigint")
+    printed = F.filter(F.regexp_extract_all(text, F.lit(_WHOLE_PRINTED), 0), lambda m: _iban_groups(m).isNotNull())
+    compact = F.when(_may_hold_iban(text), F.size(hits)).otherwise(0)
+    return (compact + F.when(_may_hold_printed(text), F.size(printed)).otherwise(0)).cast("bigint")
 
 
 def redact_ips(text: Column) -> Column:

@@ -18,6 +18,9 @@ def value(spark, text, fn):
         ("version 1.2.3.4.5 and 256.1.1.1 and 1.2.3.4567", "version 1.2.3.4.5 and 256.1.1.1 and 1.2.3.4567"),
         ("see 2001:0db8:0:0:0:0:0:1 there", "see [IP] there"),
         ("1:2:3:4:5:6:7:8:9 12:30:45", "1:2:3:4:5:6:7:8:9 12:30:45"),
+        ("::1, 2001:db8::1; fe80::1%eth0 [::2]", "[IP], [IP]; [IP]%eth0 [[IP]]"),
+        ("1:2:3:4:5:6:7:: ::2:3:4:5:6:7:8 1:2:3::6:7:8", "[IP] [IP] [IP]"),
+        ("std::abs A::B :: 1::2::3 1:2:3:4::5:6:7:8 x1::2 12345::1", "std::abs A::B :: 1::2::3 1:2:3:4::5:6:7:8 x1::2 12345::1"),
     ],
 )
 def test_ips(spark, text, expected):
@@ -32,6 +35,10 @@ def test_ips(spark, text, expected):
         ("xDE89370400440532013000", "xDE89370400440532013000"),
         ("DE88370400440532013000 GB82WEST12345698765432", "DE88370400440532013000 [IBAN]"),
         ("none", "none"),
+        ("GB82 WEST 1234 5698 7654 32, NO93 8601 1117 947.", "[IBAN], [IBAN]."),
+        ("AT61 1904 3002 3457 3201 2024 OK", "[IBAN] 2024 OK"),
+        ("AT62 1904 3002 3457 3201 and xAT61 1904 3002 3457 3201", "AT62 1904 3002 3457 3201 and xAT61 1904 3002 3457 3201"),
+        ("DE89 3704 0044 0532 0130 00 DE89370400440532013000", "[IBAN] [IBAN]"),
     ],
 )
 def test_ibans(spark, text, expected):
