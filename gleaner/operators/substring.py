@@ -25,6 +25,9 @@ from gleaner.session import cut_lineage
 MIN_TOKENS = 50
 SEPARATOR_BYTES = 12
 
+# Positions a task hands over at a time.
+_BLOCK = 1_000_000
+
 # Odd base of the polynomial window hash, and its inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
@@ -111,12 +114,25 @@ def kgram_keys(df: DataFrame, key: str, k: int) -> DataFrame:
         [df.schema[key], *[T.StructField(n, t) for n, t in (("pos", T.IntegerType()), ("_g1", T.LongType()), ("_g2", T.LongType()))]]
     )
 
+    def frame(keys: pd.Series, parts: list[tuple]) -> pd.DataFrame:
+        rows, *columns = zip(*parts)
+        held = keys.iloc[np.repeat(rows, [len(c) for c in columns[0]])].reset_index(drop=True)
+        pos, one, two = (np.concatenate(c) for c in columns)
+        return pd.DataFrame({key: held, "pos": pos, "_g1": one, "_g2": two})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for doc, first, second, ranges in zip(pdf[key], pdf["first"], pdf["second"], pdf["ranges"]):
+            parts, size = [], 0
+            for row, (first, second, ranges) in enumerate(zip(pdf["first"], pdf["second"], pdf["ranges"])):
                 starts = np.unique(np.concatenate([np.arange(r["lo"], r["hi"], dtype=np.int32) for r in ranges]))
                 one, two = (_window_hashes(h.astype(np.int64).view(np.uint64), k).view(np.int64) for h in (first, second))
-                yield pd.DataFrame({key: doc, "pos": starts, "_g1": one[starts], "_g2": two[starts]})
+                parts.append((row, starts, one[starts], two[starts]))
+                size += len(starts)
+                if size >= _BLOCK:
+                    yield frame(pdf[key], parts)
+                    parts, size = [], 0
+            if parts:
+                yield frame(pdf[key], parts)
 
     rows = df.select(key, "first", "second", "ranges").mapInPandas(run, schema)
     return rows.select(key, "pos", F.struct("_g1", "_g2").alias("gram"))
