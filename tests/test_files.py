@@ -168,6 +168,34 @@ def test_running_totals(spark, partitions):
     assert {i: (before[i], within[i]) for i in before} == got
 
 
+def test_running_totals_of_odd_tables(spark):
+    nan = float("nan")
+    rows = [(g, i, None if i % 5 == 0 else i + 0.5, i) for i in range(60) for g in (None, nan, -1.5, 2.0)]
+    df = spark.createDataFrame(rows, "g double, i int, v double, _value0 int").repartition(7)
+    sums = {"t": F.col("v"), "d": F.col("i").cast("decimal(10,2)"), "_value0": F.lit(1)}
+    got = prefix.running_totals(df, sums, ["i"], within=["g"]).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        told = [i for i in range(r["i"] + 1)]
+        assert r["t"] == sum(i + 0.5 for i in told if i % 5) and r["d"] == sum(told) and r["_value0"] == len(told)
+    empty = prefix.running_totals(df.limit(0), {"t": F.col("v")}, ["i"], within=["g"])
+    assert empty.columns == ["g", "i", "v", "_value0", "t"] and empty.count() == 0
+    again = df.select("i").repartition(5)
+    numbered = sorted((r["i"], r["n"]) for r in prefix.row_index(again, ["i"], "n").collect())
+    assert [n for _, n in numbered] == list(range(len(rows))) and [i for i, _ in numbered] == sorted(i for _, i, _, _ in rows)
+
+
+def test_running_totals_move_rows_once(spark, monkeypatch):
+    df = spark.range(0, 1000, numPartitions=4).withColumn("g", F.col("id") % 3)
+    seen = []
+    plain = prefix.store
+    monkeypatch.setattr(prefix, "store", lambda rows, name: seen.append(rows) or plain(rows, name))
+    out = prefix.running_total(df, F.col("id"), ["id"], "t", within=["g"])
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Window" not in plan
+    assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_parts_stay_within_the_limit_and_in_order(spark, tmp_path):
     sizes = [10, 20, 500, 30, 90, 100, 5, 5, 5, 95, 60, 60, 60, 1] * 5
     rows = [("f", i, "x" * n) for i, n in enumerate(sizes)] + [("g", 1000, "y")]
