@@ -38,11 +38,17 @@ LEAST_RATIO = 10.83
 #: Chance of the entity given the term from which the term is generalised, and removed.
 GENERALISE = 0.5
 REMOVE = 0.8
+#: Entities of a text up to which it is paired with all its terms at once, and the pairs a
+#: task makes of a text with more.
+LIGHT = 64
+TASK_PAIRS = 1_000_000
 #: A term is any word with a letter or digit.
 TERM = r"[\p{L}\p{N}]"
 
 _BLOCK = 256
+_PIECE = 1024
 _SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
+_ORDERED = "array<struct<start:int,end:int,kind:string>>"
 
 
 def placed(text: Column, pattern: str, kind: str) -> Column:
@@ -126,18 +132,52 @@ def in_order(spans: Column) -> Column:
     return F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
 
 
+def _apart(spans: Column) -> Column:
+    """The spans in order but for those that begin within a kept one before them.
+
+    They are kept in blocks of the root of their number, as adding to an array copies it.
+    """
+    none = F.array().cast(_ORDERED)
+
+    def keep(state: Column, s: Column) -> Column:
+        more = F.struct(s["end"].alias("at"), F.concat(state["kept"], F.array(s)).alias("kept"))
+        return F.when(s["start"] >= state["at"], more).otherwise(state)
+
+    def in_blocks(all_spans: Column, n: Column) -> Column:
+        def block(state: Column, b: Column) -> Column:
+            begin = F.struct(state["at"].alias("at"), none.alias("kept"))
+            here = F.aggregate(F.slice(all_spans, b * n + 1, n), begin, keep)
+            return bound(here, lambda x: F.struct(x["at"].alias("at"), F.concat(state["kept"], F.array(x["kept"])).alias("kept")))
+
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_ORDERED}>").alias("kept"))
+        blocks = F.sequence(F.lit(0), F.floor((F.size(all_spans) - 1) / n).cast("int"))
+        return F.aggregate(blocks, begin, block, lambda state: F.flatten(state["kept"]))
+
+    root = lambda s: F.ceil(F.sqrt(F.size(s))).cast("int")
+    return bound(spans, lambda s: F.when(F.size(s) > 0, bound(root(s), lambda n: in_blocks(s, n))).when(s.isNotNull(), none))
+
+
 def replaced(text: Column, spans: Column, mark: Callable[[Column], Column]) -> Column:
-    """The text with marks for spans in order; of overlapping ones the first counts. Null for null spans."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    """The text with marks for spans in order; of overlapping ones the first counts. Null for null spans.
+
+    A place in a long string is found by walking to it, so the text is cut into pieces first:
+    the time is linear in the text and the spans.
+    """
 
-    def step(state: Column, s: Column) -> Column:
-        more = F.concat(state["parts"], F.array(F.substring(text, state["at"] + 1, s["start"] - state["at"]), mark(s)))
-        return F.when(s["start"] >= state["at"], F.struct(s["end"].alias("at"), more.alias("parts"))).otherwise(state)
+    def between(pieces: Column, low: Column, high: Column) -> Column:
+        first, last = F.floor(low / _PIECE).cast("int"), F.floor((high - 1) / _PIECE).cast("int")
+        here = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+        return F.when(high > low, F.substring(here, low - first * _PIECE + 1, high - low)).otherwise("")
 
-    def rest(state: Column) -> Column:
-        return F.concat(F.array_join(state["parts"], ""), F.substring(text, state["at"] + 1, F.length(text)))
+    def built(kept: Column, pieces: Column) -> Column:
+        lows = F.concat(F.array(F.lit(0)), F.transform(kept, lambda s: s["end"]))
+        highs = F.concat(F.transform(kept, lambda s: s["start"]), F.array(F.length(text)))
+        gaps = F.zip_with(lows, highs, lambda low, high: between(pieces, low, high))
+        marks = F.concat(F.transform(kept, mark), F.array(F.lit("")))
+        return F.array_join(F.flatten(F.zip_with(gaps, marks, lambda gap, m: F.array(gap, m))), "")
 
-    return F.aggregate(spans, start, step, rest)
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PIECE}}}"), F.lit(0))
+    return bound(_apart(spans), lambda kept: bound(pieces, lambda cut: F.when(kept.isNotNull(), built(kept, cut))))
 
 
 def terms_of(text: Column) -> Column:
@@ -190,26 +230,67 @@ def _distinct(rows: DataFrame) -> DataFrame:
     return store(lookup(held, first, "uid", spread_by="key"), "texts")
 
 
+def _need() -> Column:
+    """Texts that a term must share with an entity."""
+    return F.greatest(F.lit(SUPPORT), F.ceil(F.col("n_w") * GENERALISE))
+
+
+def _pairs(terms: DataFrame, entities: DataFrame) -> DataFrame:
+    """``term, entity, n_w, n_e, n_te``: pairs of the light texts whose entity is in enough texts for the term."""
+    said = terms.filter(~F.col("heavy")).drop("heavy", "spread").join(entities.filter(~F.col("heavy")).drop("heavy", "spread"), "uid")
+    return said.filter(_need() <= F.col("n_e")).groupBy("term", "entity", "n_w", "n_e").agg(F.count(F.lit(1)).alias("n_te"))
+
+
+def _with_heavy(light: DataFrame, terms: DataFrame, entities: DataFrame) -> DataFrame:
+    """``light`` with the heavy texts counted, and the pairs that occur in enough heavy texts and in no light one.
+
+    A pair seen in a light text is looked up in the heavy texts of its term. A pair never
+    seen in one needs a term and an entity that both are in enough heavy texts, so what a
+    directory shares with light texts alone is never multiplied there. The pairs of one
+    heavy text are made in as many tasks as their number asks for.
+    """
+    light = store(light, "light-pairs")
+    terms, entities = store(terms.filter("heavy").drop("heavy"), "heavy-terms"), store(entities.filter("heavy").drop("heavy"), "heavy-entities")
+    h_w = terms.groupBy("term").agg(F.count(F.lit(1)).alias("h_w"))
+    h_e = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("h_e"))
+    open_pairs = light.join(h_w, "term").join(h_e, "entity").filter(F.col("n_te") + F.least("h_w", "h_e") >= _need())
+    again = open_pairs.select("term", "entity").join(terms.select("term", "uid"), "term").join(entities.select("entity", "uid"), ["entity", "uid"])
+    more = again.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("more"))
+    total = F.col("n_te") + F.coalesce("more", F.lit(0))
+    seen = light.join(more, ["term", "entity"], "left").select("term", "entity", "n_w", "n_e", total.alias("n_te"))
+
+    dealt = terms.join(h_w, "term").filter(F.col("h_w") >= _need()).withColumn("salt", F.pmod(F.xxhash64("term"), F.col("spread")).cast("int"))
+    often = entities.join(h_e, "entity").filter(F.col("h_e") >= SUPPORT).withColumn("salt", F.explode(F.sequence(F.lit(0), (F.col("spread") - 1).cast("int"))))
+    made = dealt.drop("spread").join(often.drop("spread"), ["uid", "salt"]).filter(_need() <= F.col("h_e"))
+    made = made.groupBy("term", "entity", "n_w", "n_e").agg(F.count(F.lit(1)).alias("n_te")).filter(F.col("n_te") >= _need())
+    return seen.unionByName(made.join(light, ["term", "entity"], "left_anti"))
+
+
 def _likely(texts: DataFrame) -> DataFrame:
     """``term, n_te, n_e``: terms that may reveal an entity, by the texts with entities alone.
 
     A term occurs in no fewer texts than in texts with entities. If it fails by that
     count it fails by the whole count. A pair is only made where the entity is in enough
     texts for the term: words more common than twice the entity are never paired with it.
+    Texts with up to ``LIGHT`` entities give pairs in proportion to their terms; for the
+    others see :func:`_with_heavy`.
     """
     entities = _classes(texts, "entities", "entity", "n_e")
     most = entities.agg(F.coalesce(F.max("n_e"), F.lit(0))).first()[0]
     terms = _classes(texts, "terms", "term", "n_w").filter(F.col("n_w") * GENERALISE <= most)
+    sizes = F.size("terms").cast("bigint") * F.size("entities")
+    weighed = texts.withColumns({"heavy": F.size("entities") > LIGHT, "spread": F.greatest(F.ceil(sizes / TASK_PAIRS), F.lit(1))})
 
     def chosen(items: str, name: str, table: DataFrame, n: str) -> DataFrame:
-        """``uid, name, n``: the items of each text that stand for their class."""
-        said = texts.select("uid", F.explode(items).alias(name))
+        """``uid, heavy, spread, name, n``: the items of each text that stand for their class."""
+        said = weighed.select("uid", "heavy", "spread", F.explode(items).alias(name))
         return lookup(said, table.filter(F.col(name) == F.col("same")).select(name, n, F.col(n).alias("rows")), name, spread_by="uid", size_col="rows")
 
-    pairs = chosen("terms", "term", terms, "n_w").join(chosen("entities", "entity", entities, "n_e"), "uid")
-    pairs = pairs.filter(F.col("n_w") * GENERALISE <= F.col("n_e")).groupBy("term", "entity", "n_w", "n_e").agg(F.count(F.lit(1)).alias("n_te"))
-    pairs = pairs.filter((F.col("n_te") >= SUPPORT) & (F.col("n_te") >= GENERALISE * F.col("n_w")))
-    counts = pairs.select(F.col("term").alias("same"), "n_te", "n_e").distinct()
+    said_terms, said_entities = chosen("terms", "term", terms, "n_w"), chosen("entities", "entity", entities, "n_e")
+    pairs = _pairs(said_terms, said_entities)
+    if not weighed.filter("heavy").isEmpty():
+        pairs = _with_heavy(pairs, said_terms, said_entities)
+    counts = pairs.filter(F.col("n_te") >= _need()).select(F.col("term").alias("same"), "n_te", "n_e").distinct()
     return terms.select("term", "same").join(counts, "same").drop("same")
 
 

@@ -1,16 +1,18 @@
-import pytest
 """Archives byte by byte, personal data against plain patterns."""
 
 import glob
 import gzip
 import hashlib
+import math
 import random
 import re
 
+import pytest
 from llm_helpers import ODD, table
 from pyspark.sql import functions as F
 
 from gleaner.llm import archives, disclosure
+from gleaner.llm.disclosure import GENERALISE, LEAST_RATIO, REMOVE, SUPPORT
 
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
 PLAIN = {
@@ -169,3 +171,78 @@ def test_broken_chunk_framing(body):
 )
 def test_chunk_framing(body, payload):
     assert archives.unchunk(body) == payload
+
+
+def told_terms(texts):
+    """``{term: action}`` by going through all distinct texts, terms and entities (small letters and ASCII only)."""
+    texts = sorted({t or "" for t in texts})
+    split = lambda text: {w.strip(".,;:!?\"'()[]{}<>*") for w in re.findall("[^\x20\x09-\x0d]+", text)}
+    of_word = lambda words: {w for w in words if re.search("[a-z0-9]", w)}
+    entities, terms, inner = [], [], []
+    for text in texts:
+        found = {(k, m.group(), m.start(), m.end()) for k, p in PLAIN.items() for m in re.finditer(p, text) if valid(k, m.group())}
+        apart, at = "", 0
+        for start, end in sorted((a, b) for k, _, a, b in found if k in ("card", "phone")):
+            if start >= at:
+                apart, at = apart + text[at:start] + "\ue000", end
+        apart += text[at:]
+        entities.append({v for _, v, _, _ in found})
+        terms.append(of_word(split(apart)) - {v for k, v, _, _ in found if k in ("email", "ip")} if found else set())
+        inner.append(of_word(split(text)) - terms[-1] if found else set())
+    actions, n = {}, len(texts)
+    for term in set().union(*terms):
+        n_w = sum(term in t for t in terms)
+        n_t = sum(term in split(t) for t in texts) - sum(term in t for t in inner)
+        for entity in set().union(*entities):
+            n_te, n_e = sum(term in t and entity in e for t, e in zip(terms, entities)), sum(entity in e for e in entities)
+            if n_te < max(SUPPORT, GENERALISE * n_w, GENERALISE * n_t) or n_te * n <= n_t * n_e:
+                continue
+            cells = [(n_te, n_t, n_e), (n_t - n_te, n_t, n - n_e), (n_e - n_te, n - n_t, n_e), (n - n_t - n_e + n_te, n - n_t, n - n_e)]
+            if 2 * sum(x * math.log(x * n / (a * b)) for x, a, b in cells if x) >= LEAST_RATIO:
+                actions[term] = max(actions.get(term, ""), "remove" if n_te >= REMOVE * n_t else "generalise", key=("", "generalise", "remove").index)
+    return actions
+
+
+@pytest.mark.parametrize("light, task", [(64, 1_000_000), (2, 4), (0, 1)])
+def test_terms_against_all_pairs(spark, monkeypatch, light, task):
+    """Texts with few entities and with many, in one task or several, give what counting every pair gives."""
+    monkeypatch.setattr(disclosure, "LIGHT", light)
+    monkeypatch.setattr(disclosure, "TASK_PAIRS", task)
+    r = random.Random(light)
+    names = [f"name{i}" for i in range(25)]
+    addresses = [f"m{i}@corp.xy" for i in range(8)] + ["10.0.0.7", "+44 20 7946 0958"]
+    rows = []
+    for i in range(300):
+        people = [r.randrange(25) for _ in range(r.choice([0, 1, 1, 2, 9]))]
+        said = [names[p] for p in people if r.random() < 0.9] + [addresses[p % 10] for p in people if r.random() < 0.8]
+        said += [r.choice(["20", "so", "as", "we", "go", names[3]]) for _ in range(r.randint(1, 6))]
+        r.shuffle(said)
+        rows.append((100 + i, " ".join(said)))
+    rows += [(900 + i, rows[5][1]) for i in range(20)] + [(1, None), (2, "")]
+    want = told_terms([t for _, t in rows])
+    assert 3 < len(want) < 29 and set(want.values()) == {"remove", "generalise"}
+    for x in disclosure.span_rows(table(spark, rows)).collect():
+        text = dict(rows)[x.doc_id] or ""
+        base = [tuple(map(int, s.split(":")[1:])) for s in plain_spans(text)]
+        words = [(want[m.group()], m.start(), m.end(), m.group()) for m in re.finditer("[^ ]+", text) if m.group() in want]
+        assert [tuple(s) for s in x.terms] == [w for w in words if not any(a < w[2] and w[1] < b for a, b in base)]
+
+
+def test_replaced_against_plain_slices(spark):
+    r = random.Random(4)
+    rows = []
+    for i in range(300):
+        text = "".join(r.choice("ab \n😀é") for _ in range(r.choice([0, 1, 5, 1023, 1024, 1025, 5000])))
+        ends = sorted(r.sample(range(len(text) + 1), min(len(text) + 1, r.choice([0, 1, 2, 9, 60]))))
+        rows.append((i, text, sorted((a, min(len(text), a + r.choice([0, 1, 3, 2000])), "k") for a in ends)))
+    rows.append((300, "x" * 400_000, [(a, a + 2, "k") for a in range(0, 399_990, 20)]))
+    rows.append((301, "x", None))
+    df = spark.createDataFrame(rows, "i int, text string, spans array<struct<start:int,end:int,kind:string>>").repartition(3)
+    got = {x.i: x.out for x in df.select("i", disclosure.replaced(F.col("text"), F.col("spans"), lambda s: F.upper(s["kind"])).alias("out")).collect()}
+    for i, text, spans in rows[:-1]:
+        want, at = "", 0
+        for start, end, _ in spans:
+            if start >= at:
+                want, at = want + text[at:start] + "K", end
+        assert got[i] == want + text[at:]
+    assert got[301] is None
