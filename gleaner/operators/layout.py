@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window, functions as F
 
 from gleaner.functions.names import fresh
 from gleaner.operators.prefix import row_index, running_totals
@@ -79,13 +79,24 @@ def write_resharded(
     )
 
 
+def _load_many_folders(reader: DataFrameReader, path: str) -> DataFrame:
+    """``reader.load(path)`` with folders listed in a few tasks for each core, where Spark would start one for every folder."""
+    spark, name = SparkSession.active(), "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        return reader.load(path)
+    finally:
+        spark.conf.set(name, before)
+
+
 def written_parts(spark: SparkSession, path: str, file_col: str, order: str, schema, limit: int, fmt: str = "json") -> DataFrame:
     """``(file, part, files, rows, bytes, within_limit, in_order)`` of a tree that :func:`write_resharded` wrote.
 
     Sizes are those of the files; ``in_order``: rows stand in their file in the order of ``order``, and no part
     before holds a later one. Every part is one file, written by one task.
     """
-    read = spark.read.schema(schema).format(fmt).load(path)
+    read = _load_many_folders(spark.read.schema(schema).format(fmt), path)
     rows = read.select(
         F.col(file_col).alias("file"), "part", F.col(order).alias("place"), F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_size").alias("size"), F.monotonically_increasing_id().alias("number"),

@@ -259,3 +259,18 @@ def test_scratch_lies_in_the_folder_the_session_names(spark):
     used = shared_dir(spark)
     assert used == (named or spark.sparkContext.getCheckpointDir()).rstrip("/")
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_many_folders_are_listed_in_few_tasks(spark, tmp_path):
+    """Sixty folders take a few tasks a core to list, not one each; the session's setting comes back."""
+    name, sc = "spark.sql.sources.parallelPartitionDiscovery.parallelism", spark.sparkContext
+    before = spark.conf.get(name)
+    df = spark.createDataFrame([(i, "x" * 700, "a") for i in range(60)], "i long, t string, file string")
+    layout.write_resharded(df, str(tmp_path / "out"), 4000, "file", ["i"])
+    sc.setJobGroup("listing", "listing")
+    parts = layout.written_parts(spark, str(tmp_path / "out"), "file", "i", "i long, t string, file string, part int", 4000)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages) <= 2 * sc.defaultParallelism
+    assert spark.conf.get(name) == before and parts.count() == 60
