@@ -298,3 +298,21 @@ def test_adjusted_intervals(spark, intervals, expected):
 def test_touching_intervals_merge(spark):
     spans = spark.createDataFrame([(1, 0, 5), (1, 5, 8), (1, 9, 12), (1, 1, 3), (2, 0, 1)], "doc_id bigint, start bigint, end bigint")
     assert sorted(tuple(r) for r in substring.merge_intervals(spans).collect()) == [(1, 0, 8), (1, 9, 12), (2, 0, 1)]
+
+
+def test_minima_by_fractions_are_exact():
+    """Remainders at both ends of their range, against whole numbers of any size."""
+    import numpy as np
+
+    prime, rng = fuzzy.PRIME, random.Random(5)
+    hashes = [0, 1, 2, prime - 2, prime - 1, *(rng.randrange(prime) for _ in range(400))]
+    a = [1, 2, prime - 2, prime - 1, *(rng.randrange(1, prime) for _ in range(60))]
+    for shift in (-1, 0, 1):
+        b = [(shift - x * rng.choice(hashes)) % prime for x in a]
+        block = np.array(hashes, dtype=np.uint64)
+        for blocks in ([block], [block[:7], block[7:300], block[300:]]):
+            got = fuzzy.minima(blocks, np.array(a, dtype=np.uint64), np.array(b, dtype=np.uint64))
+            assert got.dtype == np.uint32 and got.tolist() == [min((x * h + y) % prime for h in hashes) for x, y in zip(a, b)]
+        for h in hashes[:40]:
+            got = fuzzy.minima([np.array([h], dtype=np.uint64)], np.array(a, dtype=np.uint64), np.array(b, dtype=np.uint64))
+            assert got.tolist() == [(x * h + y) % prime for x, y in zip(a, b)]
