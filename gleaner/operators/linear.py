@@ -3,7 +3,8 @@
 Labelled documents fall into folds by a hash of their id. The coefficients for a fold
 come from the counts of all other folds, so no document is scored by a model that has seen it.
 Counts are made once and those of the fold itself taken off, so all folds cost one pass.
-The coefficients are a table, one row per gram; applying it is a join and a sum.
+The coefficients are a table, one row per gram; applying it is a join and a sum. Grams
+stand in all tables as 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -11,13 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gleaner.functions.text import TOKEN
-from gleaner.operators.skew import BROADCAST_BYTES, small_or_none, spread_join
+from gleaner.operators.skew import BROADCAST_BYTES, stored_bytes
 from gleaner.session import store
 
 # Fixed values.
 FOLDS = 5
 SCALE = 10_000
 LARGEST_FEATURE = 1000.0
+# What a gram of a broadcast model takes at most: its hash, five weights, and what Spark's table adds.
+_MODEL_ROW = 128
 
 
 def fold_of(key: Column, folds: int = FOLDS) -> Column:
@@ -50,9 +53,13 @@ def _without(label: int, fold: int) -> Column:
     return (F.col(f"t{label}") - F.col(f"t{label}_{fold}")).cast("bigint")
 
 
+def _hashed(grams: Column) -> Column:
+    return F.transform(grams, lambda g: F.xxhash64(g))
+
+
 def gram_counts(rows: DataFrame, grams: Column) -> DataFrame:
-    """``gram`` with its occurrences per class, in all and in each fold; ``rows`` have ``label, fold``."""
-    each = rows.select("label", "fold", F.explode(grams).alias("gram"))
+    """``gram`` (its hash) with its occurrences per class, in all and in each fold; ``rows`` have ``label, fold``."""
+    each = rows.select("label", "fold", F.explode(_hashed(grams)).alias("gram"))
     summed = each.groupBy("gram", "label", "fold").agg(F.count(F.lit(1)).alias("n"))
     return store(summed.groupBy("gram").agg(*_per_fold("n", 1), *_per_fold("n", 0)), "gram-counts")
 
@@ -67,19 +74,23 @@ def _weights(each) -> Column:
     return F.array(*[F.when(_without(1, k) + _without(0, k) > 0, F.round(each(k) * SCALE, 0).cast("bigint")) for k in range(FOLDS)])
 
 
+def _seen() -> Column:
+    return (F.col("t1") + F.col("t0")).cast("bigint").alias("seen")
+
+
 def log_odds(counts: DataFrame) -> DataFrame:
-    """``(gram, weights)``: smoothed log odds of a gram between good and bad text."""
+    """``(gram, weights, seen)``: smoothed log odds of a gram between good and bad text, and how often it was seen."""
     t = _totals(counts)
 
     def odds(k: int) -> Column:
         p = [(_without(i, k) + 1).cast("double") / F.lit(t[f"t{i}"] - t[f"t{i}_{k}"] + t["grams"]) for i in (1, 0)]
         return F.log(p[0]) - F.log(p[1])
 
-    return counts.select("gram", _weights(odds).alias("weights"))
+    return counts.select("gram", _weights(odds).alias("weights"), _seen())
 
 
 def rarity_contrast(counts: DataFrame, documents: DataFrame) -> DataFrame:
-    """``(gram, weights)``: inverse document frequency times the difference of document shares.
+    """``(gram, weights, seen)``: inverse document frequency times the difference of document shares.
 
     ``counts`` are of distinct grams per document; ``documents`` have ``label, fold``.
     """
@@ -91,7 +102,20 @@ def rarity_contrast(counts: DataFrame, documents: DataFrame) -> DataFrame:
         share = [(_without(i, k) + 1).cast("double") / F.lit(float(n[i] + 2)) for i in (0, 1)]
         return rare * (share[1] - share[0])
 
-    return counts.select("gram", _weights(contrast).alias("weights"))
+    return counts.select("gram", _weights(contrast).alias("weights"), _seen())
+
+
+def _least_frequent(model: DataFrame, rows: int) -> int:
+    """A power of two: at most ``rows`` grams of the model were seen so often."""
+    power = F.floor(F.log2(F.col("seen"))).cast("int").alias("power")
+    sizes = sorted(model.groupBy(power).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True)
+    least, taken = 1 << 62, 0
+    for r in sizes:
+        taken += r["n"]
+        if taken > rows:
+            break
+        least = 1 << r["power"]
+    return least
 
 
 def gram_scores(
@@ -99,20 +123,27 @@ def gram_scores(
 ) -> DataFrame:
     """``(key, out)``: the logistic of the mean weight of a document's known grams; one half without any.
 
-    A model measured to be small is broadcast, and sums are made where the document
-    lies. A larger one meets one row per gram and document, hot grams spread.
+    ``model`` is a cheap view of stored counts, read where it is needed. If it is small it is broadcast,
+    and sums are made where the document lies. Of a larger one the most frequent grams are, which most
+    words of a text belong to; only the others meet their weights by a shuffle.
     """
-    rows = docs.select(key, fold_of(F.col(key)).alias("fold"), F.explode_outer(grams).alias("gram"))
-    model, small = small_or_none(model, max_bytes)
-    if small:
-        joined = rows.withColumn("n", F.lit(1)).join(F.broadcast(model), "gram", "left")
-    else:
-        rows = store(rows.groupBy(key, "fold", "gram").agg(F.count(F.lit(1)).alias("n")), "document-grams")
-        sizes = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("size"))
-        joined = spread_join(rows, model.join(sizes, "gram"), "gram", "size", spread_by=key, how="left")
+    # The fold stands below the explode, so it is computed once for a document, not once for a gram.
+    listed = docs.select(key, fold_of(F.col(key)).alias("fold"), _hashed(grams).alias("grams"))
+    rows = listed.select(key, "fold", F.explode_outer("grams").alias("gram"))
     weight = F.col("weights")[F.col("fold")]
-    summed = joined.groupBy(key).agg(F.sum(weight * F.col("n")).alias("s"), F.sum(F.when(weight.isNotNull(), F.col("n"))).alias("known"))
-    mean = F.coalesce(F.col("s").cast("double") / F.col("known") / SCALE, F.lit(0.0))
+    sums = [F.sum(weight).alias("s"), F.count(weight).alias("known")]
+    weights = model.select("gram", "weights")
+    if stored_bytes(weights) <= max_bytes:
+        summed = rows.join(F.broadcast(weights), "gram", "left").groupBy(key).agg(*sums)
+    else:
+        least = _least_frequent(model, max_bytes // _MODEL_ROW)
+        frequent = F.broadcast(model.filter(F.col("seen") >= least).select("gram", "weights"))
+        here = rows.join(frequent, "gram", "left").groupBy(key).agg(*sums)
+        others = rows.filter("gram is not null").join(frequent.select("gram"), "gram", "left_anti")
+        met = others.join(model.filter(F.col("seen") < least).select("gram", "weights"), "gram")
+        there = met.groupBy(key).agg(*sums)
+        summed = here.unionByName(there).groupBy(key).agg(F.sum("s").alias("s"), F.sum("known").alias("known"))
+    mean = F.coalesce(F.try_divide(F.col("s").cast("double"), F.col("known")) / SCALE, F.lit(0.0))
     return summed.select(key, logistic(sharpness * mean).alias(out))
 
 

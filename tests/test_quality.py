@@ -140,3 +140,20 @@ def test_figures_of_stages(spark, tmp_path):
         (0, "first", "rows", 3.0), (0, "first", "text_bytes", 5.0), (1, "none", "rows", 0.0), (1, "none", "text_bytes", 0.0), (2, "first", "rows", 3.0)
     ]
     assert all(r[3] > 0 for r in rows if r[2] == "seconds")
+
+
+def test_frequent_grams_are_sent_and_a_large_model_is_not_stored(spark, monkeypatch):
+    """Frequent grams of a large model are broadcast, the others shuffled: scores are the same; no copy of the model is written."""
+    from gleaner.operators import linear, skew
+
+    texts = [(i, f"a a b c{i % 7} d{i % 3} e{i}", int(i % 7 > 3)) for i in range(60)] + [(99, None, 1), (100, "", 0), (101, "only here", None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, quality int")
+    grams = linear.words_and_pairs(F.col("text"))
+    rows = linear.labelled(docs.select("doc_id", "text"), docs, "quality")
+    model = linear.log_odds(linear.gram_counts(rows, grams))
+    assert dict(model.dtypes)["gram"] == "bigint"
+    monkeypatch.setattr(skew, "cut_lineage", lambda df: pytest.fail("stored"))
+    limits = (1 << 26, 20 * linear._MODEL_ROW, 0)
+    assert 0 < model.filter(F.col("seen") >= linear._least_frequent(model, 20)).count() <= 20
+    scores = [sorted(linear.gram_scores(docs, "doc_id", grams, model, 8.0, "s", b).collect()) for b in limits]
+    assert scores[0] == scores[1] == scores[2] and len(scores[0]) == 63
