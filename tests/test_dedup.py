@@ -316,3 +316,22 @@ def test_minima_by_fractions_are_exact():
         for h in hashes[:40]:
             got = fuzzy.minima([np.array([h], dtype=np.uint64)], np.array(a, dtype=np.uint64), np.array(b, dtype=np.uint64))
             assert got.tolist() == [(x * h + y) % prime for x, y in zip(a, b)]
+
+
+def test_texts_go_to_python_in_bounded_batches(spark):
+    """Where the session has Spark's own bounds, a worker is sent at most 1,000 texts at once."""
+    from gleaner.catalog import QUERIES
+
+    docs, small = documents(spark, ["a b c", "a b d"]), "/root/testdata/sf0.001"
+    plain = {"maxRecordsPerBatch": "10000", "maxBytesPerBatch": "67108864b"}
+    for use in (
+        lambda: fuzzy.lsh_bands(docs),
+        lambda: fuzzy.lsh_edges(docs),
+        lambda: substring.repeated_kgrams(docs),
+        lambda: QUERIES["minhash"](spark, small),
+        lambda: QUERIES["unicode_nfc"](spark, small),
+    ):
+        for name, value in plain.items():
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", value)
+        use()
+        assert [spark.conf.get(f"spark.sql.execution.arrow.{name}") for name in plain] == ["1000", "8m"]
