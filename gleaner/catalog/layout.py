@@ -17,7 +17,8 @@ _DOCS_SQL = "SELECT doc_id, text, lang, source, n_chars FROM documents"
 def read_jsonl(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     path = scratch_path(spark, "read-jsonl")
-    files.write_jsonl(docs.withColumn("part", F.col("doc_id") % 3).repartition("part"), path)
+    # Three parts, each in as many tasks and files as its size takes.
+    files.write_jsonl(docs.withColumn("part", F.col("doc_id") % 3).hint("rebalance", "part"), path)
     # A stray file beside the data must not be read.
     docs.select("text").write.mode("append").text(path)
     return files.read_jsonl(spark, path, docs.schema)

@@ -274,3 +274,19 @@ def test_many_folders_are_listed_in_few_tasks(spark, tmp_path):
     stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
     assert stages and max(s.numTasks for s in stages) <= 2 * sc.defaultParallelism
     assert spark.conf.get(name) == before and parts.count() == 60
+
+
+def test_jsonl_parts_are_written_in_as_many_files_as_their_size_takes(spark, tmp_path):
+    from gleaner.catalog import QUERIES
+
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.expr("concat_ws(' ', transform(sequence(1, 60), i -> md5(cast(100 * id + i AS string))))").alias("text"))
+    docs = docs.selectExpr("*", "'en' AS lang", "'a' AS source", "length(text) AS n_chars")
+    docs.repartition(8).write.parquet(str(tmp_path / "documents.parquet"))
+
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(name, "20k")
+    try:
+        rows = QUERIES["read_jsonl"](spark, str(tmp_path))
+        assert rows.count() == 400 and rows.select(F.input_file_name()).distinct().count() > 6
+    finally:
+        spark.conf.unset(name)
