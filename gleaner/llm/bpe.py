@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 from collections.abc import Callable, Iterator
 
@@ -21,8 +22,10 @@ from gleaner.llm.text import bounded_batches, column, id_as_text, id_type, once
 
 #: A worker forgets its fragments when it holds this many bytes of them (text and ids).
 CACHE_BYTES = 48_000_000
+#: Fragments the tokenizer is given at once; its answers take many times their bytes.
+_ENCODED = 2_000
 #: Texts of one Arrow batch are worked on in parts of about so many bytes.
-PART_BYTES = 4_000_000
+PART_BYTES = 1_000_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -38,6 +41,8 @@ class Vocabulary:
     """Token bytes, the special tokens, and the table of byte pairs that force a cut."""
 
     def __init__(self, path: str):
+        # Every core has a worker of its own; the tokenizer's threads would each hold memory in all of them.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -77,8 +82,8 @@ class Vocabulary:
         if self.held > CACHE_BYTES:
             self.forget()
             unseen = list({f for pieces in cut for f in pieces})
-        for start in range(0, len(unseen), 20_000):
-            some = unseen[start : start + 20_000]
+        for start in range(0, len(unseen), _ENCODED):
+            some = unseen[start : start + _ENCODED]
             encoded = self.tokenizer.encode_batch_fast([f.decode() for f in some], add_special_tokens=False)
             for fragment, e in zip(some, encoded):
                 got = np.array(e.ids, dtype="<u4").tobytes()

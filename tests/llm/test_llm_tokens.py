@@ -1,6 +1,7 @@
 """Token operators against the tokenizer's own library."""
 
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -88,3 +89,18 @@ def test_sections_against_all_tokens(spark, library, rule):
             assert got[i][k].n_crossing == across, (text, a, b, tokens)
         assert got[i][-1].n_tokens == sum(all(not a <= t < b for a, b in ends) for t in key)
         assert got[i][-1].doc_tokens == len(tokens)
+
+
+def test_tokenizer_works_on_few_fragments_at_once_and_without_threads():
+    v = bpe.Vocabulary(tokenizer_path())
+    real, given = v.tokenizer, []
+
+    class Counting:
+        def encode_batch_fast(self, some, **more):
+            given.append(len(some))
+            return real.encode_batch_fast(some, **more)
+
+    v.tokenizer = Counting()
+    text = " ".join(f"word{i} x" for i in range(9_000))
+    assert v.ids([text.encode()])[0] == np.array(real.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    assert max(given) <= bpe._ENCODED < sum(given) and os.environ["TOKENIZERS_PARALLELISM"] == "false"
