@@ -173,6 +173,24 @@ def test_verified_links_of_odd_tables(spark):
     assert [tuple(r) for r in fuzzy.verified_edges(odd).collect()] == [(3, 4)]
 
 
+def test_verified_links_compare_few_pairs(spark, monkeypatch):
+    """Copies are not compared, and near copies that share many buckets about once each."""
+    texts = near_copies() + ["one text in forty places, and longer than a shingle"] * 40
+    pairs, compared = [], fuzzy._compared
+    monkeypatch.setattr(fuzzy, "_compared", lambda met, *rest: pairs.extend(map(tuple, met.collect())) or compared(met, *rest))
+    links = [tuple(r) for r in fuzzy.verified_edges(documents(spark, texts)).collect()]
+    assert set(union_find(links).values()) == {0, 40}
+    assert len(pairs) < len(set(texts))
+
+
+def test_equal_ids_with_other_texts_join_their_groups(spark):
+    rng = random.Random(4)
+    long = ["".join(rng.choice("abcdefgh") for _ in range(300)) for _ in range(3)]
+    rows = [(5, long[0]), (3, long[0]), (5, long[1]), (9, long[1]), (7, long[2]), (None, long[2]), (8, "a" * 23), (6, "a" * 24)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert dict(fuzzy.verified_groups(df).collect()) == {3: 3, 5: 3, 9: 3}
+
+
 def near_copies(n=30):
     rng = random.Random(3)
     words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
