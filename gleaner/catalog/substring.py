@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gleaner.catalog.base import query, table
 from gleaner.catalog.dedup import EXACT_KEPT_SQL, kept
 from gleaner.operators import substring as ops
+from gleaner.session import cut_lineage
 
 TOKENS_SQL = r"regexp_extract_all(text, '^[ \t\n\r\f]+|[^ \t\n\r\f]+[ \t\n\r\f]*')"
 
@@ -156,7 +157,8 @@ def cut_intervals(spark, sf_dir):
 @query("reconstruct_documents", cut_sql(EXACT_KEPT_SQL))
 def reconstruct_documents(spark, sf_dir):
     docs = kept(spark, sf_dir)
-    cuts = ops.cut_ranges(ops.repeated_kgrams(docs, keep="first"))
+    # Both uses read the stored cuts.
+    cuts = cut_lineage(ops.cut_ranges(ops.repeated_kgrams(docs, keep="first")))
     affected = docs.select("doc_id", "text").join(cuts.select("doc_id").distinct(), "doc_id", "left_semi")
     return ops.reconstruct_documents(docs, ops.cut_intervals(affected, cuts))
 
