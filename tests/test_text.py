@@ -200,3 +200,17 @@ def test_markdown_and_lines(spark):
     assert pairs == ["Question: a?\nAnswer: b"]
     with pytest.raises(ValueError):
         markdown.has_substring(F.lit("x"), "x", "middle")
+
+
+def test_trigrams_are_counted_without_a_row_a_character(spark):
+    from collections import Counter
+
+    from gleaner.operators.langid import trigram_counts
+
+    rows = [("en", "Abab aB"), ("en", "ab"), ("en", ""), ("en", "a😀bc"), ("de", "ÄÖÜ\x00ß"), ("de", None), (None, "abc"), ("en", "x"), ("en", "yz")]
+    df = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    low = [(lang, text.lower()) for lang, text in rows if text is not None]
+    expected = Counter((lang, t[i : i + 3]) for lang, t in low for i in range(len(t) - 2))
+    counts = trigram_counts(df)
+    assert {(r.lang, r.gram): r.n for r in counts.collect()} == expected
+    assert "Generate" not in counts._jdf.queryExecution().toString()
