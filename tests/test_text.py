@@ -214,3 +214,16 @@ def test_trigrams_are_counted_without_a_row_a_character(spark):
     counts = trigram_counts(df)
     assert {(r.lang, r.gram): r.n for r in counts.collect()} == expected
     assert "Generate" not in counts._jdf.queryExecution().toString()
+
+
+def test_stop_words_are_searched_as_one_text(spark):
+    from gleaner.operators import extract
+
+    stops = spark.createDataFrame([("en", "the"), ("en", "of"), ("en", "a b"), ("de", "und")], "lang string, word string")
+    page = "<html lang='{}'><p>The  cat\tof the&amp;the &lt;of&gt; a<br>b und<p>x"
+    pages = spark.createDataFrame([(1, page.format("en")), (2, page.format("fr")), (3, None)], "page_id bigint, html string")
+    rows = extract.paragraph_context(pages, stops)
+    found = {(r.page_id, r.text): r.stop_density for r in rows.collect()}
+    text = "The cat of the&the <of> a b und"
+    assert found == {(1, text): 0.25, (1, "x"): 0.0, (2, text): 0.375, (2, "x"): 0.0}
+    assert "array_contains" not in rows._jdf.queryExecution().toString()
