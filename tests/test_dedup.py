@@ -1,8 +1,13 @@
+import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from gleaner.catalog import QUERIES
+from gleaner.functions import digests
 from gleaner.operators import components, exact, fuzzy, substring
 
 SKEW = {"hot_rows": 5, "salts": 3}
@@ -361,3 +366,62 @@ def test_reconstruction_finds_the_cuts_once(spark):
 
     plan = QUERIES["reconstruct_documents"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "Window" not in plan
+
+
+def plain_shingles(text, width=24):
+    return [None] if text is None else sorted({text[i : i + width] for i in range(max(len(text) - width, 0) + 1)})
+
+
+def odd_texts():
+    letters = random.Random(4)
+    texts = ["", None, "short", "x" * 24, "x" * 200, "a" * 23, "é" * 30, "ab😀" * 40, "日本語" * 20, "zero\0" * 9, None, ""]
+    texts += ["".join(letters.choices("ab", k=letters.randrange(60))) for _ in range(100)]
+    return texts + ["".join(letters.choices("abé語😀 ", k=3000)), "one line that comes again\n" * 50]
+
+
+def test_shingles_of_odd_texts(spark):
+    texts = odd_texts()
+    got = fuzzy.char_shingles(documents(spark, texts)).collect()
+    assert {r.doc_id: sorted(r.shingles) if r.shingles != [None] else [None] for r in got} == dict(enumerate(map(plain_shingles, texts)))
+    assert fuzzy.char_shingles(documents(spark, texts).limit(0)).count() == 0
+    assert [r.shingles for r in fuzzy.char_shingles(documents(spark, [None, ""])).orderBy("doc_id").collect()] == [[None], [""]]
+
+
+@pytest.mark.parametrize("same_hash", [False, True])
+@pytest.mark.parametrize("width", [1, 3, 24])
+def test_shingles_in_lots(monkeypatch, width, same_hash):
+    if same_hash:  # windows of a text can only be told apart by their bytes
+        monkeypatch.setattr(fuzzy, "_powers", lambda base, n: np.zeros(n, dtype=np.uint64))
+    texts, got = odd_texts(), {}
+    for numbers, lists in fuzzy.shingle_lots(pa.array(["before", *texts], pa.large_string()).slice(1), width, lot=7):
+        lists.validate(full=True)
+        for number, some in zip(numbers.to_pylist(), lists.to_pylist()):
+            assert 0 < len(some) <= 7
+            got.setdefault(number, []).extend(some)
+    assert {i: sorted(x) if x != [None] else x for i, x in got.items()} == {i: plain_shingles(t, width) for i, t in enumerate(texts)}
+
+
+def test_list_summary():
+    lists = [["a", "b" * 55, "b" * 56, "c" * 63, "é" * 64, "x" * 200], [None], [""], *map(plain_shingles, odd_texts())]
+    plain = [
+        (1, None, None, None, None)
+        if some == [None]
+        else (len(some), min(some), max(some), sum(map(len, some)), min(hashlib.md5(x.encode()).hexdigest() for x in some))
+        for some in lists
+    ]
+    got = digests.list_summary(pa.array([["before"], *lists, ["behind"]]).slice(1, len(lists)))
+    assert [*zip(*(column.to_pylist() for column in got))] == plain
+
+
+def test_shingle_query_sorts_no_row_a_character(spark, tmp_path):
+    texts = [*odd_texts(), "y" * 70_000 + "".join(map(chr, range(0x4E00, 0x9E00))) * 4]
+    documents(spark, texts).union(documents(spark, texts[:9])).write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["char_shingles"](spark, str(tmp_path))
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    rows = {r.doc_id: r for r in found.collect()}
+    assert len(rows) == len(texts)
+    for i, text in enumerate(texts):
+        some, times = plain_shingles(text), 2 if i < 9 else 1
+        low = None if text is None else min(hashlib.md5(x.encode()).hexdigest() for x in some)
+        chars = None if text is None else times * sum(map(len, some))
+        assert tuple(rows[i]) == (i, times * len(some), some[0], some[-1], chars, low)
