@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window, functions as F, types as T
 
 from gleaner.functions.names import fresh
 from gleaner.operators.prefix import row_index, running_totals
 from gleaner.operators.skew import first_per_group, lookup, small_or_none
+from gleaner.sources.files import read_json_folders, write_json_folders
 
 
 def record_limit(df: DataFrame, n: int, file_col: str = "file_name", order: str = "doc_id", salts: int = 64) -> DataFrame:
@@ -69,14 +70,11 @@ def write_resharded(
     ``size`` is what a row may take at most; without it, its bytes as one JSON line.
     """
     parts = size_parts(df, limit, file_col, order, size).drop("row_bytes")
-    (
-        df.join(parts, [file_col, *order])
-        .repartition(file_col, "part")
-        .sortWithinPartitions(file_col, "part", *order)
-        .write.partitionBy(file_col, "part")
-        .format(fmt)
-        .save(path)
-    )
+    placed = df.join(parts, [file_col, *order]).repartition(file_col, "part").sortWithinPartitions(file_col, "part", *order)
+    if fmt == "json":
+        write_json_folders(placed, path, [file_col, "part"])
+    else:
+        placed.write.partitionBy(file_col, "part").format(fmt).save(path)
 
 
 def _load_many_folders(reader: DataFrameReader, path: str) -> DataFrame:
@@ -96,11 +94,18 @@ def written_parts(spark: SparkSession, path: str, file_col: str, order: str, sch
     Sizes are those of the files; ``in_order``: rows stand in their file in the order of ``order``, and no part
     before holds a later one. Every part is one file, written by one task.
     """
-    read = _load_many_folders(spark.read.schema(schema).format(fmt), path)
-    rows = read.select(
-        F.col(file_col).alias("file"), "part", F.col(order).alias("place"), F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_size").alias("size"), F.monotonically_increasing_id().alias("number"),
-    )
+    lines = read_json_folders(spark, path, 2) if fmt == "json" else None
+    if lines is not None:
+        fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        place = F.from_json("line", T.StructType([fields[order]]))[order]
+        values = [F.col("value0").cast(fields[file_col].dataType).alias("file"), F.col("value1").cast(fields["part"].dataType).alias("part")]
+        rows = lines.select(*values, place.alias("place"), "path", "size", "number")
+    else:
+        read = _load_many_folders(spark.read.schema(schema).format(fmt), path)
+        rows = read.select(
+            F.col(file_col).alias("file"), "part", F.col(order).alias("place"), F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_size").alias("size"), F.monotonically_increasing_id().alias("number"),
+        )
     before = F.lag("place").over(Window.partitionBy("path").orderBy("number"))
     told = rows.withColumn("sorted", F.coalesce(before <= F.col("place"), F.lit(True)))
     parts = told.groupBy("file", "part").agg(

@@ -276,6 +276,33 @@ def test_many_folders_are_listed_in_few_tasks(spark, tmp_path):
     assert spark.conf.get(name) == before and parts.count() == 60
 
 
+def test_parts_are_written_without_hadoop_for_each_file(spark, tmp_path):
+    """Hadoop's local files start a process for each file and its checksum; the same rows are read as of Spark's own tree."""
+    odd = ["a=b/c%d:e", "%3A", "née 😀", None, "_x"]
+    rows = [(i, None if i % 4 == 0 else 'te"xt\r\n' * i, v, i % 3) for i, v in enumerate(odd * 4)]
+    ours, sparks, nulls = (str(tmp_path / n) for n in ("ours", "sparks", "nulls"))
+
+    def laid_out(rows):
+        df = spark.createDataFrame(rows, "i long, t string, file string, part int")
+        return df.repartition(3, "file", "part").sortWithinPartitions("file", "part", "i")
+
+    df = laid_out(rows)
+    files.write_json_folders(df, ours, ["file", "part"])
+    df.write.partitionBy("file", "part").json(sparks)
+    # These three share one folder, which Spark's writer refuses where one task has them.
+    files.write_json_folders(laid_out([(i, "t", v, i // 9) for i, v in enumerate([None, "", files.NO_VALUE] * 6)]), nulls, ["file", "part"])
+    assert spark.read.json(nulls).count() == 18
+    names = [p.name for p in (tmp_path / "ours").rglob("*") if p.is_file()]
+    assert "_SUCCESS" in names and not any(n.startswith(".") for n in names)
+    read = lambda path: sorted(map(repr, spark.read.schema(df.schema).json(path).collect()))
+    assert len(read(ours)) == len(rows) and read(ours) == read(sparks)
+    for path in (ours, sparks):
+        parts = layout.written_parts(spark, path, "file", "i", df.schema, 4000).collect()
+        assert sum(p["rows"] for p in parts) == len(rows) and {p["file"] for p in parts} == {"a=b/c%d:e", "%3A", "née 😀", None, "_x"}
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        files.write_json_folders(df, ours, ["file", "part"])
+
+
 def test_jsonl_parts_are_written_in_as_many_files_as_their_size_takes(spark, tmp_path):
     from gleaner.catalog import QUERIES
 
