@@ -11,7 +11,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, NGram, RegexTokenizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from gleaner.functions.names import fresh
 from gleaner.functions.text import TOKEN
@@ -57,7 +57,7 @@ def _text_counts(text: str) -> tuple[int, ...]:
 _STOP_SET = frozenset(STOP_WORDS)
 
 
-@F.pandas_udf(", ".join(f"{c} bigint" for c in _COUNTS))
+@F.pandas_udf(T.StructType([T.StructField(c, T.LongType()) for c in _COUNTS]))
 def _counted(texts: pd.Series) -> pd.DataFrame:
     """Counts of texts as UTF-8 bytes; a null text has none."""
     rows = [(None,) * len(_COUNTS) if t is None else _text_counts(t.decode("utf-8", "replace")) for t in texts]
@@ -137,14 +137,14 @@ CONTRAST_SHARPNESS = 40.0
 
 def ngram_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", out: str = TRAINED_SCORES[0]) -> DataFrame:
     """``(key, out)``: log odds of words and word pairs, cross-fitted on the labelled documents."""
-    grams = linear.words_and_pairs(F.col(text))
+    grams = linear.hashed_words_and_pairs(F.col(text))
     model = linear.log_odds(linear.gram_counts(linear.labelled(docs.select(key, text), labels, "quality", key), grams))
     return linear.gram_scores(docs, key, grams, model, NGRAM_SHARPNESS, out)
 
 
 def contrast_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", out: str = TRAINED_SCORES[1]) -> DataFrame:
     """``(key, out)``: rare words that good documents hold more often than bad ones, cross-fitted."""
-    grams = F.array_distinct(linear.words(F.col(text)))
+    grams = linear.hashed_distinct_words(F.col(text))
     rows = linear.labelled(docs.select(key, text), labels, "quality", key)
     model = linear.rarity_contrast(linear.gram_counts(rows, grams), rows)
     return linear.gram_scores(docs, key, grams, model, CONTRAST_SHARPNESS, out)

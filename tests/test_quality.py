@@ -157,3 +157,38 @@ def test_frequent_grams_are_sent_and_a_large_model_is_not_stored(spark, monkeypa
     assert 0 < model.filter(F.col("seen") >= linear._least_frequent(model, 20)).count() <= 20
     scores = [sorted(linear.gram_scores(docs, "doc_id", grams, model, 8.0, "s", b).collect()) for b in limits]
     assert scores[0] == scores[1] == scores[2] and len(scores[0]) == 63
+
+
+def test_grams_are_hashed_and_counted_in_batches(spark):
+    """The same words and pairs as the patterns find, one hash each; words of any length; counts by class and fold."""
+    from gleaner.operators import linear
+
+    texts = [None, "", " \n\x0b", "The cat the\tcat", "é ü\r\nß", "x" * 200_000 + " a b " + "y" * 70_000] + ["w%d v w%d" % (i, i % 3) for i in range(40)]
+    docs = spark.createDataFrame([(i, t, i % 2, i % 5) for i, t in enumerate(texts)], "doc_id long, text string, label int, fold int").repartition(3)
+    text = F.col("text")
+    pairs = docs.select("*", linear.words_and_pairs(text).alias("said"), linear.hashed_words_and_pairs(text).alias("hashed"),
+                        F.array_distinct(linear.words(text)).alias("words"), linear.hashed_distinct_words(text).alias("distinct")).collect()
+    names = {}
+    for r in pairs:
+        assert (r.said is None) == (r.hashed is None) and len(r.said or []) == len(r.hashed or [])
+        assert all(names.setdefault(g, h) == h for g, h in zip(r.said or [], r.hashed or []))
+        assert sorted(names[w] for w in r.words or []) == sorted(r.distinct or [])
+    assert len(set(names.values())) == len(names)
+    expected = {}
+    for r in pairs:
+        for g in r.said or []:
+            row = expected.setdefault(names[g], dict.fromkeys([f"t{y}_{k}" for y in (0, 1) for k in range(5)] + ["t0", "t1"], 0))
+            row[f"t{r.label}_{r.fold}"] += 1
+            row[f"t{r.label}"] += 1
+    counts = linear.gram_counts(docs, linear.hashed_words_and_pairs(text)).collect()
+    assert {r.gram: {c: r[c] for c in r.asDict() if c != "gram"} for r in counts} == expected
+
+
+def test_text_is_read_once_for_its_statistics(spark):
+    """No pattern or lambda over words: one pass in Python counts a text."""
+    df = spark.createDataFrame([(1, "The of\n\nX × é 😀 A\n\n"), (2, None), (3, "")], "doc_id long, text string")
+    out = quality.quality_features(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "regexp" not in plan
+    assert sorted(map(tuple, out.select("doc_id", *quality.FEATURES).collect())) == [
+        (1, 1.428571, 0.285714, 0.052632, 0.4, 0.210526), (2, 0.0, 0.0, 0.0, 0.0, 0.0), (3, 0.0, 0.0, 0.0, 0.0, 0.0)]
