@@ -227,3 +227,15 @@ def test_stop_words_are_searched_as_one_text(spark):
     text = "The cat of the&the <of> a b und"
     assert found == {(1, text): 0.25, (1, "x"): 0.0, (2, text): 0.375, (2, "x"): 0.0}
     assert "array_contains" not in rows._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("texts", [["a"], ["", "ab"], [None], ["ab", "abc"]])
+def test_languages_of_short_texts_have_no_trigrams(spark, texts):
+    """A batch in which a language has no trigram gives no rows, where it ended the query."""
+    from gleaner.operators.langid import train_language_model, trigram_counts
+
+    df = spark.createDataFrame([("xx", t) for t in texts], "lang string, text string").repartition(1)
+    assert sorted(map(tuple, trigram_counts(df).collect())) == [("xx", "abc", 1) for t in texts if t == "abc"]
+    long = spark.createDataFrame([("en", "abcd")], "lang string, text string")
+    model = train_language_model(df.unionByName(long).repartition(1))
+    assert {r.lang for r in model.collect()} >= {"en"}
