@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from gleaner.sources.files import file_system
+from gleaner.sources.files import file_system as _file_system
 
 #: Begins the version line of every record; what follows is the minor version.
 MARKER = "WARC/1."
@@ -295,7 +295,7 @@ class WarcReader(DataSourceReader):
     def _rows(self, ranges: list[tuple[str, int, int]]) -> Iterator[tuple]:
         for path, start, end in ranges:
             name, taken = path.rsplit("/", 1)[-1], 0
-            system, at = file_system(path)
+            system, at = _file_system(path)
             with system.open_input_file(at) as file:
                 read = _gzip_records if path.endswith(".gz") else _plain_records
                 for offset, index, fields, block in read(file, start, end):
@@ -390,7 +390,7 @@ def read_warc(spark: SparkSession, path, limit: int | None = None, split_bytes:
     if not files:
         return spark.createDataFrame([], RECORD_SCHEMA)
     try:
-        file_system(files[0][0])
+        _file_system(files[0][0])
     except Exception:  # noqa: BLE001  (Arrow raises many kinds: no such scheme, no library for it)
         return _read_streamed(spark, [p for p, _ in files], limit)
     spark.dataSource.register(WarcSource)
